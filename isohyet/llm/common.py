@@ -132,8 +132,10 @@ class Powers:
         if len(self.up) < n:
             m = 1 << (n - 1).bit_length()
             with np.errstate(over="ignore"):
-                self.up = np.cumprod(np.concatenate([[1], np.full(m - 1, self.base)]).astype(np.uint64))
-                self.down = np.cumprod(np.concatenate([[1], np.full(m - 1, self.inverse)]).astype(np.uint64))
+                for name, factor in (("up", self.base), ("down", self.inverse)):
+                    steps = np.full(m, factor, np.uint64)
+                    steps[0] = 1
+                    setattr(self, name, np.cumprod(steps))
         return self.up[:n], self.down[:n]
 
 
