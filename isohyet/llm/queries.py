@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isohyet.llm import packing
+from isohyet.llm import backoff, decontamination, packing, quality, simhash, sitetree, sketches, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +15,43 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_packing": op1_packing}
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key", "hits")
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("text_key")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprint_report(_table(spark, sf_dir, "documents"))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score_corpus(_table(spark, sf_dir, "documents"))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.extract(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
+    "op3_simhash": op3_simhash,
+    "op6_warc": op6_warc,
+    "op7_quality": op7_quality,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_lm_scoring": op9_lm_scoring,
+    "op10_html": op10_html,
+}
 ORACLE_SQL: dict[str, str] = {}
