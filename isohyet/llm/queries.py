@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isohyet.llm import backoff, decontamination, packing, quality, simhash, sitetree, sketches, warc
+from isohyet.llm import backoff, decontamination, packing, phrases, quality, simhash, sitetree, sketches, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_phrases(_table(spark, sf_dir, "documents")).drop("text")
+
+
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_substrings(_table(spark, sf_dir, "documents")).drop("text")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -48,6 +56,8 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
+    "op4_phrases": op4_phrases,
+    "op5_suffixes": op5_suffixes,
     "op6_warc": op6_warc,
     "op7_quality": op7_quality,
     "op8_fingerprints": op8_fingerprints,
