@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from isohyet.llm import common
 
 _UNITS_PER_BUCKET = 6_000_000
-_UNITS_AT_ONCE = 2_000_000
+_UNITS_AT_ONCE = 1_500_000
 FOUND = "pending boolean, d long, t long, s long, e long, h long"
 
 
@@ -165,7 +165,7 @@ def find_segments(docs: DataFrame, rule: Rule) -> DataFrame:
             own = lambda c: batch.column(c).slice(lo, hi - lo).to_numpy()
             parts.append((doc + base, s, e, h, y, own("d"), own("t")))
             held += len(s)
-            if held > 1_000_000:
+            if held > 600_000:
                 yield flush(parts)
                 parts, held = [], 0
         if held:
@@ -213,7 +213,7 @@ def settle_pending(docs: DataFrame, found: DataFrame, rule: Rule, solve, hot: in
     marked = pending.join(often, F.col("h") == F.col("hot_h"), "left")
     places = marked.groupBy("d", "t").agg(F.collect_list(F.struct("s", "e", "h", F.col("hot_h").isNotNull().alias("hot"))).alias("places"))
     size = found.agg(F.count_if("pending")).first()[0]
-    buckets = max(32, size // 60_000)
+    buckets = max(32, size // 30_000)
     texts = docs.join(places, ["d", "t"]).select("d", "t", "text", "places")
 
     def cut(batches):
