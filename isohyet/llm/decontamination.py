@@ -1,7 +1,7 @@
 """Benchmark decontamination with DataFrame functions only.
 
 Every window of ``window`` words of the test items goes into a hash set that is broadcast when its
-counted size is under ``broadcast_limit`` windows (a plain shuffled join otherwise). All windows of all
+counted size is under ``broadcast_limit`` windows; a larger one is joined by a shuffle of the probes. All windows of all
 documents are probed against it, hits are verified word by word, and what they cover is counted.
 """
 
@@ -40,11 +40,11 @@ def benchmark_windows(items: DataFrame, window: int = 13, *, id_col: str = "item
     return each.groupBy("win", "size").agg(F.collect_set("item_id").alias("item_ids")).withColumn("hash", F.xxhash64("win"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, share: float = 0.05, id_col: str = "doc_id", text_col: str = "text", broadcast_limit: int = 500_000) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, one_in: int = 20, id_col: str = "doc_id", text_col: str = "text", broadcast_limit: int = 500_000) -> DataFrame:
     """One row per document: doc_id, text_key, n_words, n_hit, n_items, items_sha256, contaminated, hits.
 
     ``hits`` are the word positions (from 0) and lengths of the verified windows. A document is
-    contaminated if a word is hit and hit words are at least ``share`` of its words. Null or empty
+    contaminated if a word is hit and at least one in ``one_in`` words is. Null or empty
     texts have no words and are clean; repeated rows each get a row; null ids stay null; an empty
     benchmark leaves all clean. Other columns are not read.
     """
@@ -53,26 +53,35 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, share:
         sizes = bench.groupBy("size").count().orderBy("size").collect()  # at most ``window`` rows
     finally:
         bench.unpersist()
+    few = sum(r["count"] for r in sizes) <= broadcast_limit
+    known = bench.select(F.col("hash").alias("b_hash"), F.xxhash64(F.lit(1), "win").alias("b_check"), "win", F.col("size").alias("b_size"), "item_ids")
+    if few:
+        # probes keep their document's words at hand (no copy is made before a hit) and compare those of a hit
+        known, probe, blank = F.broadcast(known), F.xxhash64, F.lit(0).cast("long")
+        verified = F.slice("w", F.greatest("pos", F.lit(0)) + 1, F.greatest("size", F.lit(1))) == F.col("win")
+    else:
+        # probes are shuffled, so instead of words they carry a second hash
+        probe = lambda win: F.struct(F.xxhash64(win).alias("hash"), F.xxhash64(F.lit(1), win).alias("check"))
+        blank = F.struct(F.lit(0).cast("long").alias("hash"), F.lit(0).cast("long").alias("check"))
+        verified = F.col("probe.check") == F.col("b_check")
+    hashed = F.col("probe") if few else F.col("probe.hash")
+    keep = ["doc_id", "text_key", "n", *(["w"] if few else [])]
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("t"))
-    tokens = source.select("doc_id", F.xxhash64("t").alias("text_key"), words(F.col("t")).alias("w"))
-    # one array of hashes for each window length that the benchmark has, after a sentinel that keeps every document
-    arrays = [F.struct(F.lit(0).alias("size"), F.array(F.lit(0).cast("long")).alias("hashes"))]
-    arrays += [F.struct(F.lit(int(r["size"])).alias("size"), _windows(F.col("w"), int(r["size"]), F.xxhash64).alias("hashes")) for r in sizes]
-    if len(sizes) == 1:  # the usual case: one explode of a flat array with the sentinel in front
+    tokens = source.select("doc_id", F.xxhash64("t").alias("text_key"), words(F.col("t")).alias("w")).withColumn("n", F.size("w"))
+    # a sentinel in front keeps every document, whatever it matches
+    if len(sizes) == 1:  # the usual case: one flat array
         size = int(sizes[0]["size"])
-        flat = F.concat(F.array(F.lit(0).cast("long")), F.coalesce(_windows(F.col("w"), size, F.xxhash64), F.array().cast("array<long>")))
-        probes = tokens.select("doc_id", "text_key", "w", F.posexplode(flat).alias("at", "hash"))
-        probes = probes.select("doc_id", "text_key", "w", (F.col("at") - 1).alias("pos"), "hash", F.when(F.col("at") == 0, 0).otherwise(size).alias("size"))
+        runs = F.concat(F.array(blank), F.coalesce(_windows(F.col("w"), size, probe), F.slice(F.array(blank), 1, 0)))
+        probes = tokens.withColumn("runs", runs).select(*keep, F.posexplode("runs").alias("at", "probe"))
+        probes = probes.select(*keep, (F.col("at") - 1).alias("pos"), "probe", F.when(F.col("at") == 0, 0).otherwise(size).alias("size"))
     else:
-        by_size = tokens.select("doc_id", "text_key", "w", F.explode(F.array(*arrays)).alias("a"))
-        probes = by_size.select("doc_id", "text_key", "w", F.col("a.size").alias("size"), F.posexplode("a.hashes").alias("pos", "hash"))
-    known = bench.select(F.col("hash").alias("b_hash"), F.col("win"), F.col("size").alias("b_size"), "item_ids")
-    if sum(r["count"] for r in sizes) <= broadcast_limit:
-        known = F.broadcast(known)
-    same = (F.col("hash") == F.col("b_hash")) & (F.col("size") == F.col("b_size")) & (F.slice("w", F.greatest("pos", F.lit(0)) + 1, F.greatest("size", F.lit(1))) == F.col("win"))
-    found = probes.join(known, same, "left").where("size = 0 or win is not null")
+        arrays = [F.struct(F.lit(0).alias("size"), F.array(blank).alias("runs"))]
+        arrays += [F.struct(F.lit(int(r["size"])).alias("size"), _windows(F.col("w"), int(r["size"]), probe).alias("runs")) for r in sizes]
+        by_size = tokens.withColumn("by_size", F.array(*arrays)).select(*keep, F.explode("by_size").alias("a"))
+        probes = by_size.select(*keep, F.col("a.size").alias("size"), F.posexplode("a.runs").alias("pos", "probe"))
+    found = probes.join(known, (hashed == F.col("b_hash")) & (F.col("size") == F.col("b_size")) & verified, "left").where("size = 0 or win is not null")
     per_doc = found.groupBy("doc_id", "text_key").agg(
-        F.max(F.when(F.col("size") == 0, F.size("w"))).cast("long").alias("n_words"),
+        F.max("n").cast("long").alias("n_words"),
         F.count_if(F.col("size") == 0).alias("copies"),
         F.array_sort(F.collect_set(F.when(F.col("size") > 0, F.struct(F.col("pos").alias("start"), "size")))).alias("hits"),
         F.collect_set(F.when(F.col("size") > 0, F.col("item_ids"))).alias("sets"),
@@ -87,7 +96,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = 13, share:
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (F.col("n_hit") >= F.lit(share) * F.col("n_words"))).alias("contaminated") if share != 0.05 else ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        ((F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
         "hits",
     )
 
