@@ -91,7 +91,8 @@ def remove_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     found = repeats.find_segments(keyed, rule)
     windows = repeats.settle_pending(keyed, found, rule, solve)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"), *carry)
+    held = [f"__c{i}" for i in range(len(carry))]
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"), *[F.col(c).alias(n) for c, n in zip(carry, held, strict=True)])
 
     def run(batches):
         import pyarrow as pa
@@ -107,7 +108,8 @@ def remove_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 n_gone.append(int(gone.sum()))
                 n_spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
                 names.append(hashlib.sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(n_bytes, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(names), *(batch.column(c) for c in carry)], ["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", *carry])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(n_bytes, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(names), *(batch.column(c) for c in held)], ["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", *held])
 
-    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return repeats.with_ranges(named, found, windows).select("doc_id", "text", "ranges", *carry).mapInArrow(run, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + kinds)
+    kinds = "".join(f", {n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(carry, held, strict=True))
+    cut = repeats.with_ranges(named, found, windows).select("doc_id", "text", "ranges", *held).mapInArrow(run, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + kinds)
+    return cut.withColumnsRenamed(dict(zip(held, carry, strict=True)))
