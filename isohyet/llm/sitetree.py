@@ -133,9 +133,9 @@ def parsed(pages: DataFrame) -> DataFrame:
         import xxhash
 
         digest = xxhash.xxh64_intdigest
-        kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("paths", pa.list_(pa.string())), ("texts", pa.list_(pa.string())), ("nodes", pa.list_(pa.struct([("path", pa.string()), ("content", pa.int64())])))])
+        kinds = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("page", pa.int64()), ("paths", pa.list_(pa.string())), ("texts", pa.list_(pa.string())), ("nodes", pa.list_(pa.struct([("path", pa.string()), ("content", pa.int64())])))])
         for batch in batches:
-            paths, texts, nodes = [], [], []
+            paths, texts, nodes, whole = [], [], [], []
             for page in batch.column("html").to_pylist():
                 own = [(path, text) for path, text, declared in blocks(page) if not declared]
                 paths.append([p for p, _ in own])
@@ -147,10 +147,11 @@ def parsed(pages: DataFrame) -> DataFrame:
                         found[path] = (found.get(path, 0) * 0x9E3779B97F4A7C15 + h) & 0x7FFFFFFFFFFFFFFF
                         path = path.rpartition("/")[0]
                 nodes.append([{"path": p, "content": c} for p, c in found.items()])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), *(pa.array(x, kinds.field(n).type) for x, n in ((paths, "paths"), (texts, "texts"), (nodes, "nodes")))], schema=kinds)
+                whole.append(digest("\n".join(t for _, t in own)) - 2**63)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), *(pa.array(x, kinds.field(n).type) for x, n in ((whole, "page"), (paths, "paths"), (texts, "texts"), (nodes, "nodes")))], schema=kinds)
 
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    schema = "page_id long, url string, host string, paths array<string>, texts array<string>, nodes array<struct<path: string, content: long>>"
+    schema = "page_id long, url string, host string, page long, paths array<string>, texts array<string>, nodes array<struct<path: string, content: long>>"
     return source.withColumn("host", host_of(F.col("url"))).mapInArrow(run, schema)
 
 
@@ -168,23 +169,24 @@ def style_tree(parses: DataFrame) -> DataFrame:
     return stats.where("pages > 1").select("host", "path", "pages", (entropy / F.log("pages")).alias("importance"))
 
 
-def extract(pages: DataFrame, *, threshold: float = 0.3, least_pages: int = 8, tree_limit: int = 200_000) -> DataFrame:
+def extract(pages: DataFrame, *, threshold: float = 0.3, article_threshold: float = 0.05, least_pages: int = 8, tree_limit: int = 200_000) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars.
 
     A branch goes if its markup declares it (see ``blocks``) or if its style node occurs on at least
-    ``least_pages`` pages of the host and has an importance below ``threshold``; a page whose blocks are
+    ``least_pages`` different pages of the host and has an importance below ``threshold`` (in an <article> or
+    <main> ``article_threshold``: the author's markup is evidence too); a page whose blocks are
     all of low importance, as in a host that serves one page under many addresses, keeps those that
     markup does not declare. Null html gives an empty text; null url is the host ''; repeated rows each
     get a row; other columns are not read. Unclosed elements end with their parents. The style nodes to
     remove are broadcast if there are ``tree_limit`` at most, else joined by host.
     """
     parses = common.materialise(parsed(pages), "parsed")
-    tree = common.materialise(style_tree(parses).where((F.col("pages") >= least_pages) & (F.col("importance") < threshold)).select("host", "path"), "styletree")
+    tree = common.materialise(style_tree(parses).where((F.col("pages") >= least_pages) & (F.col("importance") < F.when(F.col("path").rlike(r"/(article|main)\b"), article_threshold).otherwise(threshold))).select("host", "path"), "styletree")
     per_host = tree.groupBy("host").agg(F.collect_set("path").alias("noise")).select(F.col("host").alias("t_host"), "noise")
     if tree.count() <= tree_limit:
         per_host = F.broadcast(per_host)
     low = lambda path: F.exists("noise", lambda n: (path == n) | F.startswith(path, F.concat(n, F.lit("/"))))
     left = F.filter("texts", lambda text, k: ~low(F.element_at("paths", k + 1)))
     kept = F.when(F.col("noise").isNull() | (F.size(left) == 0), F.col("texts")).otherwise(left)
-    joined = parses.drop("nodes").join(per_host, F.col("host") == F.col("t_host"), "left")
+    joined = parses.drop("nodes", "page").join(per_host, F.col("host") == F.col("t_host"), "left")
     return joined.select("page_id", "url", F.array_join(kept, "\n\n").alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -184,7 +184,7 @@ class WarcReader(DataSourceReader):
         from pyarrow import fs
 
         store, root = _fs(self.path)
-        found = sorted((i.path, i.size) for i in store.get_file_info(fs.FileSelector(root, recursive=True)) if i.is_file and ".warc" in i.base_name and not i.base_name.startswith((".", "_")))
+        found = sorted((i.path, i.size) for i in store.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True)) if i.is_file and ".warc" in i.base_name and not i.base_name.startswith((".", "_")))
         parts, size = [Files([])], 0
         for path, n in found:
             if parts[-1].paths and size + n > self.together:
@@ -313,8 +313,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
     write_pages(pages, path)
 
     @F.udf("string", useArrow=False)
-    def base32(sha: bytes) -> str:
-        return base64.b32encode(bytes(sha)).decode()
+    def base32(sha: bytes | None) -> str | None:
+        return None if sha is None else base64.b32encode(bytes(sha)).decode()
 
     back = read_archives(spark, path)
     own = F.col("record_type") == "response"
