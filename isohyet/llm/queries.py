@@ -64,4 +64,52 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_html": op10_html,
 }
-ORACLE_SQL: dict[str, str] = {}
+_FOLDED = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_DIGEST_WORD, _SPACE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[^\x20\x09-\x0D]+"
+
+_OP2 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_FOLDED}, '{_DIGEST_WORD}') AS w FROM documents),
+b AS (SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, regexp_extract_all({_FOLDED}, '{_DIGEST_WORD}') AS w FROM benchmark) WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, UNNEST(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS win FROM b),
+bg AS (SELECT n, win, list(item_id) AS items FROM bw GROUP BY 1, 2),
+sizes AS (SELECT DISTINCT n FROM b),
+dw AS (SELECT doc_id, n, UNNEST(range(1, len(w) - n + 2)) AS i, UNNEST(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS win FROM d, sizes WHERE len(w) >= n),
+hit AS (SELECT doc_id, n, i, items FROM dw JOIN bg USING (n, win)),
+cover AS (SELECT doc_id, COUNT(DISTINCT p) AS n_hit FROM (SELECT doc_id, UNNEST(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+found AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, CAST(UNNEST(items) AS VARCHAR) AS item FROM hit) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items, sha256(COALESCE(names, '')) AS items_sha256,
+ COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+_OP4 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '{_SPACE_WORD}') AS w FROM documents),
+win AS (SELECT doc_id, UNNEST(range(1, len(w) - 18)) AS i, UNNEST(list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' '))) AS win FROM d WHERE len(w) >= 20),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS p FROM (SELECT doc_id, UNNEST(range(i, i + 20)) AS p FROM later) GROUP BY 1),
+word AS (SELECT doc_id, UNNEST(range(1, len(w) + 1)) AS p, UNNEST(w) AS word FROM d),
+cut AS (SELECT doc_id, UNNEST(p) AS p FROM gone),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM word ANTI JOIN cut USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(len(p), 0) AS BIGINT) AS n_removed, sha256(COALESCE(text, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+_OP5 = """
+WITH d AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS x FROM documents),
+win AS (SELECT doc_id, s, substring(x, 2 * s + 1, 100) AS win FROM (SELECT doc_id, x, UNNEST(range(0, len(x) // 2 - 49)) AS s FROM d WHERE len(x) >= 100)),
+gone AS (SELECT doc_id, s FROM (SELECT doc_id, s, MIN(doc_id) OVER (PARTITION BY win) AS first FROM win) WHERE doc_id > first),
+step AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS new FROM gone),
+runs AS (SELECT doc_id, MIN(s) AS a, MAX(s) + 50 AS b FROM (SELECT doc_id, s, SUM(new) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM step) GROUP BY doc_id, run),
+ends AS (SELECT doc_id, a, b FROM runs UNION ALL SELECT doc_id, len(x) // 2, len(x) // 2 FROM d),
+gaps AS (SELECT doc_id, COALESCE(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS lo, a AS hi FROM ends),
+kept AS (SELECT doc_id, string_agg(substring(x, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY lo, hi) AS x FROM gaps JOIN d USING (doc_id) GROUP BY 1),
+n AS (SELECT doc_id, SUM(b - a) AS n_removed, COUNT(*) AS n_spans FROM runs GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.x) // 2 AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, COALESCE(n_spans, 0) AS n_spans, sha256(unhex(kept.x)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+_OP6 = """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS html, MAX(page_id) OVER (PARTITION BY COALESCE(html, '')) AS top FROM pages),
+g AS (SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || substring(sha1(html), CAST(5 * i + 1 AS INTEGER), 5) AS INTEGER)) AS parts FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+ array_to_string(list_transform(parts, lambda v: array_to_string(list_transform([15, 10, 5, 0], lambda b: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> b) & 31 AS INTEGER) + 1, 1)), '')), '') AS payload_digest,
+ CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM g"""
+
+#: The other queries hash with XXH64, tokenize, fit models or parse HTML, which SQL can't; tests compare them with plain versions.
+ORACLE_SQL = {"op2_decontamination": _OP2, "op4_phrases": _OP4, "op5_suffixes": _OP5, "op6_warc": _OP6}
