@@ -210,9 +210,11 @@ def settle_pending(docs: DataFrame, found: DataFrame, rule: Rule, solve, hot: in
     """
     pending = found.where("pending")
     often = pending.groupBy("h").count().where(F.col("count") > hot).select(F.col("h").alias("hot_h"))
+    size = found.agg(F.count_if("pending")).first()[0]
+    if size // max(hot, 1) <= 1_000_000:  # no more grams than that can be hot
+        often = F.broadcast(often)
     marked = pending.join(often, F.col("h") == F.col("hot_h"), "left")
     places = marked.groupBy("d", "t").agg(F.collect_list(F.struct("s", "e", "h", F.col("hot_h").isNotNull().alias("hot"))).alias("places"))
-    size = found.agg(F.count_if("pending")).first()[0]
     buckets = max(32, size // 30_000)
     texts = docs.join(places, ["d", "t"]).select("d", "t", "text", "places")
 
