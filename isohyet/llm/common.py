@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 NULL_ID = -(2**63)
 _CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_dir: list[str] = []
+_made: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -55,14 +56,25 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._isohyet_path = path
+    _made.add(path)
     return out
 
 
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _made.discard(name)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by ``materialise`` that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._isohyet_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df._isohyet_path)
+
+
+def discard_all(spark: SparkSession) -> None:
+    """Delete every table that ``materialise`` made here: for when all results that read them are written."""
+    for name in list(_made):
+        _delete(spark, name)
 
 
 def id_key(column: str) -> Column:

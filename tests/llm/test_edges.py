@@ -5,7 +5,7 @@ import random
 import pytest
 from brute import components, contamination, phrases, substrings
 
-from isohyet.llm import backoff, decontamination, packing, phrases as phrase_op, quality, repeats, simhash, sitetree, sketches, suffixes, warc
+from isohyet.llm import backoff, common, decontamination, packing, phrases as phrase_op, quality, repeats, simhash, sitetree, sketches, suffixes, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, d string, t string, h string, s string, e string, key string, w string, fp string, row string, bucket string, hash string, text_key string, ranges string, size string, pos string, noise string"
 WORDS = [f"w{i}" for i in range(300)]
@@ -51,6 +51,27 @@ def items(spark):
     return spark.createDataFrame([(i, t, "x", "x") for i, t in bench], "item_id long, text string, hash string, size string")
 
 
+def test_written_tables_can_be_discarded(spark):
+    import os
+
+    kept = set(common._made)
+    df = common.materialise(spark.range(3).toDF("x"), "test")
+    path = df._isohyet_path.removeprefix("file://")
+    assert os.path.isdir(path) and df.count() == 3
+    common._made.clear()
+    common._made.add(df._isohyet_path)
+    common.discard_all(spark)
+    assert not os.path.isdir(path)
+    common._made.update(kept)
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5), (200, 201)]
+    got = {r.node: r.root for r in common.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in [7, *range(200, 260)]}}
+    assert common.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def by_id(rows, *names):
     return {r["doc_id"]: tuple(r[n] for n in names) for r in rows if r["doc_id"] is not None}
 
