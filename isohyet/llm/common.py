@@ -11,6 +11,8 @@ import contextlib
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +25,20 @@ _own_dir: list[str] = []
 _made: set[str] = set()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for a Spark context, so that tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_isohyet_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="spark-")).resolve() / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._isohyet_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one of our own only where none is set (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

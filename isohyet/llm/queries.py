@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isohyet.llm import backoff, decontamination, packing, phrases, quality, simhash, sitetree, sketches, suffixes, warc
+from isohyet.llm import backoff, common, decontamination, packing, phrases, quality, simhash, sitetree, sketches, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    common.ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
