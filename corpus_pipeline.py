@@ -15,27 +15,32 @@ from isohyet.llm import common, decontamination, packing, quality, simhash, suff
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity under trusted text, or whose likeness to flagged text, is out of range go."""
+    common.ship(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
+    common.ship(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes that a document with a smaller id has too are cut out; every document stays."""
+    common.ship(spark)
     cut = suffixes.remove_substrings(docs, carry=("lang", "source"))
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark windows on a twentieth of their words or more go."""
+    common.ship(spark)
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of power-of-two lengths, 1024 at most."""
+    common.ship(spark)
     return packing.pack_documents(docs, with_ids=True)
 
 
