@@ -94,10 +94,9 @@ class Run:
             fields = daily.local_day_fields(raw.select("cell", "ts", F.col("t2m").alias("t"), F.col("d2m").alias("td"), "tp", F.col("u10").alias("u"), F.col("v10").alias("v"), F.col("ssrd").alias("rs"), F.col("sp").alias("p")))
             et0 = physics.penman_monteith(F.col("tmax"), F.col("tmin"), F.col("tdew"), F.col("p_kpa"), F.col("u10"), F.col("rs_mj"), F.col("lat"), F.dayofyear("day"))
             return daily.area_mean(fields.join(cells, "cell").withColumn("pet", et0), ["pet"]).withColumn("cell", F.lit(0))
-        middle = self.cells.where("in_region").agg(((F.max("lat") + F.min("lat")) / 2).alias("mid_lat"))  # one row
-        days = self.area.join(F.broadcast(middle), F.lit(True), "left")
-        pet = physics.hargreaves(F.col("t2m_mean"), F.col("t2m_max"), F.col("t2m_min"), F.col("mid_lat"), F.dayofyear("day"))
-        return days.select("cell", "day", pet.alias("pet"))
+        middle = self.cells.where("in_region").agg((F.max("lat") + F.min("lat")) / 2).scalar()
+        pet = physics.hargreaves(F.col("t2m_mean"), F.col("t2m_max"), F.col("t2m_min"), middle, F.dayofyear("day"))
+        return self.area.select("cell", "day", pet.alias("pet"))
 
     def monthly(self, *columns: str) -> DataFrame:
         both = self.area
