@@ -39,6 +39,16 @@ def ship(spark: SparkSession) -> None:
     context._isohyet_shipped = True
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer files than there are cores, dealt out evenly; any other scan as it is.
+
+    A file that was written as one row group can't be split, and most operators do their work where the
+    text is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one of our own only where none is set (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

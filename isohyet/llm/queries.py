@@ -9,7 +9,8 @@ from isohyet.llm import backoff, common, decontamination, packing, phrases, qual
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     common.ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return common.spread(df) if name in ("documents", "pages") else df
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
