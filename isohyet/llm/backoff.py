@@ -1,11 +1,11 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Every word type of the training texts is counted. N-grams with at least a share ``eps`` of all tokens
-become states, so by counting there are at most 1 / eps of each order whatever the input, and they fit a
-broadcast. A state has arcs to longer n-grams and one failure arc, with the backoff weight, to its longest
-proper suffix. Scoring is one left-to-right pass: the state after a token depends on the last two tokens
-only, so the pass is taken over arrays of tokens. The unigram weight of a word that is no state (a
-share below eps) comes from the full count table by a join on the word.
+Every word, bigram and trigram of the training texts is counted and is a state, whatever its count. A state
+has arcs to longer n-grams and one failure arc, with the backoff weight, to its longest proper suffix. States
+and weights are written tables, dealt by the hash of their n-gram; a text takes its arcs by joins on them.
+Trigrams are counted and joined in slices of their context's hash, so that only one slice is on disk at once.
+The unigram weights of words with at least a share ``eps`` of all tokens are broadcast (at most 1 / eps of
+them); those of all other words come from the count table by the same kind of join.
 """
 
 from __future__ import annotations
@@ -115,37 +115,177 @@ class Automaton:
         return three, one, known
 
 
-def _counted(source: DataFrame, keys) -> DataFrame:
-    """(key, n) over all texts: counts of ``keys(tokens)``, merged in each task before they are shuffled."""
+def _token_runs(batches, size: int = 400_000):
+    """(batch, first row, end row, tokens, bounds) with about ``size`` tokens of the column 'tokens' in each."""
+    for batch in batches:
+        column = batch.column("tokens")
+        bounds, values = column.offsets.to_numpy().astype(np.int64), column.values.to_numpy().view(np.uint64)
+        first = 0
+        while first < batch.num_rows:
+            end = min(max(int(np.searchsorted(bounds, bounds[first] + size, "right")) - 1, first + 1), batch.num_rows)
+            yield batch, first, end, values[bounds[first] : bounds[end]], bounds[first : end + 1] - bounds[first]
+            first = end
+
+
+def bigram_name(a: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A 64-bit name of the words (a, w); ``_bigram_name`` is the same in Spark."""
+    return ((a << np.uint64(23)) | (a >> np.uint64(41))) ^ w
+
+
+def _bigram_name(a: str, w: str):
+    return F.shiftleft(a, 23).bitwiseOR(F.shiftrightunsigned(a, 41)).bitwiseXOR(F.col(w))
+
+
+def _place(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Place of each token in its text."""
+    return np.arange(len(tokens)) - np.repeat(bounds[:-1], np.diff(bounds))
+
+
+def _words(tokens: np.ndarray, bounds: np.ndarray):
+    return tokens, [tokens]
+
+
+def _bigrams(tokens: np.ndarray, bounds: np.ndarray):
+    at = np.flatnonzero(_place(tokens, bounds) > 0)
+    return bigram_name(tokens[at - 1], tokens[at]), [tokens[at - 1], tokens[at]]
+
+
+def _trigrams(tokens: np.ndarray, bounds: np.ndarray, part: int, slices: int):
+    """A trigram is told by the names of its two bigrams."""
+    at = np.flatnonzero(_place(tokens, bounds) > 1)
+    names = bigram_name(tokens[:-1], tokens[1:])
+    at = at[(names[at - 2] & np.uint64(slices - 1)) == part]
+    return bigram_name(common.mix(names[at - 2]), names[at - 1]), [names[at - 2], names[at - 1]]
+
+
+def _merged(parts) -> tuple[np.ndarray, ...]:
+    """(name, n, columns...) of several such parts, each name once."""
+    name, n, *columns = (np.concatenate(x) for x in zip(*parts, strict=True))
+    name, first, back = np.unique(name, return_index=True, return_inverse=True)
+    return name, np.bincount(back, n, len(name)).astype(np.int64), *(c[first] for c in columns)
+
+
+def _counted(source: DataFrame, ngrams, names: list[str]) -> DataFrame:
+    """(names..., n) over all texts: counts of ``ngrams(tokens, bounds)``, merged in each task before they are shuffled."""
 
     def run(batches):
         import pyarrow as pa
 
-        def emit(parts):
-            k, n = _merged(parts)
-            return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], ["key", "n"])
+        def emit(part):
+            return pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int64)) for c in part[2:]), pa.array(part[1])], [*names, "n"])
 
         parts, held = [], 0
-        for batch, lo, hi in common.chunks(batches):
-            k, n = np.unique(keys(token_hashes(common.text_bytes(batch, lo, hi))[0]), return_counts=True)
-            parts.append((k.view(np.int64), n.astype(np.int64)))
-            held += len(k)
+        for _, _, _, tokens, bounds in _token_runs(batches):
+            name, columns = ngrams(tokens, bounds)
+            parts.append(_merged([(name, np.ones(len(name), np.int64), *columns)]))
+            held += len(parts[-1][0])
             if held > 2_000_000:
                 parts = [_merged(parts)]
                 held = len(parts[0][0])
                 if held > 1_200_000:
-                    yield emit(parts)
+                    yield emit(parts[0])
                     parts, held = [], 0
         if parts:
-            yield emit(parts)
+            yield emit(_merged(parts))
 
-    return source.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    found = source.select("tokens").mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", n long")
+    return found.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
-def _merged(parts) -> tuple[np.ndarray, np.ndarray]:
-    k, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    k, back = np.unique(k, return_inverse=True)
-    return k, np.bincount(back, n, len(k)).astype(np.int64)
+def _hashed(source: DataFrame) -> DataFrame:
+    """``source`` with the tokens of each text in place of the text."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch, lo, hi in common.chunks(batches):
+            tokens, first = token_hashes(common.text_bytes(batch, lo, hi))
+            lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), lists], ["doc_id", "held_out", "tokens"])
+
+    return source.select("doc_id", "text", "held_out").mapInArrow(run, "doc_id long, held_out boolean, tokens array<long>")
+
+
+def _arcs(hashed: DataFrame, part: int, slices: int) -> DataFrame:
+    """(row, b, low, a, w) per token but a text's first: the bigrams that end before it and at it, in one slice of b.
+
+    The second token of a text has no b and is in slice 0. a and w are the bigram's words; they are null where
+    the whole trigram is in a training text, so that no failure arc is taken.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch, lo, hi, tokens, bounds in _token_runs(batches):
+            place = _place(tokens, bounds)
+            names = bigram_name(tokens[:-1], tokens[1:])  # of the tokens at k, k + 1
+            at = np.flatnonzero(place > 0)
+            second = place[at] == 1
+            own = np.where(second, part == 0, (names[np.maximum(at - 2, 0)] & np.uint64(slices - 1)) == part)
+            at, second = at[own], second[own]
+            doc = np.searchsorted(bounds, at, "right") - 1
+            rows = batch.column("row").slice(lo, hi - lo).to_numpy()[doc]
+            held = batch.column("held_out").slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(bool)[doc]
+            long = lambda x, null=None: pa.array(x.view(np.int64), mask=null)
+            sure = ~held & ~second
+            yield pa.RecordBatch.from_arrays([pa.array(rows), long(names[np.maximum(at - 2, 0)], second), long(names[at - 1]), long(tokens[at - 1], sure), long(tokens[at], sure)], ["row", "b", "low", "a", "w"])
+
+    return hashed.select("row", "held_out", "tokens").mapInArrow(run, "row long, b long, low long, a long, w long")
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionAll(t)
+    return out
+
+
+def _arc_scores(hashed: DataFrame, words: DataFrame, total: int, log_z: float, slice_tokens: int) -> DataFrame:
+    """(row, arcs): the log10 weights of all tokens of a text but the first, from trigram, bigram and word states; ``hashed`` is used up."""
+    train = hashed.where("not held_out")
+    weight1 = F.log10(F.col("n") + 0.5) - F.lit(log_z)
+    raw = common.materialise(_counted(train, _bigrams, ["a", "w"]), "bigrams")
+    types = raw.groupBy("a").agg(F.count("*").alias("types"))
+    ones = words.select(F.col("key").alias("a"), F.col("n").alias("n1"))
+    pairs = common.materialise(raw.join(ones, "a").select(_bigram_name("a", "w").alias("low"), ((F.col("n") - DISCOUNT) / F.col("n1")).alias("p2")), "bigram-weights")
+    lower = raw.select("a", "w").join(words.select(F.col("key").alias("w"), F.pow(F.lit(10.0), weight1).alias("p1")), "w").groupBy("a").agg(F.sum("p1").alias("p1"))
+    fail1 = common.materialise(types.join(ones, "a").join(lower, "a").select("a", (F.log10(DISCOUNT * F.col("types") / F.col("n1")) - F.log10(1 - F.col("p1"))).alias("bow1")), "word-backoff")
+    common.discard(raw)
+
+    slices = 1 << min(3, (total // slice_tokens).bit_length())
+    passed, needed = [], []
+    for part in range(slices):
+        found = common.materialise(_counted(train, lambda t, at, k=part: _trigrams(t, at, k, slices), ["b", "low"]), "trigrams")
+        contexts = found.groupBy("b").agg(F.sum("n").alias("n2"), F.count("*").alias("types"))
+        weights = found.join(contexts, "b").select("b", "low", F.log10((F.col("n") - DISCOUNT) / F.col("n2")).alias("w3"))
+        miss = [F.when(F.col("w3").isNull(), F.col(c)).alias(c) for c in ("b", "low", "a", "w")]
+        taken = _arcs(hashed, part, slices).join(weights, ["b", "low"], "left").select("row", *miss, "w3")
+        passed.append(common.materialise(taken.groupBy("row", "b", "low", "a", "w").agg(F.sum("w3").alias("w3"), F.count("*").alias("times")), "arcs"))
+        missed = passed[-1].where("b is not null").select("b").distinct()
+        rest = contexts.join(missed, "b", "left_semi").select("b", F.log10(DISCOUNT * F.col("types") / F.col("n2")).alias("rest"))
+        needed.append(common.materialise(found.select("b", "low").join(rest, "b"), "contexts"))
+        common.discard(found)
+    common.discard(hashed)
+
+    fail2 = common.materialise(_union(needed).join(pairs, "low").groupBy("b").agg((F.first("rest") - F.log10(1 - F.sum("p2"))).alias("bow2")), "bigram-backoff")
+    for table in needed:
+        common.discard(table)
+    arcs = _union(passed)
+    three = common.materialise(arcs.where("low is null").groupBy("row").agg(F.sum("w3").alias("arcs")), "trigram-arcs")
+    open_ends = arcs.where("low is not null")
+    above = open_ends.where("b is not null").join(fail2, "b", "left").select("row", "low", "a", "w", "times", F.coalesce("bow2", F.lit(0.0)).alias("bow2"))
+    above = above.unionAll(open_ends.where("b is null").select("row", "low", "a", "w", "times", F.lit(0.0)))
+    two = common.materialise(above.join(pairs, "low", "left").drop("low"), "bigram-arcs")
+    for table in (*passed, fail2, pairs):
+        common.discard(table)
+    hit = two.where("p2 is not null").select("row", (F.col("times") * (F.col("bow2") + F.log10("p2"))).alias("arcs"))
+    below = two.where("p2 is null").join(fail1, "a", "left").join(words.select(F.col("key").alias("w"), "n"), "w", "left")
+    one = F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(log_z)
+    low = below.select("row", (F.col("times") * (F.col("bow2") + F.coalesce("bow1", F.lit(0.0)) + one)).alias("arcs"))
+    out = common.materialise(three.unionAll(hit).unionAll(low).groupBy("row").agg(F.sum("arcs").alias("arcs")), "text-arcs")
+    for table in (three, two, fail1):
+        common.discard(table)
+    return out
 
 
 def _frequent(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -154,36 +294,31 @@ def _frequent(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
     return top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
 
 
-def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, eps: float = 2e-6) -> DataFrame:
+def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, eps: float = 2e-6, slice_tokens: int = 4_000_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Counts come from the rows outside the held-out fold. Null texts are empty (one end token); a null id
     counts as the text '' for the fold and stays null; repeated rows are counted and scored each. Words are
-    told apart by 64-bit hashes. Empty in, empty out.
+    told apart by 64-bit hashes. ``eps`` and ``slice_tokens`` (tokens of a slice, of at most eight) change the
+    work, never the result. Empty in, empty out.
     """
     spark = docs.sparkSession
     held = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == held_fold
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_of(text_col).alias("text"), held.alias("held_out"))
-    train = source.where("not held_out")
-    counts = common.materialise(_counted(train, lambda tokens: tokens), "words")
+    hashed = common.fresh_ids(_hashed(source), "row", "tokens")
+    counts = common.materialise(_counted(hashed.where("not held_out"), _words, ["key"]), "words")
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     model = Automaton(*_frequent(counts, eps * total), total, types)
-    for keys, add in (("pair_keys", "add_pairs"), ("triple_keys", "add_triples")):
-        shared = spark.sparkContext.broadcast(model)
-        name = keys
-        found = _frequent(_counted(train, lambda tokens, s=shared, k=name: getattr(s.value, k)(tokens)), eps * total)
-        if len(found[0]):
-            getattr(model, add)(*found)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa
 
         tail_type = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
-        for batch, lo, hi in common.chunks(batches):
-            tokens, first = token_hashes(common.text_bytes(batch, lo, hi))
-            weight, one, known = shared.value.traverse(tokens)
+        for batch, lo, hi, tokens, first in _token_runs(batches):
+            _, one, known = shared.value.traverse(tokens)
             doc = np.repeat(np.arange(hi - lo), np.diff(first))
+            start = np.flatnonzero(known & (_place(tokens, first) == 0))
             rest = np.flatnonzero(~known)
             rest = rest[np.lexsort((tokens[rest], doc[rest]))]
             d, h = doc[rest], tokens[rest]
@@ -192,17 +327,19 @@ def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             offsets = np.searchsorted(d[new], np.arange(hi - lo + 1)).astype(np.int32)
             tail = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(h[new].view(np.int64)), pa.array(times)], ["key", "n"]))
             own = lambda x: pa.array(np.bincount(doc, x, hi - lo))
-            columns = [batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)), pa.array(np.bincount(doc, known, hi - lo).astype(np.int64)), own(one), own(weight), tail.cast(tail_type)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_score", "tail"])
-
-    schema = "doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, head_score double, tail array<struct<key: long, n: long>>"
-    passed = common.fresh_ids(source.select("doc_id", "text", "held_out").mapInArrow(run, schema), "row", "passed")
-    rare = passed.select("row", F.explode("tail").alias("w")).select("row", "w.key", F.col("w.n").alias("times"))
-    joined = rare.join(counts, "key", "left")
-    extra = joined.groupBy("row").agg(
+            columns = [batch.column("row").slice(lo, hi - lo), batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)), pa.array(np.bincount(doc, known, hi - lo).astype(np.int64)), own(one), pa.array(np.bincount(doc[start], one[start], hi - lo).astype(np.float64)), pa.array(np.where(known[first[:-1]], 0, tokens[first[:-1]].view(np.int64)), mask=known[first[:-1]]), tail.cast(tail_type)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "first_score", "first", "tail"])
+
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, first_score double, first long, tail array<struct<key: long, n: long>>"
+    passed = common.materialise(hashed.mapInArrow(run, schema), "passed")
+    arcs = _arc_scores(hashed, counts, total, model.log_z, slice_tokens)
+    rare = passed.select("row", "first", F.explode("tail").alias("w")).select("row", "first", "w.key", F.col("w.n").alias("times"))
+    weight = F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(model.log_z)
+    extra = rare.join(counts, "key", "left").groupBy("row").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"),
-        F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(model.log_z))).alias("tail_score"),
+        F.sum(F.col("times") * weight).alias("tail_base"),
+        F.sum(F.when(F.col("key") == F.col("first"), weight).otherwise(0.0)).alias("tail_first"),
     )
-    both = passed.drop("tail").join(extra, "row", "left")
-    plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
-    return both.select("doc_id", "held_out", "n_tokens", plus("head_known", "tail_known").cast("long").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), plus("head_base", "tail_score").alias("base_score"), plus("head_score", "tail_score").alias("score"))
+    both = passed.drop("tail").join(extra, "row", "left").join(arcs, "row", "left")
+    plus = lambda a, *b: sum((F.coalesce(c, F.lit(0)) for c in b), F.col(a))
+    return both.select("doc_id", "held_out", "n_tokens", plus("head_known", "tail_known").cast("long").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), plus("head_base", "tail_base").alias("base_score"), plus("first_score", "tail_first", "arcs").alias("score"))

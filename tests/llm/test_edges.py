@@ -303,3 +303,28 @@ def test_extraction(spark):
     assert got[21].text == "" and got[22].text == "" and got[23].text == "plain text" and got[24].n_chars == 5 * 200_000 - 1
     assert got[None].text == "n" and got[25].text == "open"
     assert sitetree.extract(df.limit(0)).count() == 0
+
+
+def test_backoff_keeps_every_ngram(spark):
+    """All n-grams of the training texts are states, also those below the share of the broadcast words."""
+    import zlib
+
+    import numpy as np
+
+    texts = [(i, prose(i % 40, 30 + i % 9) + (" rare%d" % (i // 3)) * (i % 2) + " " + prose(1000 + i, 12)) for i in range(150)] + [(200, None), (201, "w1"), (202, "never seen"), (203, "w1 never"), (204, "w1 w1 w1 w1")]
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in texts}
+    hashed = {i: backoff.token_hashes([(t or "").encode()])[0] for i, t in texts}
+    tokens = np.concatenate([hashed[i] for i, _ in texts if not held[i]])
+    words, counts = np.unique(tokens.view(np.int64), return_counts=True)
+    model = backoff.Automaton(words, counts, len(tokens), len(words))
+    for keys, add in ((model.pair_keys, model.add_pairs), (model.triple_keys, model.add_triples)):
+        add(*np.unique(keys(tokens), return_counts=True))
+    want = {}
+    for i, t in hashed.items():
+        weight, _, known = model.traverse(t)
+        want[i] = weight.sum() + (~known).sum() * (np.log10(0.5) - model.log_z)
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    assert any(held[i] for i, _ in texts)
+    for eps, size in ((2e-6, 4_000_000), (0.01, 2_000), (0.5, 500)):
+        got = {r.doc_id: r.score for r in backoff.score_corpus(df, eps=eps, slice_tokens=size).collect()}
+        assert got == {i: pytest.approx(x, rel=1e-9) for i, x in want.items()}
