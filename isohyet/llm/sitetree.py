@@ -125,8 +125,8 @@ def host_of(url):
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, host, paths and texts of the blocks that markup doesn't rule out, and
-    nodes: each of their style nodes once, with a hash of all its content on the page."""
+    """One row per page: page_id, url, host, page (a hash of all that follows), paths and texts of the blocks that
+    markup doesn't rule out, and nodes: each of their style nodes once, with a hash of all its content on the page."""
 
     def run(batches):
         import pyarrow as pa
@@ -147,7 +147,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                         found[path] = (found.get(path, 0) * 0x9E3779B97F4A7C15 + h) & 0x7FFFFFFFFFFFFFFF
                         path = path.rpartition("/")[0]
                 nodes.append([{"path": p, "content": c} for p, c in found.items()])
-                whole.append(digest("\n".join(t for _, t in own)) - 2**63)
+                whole.append(digest("\n".join(x for block in own for x in block)) - 2**63)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), *(pa.array(x, kinds.field(n).type) for x, n in ((whole, "page"), (paths, "paths"), (texts, "texts"), (nodes, "nodes")))], schema=kinds)
 
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
@@ -159,10 +159,12 @@ def style_tree(parses: DataFrame) -> DataFrame:
     """(host, path, pages, importance) of every style node that occurs on at least two pages of a host.
 
     importance is 0 for a node with the same content on all its pages and 1 if no two agree: the entropy of
-    its contents over the log of their number. Counts of equal contents are combined before each shuffle,
-    and a host with a third of all pages is spread over its different contents.
+    its contents over the log of their number. Equal pages of a host count once; they and counts of equal
+    contents are combined before each shuffle, and a host with a third of all pages is spread over its
+    different contents.
     """
-    each = parses.select("host", F.explode("nodes").alias("node")).select("host", "node.*")
+    different = parses.groupBy("host", "page").agg(F.first("nodes").alias("nodes"))
+    each = different.select("host", F.explode("nodes").alias("node")).select("host", "node.*")
     seen = each.groupBy("host", "path", "content").agg(F.count("*").alias("n"))
     stats = seen.groupBy("host", "path").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
     entropy = F.log("pages") - F.col("nlogn") / F.col("pages")

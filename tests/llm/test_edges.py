@@ -328,3 +328,15 @@ def test_backoff_keeps_every_ngram(spark):
     for eps, size in ((2e-6, 4_000_000), (0.01, 2_000), (0.5, 500)):
         got = {r.doc_id: r.score for r in backoff.score_corpus(df, eps=eps, slice_tokens=size).collect()}
         assert got == {i: pytest.approx(x, rel=1e-9) for i, x in want.items()}
+
+
+def test_extraction_counts_equal_pages_once(spark):
+    """Many copies of one page do not make the other articles of the host look repeated."""
+    copy, page = '<div class="post"><p>copied</p></div>', '<h1>Heading {0}</h1><div class="post"><p>article {0}</p></div>'
+    pages = [(i, f"http://h.example/{i}", copy) for i in range(100)]
+    pages += [(100 + i, f"http://h.example/{100 + i}", page.format(i)) for i in range(10)]
+    inside = '<body><div class="x1">boiler plate</div>{}</body>'
+    pages += [(1000 + i, f"http://g.example/{i}", inside.format(html)) for i, _, html in pages]
+    got = {r.page_id: r.text for r in sitetree.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for start in (0, 1000):  # in g.example the copies must not hide the repeated block either
+        assert got[start + 103] == "Heading 3\n\narticle 3" and got[start + 5] == "copied"
