@@ -1,11 +1,16 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Every word, bigram and trigram of the training texts is counted and is a state, whatever its count. A state
-has arcs to longer n-grams and one failure arc, with the backoff weight, to its longest proper suffix. States
-and weights are written tables, dealt by the hash of their n-gram; a text takes its arcs by joins on them.
-Trigrams are counted and joined in slices of their context's hash, so that only one slice is on disk at once.
-The unigram weights of words with at least a share ``eps`` of all tokens are broadcast (at most 1 / eps of
-them); those of all other words come from the count table by the same kind of join.
+Every word, bigram and trigram of the training texts is counted and is a state, whatever its count. An arc
+from context h to word w has the weight (c(hw) + k * p(w | h')) / (c(h) + k), where h' is the longest proper
+suffix of h; a word that h has no arc for takes the failure arc to h', of weight k / (c(h) + k). The root's
+arcs are the smoothed word frequencies, so the weights of any state sum to one.
+
+Texts are dealt into written blocks. A block sends each of its distinct n-grams once, with its count in
+training texts, to the shard of the n-gram's hash; the shard adds up and answers with the totals in the
+order in which it was asked. A block then makes one pass over its texts from left to right, which carries
+the state (the context and its count) from token to token and adds up log weights. The states of a shard
+and the n-grams of a block are bounded; their numbers grow with the input. One n-gram that a third of all
+texts have is one entry for each block.
 """
 
 from __future__ import annotations
@@ -16,330 +21,171 @@ from pyspark.sql import functions as F
 
 from isohyet.llm import common
 
-END = np.uint64(0xE0D0E0D0E0D0E0D1)
-DISCOUNT = 0.75
-
-
-def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, first): the words of each text and one end token after them; first has one more entry."""
-    data, at = common.joined(texts)
-    data = common.fold_ascii(data)
-    start, end = common.word_spans(data)
-    words = np.searchsorted(start, at)
-    doc = np.repeat(np.arange(len(texts)), np.diff(words))
-    first = words + np.arange(len(texts) + 1)
-    out = np.full(len(start) + len(texts), END, np.uint64)
-    out[np.arange(len(start)) + doc] = common.slice_hashes(data, start, end)
-    return out, first
-
-
-def _find(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Place of each x in the sorted keys, -1 where it is not there."""
-    if not len(keys):
-        return np.full(len(x), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-    return np.where(keys[at] == x, at, -1)
-
-
-def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a.astype(np.int64) << 32) | b
-
-
-class Automaton:
-    """States in sorted arrays: words, then pairs of states (word, word) and (bigram, word)."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, types: int):
-        self.words, self.counts, self.total, self.types = words, counts, total, types
-        self.log_z = float(np.log10(total + 0.5 * (types + 1)))
-        self.weight1 = np.log10(counts + 0.5) - self.log_z
-        self.bow1 = np.zeros(len(words))
-        self.pairs = self.triples = np.zeros(0, np.int64)
-        self.weight2 = self.bow2 = self.weight3 = np.zeros(0)
-        self.end = int(_find(words, np.array([END.view(np.int64)]))[0])
-
-    def add_pairs(self, pairs: np.ndarray, counts: np.ndarray) -> None:
-        ctx, word = pairs >> 32, pairs & 0xFFFFFFFF
-        p = (counts - DISCOUNT) / self.counts[ctx]
-        mass, low = np.bincount(ctx, p, len(self.words)), np.bincount(ctx, 10 ** self.weight1[word], len(self.words))
-        self.bow1 = np.log10((1 - mass) / (1 - low))
-        self.pairs, self.pair_counts, self.weight2, self.bow2 = pairs, counts, np.log10(p), np.zeros(len(pairs))
-
-    def add_triples(self, triples: np.ndarray, counts: np.ndarray) -> None:
-        ctx, word = triples >> 32, triples & 0xFFFFFFFF
-        p = (counts - DISCOUNT) / self.pair_counts[ctx]
-        lower = _find(self.pairs, _pair(self.pairs[ctx] & 0xFFFFFFFF, word))
-        mass, low = np.bincount(ctx, p, len(self.pairs)), np.bincount(ctx, 10 ** self.weight2[lower], len(self.pairs))
-        self.bow2 = np.log10((1 - mass) / (1 - low))
-        self.triples, self.weight3 = triples, np.log10(p)
-
-    def states(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: its word state and the bigram and trigram states that end there, -1 where there is none."""
-        u = _find(self.words, tokens.view(np.int64))
-        before = np.full(len(u), -1, np.int64)
-        before[1:] = np.where(u[:-1] == self.end, -1, u[:-1])  # a text starts in the root state
-        ok = (before >= 0) & (u >= 0)
-        b = np.full(len(u), -1, np.int64)
-        b[ok] = _find(self.pairs, _pair(before[ok], u[ok]))
-        t = np.full(len(u), -1, np.int64)
-        ok = np.flatnonzero((b[1:] >= 0) & (b[:-1] >= 0)) + 1
-        t[ok] = _find(self.triples, _pair(b[ok - 1], u[ok]))
-        return u, b, t
-
-    def pair_keys(self, tokens: np.ndarray) -> np.ndarray:
-        u = _find(self.words, tokens.view(np.int64))
-        ok = np.flatnonzero((u[:-1] >= 0) & (u[1:] >= 0) & (u[:-1] != self.end))
-        return _pair(u[ok], u[ok + 1])
-
-    def triple_keys(self, tokens: np.ndarray) -> np.ndarray:
-        u, b, _ = self.states(tokens)
-        ok = np.flatnonzero((b[1:] >= 0) & (b[:-1] >= 0)) + 1
-        return _pair(b[ok - 1], u[ok])
-
-    def traverse(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: its log10 weight without what an unseen word state adds, its unigram weight (0 for a word
-        that is no state), and whether it is one. From the state before, take the arc of the token or go
-        down failure arcs, adding their backoff weights, until one is found."""
-        u, b, t = self.states(tokens)
-        known = u >= 0
-        one = np.where(known, self.weight1[u], 0.0) if len(self.words) else np.zeros(len(u))
-        before = np.full(len(u), -1, np.int64)
-        before[1:] = np.where(u[:-1] == self.end, -1, u[:-1])
-        fail1 = np.where(before >= 0, self.bow1[before], 0.0) if len(self.words) else np.zeros(len(u))
-        two = np.where(b >= 0, self.weight2[b], fail1 + one) if len(self.pairs) else fail1 + one
-        if not len(self.pairs):
-            return two, one, known
-        above = np.full(len(u), -1, np.int64)
-        above[1:] = np.where(u[:-1] == self.end, -1, b[:-1])
-        fail2 = np.where(above >= 0, self.bow2[above], 0.0)
-        three = np.where(t >= 0, self.weight3[t], fail2 + two) if len(self.triples) else fail2 + two
-        return three, one, known
-
-
-def _token_runs(batches, size: int = 400_000):
-    """(batch, first row, end row, tokens, bounds) with about ``size`` tokens of the column 'tokens' in each."""
-    for batch in batches:
-        column = batch.column("tokens")
-        bounds, values = column.offsets.to_numpy().astype(np.int64), column.values.to_numpy().view(np.uint64)
-        first = 0
-        while first < batch.num_rows:
-            end = min(max(int(np.searchsorted(bounds, bounds[first] + size, "right")) - 1, first + 1), batch.num_rows)
-            yield batch, first, end, values[bounds[first] : bounds[end]], bounds[first : end + 1] - bounds[first]
-            first = end
-
-
-def bigram_name(a: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """A 64-bit name of the words (a, w); ``_bigram_name`` is the same in Spark."""
-    return ((a << np.uint64(23)) | (a >> np.uint64(41))) ^ w
-
-
-def _bigram_name(a: str, w: str):
-    return F.shiftleft(a, 23).bitwiseOR(F.shiftrightunsigned(a, 41)).bitwiseXOR(F.col(w))
-
-
-def _place(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Place of each token in its text."""
-    return np.arange(len(tokens)) - np.repeat(bounds[:-1], np.diff(bounds))
-
-
-def _words(tokens: np.ndarray, bounds: np.ndarray):
-    return tokens, [tokens]
-
-
-def _bigrams(tokens: np.ndarray, bounds: np.ndarray):
-    at = np.flatnonzero(_place(tokens, bounds) > 0)
-    return bigram_name(tokens[at - 1], tokens[at]), [tokens[at - 1], tokens[at]]
+#: Stands for the end of a text; words have XXH64 hashes.
+END = 0x5EED0E0D0E0D0E0D
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+BLOCK = "block long, doc_id array<long>, held_out array<boolean>, first array<int>, words array<long>, codes array<int>, n_tokens long"
 
 
-def _trigrams(tokens: np.ndarray, bounds: np.ndarray, part: int, slices: int):
-    """A trigram is told by the names of its two bigrams."""
-    at = np.flatnonzero(_place(tokens, bounds) > 1)
-    names = bigram_name(tokens[:-1], tokens[1:])
-    at = at[(names[at - 2] & np.uint64(slices - 1)) == part]
-    return bigram_name(common.mix(names[at - 2]), names[at - 1]), [names[at - 2], names[at - 1]]
+def block_of(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, words, codes) of an Arrow array of texts: where each text's tokens begin (one more entry), the
+    hash of each distinct token, and each token's place among these. The end token is the last word."""
+    codes, vocabulary, words = common.words_of(texts, fold=True)
+    n = np.diff(words)
+    first = words + np.arange(len(words))
+    out = np.full(first[-1], len(vocabulary), np.int32)
+    out[np.arange(len(codes)) + np.repeat(np.arange(len(n)), n)] = codes
+    return first, np.append(common.hash_words(vocabulary), np.uint64(END)), out
 
 
-def _merged(parts) -> tuple[np.ndarray, ...]:
-    """(name, n, columns...) of several such parts, each name once."""
-    name, n, *columns = (np.concatenate(x) for x in zip(*parts, strict=True))
-    name, first, back = np.unique(name, return_index=True, return_inverse=True)
-    return name, np.bincount(back, n, len(name)).astype(np.int64), *(c[first] for c in columns)
+def place_of(first: np.ndarray) -> np.ndarray:
+    """Place of each token in its text."""
+    return np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
 
 
-def _counted(source: DataFrame, ngrams, names: list[str]) -> DataFrame:
-    """(names..., n) over all texts: counts of ``ngrams(tokens, bounds)``, merged in each task before they are shuffled."""
+def ngrams(words: np.ndarray, codes: np.ndarray, place: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(names, at, which): 64-bit names of the block's distinct n-grams, the tokens that end one, and which it is."""
+    names, at, which = words, np.arange(len(codes)), codes.astype(np.int64)
+    for n in range(1, order):
+        before = np.full(len(codes), -1, np.int64)
+        before[at] = which
+        at = np.flatnonzero(place >= n)
+        pairs, which = np.unique(before[at - 1] * len(words) + codes[at], return_inverse=True)
+        left, right = np.divmod(pairs, len(words))
+        names = common.mix(names[left] * _ODD + np.uint64(n)) + words[right]
+    return common.mix(names), at, which
 
-    def run(batches):
-        import pyarrow as pa
 
-        def emit(part):
-            return pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int64)) for c in part[2:]), pa.array(part[1])], [*names, "n"])
+def dealt(names: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, shard): the n-grams of a block as they are sent, by shard."""
+    shard = (names % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
+    order = np.argsort(shard, kind="stable")
+    return order, shard[order]
 
-        parts, held = [], 0
-        for _, _, _, tokens, bounds in _token_runs(batches):
-            name, columns = ngrams(tokens, bounds)
-            parts.append(_merged([(name, np.ones(len(name), np.int64), *columns)]))
-            held += len(parts[-1][0])
-            if held > 2_000_000:
-                parts = [_merged(parts)]
-                held = len(parts[0][0])
-                if held > 1_200_000:
-                    yield emit(parts[0])
-                    parts, held = [], 0
-        if parts:
-            yield emit(_merged(parts))
 
-    found = source.select("tokens").mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", n long")
-    return found.groupBy(*names).agg(F.sum("n").alias("n"))
+def traverse(counts: list[np.ndarray], place: np.ndarray, total: int, types: int, strength: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """log10 weights (of the root alone, of the automaton) of each token; ``counts[n]`` are those of the
+    (n + 1)-grams that end at each token. The context of a token is the n-gram that ended at the one before."""
+    root = p = (counts[0] + 0.5) / (total + 0.5 * (types + 1))
+    for n, k in enumerate(strength, 1):
+        context = np.zeros(len(p))
+        context[1:] = counts[n - 1][:-1]
+        p = np.where(place >= n, (counts[n] + k * p) / (context + k), p)
+    return np.log10(root), np.log10(p)
 
 
-def _hashed(source: DataFrame) -> DataFrame:
-    """``source`` with the tokens of each text in place of the text."""
-
+def _blocks(source: DataFrame, block_bytes: int) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch, lo, hi in common.chunks(batches):
-            tokens, first = token_hashes(common.text_bytes(batch, lo, hi))
-            lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(tokens.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), lists], ["doc_id", "held_out", "tokens"])
-
-    return source.select("doc_id", "text", "held_out").mapInArrow(run, "doc_id long, held_out boolean, tokens array<long>")
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        for batch, lo, hi in common.chunks(batches, block_bytes):
+            own = batch.take(pa.array(np.arange(lo, hi)))  # a copy: lists of slices are not sent whole
+            first, words, codes = block_of(own.column("text"))
+            lists = [one(own.column("doc_id")), one(own.column("held_out")), one(pa.array(first.astype(np.int32))), one(pa.array(words.view(np.int64))), one(pa.array(codes))]
+            yield pa.RecordBatch.from_arrays([*lists, pa.array([len(codes)])], ["doc_id", "held_out", "first", "words", "codes", "n_tokens"])
 
+    schema = BLOCK.removeprefix("block long, ")
+    found = source.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
+    return common.materialise(found.select(*[c.split()[0] for c in BLOCK.split(", ")]), "blocks")
 
-def _arcs(hashed: DataFrame, part: int, slices: int) -> DataFrame:
-    """(row, b, low, a, w) per token but a text's first: the bigrams that end before it and at it, in one slice of b.
 
-    The second token of a text has no b and is in slice 0. a and w are the bigram's words; they are null where
-    the whole trigram is in a training text, so that no failure arc is taken.
-    """
+def _arrays(batch, row: int) -> dict[str, np.ndarray]:
+    """first, words, codes and place of one block, and which of its tokens are in training texts."""
+    out = {c: batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in ("first", "words", "codes", "held_out")}
+    out["words"] = out["words"].view(np.uint64)
+    out["place"] = place_of(out["first"].astype(np.int64))
+    out["train"] = np.repeat(~out["held_out"].astype(bool), np.diff(out["first"]))
+    return out
 
-    def run(batches):
-        import pyarrow as pa
 
-        for batch, lo, hi, tokens, bounds in _token_runs(batches):
-            place = _place(tokens, bounds)
-            names = bigram_name(tokens[:-1], tokens[1:])  # of the tokens at k, k + 1
-            at = np.flatnonzero(place > 0)
-            second = place[at] == 1
-            own = np.where(second, part == 0, (names[np.maximum(at - 2, 0)] & np.uint64(slices - 1)) == part)
-            at, second = at[own], second[own]
-            doc = np.searchsorted(bounds, at, "right") - 1
-            rows = batch.column("row").slice(lo, hi - lo).to_numpy()[doc]
-            held = batch.column("held_out").slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(bool)[doc]
-            long = lambda x, null=None: pa.array(x.view(np.int64), mask=null)
-            sure = ~held & ~second
-            yield pa.RecordBatch.from_arrays([pa.array(rows), long(names[np.maximum(at - 2, 0)], second), long(names[at - 1]), long(tokens[at - 1], sure), long(tokens[at], sure)], ["row", "b", "low", "a", "w"])
-
-    return hashed.select("row", "held_out", "tokens").mapInArrow(run, "row long, b long, low long, a long, w long")
-
-
-def _union(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionAll(t)
-    return out
+def _totals(blocks: DataFrame, order: int, shards: int) -> DataFrame:
+    """(block, shard, totals): of the n-grams that a block has in a shard, in the order of ``dealt``, the counts
+    in all training texts. Block -1 has, for each shard, the number of n-grams with a count and their sum."""
 
+    def ask(batches):
+        import pyarrow as pa
 
-def _arc_scores(hashed: DataFrame, words: DataFrame, total: int, log_z: float, slice_tokens: int) -> DataFrame:
-    """(row, arcs): the log10 weights of all tokens of a text but the first, from trigram, bigram and word states; ``hashed`` is used up."""
-    train = hashed.where("not held_out")
-    weight1 = F.log10(F.col("n") + 0.5) - F.lit(log_z)
-    raw = common.materialise(_counted(train, _bigrams, ["a", "w"]), "bigrams")
-    types = raw.groupBy("a").agg(F.count("*").alias("types"))
-    ones = words.select(F.col("key").alias("a"), F.col("n").alias("n1"))
-    pairs = common.materialise(raw.join(ones, "a").select(_bigram_name("a", "w").alias("low"), ((F.col("n") - DISCOUNT) / F.col("n1")).alias("p2")), "bigram-weights")
-    lower = raw.select("a", "w").join(words.select(F.col("key").alias("w"), F.pow(F.lit(10.0), weight1).alias("p1")), "w").groupBy("a").agg(F.sum("p1").alias("p1"))
-    fail1 = common.materialise(types.join(ones, "a").join(lower, "a").select("a", (F.log10(DISCOUNT * F.col("types") / F.col("n1")) - F.log10(1 - F.col("p1"))).alias("bow1")), "word-backoff")
-    common.discard(raw)
-
-    slices = 1 << min(3, (total // slice_tokens).bit_length())
-    passed, needed = [], []
-    for part in range(slices):
-        found = common.materialise(_counted(train, lambda t, at, k=part: _trigrams(t, at, k, slices), ["b", "low"]), "trigrams")
-        contexts = found.groupBy("b").agg(F.sum("n").alias("n2"), F.count("*").alias("types"))
-        weights = found.join(contexts, "b").select("b", "low", F.log10((F.col("n") - DISCOUNT) / F.col("n2")).alias("w3"))
-        miss = [F.when(F.col("w3").isNull(), F.col(c)).alias(c) for c in ("b", "low", "a", "w")]
-        taken = _arcs(hashed, part, slices).join(weights, ["b", "low"], "left").select("row", *miss, "w3")
-        passed.append(common.materialise(taken.groupBy("row", "b", "low", "a", "w").agg(F.sum("w3").alias("w3"), F.count("*").alias("times")), "arcs"))
-        missed = passed[-1].where("b is not null").select("b").distinct()
-        rest = contexts.join(missed, "b", "left_semi").select("b", F.log10(DISCOUNT * F.col("types") / F.col("n2")).alias("rest"))
-        needed.append(common.materialise(found.select("b", "low").join(rest, "b"), "contexts"))
-        common.discard(found)
-    common.discard(hashed)
-
-    fail2 = common.materialise(_union(needed).join(pairs, "low").groupBy("b").agg((F.first("rest") - F.log10(1 - F.sum("p2"))).alias("bow2")), "bigram-backoff")
-    for table in needed:
-        common.discard(table)
-    arcs = _union(passed)
-    three = common.materialise(arcs.where("low is null").groupBy("row").agg(F.sum("w3").alias("arcs")), "trigram-arcs")
-    open_ends = arcs.where("low is not null")
-    above = open_ends.where("b is not null").join(fail2, "b", "left").select("row", "low", "a", "w", "times", F.coalesce("bow2", F.lit(0.0)).alias("bow2"))
-    above = above.unionAll(open_ends.where("b is null").select("row", "low", "a", "w", "times", F.lit(0.0)))
-    two = common.materialise(above.join(pairs, "low", "left").drop("low"), "bigram-arcs")
-    for table in (*passed, fail2, pairs):
-        common.discard(table)
-    hit = two.where("p2 is not null").select("row", (F.col("times") * (F.col("bow2") + F.log10("p2"))).alias("arcs"))
-    below = two.where("p2 is null").join(fail1, "a", "left").join(words.select(F.col("key").alias("w"), "n"), "w", "left")
-    one = F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(log_z)
-    low = below.select("row", (F.col("times") * (F.col("bow2") + F.coalesce("bow1", F.lit(0.0)) + one)).alias("arcs"))
-    out = common.materialise(three.unionAll(hit).unionAll(low).groupBy("row").agg(F.sum("arcs").alias("arcs")), "text-arcs")
-    for table in (three, two, fail1):
-        common.discard(table)
-    return out
+        for batch in batches:
+            for row in range(batch.num_rows):
+                b = _arrays(batch, row)
+                names, at, which = ngrams(b["words"], b["codes"], b["place"], order)
+                counts = np.bincount(which, b["train"][at], len(names)).astype(np.int32)
+                by, shard = dealt(names, shards)
+                edge = np.flatnonzero(np.diff(shard, prepend=shard[0] + 1 if len(shard) else 0))
+                cut = pa.array(np.append(edge, len(by)), pa.int32())
+                lists = [pa.ListArray.from_arrays(cut, pa.array(names[by].view(np.int64))), pa.ListArray.from_arrays(cut, pa.array(counts[by]))]
+                block = pa.array(np.full(len(edge), batch.column("block")[row].as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(shard[edge].astype(np.int64)), block, *lists], ["shard", "block", "names", "counts"])
+
+    def answer(table):
+        import pyarrow as pa
 
+        table = table.combine_chunks()
+        names, counts = (table.column(c).combine_chunks() for c in ("names", "counts"))
+        sizes = np.array([0, *(len(x) for x in names)])
+        _, back = np.unique(names.flatten().to_numpy(), return_inverse=True)
+        total = np.bincount(back, counts.flatten().to_numpy()).astype(np.int64) if len(back) else np.zeros(0, np.int64)
+        stats = np.array([np.count_nonzero(total), total.sum()])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(np.cumsum(sizes), sizes.sum() + 2), pa.int32()), pa.array(np.append(total[back], stats)))
+        shard = pa.concat_arrays([table.column("shard").combine_chunks(), table.column("shard").combine_chunks()[:1]])
+        return pa.table([pa.concat_arrays([table.column("block").combine_chunks(), pa.array([-1], pa.int64())]), shard, lists], ["block", "shard", "totals"])
 
-def _frequent(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of at least ``least``: no more than the inverse of the share that it stands for."""
-    top = counts.where(F.col("n") >= least).toPandas().sort_values("key")
-    return top["key"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
+    asked = blocks.select("block", "held_out", "first", "words", "codes").mapInArrow(ask, "shard long, block long, names array<long>, counts array<int>")
+    found = asked.repartition(shards, "shard").groupBy("shard").applyInArrow(answer, "block long, shard long, totals array<long>")
+    return common.materialise(found, f"totals-{order}")
 
 
-def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, eps: float = 2e-6, slice_tokens: int = 4_000_000) -> DataFrame:
+def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, strength: tuple[float, ...] = (1000.0, 5.0), block_bytes: int = 7_000_000, shard_ngrams: int = 2_000_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Counts come from the rows outside the held-out fold. Null texts are empty (one end token); a null id
-    counts as the text '' for the fold and stays null; repeated rows are counted and scored each. Words are
-    told apart by 64-bit hashes. ``eps`` and ``slice_tokens`` (tokens of a slice, of at most eight) change the
-    work, never the result. Empty in, empty out.
+    Counts come from the rows outside the held-out fold. ``strength`` has k of contexts of one word, two words
+    and so on; its length is the order of the model less one. Null texts are empty (one end token); a null id
+    counts as the text '' for the fold and stays null; repeated rows are counted and scored each. N-grams are
+    told apart by 64-bit hashes. ``block_bytes`` and ``shard_ngrams`` change the work, never the result; a text
+    longer than a block is a block of its own. Empty in, empty out.
     """
-    spark = docs.sparkSession
     held = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(folds)) == held_fold
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_of(text_col).alias("text"), held.alias("held_out"))
-    hashed = common.fresh_ids(_hashed(source), "row", "tokens")
-    counts = common.materialise(_counted(hashed.where("not held_out"), _words, ["key"]), "words")
-    total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    model = Automaton(*_frequent(counts, eps * total), total, types)
-    shared = spark.sparkContext.broadcast(model)
-
-    def run(batches):
+    blocks = _blocks(source, block_bytes)
+    n_blocks, n_tokens = blocks.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    shards = max(64, n_tokens // shard_ngrams)
+    orders = range(1, len(strength) + 2)
+    tables = [_totals(blocks, order, shards) for order in orders]
+    types, total = tables[0].where("block = -1").agg(F.coalesce(F.sum(F.element_at("totals", 1)), F.lit(0)), F.coalesce(F.sum(F.element_at("totals", 2)), F.lit(0))).first()
+
+    answers = None
+    for order, table in zip(orders, tables, strict=True):
+        table = table.where("block >= 0").withColumn("n", F.lit(order))
+        answers = table if answers is None else answers.unionAll(table)
+
+    def score(block, answered):
         import pyarrow as pa
 
-        tail_type = pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64())]))
-        for batch, lo, hi, tokens, first in _token_runs(batches):
-            _, one, known = shared.value.traverse(tokens)
-            doc = np.repeat(np.arange(hi - lo), np.diff(first))
-            start = np.flatnonzero(known & (_place(tokens, first) == 0))
-            rest = np.flatnonzero(~known)
-            rest = rest[np.lexsort((tokens[rest], doc[rest]))]
-            d, h = doc[rest], tokens[rest]
-            new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1])])) if len(rest) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(rest)))
-            offsets = np.searchsorted(d[new], np.arange(hi - lo + 1)).astype(np.int32)
-            tail = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(h[new].view(np.int64)), pa.array(times)], ["key", "n"]))
-            own = lambda x: pa.array(np.bincount(doc, x, hi - lo))
-            columns = [batch.column("row").slice(lo, hi - lo), batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)), pa.array(np.bincount(doc, known, hi - lo).astype(np.int64)), own(one), pa.array(np.bincount(doc[start], one[start], hi - lo).astype(np.float64)), pa.array(np.where(known[first[:-1]], 0, tokens[first[:-1]].view(np.int64)), mask=known[first[:-1]]), tail.cast(tail_type)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "head_known", "head_base", "first_score", "first", "tail"])
-
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, first_score double, first long, tail array<struct<key: long, n: long>>"
-    passed = common.materialise(hashed.mapInArrow(run, schema), "passed")
-    arcs = _arc_scores(hashed, counts, total, model.log_z, slice_tokens)
-    rare = passed.select("row", "first", F.explode("tail").alias("w")).select("row", "first", "w.key", F.col("w.n").alias("times"))
-    weight = F.log10(F.coalesce("n", F.lit(0)) + 0.5) - F.lit(model.log_z)
-    extra = rare.join(counts, "key", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"),
-        F.sum(F.col("times") * weight).alias("tail_base"),
-        F.sum(F.when(F.col("key") == F.col("first"), weight).otherwise(0.0)).alias("tail_first"),
-    )
-    both = passed.drop("tail").join(extra, "row", "left").join(arcs, "row", "left")
-    plus = lambda a, *b: sum((F.coalesce(c, F.lit(0)) for c in b), F.col(a))
-    return both.select("doc_id", "held_out", "n_tokens", plus("head_known", "tail_known").cast("long").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"), plus("head_base", "tail_base").alias("base_score"), plus("first_score", "tail_first", "arcs").alias("score"))
+        b = _arrays(block, 0)
+        order, shard = answered.column("n").to_numpy(), answered.column("shard").to_numpy()
+        lists = answered.column("totals").combine_chunks()
+        counts = []
+        for n in orders:
+            names, at, which = ngrams(b["words"], b["codes"], b["place"], n)
+            by, _ = dealt(names, shards)
+            rows = np.flatnonzero(order == n)
+            rows = rows[np.argsort(shard[rows])]
+            total_of = np.zeros(len(names))
+            if len(rows):
+                total_of[by] = lists.take(pa.array(rows)).flatten().to_numpy()
+            own = np.zeros(len(b["codes"]))
+            own[at] = total_of[which]
+            counts.append(own)
+        base, weight = traverse(counts, b["place"], total, types, strength)
+        n_docs = len(b["first"]) - 1
+        doc = np.repeat(np.arange(n_docs), np.diff(b["first"]))
+        sums = lambda x: np.bincount(doc, x, n_docs)
+        ids, held = block.column("doc_id")[0].values, block.column("held_out")[0].values
+        columns = [ids, held, pa.array(np.diff(b["first"]).astype(np.int64)), pa.array(sums(counts[0] > 0).astype(np.int64)), pa.array(np.full(n_docs, total, np.int64)), pa.array(sums(base)), pa.array(sums(weight))]
+        return pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    parts = max(64, n_blocks)
+    asking = blocks.drop("n_tokens").repartition(parts, "block").groupBy("block")
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return asking.cogroup(answers.repartition(parts, "block").groupBy("block")).applyInArrow(score, schema)

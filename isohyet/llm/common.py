@@ -200,6 +200,31 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+def words_of(texts, fold: bool = False):
+    """(codes, vocabulary, first) of an Arrow array of texts: the words are runs of other than space and
+    0x09-0x0D, with A-Z lower-cased if ``fold``. codes is each word's place in the vocabulary of distinct
+    words (an Arrow array of bytes), first where each text's words begin (one more entry)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    texts = texts.cast(pa.large_string())
+    pieces = pc.ascii_split_whitespace(pc.ascii_lower(texts) if fold else texts)
+    flat = pieces.flatten()
+    real = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0  # white space at an end leaves an empty piece
+    ends = np.cumsum(pc.list_value_length(pieces).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = np.concatenate([[0], np.cumsum(real, dtype=np.int64)])[np.concatenate([[0], ends])]
+    coded = flat.filter(pa.array(real)).cast(pa.large_binary()).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary, first
+
+
+def hash_words(vocabulary, seed: int = 42) -> np.ndarray:
+    """XXH64 of each entry of an Arrow array of bytes."""
+    import xxhash
+
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(w, seed) for w in vocabulary.to_pylist()), np.uint64, len(vocabulary))
+
+
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 

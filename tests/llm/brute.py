@@ -104,3 +104,19 @@ def base_scores(docs):
     count = Counter(w for d in tokens if not held[d] for w in tokens[d])
     n, v = sum(count.values()), len(count)
     return {d: (held[d], len(w), sum(count[x] > 0 for x in w), n, sum(math.log10((count[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)) for d, w in tokens.items()}
+
+
+def scores(docs, strength=(1000.0, 5.0)):
+    """log10 probability of each text under the backoff model, token by token."""
+    held = {d: zlib.crc32(str(d).encode()) % 5 == 1 for d, _ in docs}
+    tokens = {d: (*SPACE.findall(fold(t)), None) for d, t in docs}
+    count = Counter(w[i : i + n] for d, w in tokens.items() if not held[d] for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    total, types = sum(c for g, c in count.items() if len(g) == 1), sum(len(g) == 1 for g in count)
+
+    def p(context, word):
+        if not context:
+            return (count[(word,)] + 0.5) / (total + 0.5 * (types + 1))
+        k = strength[len(context) - 1]
+        return (count[(*context, word)] + k * p(context[1:], word)) / (count[context] + k)
+
+    return {d: sum(math.log10(p(w[max(0, i - 2) : i], w[i])) for i in range(len(w))) for d, w in tokens.items()}

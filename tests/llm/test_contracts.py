@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from brute import base_scores, components, contamination, phrases, substrings
+from brute import base_scores, components, contamination, phrases, scores, substrings
 
 from isohyet.llm import queries
 
@@ -100,10 +100,10 @@ def test_op8_edits_and_likeness(spark, docs):
         assert r["near_next"] == pytest.approx(likeness(one, three))
 
 
-def test_op9_base_scores(spark, docs):
-    want = base_scores(docs)
+def test_op9_matches_brute_force(spark, docs):
+    want, model = base_scores(docs), scores(docs)
     for r in rows(spark, "op9_lm_scoring"):
         held, n, known, total, base = want[r["doc_id"]]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, n, known, total)
         assert r["base_score"] == pytest.approx(base, rel=1e-9)
-        assert r["score"] < 0
+        assert r["score"] == pytest.approx(model[r["doc_id"]], rel=1e-9)

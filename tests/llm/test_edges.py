@@ -16,6 +16,12 @@ def prose(seed, n):
     return " ".join(r.choice(WORDS) for _ in range(n))
 
 
+def _thue_morse(n, flip):
+    return "".join("ab"[(i.bit_count() + flip) % 2] for i in range(n))
+
+
+#: Two words that a polynomial hash modulo a power of two can't tell apart.
+PAIR = (_thue_morse(1024, 0), _thue_morse(1024, 1))
 SHARED = prose(99, 60)
 LONG = prose(7, 40_000)
 ROWS = [
@@ -236,26 +242,23 @@ def test_backoff(docs, none):
     assert backoff.score_corpus(none).count() == 0
 
 
-def test_backoff_weights_sum_to_one(spark):
+def test_backoff_weights_sum_to_one():
     """From each state the weights of all words, known and unseen, make a distribution."""
     import numpy as np
 
-    texts = [prose(i % 7, 40).encode() for i in range(60)]
-    tokens, _ = backoff.token_hashes(texts)
-    words, counts = np.unique(tokens.view(np.int64), return_counts=True)
-    model = backoff.Automaton(words, counts, len(tokens), len(words))
-    for keys, add in ((model.pair_keys, model.add_pairs), (model.triple_keys, model.add_triples)):
-        k, n = np.unique(keys(tokens), return_counts=True)
-        add(k[n >= 2], n[n >= 2])
-    assert len(model.triples) > 10
-    unseen = 0.5 / (len(tokens) + 0.5 * (len(words) + 1))
-    for context in (tokens[:0], tokens[5:6], tokens[5:7]):
+    from brute import SPACE
+    from collections import Counter
+
+    texts = [(*SPACE.findall(prose(i % 7, 40)), None) for i in range(60)]
+    count = Counter(w[i : i + n] for w in texts for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    words = [g[0] for g in count if len(g) == 1]
+    total = sum(count[(w,)] for w in words)
+    for context in ((), texts[0][:1], texts[0][:2], ("never", "seen"), (texts[0][0], "never")):
         mass = 0.0
-        for w in words:
-            line = np.concatenate([context, np.array([w]).view(np.uint64)])
-            mass += 10 ** model.traverse(line)[0][-1]
-        line = np.concatenate([context, np.array([1], np.uint64)])
-        mass += 10 ** model.traverse(line)[0][-1] * unseen
+        for w in [*words, "unseen"]:
+            line = (*context, w)
+            counts = [np.array([count[line[i - n : i + 1]] if i >= n else 0 for i in range(len(line))], float) for n in range(3)]
+            mass += 10 ** backoff.traverse(counts, np.arange(len(line)), total, len(words), (50.0, 5.0))[1][-1]
         assert mass == pytest.approx(1, abs=1e-9)
 
 
@@ -306,28 +309,16 @@ def test_extraction(spark):
 
 
 def test_backoff_keeps_every_ngram(spark):
-    """All n-grams of the training texts are states, also those below the share of the broadcast words."""
-    import zlib
-
-    import numpy as np
+    """All n-grams of the training texts are states, however the texts are dealt."""
+    from brute import base_scores, scores
 
-    texts = [(i, prose(i % 40, 30 + i % 9) + (" rare%d" % (i // 3)) * (i % 2) + " " + prose(1000 + i, 12)) for i in range(150)] + [(200, None), (201, "w1"), (202, "never seen"), (203, "w1 never"), (204, "w1 w1 w1 w1")]
-    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in texts}
-    hashed = {i: backoff.token_hashes([(t or "").encode()])[0] for i, t in texts}
-    tokens = np.concatenate([hashed[i] for i, _ in texts if not held[i]])
-    words, counts = np.unique(tokens.view(np.int64), return_counts=True)
-    model = backoff.Automaton(words, counts, len(tokens), len(words))
-    for keys, add in ((model.pair_keys, model.add_pairs), (model.triple_keys, model.add_triples)):
-        add(*np.unique(keys(tokens), return_counts=True))
-    want = {}
-    for i, t in hashed.items():
-        weight, _, known = model.traverse(t)
-        want[i] = weight.sum() + (~known).sum() * (np.log10(0.5) - model.log_z)
+    texts = [(i, prose(i % 40, 30 + i % 9) + (" rare%d" % (i // 3)) * (i % 2) + " " + prose(1000 + i, 12)) for i in range(150)] + [(200, None), (201, "w1"), (202, "never seen"), (203, "w1 never"), (204, "w1 w1 w1 w1"), (205, PAIR[0]), (206, PAIR[1])]
+    want, base = scores(texts), base_scores(texts)
     df = spark.createDataFrame(texts, "doc_id long, text string")
-    assert any(held[i] for i, _ in texts)
-    for eps, size in ((2e-6, 4_000_000), (0.01, 2_000), (0.5, 500)):
-        got = {r.doc_id: r.score for r in backoff.score_corpus(df, eps=eps, slice_tokens=size).collect()}
-        assert got == {i: pytest.approx(x, rel=1e-9) for i, x in want.items()}
+    for size, ngrams in ((7_000_000, 2_000_000), (3_000, 50)):
+        got = {r.doc_id: r for r in backoff.score_corpus(df, block_bytes=size, shard_ngrams=ngrams).collect()}
+        assert {i: r.score for i, r in got.items()} == {i: pytest.approx(x, rel=1e-9) for i, x in want.items()}
+        assert {i: r.base_score for i, r in got.items()} == {i: pytest.approx(x[4], rel=1e-9) for i, x in base.items()}
 
 
 def test_extraction_counts_equal_pages_once(spark):
