@@ -331,3 +331,84 @@ def test_extraction_counts_equal_pages_once(spark):
     got = {r.page_id: r.text for r in sitetree.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     for start in (0, 1000):  # in g.example the copies must not hide the repeated block either
         assert got[start + 103] == "Heading 3\n\narticle 3" and got[start + 5] == "copied"
+
+
+def test_markup_is_read_in_proportion_to_its_length():
+    import time
+
+    for page in ("<a " * 300_000, "if a <b and c " * 70_000, "<a '>' " * 100_000, "<div>" * 100_000 + "x", "<b>" * 20_000 + "<p></p>" * 20_000, "<b><article>" + "<i>" * 20_000 + "</b>" * 20_000):
+        began = time.perf_counter()
+        nodes, _ = sitetree.parse(page)
+        assert time.perf_counter() - began < 10 and len(nodes) <= 65
+    assert [t for _, t, _ in sitetree.parse("if a <b and c")[1]] == ["if a <b and c"]
+    assert [t for _, t, _ in sitetree.parse('<p title="a > b">x <b>y')[1]] == ["x y"]
+
+
+def test_only_whole_class_names_declare_a_branch():
+    for page in ('<div class="legal-guide"><p>text', '<div class="social-science review"><p>text', '<p class="form">text', '<div class="admin header-image"><p>text'):
+        assert [(t, declared) for _, t, declared in sitetree.parse(page)[1]] == [("text", False)]
+    for page in ('<div class="x ad"><p>text', '<ul id="comments"><li>text', "<nav><p>text", '<div role="navigation">text', '<div class="cookie_banner">text'):
+        assert [(t, declared) for _, t, declared in sitetree.parse(page)[1]] == [("text", True)]
+    assert [(t, d) for _, t, d in sitetree.parse("one <button>x</button> two<p>a<label><p>l</label> more")[1]] == [("one two", False), ("a", False), ("l more", False)]
+
+
+def _plain_extraction(pages, prior=2.0, threshold=0.3, article_threshold=0.05):
+    """Texts of (page_id, host, html) by a style tree in plain Python."""
+    import math
+    from collections import Counter, defaultdict
+
+    trees = defaultdict(dict)
+    parses = {i: (host, *sitetree.parse(html)) for i, host, html in pages}
+    for host, nodes, blocks in parses.values():
+        trees[host][repr((nodes, blocks))] = nodes
+    low = defaultdict(set)
+    for host, different in trees.items():
+        values = defaultdict(list)
+        for nodes in different.values():
+            for node, v in nodes.items():
+                values[node].append(v)
+        raw = {}
+        entropy = lambda x: 1.0 if len(x) < 2 else -sum(n / len(x) * math.log(n / len(x)) for n in Counter(x).values()) / math.log(len(x))
+        for node in sorted(values, key=lambda n: -values[n][0][1]):
+            v = values[node]
+            below = [raw[k] for k in values if values[k][0][0] == node]
+            if any(x[5] for x in v) or not below:
+                own = entropy([x[4] for x in v])
+                raw[node] = 1 - (1 - entropy([x[3] for x in v])) * (1 - max([own, *below])) if below else own
+            else:
+                raw[node] = 1 - (1 - entropy([x[3] for x in v])) * (1 - max(below))
+            if (len(v) * raw[node] + prior) / (len(v) + prior) < (article_threshold if v[0][2] else threshold):
+                low[host].add(node)
+    out = {}
+    for i, (host, _, blocks) in parses.items():
+        own = [(c, t) for c, t, declared in blocks if not declared]
+        out[i] = "\n\n".join([t for c, t in own if not low[host] & set(c)] or [t for _, t in own])
+    return out
+
+
+def test_style_tree_matches_a_plain_one(spark):
+    """Hosts of many sizes with repeated, half repeated and varied branches, also inside articles."""
+    r = random.Random(5)
+    pages = []
+    for h in range(12):
+        for i in range(h * h // 2 + 1):
+            parts = ['<div class="x1"><p>always the same</p><p>and this</p></div>', f'<div class="x2"><p>seldom other {r.random() < 0.1}</p></div>', f"<div id=\"body\"><h1>{prose(i, 4)}</h1>" + "".join(f"<p>{prose(r.randrange(90), 9)}</p>" for _ in range(r.randrange(1, 5))) + '<div class="x3"><p>kept up</p></div></div>', f"<article><p>{prose(i % 3, 5)}</p><section class='s'>in every article</section></article>"]
+            pages.append((h * 1000 + i, f"http://h{h}.example/", "<html><body>" + "".join(parts) + "</body></html>"))
+    pages += [(50_000 + i, "http://h11.example/", pages[-1][2]) for i in range(30)]
+    got = {p.page_id: p.text for p in sitetree.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    want = _plain_extraction([(i, url, html) for i, url, html in pages])
+    assert got == want
+    assert "always the same" not in got[11_003] and "always the same" in got[0] and "kept up" not in got[11_003]
+    joined = {p.page_id: p.text for p in sitetree.extract(spark.createDataFrame(pages, "page_id long, url string, html string"), tree_limit=0).collect()}
+    assert joined == want
+
+
+def test_op10_matches_a_plain_tree(spark):
+    import os
+
+    pages = spark.read.parquet(f"{os.environ.get('TEST_SF_DIR', '/root/testdata/sf0.001')}/pages.parquet").collect()
+    host = lambda u: (u or "").lower().split("://")[-1].split("/")[0].split(":")[0].split("?")[0].split("#")[0]
+    from isohyet.llm import queries
+
+    got = {r.page_id: (r.text, r.n_chars) for r in queries.op10_html(spark, os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")).collect()}
+    assert got == {i: (t, len(t)) for i, t in _plain_extraction([(p.page_id, host(p.url), p.html or "") for p in pages]).items()}
