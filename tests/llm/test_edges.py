@@ -103,7 +103,7 @@ def test_special_strings_keep_the_ids_of_the_tokenizer(docs):
 
     path = packing.tokenizer_path()
     model, encode = Tokenizer.from_file(path), packing._encoder(path, packing.tokenizer_path(packing.DEFAULT_RANKS))
-    for text in ("a <|endoftext|> b", " 's ''t don't  \n\n x", LONG, "É\U0001f600́", ""):
+    for text in ("a <|endoftext|> b", " 's ''t don't  \n\n x", LONG, "É\U0001f600́", "", " " * 1_000_000, "\n" * 300_000 + "x", "a" * 100_000):
         assert np.frombuffer(encode(text), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
 
 
@@ -232,9 +232,42 @@ def test_sketches(docs, none):
     half = sketches.sketch([LONG[: len(LONG) // 10].encode()])[0]
     assert sketches.containment(half, a) > 0.95
     assert np.array_equal(sketches.decode(sketches.encode(a)), a)
+    one, two = sketches.sketch([PAIR[0].encode(), PAIR[1].encode()])
+    assert sketches.likeness(one, two) == 0
     assert sketches.fingerprint_report(none).count() == 0
 
 
+def test_merged_sketches_are_those_of_the_union():
+    """Shingles of texts of few to many words: merging gives what all shingles together give."""
+    import numpy as np
+
+    for seed in range(200):
+        texts = [prose(seed, 3 + seed % 9), prose(1000 + seed, 1 + seed % 40)]
+        shingles = [np.concatenate([sketches.hashes([t.encode()])[0]]) for t in texts]
+        a, b = sketches.sketch([t.encode() for t in texts])
+        assert np.array_equal(sketches.merge(a, b), sketches.kept(np.concatenate(shingles), 8))
+
+
+def test_next_document_where_many_rows_share_an_id(spark):
+    import hashlib
+
+    rows = [(None, f"n{i % 40} {prose(i % 40, 8)}") for i in range(120)] + [(7, f"s{i} {prose(i, 8)}") for i in range(90)] + [(i, prose(i, 8)) for i in range(100, 140)]
+    got = sketches.fingerprint_report(spark.createDataFrame(rows, "doc_id long, text string"), rows_per_bucket=16).collect()
+    assert len(got) == len(rows)
+    texts = {hashlib.sha256(t.encode()).hexdigest() for _, t in rows}
+    ends = {t[: len(t) // 3] for _, t in rows}
+    edits = {hashlib.sha256((t[: len(t) - len(t) // 3] + n[: len(t) // 3]).encode()).hexdigest(): (t, n) for _, t in rows for n in [x for _, x in rows]}
+    assert ends and all(r.edited_sha256 in edits or r.edited_sha256 in texts for r in got)
+    by_id = {i: t for i, t in rows if i is not None and i >= 100}
+    for r in got:  # where ids are unique the next document is certain
+        if r.doc_id is not None and r.doc_id > 100:
+            t, n = by_id[r.doc_id], by_id[r.doc_id - 1]
+            assert r.edited_sha256 == hashlib.sha256((t[: len(t) - len(t) // 3] + n[: len(t) // 3]).encode()).hexdigest()
+    # every row is the next one of exactly one other: the firsts of all edits' tails are those of all rows
+    tails = sorted(r.near_next for r in got)
+    assert len(tails) == len(rows)
+
+
 def test_backoff(docs, none):
     rows = backoff.score_corpus(docs).collect()
     assert len(rows) == len(ROWS) and all(r.score < 0 and r.n_tokens >= 1 for r in rows)
