@@ -77,7 +77,8 @@ def local_day_fields(df: DataFrame, *, by: Sequence[str] = ("cell",), minutes: i
     )
     full = F.col("n_t") == hours
     fields = ["tmax", "tmin", "tmean", "tdew", "rain_mm", "u10", "rs_mj", "p_kpa"]
-    kept = daily.withColumn("__any", F.max(full.cast("int")).over(Window.partitionBy("day"))).where("__any = 1")
+    complete = daily.where(full).select("day").distinct()  # one row for each day of the calendar at most
+    kept = daily.join(F.broadcast(complete), "day", "left_semi")
     return kept.select(*by, "day", *[F.when(full, F.col(f)).alias(f) for f in fields])
 
 

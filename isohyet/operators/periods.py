@@ -14,7 +14,7 @@ def _spined(df: DataFrame, unit: str, by: Sequence[str], sums: Sequence[str], me
     start = F.trunc(F.col(day), unit)
     grouped = df.groupBy(*by, start.alias(unit)).agg(*[F.sum(c).alias(c) for c in sums], *[F.avg(c).alias(c) for c in means], F.count(F.lit(1)).alias("n_days"))
     step = F.expr(f"interval 1 {unit}")
-    spine = df.groupBy(*by).agg(F.min(start).alias("__a"), F.max(start).alias("__b")).select(*by, F.explode(F.sequence("__a", "__b", step)).alias(unit))
+    spine = grouped.groupBy(*by).agg(F.min(unit).alias("__a"), F.max(unit).alias("__b")).select(*by, F.explode(F.sequence("__a", "__b", step)).alias(unit))
     out = spine.join(grouped, [*by, unit], "left")
     return out.withColumns({**{c: F.coalesce(c, F.lit(0.0)) for c in sums}, "n_days": F.coalesce("n_days", F.lit(0))})
 

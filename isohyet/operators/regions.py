@@ -49,7 +49,7 @@ def _geojson_rings(value) -> list[Ring]:
 
 
 def read_boundary(text: str) -> list[Ring]:
-    """Outer rings of a KML or GeoJSON document."""
+    """Outer rings of a KML or GeoJSON document; holes are not read, so a cell in a hole counts as inside."""
     rings = _geojson_rings(json.loads(text)) if text.lstrip().startswith("{") else _kml_rings(text)
     if not rings:
         raise ValueError("the boundary has no polygon")
@@ -109,7 +109,12 @@ def cell_table(spark: SparkSession, cells: Sequence[tuple[int, float, float]], r
     return spark.createDataFrame(rows, "cell int, lat double, lon double, in_region boolean")
 
 
+def if_small(table: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``table`` (a few numbers a row) marked for broadcast if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def clip(df: DataFrame, cells: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Values of cells outside the region become NULL; rows stay. ``cells`` is a table of ``cell_table``, one row per cell."""
-    inside = F.broadcast(cells.select("cell", "in_region"))
+    inside = if_small(cells.select("cell", "in_region"))
     return df.join(inside, "cell", "left").withColumns({c: F.when(F.coalesce("in_region", F.lit(False)), F.col(c)) for c in columns}).drop("in_region")

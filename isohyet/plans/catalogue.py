@@ -572,7 +572,7 @@ _VARIABLES = ["t2m", "tp", "sp"]
 
 
 def _missing(spark, sf_dir) -> DataFrame:
-    return inventory.missing(inventory.wanted(spark, _VARIABLES, "1995-01-15", "1996-12-01"), fx.file_inventory(spark, sf_dir))
+    return inventory.missing(inventory.wanted(spark, _VARIABLES, *fx.months_of_orders(spark, sf_dir)), fx.file_inventory(spark, sf_dir))
 
 
 _GAPS = f"{fx.INVENTORY}, {fx.WANTED}, gaps AS (SELECT * FROM want ANTI JOIN have USING (variable, year, month))"
@@ -600,9 +600,9 @@ def latest_common_month(spark, sf_dir):
     return inventory.latest_common_month(fx.file_inventory(spark, sf_dir), _VARIABLES)
 
 
-@query("monthly_orders_spine", """WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, SUM(o_totalprice) AS x FROM orders WHERE o_custkey % 40 = 1 AND month(o_orderdate) % 2 = 1 GROUP BY 1),
-sp AS (SELECT CAST(UNNEST(generate_series(MIN(month), MAX(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM o) SELECT month, ROUND(COALESCE(x, 0), 4) AS total FROM sp LEFT JOIN o USING (month)""")
+@query("monthly_orders_spine", """WITH o AS (SELECT o_custkey AS customer, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, SUM(o_totalprice) AS x FROM orders GROUP BY 1, 2),
+sp AS (SELECT customer, CAST(UNNEST(generate_series(MIN(month), MAX(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM o GROUP BY 1) SELECT customer, month, ROUND(COALESCE(x, 0), 4) AS total FROM sp LEFT JOIN o USING (customer, month)""")
 def monthly_orders_spine(spark, sf_dir):
-    orders = fx.table(spark, sf_dir, "orders").where("o_custkey % 40 = 1 and month(o_orderdate) % 2 = 1")
-    days = orders.select(F.lit(0).alias("cell"), F.col("o_orderdate").cast("date").alias("day"), F.col("o_totalprice").alias("total"))
-    return periods.monthly(days, sums=["total"]).select("month", F.round("total", 4).alias("total"))
+    """Every customer's months from the first to the last order, months without orders with 0."""
+    days = fx.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderdate").cast("date").alias("day"), F.col("o_totalprice").alias("total"))
+    return periods.monthly(days, sums=["total"], by=["customer"]).select("customer", "month", F.round("total", 4).alias("total"))

@@ -68,22 +68,36 @@ hourly AS (SELECT cell, ts, v, CAST(SUM(v) OVER (PARTITION BY cell, CAST(ts - IN
 
 
 def met_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(cell, ts, t, td, tp, u, v, rs, p) in raw units from the mean value of each hour's events, two cells."""
+    """(cell, ts, t, td, tp, u, v, rs, p) in raw units from the mean value of each hour's events, two cells.
+
+    Means come from whole hundredths, and temperatures are whole 1024ths, so that their sums are exact in any order.
+    """
     events = table(spark, sf_dir, "events").select((F.col("user_id") % 2).cast("int").alias("cell"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), "value")
-    x = events.groupBy("cell", "ts").agg(F.avg("value").alias("x"), F.max("value").alias("y"))
-    return x.select("cell", "ts", (285 + F.col("x") * 0.05).alias("t"), (284 + F.col("x") * 0.02).alias("td"), (F.col("y") * 1e-6).alias("tp"), (F.col("x") * 0.05).alias("u"), (F.col("y") * 0.02 - 2).alias("v"), (F.col("y") * 2000).alias("rs"), (95000 + F.col("x") * 10).alias("p"))
+    x = events.groupBy("cell", "ts").agg((F.sum(F.round(F.col("value") * 100).cast("long")).cast("double") / (F.count("*") * 100)).alias("x"), F.max("value").alias("y"))
+    part = lambda k: F.round(F.col("x") * k) / 1024
+    return x.select("cell", "ts", (285 + part(51.2)).alias("t"), (284 + part(20.48)).alias("td"), (F.col("y") * 1e-6).alias("tp"), (F.col("x") * 0.05).alias("u"), (F.col("y") * 0.02 - 2).alias("v"), (F.col("y") * 2000).alias("rs"), (95000 + F.col("x") * 10).alias("p"))
 
 
-MET = """x AS (SELECT CAST(user_id % 2 AS INTEGER) AS cell, date_trunc('hour', ts) AS ts, AVG(value) AS x, MAX(value) AS y FROM events GROUP BY 1, 2),
-met AS (SELECT cell, ts, 285 + x * 0.05::DOUBLE AS t, 284 + x * 0.02::DOUBLE AS td, y * 1e-6::DOUBLE AS tp, x * 0.05::DOUBLE AS u, y * 0.02::DOUBLE - 2 AS v, y * 2000 AS rs, 95000 + x * 10 AS p FROM x)"""
+MET = """x AS (SELECT CAST(user_id % 2 AS INTEGER) AS cell, date_trunc('hour', ts) AS ts, CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS DOUBLE) / (COUNT(*) * 100) AS x, MAX(value) AS y FROM events GROUP BY 1, 2),
+met AS (SELECT cell, ts, 285 + ROUND(x * 51.2::DOUBLE) / 1024 AS t, 284 + ROUND(x * 20.48::DOUBLE) / 1024 AS td, y * 1e-6::DOUBLE AS tp, x * 0.05::DOUBLE AS u, y * 0.02::DOUBLE - 2 AS v, y * 2000 AS rs, 95000 + x * 10 AS p FROM x)"""
 
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(variable, year, month) that 'exist': the months of orders by priority, of which some are missing."""
-    orders = table(spark, sf_dir, "orders")
-    urgent = orders.where(F.pmod("o_orderkey", F.lit(97)) == 0)
-    return urgent.select(F.when(F.pmod("o_custkey", F.lit(3)) == 0, "t2m").when(F.pmod("o_custkey", F.lit(3)) == 1, "tp").otherwise("sp").alias("variable"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")).distinct()
+    """(variable, year, month) that 'exist': orders stand for files by customer, and a variable's month is there
+    if it has at least as many orders as the variable's mean month. All orders count."""
+    from pyspark.sql import Window
+
+    variable = F.when(F.pmod("o_custkey", F.lit(3)) == 0, "t2m").when(F.pmod("o_custkey", F.lit(3)) == 1, "tp").otherwise("sp")
+    per = table(spark, sf_dir, "orders").groupBy(variable.alias("variable"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")).agg(F.count("*").alias("n"))
+    of = Window.partitionBy("variable")  # three variables, a row for each of their months
+    return per.withColumns({"total": F.sum("n").over(of), "months": F.count("*").over(of)}).where("n * months >= total").select("variable", "year", "month")
+
+
+def months_of_orders(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last day of all orders."""
+    return tuple(map(str, table(spark, sf_dir, "orders").agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()))
 
 
-INVENTORY = """have AS (SELECT DISTINCT CASE o_custkey % 3 WHEN 0 THEN 't2m' WHEN 1 THEN 'tp' ELSE 'sp' END AS variable, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders WHERE o_orderkey % 97 = 0)"""
-WANTED = """want AS (SELECT UNNEST(['t2m', 'tp', 'sp']) AS variable, CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month FROM (SELECT UNNEST(generate_series(DATE '1995-01-01', DATE '1996-12-01', INTERVAL 1 MONTH)) AS m))"""
+INVENTORY = """per AS (SELECT CASE o_custkey % 3 WHEN 0 THEN 't2m' WHEN 1 THEN 'tp' ELSE 'sp' END AS variable, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, COUNT(*) AS n FROM orders GROUP BY 1, 2, 3),
+have AS (SELECT variable, year, month FROM (SELECT *, SUM(n) OVER (PARTITION BY variable) AS total, COUNT(*) OVER (PARTITION BY variable) AS months FROM per) WHERE n * months >= total)"""
+WANTED = """want AS (SELECT UNNEST(['t2m', 'tp', 'sp']) AS variable, CAST(year(m) AS INTEGER) AS year, CAST(month(m) AS INTEGER) AS month FROM (SELECT UNNEST(generate_series(date_trunc('month', MIN(o_orderdate)), MAX(o_orderdate), INTERVAL 1 MONTH)) AS m FROM orders))"""

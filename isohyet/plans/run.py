@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from isohyet.functions import bands, physics
 from isohyet.operators import annual, daily, indices, normals, periods
+from isohyet.operators.regions import if_small
 from isohyet.plans.config import ACCUMULATED, Settings
 
 log = logging.getLogger(__name__)
@@ -51,6 +52,14 @@ class Run:
     hourly: DataFrame
     cells: DataFrame
     settings: Settings
+    #: Folder for tables that several results read: written once, then read back. None: planned anew for each result.
+    store: str | None = None
+
+    def _kept(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.store:
+            return df
+        df.write.mode("overwrite").parquet(f"{self.store}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{self.store}/{name}")
 
     @cached_property
     def daily(self) -> DataFrame:
@@ -62,14 +71,14 @@ class Run:
                 df = df.withColumn(v, physics.not_negative(F.col(v)))
         df = df.select("cell", "ts", *[physics.convert(F.col(v), v).alias(v) for v in have])
         days = daily.aggregate_daily(df, {v: self.settings.aggregates[v] for v in have})
-        inside = F.broadcast(self.cells.where("in_region").select("cell"))
-        return days.join(inside, "cell", "left_semi")
+        inside = if_small(self.cells.where("in_region").select("cell"))
+        return self._kept("daily", days.join(inside, "cell", "left_semi"))
 
     @cached_property
     def normals(self) -> DataFrame:
         columns = [c for c in self.daily.columns if c not in ("cell", "day")]
         table = normals.doy_normals(self.daily, columns, self.settings.baseline_years)
-        return normals.smooth_circular(table, columns, self.settings.smoothing_days)
+        return self._kept("normals", normals.smooth_circular(table, columns, self.settings.smoothing_days))
 
     @cached_property
     def anomalies(self) -> DataFrame:
@@ -80,20 +89,20 @@ class Run:
     def area(self) -> DataFrame:
         """(cell = 0, day, fields) of the whole region."""
         columns = [c for c in self.daily.columns if c not in ("cell", "day")]
-        return daily.area_mean(self.daily, columns).withColumn("cell", F.lit(0))
+        return self._kept("area", daily.area_mean(self.daily, columns).withColumn("cell", F.lit(0)))
 
     @cached_property
     def demand(self) -> DataFrame:
         """(cell = 0, day, pet): Penman-Monteith where all its fields are there, else Hargreaves at the mid latitude."""
         if PET_FULL <= set(self.hourly.columns) and PET_FULL <= set(self.settings.variables):
-            cells = F.broadcast(self.cells.where("in_region").select("cell", "lat"))
+            cells = if_small(self.cells.where("in_region").select("cell", "lat"))
             rain = F.col("tp") if "tp" in self.hourly.columns else F.lit(None).cast("double")
             raw = self.hourly.withColumn("tp", rain)
             for v in ACCUMULATED:
                 raw = daily.deaccumulate_cycle(raw, v, v)
             fields = daily.local_day_fields(raw.select("cell", "ts", F.col("t2m").alias("t"), F.col("d2m").alias("td"), "tp", F.col("u10").alias("u"), F.col("v10").alias("v"), F.col("ssrd").alias("rs"), F.col("sp").alias("p")))
             et0 = physics.penman_monteith(F.col("tmax"), F.col("tmin"), F.col("tdew"), F.col("p_kpa"), F.col("u10"), F.col("rs_mj"), F.col("lat"), F.dayofyear("day"))
-            return daily.area_mean(fields.join(cells, "cell").withColumn("pet", et0), ["pet"]).withColumn("cell", F.lit(0))
+            return self._kept("demand", daily.area_mean(fields.join(cells, "cell").withColumn("pet", et0), ["pet"]).withColumn("cell", F.lit(0)))
         middle = self.cells.where("in_region").agg((F.max("lat") + F.min("lat")) / 2).scalar()
         pet = physics.hargreaves(F.col("t2m_mean"), F.col("t2m_max"), F.col("t2m_min"), middle, F.dayofyear("day"))
         return self.area.select("cell", "day", pet.alias("pet"))

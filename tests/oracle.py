@@ -1,4 +1,4 @@
-"""Compare a query with its SQL in DuckDB: columns by name, rows in any order."""
+"""Compare a query with its SQL in DuckDB: columns by name, rows in any order, doubles to 2e-9 (sums in another order)."""
 
 import datetime as dt
 import math
@@ -36,4 +36,5 @@ def differences(frame, con, sql, limit=5):
     key = lambda r: tuple((v is not None, str(type(v)) if not isinstance(v, (int, float)) else "", v if v is not None else 0) for v in r)
     if len(got) != len(want):
         return [f"{len(got)} rows and {len(want)}"]
-    return [(names, a, b) for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True) if a != b][:limit]
+    close = lambda a, b: a == b or isinstance(a, float) and isinstance(b, (int, float)) and math.isclose(a, b, rel_tol=1e-12, abs_tol=2e-9)
+    return [(names, a, b) for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True) if not all(map(close, a, b))][:limit]
