@@ -20,7 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates (five-word shingles 0.8 alike, or fingerprints within 3 bits) the document with the smallest id stays."""
     common.ship(spark)
     return simhash.drop_near_duplicates(docs)
 

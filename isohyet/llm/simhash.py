@@ -6,6 +6,10 @@ within the link radius above the boundary also visits the near side, so by the t
 linked pair meets in a leaf. The upper tree is grown on a bounded sample (it only steers the balance);
 each leaf goes on splitting locally and compares what is left. Leaves give a spanning forest of their
 links, never all pairs, and a distributed component step joins the forests.
+
+``drop_near_duplicates`` also joins documents whose five-word shingles are 0.8 alike. Their fingerprints are
+about 10 bits apart, where the distances of a vantage point to all others lie too close together for a tree
+to prune; such pairs come from buckets of shingle minima and are compared exactly.
 """
 
 from __future__ import annotations
@@ -192,13 +196,123 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return prints.join(comp, F.col("fp") == F.col("c_fp")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# --- documents whose shingles are alike, beyond the reach of the tree ---------------------------------
+
+
+def _shingles(texts, size: int) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the runs of ``size`` lower-cased words of each text of an Arrow array;
+    a text of fewer words is one shingle, one without words has none."""
+    codes, vocabulary, first = common.words_of(texts, fold=True)
+    h = common.hash_words(vocabulary)[codes]
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        own = h[a:b]
+        n = max(1, len(own) - size + 1) if len(own) else 0
+        runs = own[:n].copy()
+        for j in range(1, min(size, len(own))):
+            runs = common.mix(runs) + own[j : j + n]
+        out.append(np.unique(common.mix(runs)))
+    return out
+
+
+def _minima(sets: list[np.ndarray], count: int) -> np.ndarray:
+    """For each set, which is not empty, its least element under each of ``count`` permutations."""
+    factors = np.random.default_rng(5).integers(0, 2**63, count, np.uint64) * np.uint64(2) + np.uint64(1)
+    starts = np.cumsum([0, *map(len, sets[:-1])])
+    whole = np.concatenate(sets)
+    return np.stack([np.minimum.reduceat(whole * f, starts) for f in factors], 1)
+
+
+def _sets(source: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, name, shingles, keys) of each text with words: name is a hash of its set of shingles, keys one for each band."""
+
+    def run(batches):
+        import pyarrow as pa
+        import xxhash
+
+        for batch, lo, hi in common.chunks(batches):
+            own = batch.take(pa.array(np.arange(lo, hi)))
+            sets = _shingles(own.column("text"), shingle)
+            some = np.array([k for k, x in enumerate(sets) if len(x)], np.int64)
+            if not len(some):
+                continue
+            sets = [sets[k] for k in some.tolist()]
+            least = _minima(sets, bands * rows)
+            keys = np.repeat(np.arange(bands, dtype=np.uint64)[None], len(sets), 0)
+            for r in range(rows):
+                keys = common.mix(keys * common._ODD + least[:, r::rows])
+            names = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64)
+            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]), pa.int32()), pa.array(np.concatenate(x))) for x in ([(v >> np.uint64(32)).astype(np.uint32).view(np.int32) for v in sets], list(keys.view(np.int64)))]
+            yield pa.RecordBatch.from_arrays([own.column("doc_id").take(pa.array(some)), pa.array(names.view(np.int64)), *lists], ["doc_id", "name", "shingles", "keys"])
+
+    return source.mapInArrow(run, "doc_id long, name long, shingles array<int>, keys array<long>")
+
+
+def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int = 16) -> DataFrame:
+    """(a, b) names of sets with a Jaccard similarity of at least ``similarity``; not all such pairs, but enough
+    to hold their groups together.
+
+    Sets that share a key meet in its bucket. There each is compared with one of them, the hub, exactly; another
+    hub is drawn in each of the ``rounds``. So a bucket of any size costs one comparison a member and round. Buckets
+    of up to ``few`` sets draw their hubs independently, so that in a small group nearly all pairs are compared;
+    larger ones go by one order of all sets, so that the many buckets of a large group share their hubs.
+    """
+    keyed = sets.select("name", F.explode("keys").alias("key"))
+    pairs = None
+    for k in range(rounds):
+        first = lambda *by: F.min(F.struct(F.xxhash64("name", F.lit(k), *by).alias("by"), "name"))
+        hubs = keyed.groupBy("key").agg(first("key").alias("own"), first().alias("common"), F.count("*").alias("n")).where("n > 1")
+        hubs = hubs.select(F.col("key").alias("h_key"), F.when(F.col("n") <= few, F.col("own.name")).otherwise(F.col("common.name")).alias("hub"))
+        met = keyed.join(hubs, F.col("key") == F.col("h_key")).where("name <> hub").select(F.least("name", "hub").alias("a"), F.greatest("name", "hub").alias("b"))
+        pairs = met if pairs is None else pairs.unionAll(met)
+    pairs = common.materialise(pairs.distinct(), "pairs")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("p_name")).distinct()
+    paired = common.materialise(sets.join(named, F.col("name") == F.col("p_name"), "left_semi").select("name", "shingles"), "paired-sets")
+    one, two = (paired.select(F.col("name").alias(f"n_{x}"), F.col("shingles").alias(f"s_{x}")) for x in "ab")
+    both = pairs.join(one, F.col("a") == F.col("n_a")).join(two, F.col("b") == F.col("n_b"))
+    both = both.where(F.least(F.size("s_a"), F.size("s_b")) >= similarity * F.greatest(F.size("s_a"), F.size("s_b")))
+    shared = F.size(F.array_intersect("s_a", "s_b"))
+    return both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("a", "b")
+
+
+def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 3, bands: int = 14, rows: int = 3, rounds: int = 3) -> DataFrame:
+    """(doc_id, node, component_id) of the rows of ``docs`` that links join to others: the id, a name of the row (the
+    id, or a hash of the text where it is null) and the smallest id of the group, null if no member has one.
+
+    Links are fingerprints of ``shingle`` words within ``radius`` bits, found by the vantage-point tree, and sets
+    of shingles with a Jaccard similarity of at least ``similarity``. The latter are found in buckets of shingle
+    minima, as fingerprints so far apart (about 10 bits) leave a tree nothing to prune, and compared exactly. A
+    pair at the limit shares no bucket with a chance of (1 - similarity ** rows) ** bands. Texts without words
+    are one group. Repeated rows each get a row. Empty in, empty out.
+    """
+    text = common.text_of(text_col)
+    source = docs.select(F.col(id_col).cast("long").alias("own_id"), _node(id_col, text_col).alias("doc_id"), text.alias("text"))
+    prints = common.materialise(fingerprints(source, shingle=shingle), "prints")
+    by_bits = components(prints, radius=radius).select(F.col("fp").alias("b_fp"), F.col("component_id").alias("least"))
+    named = common.materialise(_sets(source.select("doc_id", "text"), shingle, bands, rows), "shingle-sets")
+    sets = common.materialise(named.groupBy("name").agg(F.min("doc_id").alias("least"), F.first("shingles").alias("shingles"), F.first("keys").alias("keys")), "sets")
+    alike = common.connected_components(similar_links(sets, similarity=similarity, rounds=rounds))
+    ids = sets.select("name", "least").join(alike, F.col("name") == F.col("node"), "left").select("name", "least", F.coalesce("root", "name").alias("root"))
+    by_set = ids.join(ids.groupBy("root").agg(F.min("least").alias("all_least")), "root").select(F.col("name").alias("s_name"), F.col("all_least").alias("least"))
+    # a document ties the smallest members of its two groups together
+    ties = prints.join(by_bits, F.col("fp") == F.col("b_fp")).select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    ties = ties.unionAll(named.join(by_set, F.col("name") == F.col("s_name")).select("doc_id", "least"))
+    groups = common.materialise(common.connected_components(ties.where("a <> b").distinct()), "groups")
+    members = source.select("own_id", F.col("doc_id").alias("m_node")).join(groups, F.col("m_node") == F.col("node"))
+    best = groups.join(members.groupBy("m_node").agg(F.min("own_id").alias("own_id")), F.col("node") == F.col("m_node")).groupBy(F.col("root").alias("b_root")).agg(F.min("own_id").alias("component_id"))
+    return members.join(best, F.col("root") == F.col("b_root")).select(F.col("own_id").alias("doc_id"), "node", "component_id")
+
+
+def _node(id_col: str, text_col: str):
+    return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(common.text_of(text_col)))
+
+
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest id.
+    """``docs`` with one document of each group of ``similar_groups``, that with the smallest id.
 
-    Rows without an id stay only if no member of their component has one. Rows that repeat the kept id
-    all stay: ids are what tells documents apart.
+    Rows without an id stay only if no member of their group has one. Rows that repeat the kept id all stay:
+    ids are what tells documents apart.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **rule)
-    gone = found.where("doc_id <> component_id or (doc_id is null and component_id is not null)")
-    gone = gone.select(F.coalesce("doc_id", F.lit(common.NULL_ID)).alias("__gone")).distinct()
-    return docs.join(gone, common.id_key(id_col) == F.col("__gone"), "left_anti")
+    found = similar_groups(docs, id_col=id_col, text_col=text_col, **rule)
+    gone = found.where("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("node").alias("__gone")).distinct()
+    return docs.join(gone, _node(id_col, text_col) == F.col("__gone"), "left_anti")

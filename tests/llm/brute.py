@@ -120,3 +120,29 @@ def scores(docs, strength=(1000.0, 5.0)):
         return (count[(*context, word)] + k * p(context[1:], word)) / (count[context] + k)
 
     return {d: sum(math.log10(p(w[max(0, i - 2) : i], w[i])) for i in range(len(w))) for d, w in tokens.items()}
+
+
+def shingle_sets(text, size=5):
+    w = SPACE.findall(fold(text))
+    n = min(size, len(w))
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
+
+
+def similar_groups(docs, similarity=0.8, radius=3):
+    """Smallest id of each document's group: five-word fingerprints within ``radius`` bits or shingles ``similarity`` alike."""
+    ids = sorted(d for d, _ in docs)
+    sets, prints = {d: shingle_sets(t) for d, t in docs}, {d: simhash(t, 5) for d, t in docs}
+    root = {d: d for d in ids}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            shared = len(sets[a] & sets[b])
+            if (prints[a] ^ prints[b]).bit_count() <= radius or shared and shared >= similarity * (len(sets[a]) + len(sets[b]) - shared):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: find(d) for d in ids}

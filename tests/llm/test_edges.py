@@ -137,8 +137,31 @@ def test_simhash(docs, none):
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert ids.count(1) == 2 and 11 not in ids and 10 in ids and 4 not in ids
+    assert ids.count(1) == 2 and 11 not in ids and 10 in ids and 4 not in ids and 8 not in ids
     assert simhash.near_duplicates(none).count() == 0
+    assert simhash.drop_near_duplicates(none).count() == 0
+
+
+def test_lightly_edited_copies_are_one_group(spark):
+    """Copies with words changed, above and below a similarity of 0.8, in groups of one base and in chains."""
+    from brute import shingle_sets, similar_groups
+
+    r, rows = random.Random(2), []
+    for base in range(12):
+        words = prose(500 + base, 150).split()
+        for copy in range(base + 1):
+            own = list(words)
+            for _ in range(r.randrange(0, 5)):
+                own[r.randrange(len(own))] = f"x{r.random()}"
+            rows.append((base * 100 + copy, " ".join(own)))
+            if base % 3 == 0:
+                words = own  # each edits the one before
+    rows += [(9000 + i, prose(9000 + i, 60)) for i in range(40)] + [(None, rows[0][1]), (None, rows[30][1] + " more"), (None, "alone")]
+    got = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id is not null").collect()}
+    want = similar_groups([(d, t) for d, t in rows if d is not None])
+    assert got == set(want.values()) and len(got) < len(want) - 30
+    assert any(0.8 <= len(a & b) / len(a | b) < 0.9 for a in [shingle_sets(rows[70][1])] for b in [shingle_sets(t) for _, t in rows])
+    assert simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id is null").count() == 1
 
 
 def test_vantage_point_tree_loses_no_pair():

@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from brute import components, contamination, substrings
+from brute import contamination, similar_groups, substrings
 
 import corpus_pipeline
 from isohyet.llm import common, quality
@@ -55,7 +55,7 @@ def test_quality_finds_abuse_and_junk(spark):
 
 
 def test_near_duplicate_stage(chain):
-    want = {root for _, root in components(texts(chain[1])).values()}
+    want = set(similar_groups(texts(chain[1])).values())
     assert {d for d, _ in texts(chain[2])} == want
 
 
