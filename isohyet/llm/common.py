@@ -159,33 +159,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, grown on demand."""
+_powers: dict[int, np.ndarray] = {}
 
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 2**64)
-        self.up = self.down = np.ones(1, np.uint64)
 
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            m = 1 << (n - 1).bit_length()
-            with np.errstate(over="ignore"):
-                for name, factor in (("up", self.base), ("down", self.inverse)):
-                    steps = np.full(m, factor, np.uint64)
-                    steps[0] = 1
-                    setattr(self, name, np.cumprod(steps))
-        return self.up[:n], self.down[:n]
-
-
-_POWERS = [Powers(0x5851F42D4C957F2D), Powers(0xD1342543DE82EF95)]
-
-
-def slice_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-    """A 64-bit name for each ``data[start:end]`` (bytes): equal slices get equal names wherever they lie."""
-    up, down = _POWERS[which].get(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _ODD)
+def powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of ``base`` modulo 2**64."""
+    if len(_powers.get(base, ())) < n:
+        steps = np.full(1 << (n - 1).bit_length(), base, np.uint64)
+        steps[0] = 1
+        _powers[base] = np.cumprod(steps)
+    return _powers[base][:n]
 
 
 _SPACE = np.zeros(256, bool)

@@ -1,64 +1,43 @@
-"""Where do runs of units (words or bytes) recur? The shared first stage of the two substring operators.
+"""Where may runs of units (words or bytes) recur? What the two substring operators have in common.
 
-Each window of ``size`` units is represented by its minimizer: the smallest hash among the grams of
-``gram`` units in it, the leftmost of equals. Equal windows have equal minimizers at equal places, so a
-window can recur only if its minimizer gram does. Neighbouring windows mostly share their minimizer: such a
-run of windows covers one segment of units, about one for every (size - gram) / 2 units, and only segments
-are shuffled, dealt by the hash of their gram. In each task equal segments are combined before the shuffle,
-so however often a passage occurs, a task sends it once.
-
-Segments settle at once where an equal segment starts earlier: all their windows recur. What is left are
-first segments whose gram also begins other segments, around edits and the ends of passages; those are
-returned as pending and decided window by window.
+Each window of ``size`` units has an anchor: the smallest hash among the runs of ``gram`` units in it, the
+leftmost of equals. Equal windows have equal anchors at equal places, so a window can recur only if its
+anchor does. Neighbouring windows mostly share their anchor: such windows make one stretch of units, about one
+for every (size - gram) / 2 units.
 """
 
 from __future__ import annotations
 
-import pickle
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.llm import common
 
-_UNITS_PER_BUCKET = 6_000_000
-_UNITS_AT_ONCE = 1_500_000
-FOUND = "pending boolean, d long, t long, s long, e long, h long"
-
 
 @dataclass(frozen=True)
 class Rule:
-    """size: units of a window; gram: units of an anchor; words: units are words, else bytes; same_document:
-    an earlier start in the same document counts as earlier too."""
+    """size: units of a window; gram: units of an anchor; words: units are words, else bytes."""
 
     size: int
     gram: int
     words: bool
-    same_document: bool
 
 
-def run_hashes(values: np.ndarray, length: int, which: int = 0) -> np.ndarray:
-    """A 64-bit name for each run of ``length`` values."""
+_BASE, _INVERSE = 0xD1342543DE82EF95, pow(0xD1342543DE82EF95, -1, 2**64)
+
+
+def run_hashes(values: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit name for each run of ``length`` values, a few dozen at most (much longer runs could be told apart less well)."""
     n = len(values) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    at = np.arange(n)
-    return spans_hashes(prefix_sums(values, which), at, at + length, which)
-
-
-def prefix_sums(values: np.ndarray, which: int = 0) -> np.ndarray:
-    up, _ = common._POWERS[which].get(len(values) + 1)
+    up, down = common.powers(_BASE, len(values) + 1), common.powers(_INVERSE, n)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=sums[1:])
-    return sums
-
-
-def spans_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-    _, down = common._POWERS[which].get(len(sums))
-    return common.mix((sums[end] - sums[start]) * down[start])
+    return common.mix((sums[length:] - sums[:n]) * down)
 
 
 def leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -74,220 +53,53 @@ def leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def units_of(texts: list[bytes], words: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Values of all units and where each text's units begin (one more entry)."""
-    if words:
-        data, at = common.joined(texts)
-        start, end = common.word_spans(data)
-        return common.slice_hashes(data, start, end), np.searchsorted(start, at)
-    data, at = common.joined(texts, b"")
-    return data, at
+def units_of(texts, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all units of an Arrow array of texts, and where each text's units begin (one more entry)."""
+    import pyarrow as pa
 
+    if rule.words:
+        codes, vocabulary, first = common.words_of(texts)
+        return common.hash_words(vocabulary)[codes], first
+    return common.joined(texts.cast(pa.binary()).to_pylist(), b"")
 
-def segments(values: np.ndarray, first: np.ndarray, rule: Rule):
-    """(doc, s, e, h, y) of each segment: text number, units from and to within the text, hash of the gram and of all."""
+
+def stretches(values: np.ndarray, first: np.ndarray, rule: Rule) -> tuple[np.ndarray, ...]:
+    """(doc, s, e, h) of each stretch: text number, units from and to within the text, hash of the anchor."""
     none = np.zeros(0, np.int64)
     n_windows = len(values) - rule.size + 1
     if n_windows <= 0:
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
-    grams = run_hashes(values, rule.gram, 1)
+        return none, none, none, none.view(np.uint64)
+    grams = run_hashes(values, rule.gram)
     place = leftmost_least(grams, rule.size - rule.gram + 1)
-    length = np.diff(first)
     ok = np.zeros(n_windows + 1, bool)
     mark = np.zeros(len(values) + 1, np.int32)
-    long = length >= rule.size
+    long = np.diff(first) >= rule.size
     np.add.at(mark, first[:-1][long], 1)
     np.add.at(mark, first[1:][long] - rule.size + 1, -1)
     ok[:n_windows] = np.cumsum(mark)[:n_windows] > 0
     begins = np.zeros(n_windows, bool)
     begins[0] = True
     begins[1:] = place[1:] != place[:-1]
-    heads = first[:-1][long]
-    begins[heads] = True  # windows never cross texts
+    begins[first[:-1][long]] = True  # windows never cross texts
     begins &= ok[:n_windows]
     start = np.flatnonzero(begins)
-    # a segment's windows go on to the next one that begins or is no window
+    # a stretch's windows go on to the next one that begins or is no window
     stop = np.flatnonzero(begins | ~ok[:n_windows])
-    after = np.append(stop, n_windows)[np.searchsorted(stop, start, "right")]
-    end = after + rule.size - 1
+    end = np.append(stop, n_windows)[np.searchsorted(stop, start, "right")] + rule.size - 1
     doc = np.searchsorted(first, start, "right") - 1
-    y = spans_hashes(prefix_sums(values), start, end)
-    return doc, start - first[doc], end - first[doc], grams[place[start]], y
-
-
-def _settled(h, y, d, s, same_document: bool):
-    """(order, gone, group): rows sorted by (h, y, d, s), which of them have an equal segment earlier, and the
-    number of their (h, y)."""
-    order = np.lexsort((s, d, y, h))
-    h, y, d, s = h[order], y[order], d[order], s[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (y[1:] != y[:-1])
-    group = np.cumsum(new) - 1
-    lead = np.flatnonzero(new)[group] if len(h) else group
-    gone = d > d[lead]
-    if same_document:
-        gone |= (d == d[lead]) & (s > s[lead])
-    return order, gone, group
-
-
-def find_segments(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Table of FOUND rows for ``docs`` (d, t, text): settled segments (to remove) and pending ones.
-
-    (d, t) name a row: its id and the hash of its text. Rows that repeat both are one document.
-    """
-    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(32, int(total // (_UNITS_PER_BUCKET * (6 if rule.words else 1))))
-
-    def split(batches):
-        import pyarrow as pa
-
-        def flush(parts):
-            doc, s, e, h, y = (np.concatenate([p[k] for p in parts]) for k in range(5))
-            d, t = np.concatenate([p[5] for p in parts]), np.concatenate([p[6] for p in parts])
-            order, gone, _ = _settled(h, y, d[doc], s, rule.same_document)
-            where = np.where(gone, -1 - doc[order] % buckets, (common.mix(h[order]) % np.uint64(buckets)).astype(np.int64))
-            by = np.argsort(where, kind="stable")
-            order, where = order[by], where[by]
-            edge = np.flatnonzero(np.diff(where, prepend=where[:1] - 1)) if len(where) else []
-            blobs = []
-            for a, b in zip(edge, np.append(edge[1:], len(where)), strict=True):
-                own = order[a:b]
-                names, back = np.unique(doc[own], return_inverse=True)
-                more = () if where[a] < 0 else (h[own], y[own])
-                blobs.append(pickle.dumps((d[names], t[names], back.astype(np.uint32), s[own].astype(np.uint32), (e - s)[own].astype(np.uint16 if rule.size < 20_000 else np.uint32), *more), 5))
-            return pa.RecordBatch.from_arrays([pa.array(where[edge].astype(np.int64)), pa.array(blobs, pa.binary())], ["bucket", "blob"])
-
-        parts, held = [], 0
-        for batch, lo, hi in common.chunks(batches, _UNITS_AT_ONCE * (3 if rule.words else 1)):
-            values, first = units_of(common.text_bytes(batch, lo, hi), rule.words)
-            doc, s, e, h, y = segments(values, first, rule)
-            base = sum(len(p[5]) for p in parts)
-            own = lambda c: batch.column(c).slice(lo, hi - lo).to_numpy()
-            parts.append((doc + base, s, e, h, y, own("d"), own("t")))
-            held += len(s)
-            if held > 600_000:
-                yield flush(parts)
-                parts, held = [], 0
-        if held:
-            yield flush(parts)
-
-    def settle(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = [pickle.loads(b) for b in frame["blob"]]
-        at = lambda k: np.concatenate([p[k] for p in parts])
-        d, t = np.concatenate([p[0][p[2]] for p in parts]), np.concatenate([p[1][p[2]] for p in parts])
-        s, e = at(3).astype(np.int64), at(4).astype(np.int64)
-        e += s
-        if frame["bucket"].iat[0] < 0:
-            return pd.DataFrame({"pending": False, "d": d, "t": t, "s": s, "e": e, "h": 0})
-        h, y = at(5), at(6)
-        order, gone, group = _settled(h, y, d, s, rule.same_document)
-        h = h[order]
-        new = np.ones(len(h), bool)
-        new[1:] = h[1:] != h[:-1]
-        number = np.cumsum(new) - 1
-        last = np.append(np.flatnonzero(new)[1:], len(h)) - 1
-        several = (group[last] > group[np.flatnonzero(new)])[number]
-        keep = gone | several
-        order = order[keep]
-        return pd.DataFrame({"pending": ~gone[keep], "d": d[order], "t": t[order], "s": s[order], "e": e[order], "h": h[keep].view(np.int64)})
-
-    dealt = docs.mapInArrow(split, "bucket long, blob binary")
-    return common.materialise(dealt.groupBy("bucket").applyInPandas(settle, FOUND), "segments")
-
-
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(d, t, text): id (nulls as the smallest), hash of the text, text (null: empty)."""
-    return docs.select(common.id_key(id_col).alias("d"), F.xxhash64(common.text_of(text_col)).alias("t"), common.text_of(text_col).alias("text"))
-
-
-def settle_pending(docs: DataFrame, found: DataFrame, rule: Rule, solve, hot: int = 20_000) -> DataFrame:
-    """(d, t, s, e) of the windows of pending segments that start earlier somewhere.
-
-    Pending segments are cut out of their texts and dealt by their gram. A gram with more than ``hot`` of
-    them (the edges of a passage that a large share of all texts has) is split: its segments are cut into
-    single windows, equal ones are combined in each task and dealt by what they hold. ``solve`` gets lists
-    of (gram, d, t, s, units as bytes) in which equal windows have met.
-    """
-    pending = found.where("pending")
-    often = pending.groupBy("h").count().where(F.col("count") > hot).select(F.col("h").alias("hot_h"))
-    size = found.agg(F.count_if("pending")).first()[0]
-    if size // max(hot, 1) <= 1_000_000:  # no more grams than that can be hot
-        often = F.broadcast(often)
-    marked = pending.join(often, F.col("h") == F.col("hot_h"), "left")
-    places = marked.groupBy("d", "t").agg(F.collect_list(F.struct("s", "e", "h", F.col("hot_h").isNotNull().alias("hot"))).alias("places"))
-    buckets = max(32, size // 30_000)
-    texts = docs.join(places, ["d", "t"]).select("d", "t", "text", "places")
-
-    def cut(batches):
-        import pyarrow as pa
-        import xxhash
-
-        def flush(rows, single):
-            first: dict[tuple[int, bytes], tuple] = {}
-            gone = []
-            for h, d, t, s, data in single:
-                lead = first.setdefault((h, data), (d, s, t))
-                if lead[:2] == (d, s):
-                    continue
-                if (d, s) < lead[:2]:
-                    first[h, data], lead, (d, s, t) = (d, s, t), (d, s, t), lead
-                if d > lead[0] or rule.same_document:
-                    gone.append((d, t, s))
-                else:
-                    rows.append((h, d, t, s, data, xxhash.xxh64_intdigest(data) % buckets))
-            rows += [(h, d, t, s, data, xxhash.xxh64_intdigest(data) % buckets) for (h, data), (d, s, t) in first.items()]
-            by: dict[int, list] = {}
-            for *row, bucket in rows:
-                by.setdefault(bucket, []).append(tuple(row))
-            for d, t, s in gone:
-                by.setdefault(-1 - d % buckets, []).append((0, d, t, s, b""))
-            return pa.RecordBatch.from_arrays([pa.array(list(by), pa.int64()), pa.array([pickle.dumps(r, 5) for r in by.values()], pa.binary())], ["bucket", "blob"])
-
-        rows, single, held = [], [], 0
-        for batch in batches:
-            for d, t, text, places in zip(*(batch.column(c) for c in ("d", "t", "text", "places")), strict=True):
-                d, t, data = d.as_py(), t.as_py(), text.as_buffer().to_pybytes() if text.is_valid else b""
-                if rule.words:
-                    a, b = (x.tolist() for x in word_bounds(data))
-                for p in places.as_py():
-                    s, e, h = p["s"], p["e"], p["h"]
-                    if not p["hot"]:
-                        piece = data[a[s] : b[e - 1]] if rule.words else data[s:e]
-                        rows.append((h, d, t, s, b" ".join(piece.split()) if rule.words else piece, h % buckets))
-                        held += len(piece)
-                        continue
-                    for k in range(s, e - rule.size + 1):
-                        piece = data[a[k] : b[k + rule.size - 1]] if rule.words else data[k : k + rule.size]
-                        single.append((h, d, t, k, b" ".join(piece.split()) if rule.words else piece))
-                        held += len(piece)
-                if held > 8_000_000:
-                    yield flush(rows, single)
-                    rows, single, held = [], [], 0
-        if held:
-            yield flush(rows, single)
-
-    def settle(frame: pd.DataFrame) -> pd.DataFrame:
-        pieces = [p for b in frame["blob"] for p in pickle.loads(b)]
-        if frame["bucket"].iat[0] < 0:
-            gone = [(d, t, s) for _, d, t, s, _ in pieces]
-        else:
-            gone = solve(pieces, rule)
-        out = pd.DataFrame(gone, columns=["d", "t", "s"]).astype("int64")
-        out["e"] = out["s"] + rule.size
-        return out
-
-    dealt = texts.mapInArrow(cut, "bucket long, blob binary")
-    return common.materialise(dealt.groupBy("bucket").applyInPandas(settle, "d long, t long, s long, e long"), "windows")
+    return doc, start - first[doc], end - first[doc], grams[place[start]]
 
 
-def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return common.word_spans(np.frombuffer(data, np.uint8))
+def keyed(docs: DataFrame, id_col: str, text_col: str, carry: dict[str, str] | None = None) -> DataFrame:
+    """(doc_id, d, t, text): id, id with nulls as the smallest, hash of the text, text (null: empty), and columns to carry."""
+    text = common.text_of(text_col)
+    more = [F.col(c).alias(n) for c, n in (carry or {}).items()]
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), common.id_key(id_col).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"), *more)
 
 
-def with_ranges(docs: DataFrame, found: DataFrame, windows: DataFrame) -> DataFrame:
-    """``docs`` (which have d, t and text) with ``ranges``: what to remove from each, null where nothing."""
-    both = found.where("not pending").select("d", "t", "s", "e").union(windows)
-    ranges = both.groupBy("d", "t").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
+def with_ranges(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` of ``keyed`` with ``ranges``: what to remove from each (``found``: d, t, s, e), null where nothing."""
+    ranges = found.groupBy("d", "t").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
     return docs.join(ranges, ["d", "t"], "left")
 
 

@@ -1,11 +1,15 @@
-"""Repeated-substring removal by prefix doubling.
-
-Comparing suffixes needs no more than ``size`` bytes of each, and a suffix drops out as soon as its prefix
-is unique. The first rank is that of a ``gram``-byte prefix, taken only at one position in about 15 (see
-``repeats``): Spark groups positions by it, and those alone in their group, most of the corpus, are done.
-Segments that recur as a whole are settled there. Positions of the remaining segments are ranked by prefix
-doubling within the groups: ranks of 8 bytes, then pairs of ranks at offsets 8, 16 and 18 give ranks of 16,
-32 and 50 bytes, and after each round positions with a unique rank drop out.
+"""Repeated-substring removal by distributed prefix doubling.
+
+Two suffixes need comparing over ``size`` bytes at most, and a position drops out as soon as the prefix ranked
+so far is that of one document alone. Ranks of the first ``gram`` bytes are taken at one position in about 15,
+the anchors of ``repeats``, which every repeat has at equal places; shards of these ranks drop the unique
+ones, most of the corpus. Equal stretches around an anchor are a class: its member in the smallest document
+represents it, and all windows of the members in other documents recur.
+
+The windows of what is left, representatives with an anchor that has other surroundings elsewhere, are ranked
+by Spark. In each round it groups positions by the pair of their rank and the name of the bytes at the next
+offset (20, then 40), which ranks their longer prefixes; positions whose pair no other document has drop out,
+the others go on with the new rank until it covers ``size`` bytes.
 """
 
 from __future__ import annotations
@@ -16,68 +20,166 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.llm import repeats
+from isohyet.llm import common, repeats
 from isohyet.llm.repeats import Rule
 
-WINDOW = Rule(size=50, gram=20, words=False, same_document=False)
-
-
-def _ranks(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Dense ranks of the keys, and whether each key occurs more than once."""
-    _, rank, times = np.unique(keys, return_inverse=True, return_counts=True)
-    return rank.astype(np.uint64), times[rank] > 1
-
-
-def doubling(data: np.ndarray, start: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, rank) of those of ``start`` whose ``size`` bytes in ``data`` occur at another start too."""
-    length = 8
-    view = np.lib.stride_tricks.sliding_window_view(data, length)
-    rank = np.zeros(len(data) + size, np.uint64)
-    # a start needs the ranks at its later halves too, so ranks are kept for all bytes that windows cover
-    cover = np.zeros(len(data) + 1, np.int32)
-    np.add.at(cover, start, 1)
-    np.add.at(cover, start + size - length + 1, -1)
-    at = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
-    rank[at], _ = _ranks(np.ascontiguousarray(view[at]).view(np.uint64)[:, 0])
-    while length < size and len(start):
-        step = min(length, size - length)
-        reach = length + step
-        cover = np.zeros(len(data) + 1, np.int32)
-        np.add.at(cover, start, 1)
-        np.add.at(cover, start + size - reach + 1, -1)
-        at = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
-        pairs = rank[at] << np.uint64(32) | rank[at + step]
-        new, several = _ranks(pairs)
-        rank[at] = new
-        twice = np.zeros(len(data), bool)
-        twice[at] = several
-        start = start[twice[start]]  # a unique prefix ends it
-        length = reach
-    return start, rank[start]
-
-
-def solve(pieces: list[tuple], rule: Rule) -> list[tuple[int, int, int]]:
-    """(d, t, s) of every window that also starts in a document with a smaller d."""
-    lengths = np.array([len(p[4]) for p in pieces])
-    base = np.cumsum(lengths) - lengths
-    data = np.frombuffer(b"".join([p[4] for p in pieces]) + bytes(8), np.uint8)
-    windows = lengths - rule.size + 1
-    piece = np.repeat(np.arange(len(pieces)), windows)
-    start = np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows) + base[piece]
-    at, rank = doubling(data, start, rule.size)
-    if not len(at):
-        return []
-    piece = np.searchsorted(base, at, "right") - 1
-    d = np.array([p[1] for p in pieces], np.int64)[piece]
-    order = np.lexsort((d, rank))
-    at, rank, d, piece = at[order], rank[order], d[order], piece[order]
-    new = np.ones(len(rank), bool)
-    new[1:] = rank[1:] != rank[:-1]
-    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    gone = np.flatnonzero(d > d[lead])
-    t = np.array([p[2] for p in pieces], np.int64)[piece[gone]]
-    s = np.array([p[3] for p in pieces], np.int64)[piece[gone]] + at[gone] - base[piece[gone]]
-    return np.stack([d[gone], t, s], 1)
+WINDOW = Rule(size=50, gram=20, words=False)
+_BYTES_AT_ONCE = 1_500_000
+_STRETCHES = 600_000
+
+
+def _earlier(h, y, d):
+    """(order, gone, group): rows sorted by (h, y, d), which of them have an equal stretch in a document before, and
+    the number of their (h, y)."""
+    order = np.lexsort((d, y, h))
+    h, y, d = h[order], y[order], d[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (y[1:] != y[:-1])
+    group = np.cumsum(new) - 1
+    return order, d > d[np.flatnonzero(new)[group]] if len(h) else new[:0], group
+
+
+def find_stretches(docs: DataFrame, rule: Rule, bytes_per_shard: int = 6_000_000) -> DataFrame:
+    """(pending, d, t, s, e) for ``docs`` (d, t, text): stretches that an earlier document has (to remove) and
+    representatives whose anchor has other surroundings elsewhere (pending).
+
+    (d, t) name a row: its id and the hash of its text. Rows that repeat both are one document. A task sends a
+    shard one row of arrays for each ``_STRETCHES`` that it cuts; stretches that recur inside a task are settled there.
+    """
+    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(64, int(total // bytes_per_shard))
+    names = ("d", "t", "doc", "s", "n", "h", "y")
+
+    def split(batches):
+        import pyarrow as pa
+        import xxhash
+
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+
+        def flush(parts):
+            doc, s, e, h, y = (np.concatenate([p[k] for p in parts]) for k in range(5))
+            d, t = np.concatenate([p[5] for p in parts]), np.concatenate([p[6] for p in parts])
+            order, gone, _ = _earlier(h, y, d[doc])
+            where = np.where(gone, -1 - doc[order] % shards, (common.mix(h[order]) % np.uint64(shards)).astype(np.int64))
+            by = np.argsort(where, kind="stable")
+            order, where = order[by], where[by]
+            edge = np.flatnonzero(np.diff(where, prepend=where[0] - 1))
+            columns = [[] for _ in names]
+            for a, b in zip(edge, np.append(edge[1:], len(where)), strict=True):
+                own = order[a:b]
+                docs_of, back = np.unique(doc[own], return_inverse=True)
+                settled = where[a] < 0
+                for column, x in zip(columns, (d[docs_of], t[docs_of], back, s[own], (e - s)[own], h[own[:0] if settled else own].view(np.int64), y[own[:0] if settled else own].view(np.int64)), strict=True):
+                    column.append(x)
+            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, c)]), pa.int32()), pa.array(np.concatenate(c), kind)) for c, kind in zip(columns, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(where[edge].astype(np.int64)), *lists], ["shard", *names])
+
+        parts, held, base = [], 0, 0
+        for batch, lo, hi in common.chunks(batches, _BYTES_AT_ONCE):
+            own = batch.take(pa.array(np.arange(lo, hi)))
+            data, first = repeats.units_of(own.column("text"), rule)
+            doc, s, e, h = repeats.stretches(data, first, rule)
+            whole, digest = data.tobytes(), xxhash.xxh64_intdigest
+            y = np.fromiter((digest(whole[a:b]) for a, b in zip((first[doc] + s).tolist(), (first[doc] + e).tolist(), strict=True)), np.uint64, len(s))
+            parts.append((doc + base, s, e, h, y, own.column("d").to_numpy(), own.column("t").to_numpy()))
+            held, base = held + len(s), base + own.num_rows
+            if held > _STRETCHES:
+                yield flush(parts)
+                parts, held, base = [], 0, 0
+        if held:
+            yield flush(parts)
+
+    def settle(table):
+        import pyarrow as pa
+
+        columns = {c: table.column(c).combine_chunks() for c in names}
+        size = np.diff(columns["s"].offsets.to_numpy())
+        base = np.repeat(columns["d"].offsets.to_numpy()[:-1], size)
+        flat = {c: x.values.to_numpy() for c, x in columns.items()}
+        at = flat["doc"] + base
+        d, t, s, e = flat["d"][at], flat["t"][at], flat["s"], flat["s"] + flat["n"]
+        if table.column("shard")[0].as_py() < 0:
+            keep, pending = np.arange(len(d)), np.zeros(len(d), bool)
+        else:
+            h, y = flat["h"].view(np.uint64), flat["y"].view(np.uint64)
+            order, gone, group = _earlier(h, y, d)
+            new = np.ones(len(h), bool)
+            new[1:] = h[order][1:] != h[order][:-1]
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(h)) - 1
+            several = (group[last] > group[first])[np.cumsum(new) - 1]
+            keep, pending = order[gone | several], ~gone[gone | several]
+        return pa.table([pa.array(pending), pa.array(d[keep]), pa.array(t[keep]), pa.array(s[keep]), pa.array(e[keep])], ["pending", "d", "t", "s", "e"])
+
+    schema = "shard long, d array<long>, t array<long>, doc array<int>, s array<int>, n array<int>, h array<long>, y array<long>"
+    dealt = docs.select("d", "t", "text").mapInArrow(split, schema).repartition(shards, "shard")
+    return common.materialise(dealt.groupBy("shard").applyInArrow(settle, "pending boolean, d long, t long, s int, e int"), "stretches")
+
+
+def positions(docs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
+    """(d, t, p, rank, next, last) of each window of the pending stretches: where it starts, and 64-bit names of its
+    bytes from 0 to 20, 20 to 40 and 40 to 50 (of ``gram`` bytes each and the rest).
+
+    Of equal windows in a task those after the first document are decided there; they have no names.
+    """
+    cuts = list(range(0, rule.size, rule.gram))
+    if len(cuts) != 3:
+        raise ValueError("a window must be three grams, the last of which may be shorter")
+    places = found.where("pending").groupBy("d", "t").agg(F.collect_list(F.struct("s", "e")).alias("places"))
+
+    def run(batches):
+        import pyarrow as pa
+        import xxhash
+
+        digest = xxhash.xxh64_intdigest
+
+        def flush(parts):
+            d, t, p = (np.concatenate([x[k] for x in parts]) for k in range(3))
+            names = [np.concatenate([x[3][k] for x in parts]) for k in range(3)]
+            order = np.lexsort((d, *names))
+            new = np.ones(len(order), bool)
+            new[1:] = np.logical_or.reduce([n[order][1:] != n[order][:-1] for n in names])
+            lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+            decided = np.zeros(len(order), bool)
+            decided[order] = d[order] > d[order][lead]
+            return pa.RecordBatch.from_arrays([pa.array(d), pa.array(t), pa.array(p.astype(np.int32)), *(pa.array(n.view(np.int64), mask=decided) for n in names)], ["d", "t", "p", "rank", "next", "last"])
+
+        parts, held = [], 0
+        for batch in batches:
+            places = batch.column("places")
+            starts, s, e = places.offsets.to_numpy(), places.values.field("s").to_numpy(), places.values.field("e").to_numpy()
+            for row, (d, t) in enumerate(zip(batch.column("d").to_pylist(), batch.column("t").to_pylist(), strict=True)):
+                data = batch.column("text")[row].as_buffer().to_pybytes()
+                own = slice(starts[row], starts[row + 1])
+                p = np.unique(np.concatenate([np.arange(a, b - rule.size + 1) for a, b in zip(s[own].tolist(), e[own].tolist(), strict=True)]))
+                at = p.tolist()
+                names = [np.fromiter((digest(data[i + a : i + b]) for i in at), np.uint64, len(at)) for a, b in zip(cuts, [*cuts[1:], rule.size], strict=True)]
+                parts.append((np.full(len(p), d, np.int64), np.full(len(p), t, np.int64), p, names))
+                held += len(p)
+                if held > 500_000:
+                    yield flush(parts)
+                    parts, held = [], 0
+        if parts:
+            yield flush(parts)
+
+    cut = docs.select("d", "t", "text").join(places, ["d", "t"]).mapInArrow(run, "d long, t long, p int, rank long, next long, last long")
+    return common.materialise(cut, "positions")
+
+
+def reranked(at: DataFrame, offset: str) -> DataFrame:
+    """``at`` without the positions whose (rank, ``offset``) only one document has; the others get the rank of the pair."""
+    pairs = at.groupBy("rank", offset).agg(F.min("d").alias("first"), F.max("d").alias("final")).where("first < final")
+    pairs = pairs.select(F.col("rank").alias("p_rank"), F.col(offset).alias("p_next"), "first")
+    met = at.drop("first").join(pairs, (F.col("rank") == F.col("p_rank")) & (F.col(offset) == F.col("p_next")))
+    return met.select("d", "t", "p", F.xxhash64("rank", offset).alias("rank"), *[c for c in ("last",) if c != offset], "first")
+
+
+def later_windows(at: DataFrame, rule: Rule) -> DataFrame:
+    """(d, t, s, e) of the windows of ``positions`` that start in a document with a smaller d too."""
+    decided = at.where("rank is null").select("d", "t", "p")
+    once = common.materialise(reranked(at.where("rank is not null"), "next"), "ranks")
+    twice = reranked(once, "last").where("d > first").select("d", "t", "p")
+    return decided.unionAll(twice).select("d", "t", F.col("p").alias("s"), (F.col("p") + rule.size).alias("e"))
 
 
 def remove_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rule: Rule = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -87,12 +189,11 @@ def remove_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     text (not from the digest). Null texts are empty; a null id stays null and counts as the smallest; rows
     with one id never repeat each other. Empty in, empty out.
     """
-    keyed = repeats.keyed(docs, id_col, text_col)
-    found = repeats.find_segments(keyed, rule)
-    windows = repeats.settle_pending(keyed, found, rule, solve)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    held = [f"__c{i}" for i in range(len(carry))]
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("d"), F.xxhash64(text).alias("t"), text.alias("text"), *[F.col(c).alias(n) for c, n in zip(carry, held, strict=True)])
+    held = {c: f"__c{i}" for i, c in enumerate(carry)}
+    named = repeats.keyed(docs, id_col, text_col, held)
+    found = find_stretches(named, rule)
+    at = positions(named, found, rule)
+    gone = found.where("not pending").select("d", "t", "s", "e").unionAll(later_windows(at, rule))
 
     def run(batches):
         import pyarrow as pa
@@ -108,8 +209,8 @@ def remove_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 n_gone.append(int(gone.sum()))
                 n_spans.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
                 names.append(hashlib.sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(n_bytes, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(names), *(batch.column(c) for c in held)], ["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", *held])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(n_bytes, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(names), *(batch.column(c) for c in held.values())], ["doc_id", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", *held.values()])
 
-    kinds = "".join(f", {n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(carry, held, strict=True))
-    cut = repeats.with_ranges(named, found, windows).select("doc_id", "text", "ranges", *held).mapInArrow(run, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + kinds)
-    return cut.withColumnsRenamed(dict(zip(held, carry, strict=True)))
+    kinds = "".join(f", {n} {docs.schema[c].dataType.simpleString()}" for c, n in held.items())
+    cut = repeats.with_ranges(named, gone).select("doc_id", "text", "ranges", *held.values()).mapInArrow(run, "doc_id long, text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + kinds)
+    return cut.withColumnsRenamed({n: c for c, n in held.items()})

@@ -5,7 +5,7 @@ import random
 import pytest
 from brute import components, contamination, phrases, substrings
 
-from isohyet.llm import backoff, common, decontamination, packing, phrases as phrase_op, quality, repeats, simhash, sitetree, sketches, suffixes, warc
+from isohyet.llm import backoff, common, decontamination, packing, phrases as phrase_op, quality, simhash, sitetree, sketches, suffixes, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, d string, t string, h string, s string, e string, key string, w string, fp string, row string, bucket string, hash string, text_key string, ranges string, size string, pos string, noise string"
 WORDS = [f"w{i}" for i in range(300)]
@@ -214,15 +214,25 @@ def test_substrings(docs, none):
 
 
 @pytest.mark.parametrize("hot", [0, 3])
-def test_hot_grams_are_split_without_loss(spark, hot):
-    texts = [(i, f"{prose(i, 12)} {SHARED} {prose(1000 + i, 12)}") for i in range(25)]
-    docs = repeats.keyed(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")
-    for rule, solve, brute in ((suffixes.WINDOW, suffixes.solve, substrings), (phrase_op.WINDOW, phrase_op.locate, phrases)):
-        found = repeats.find_segments(docs, rule)
-        gone = {}
-        for r in [*found.where("not pending").collect(), *repeats.settle_pending(docs, found, rule, solve, hot=hot).collect()]:
-            gone.setdefault(r.d, set()).update(range(r.s, r.e))
-        assert {d: len(gone.get(d, ())) for d, _ in texts} == {d: v[1] for d, v in brute(texts).items()}
+def test_hot_anchors_are_split_without_loss(spark, hot):
+    texts = [(i, f"{prose(i, 12)} {SHARED} {prose(1000 + i, 12)}") for i in range(25)] + [(100, f"{prose(1, 9)} {PAIR[0]} {prose(2, 11)}"), (101, f"{prose(1, 9)} {PAIR[1]} {prose(2, 11)}")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = phrase_op.remove_phrases(docs, hot=hot, shard_places=40).collect()
+    assert by_id(got, "n_words", "n_removed", "kept_sha256") == phrases(texts)
+    got = suffixes.remove_substrings(docs).collect()
+    assert by_id(got, "n_bytes", "n_removed", "n_spans", "kept_sha256") == substrings(texts)
+
+
+def test_passages_with_many_surroundings(spark):
+    """Passages of just under and over a window between random words, overlapping themselves, and at ends of texts."""
+    r, texts = random.Random(8), []
+    bits = [prose(40 + k, 19 + k) for k in range(4)] + ["a b " * 30, "x" * 49, "x" * 130]
+    for i in range(60):
+        parts = [r.choice([prose(i * 10 + k, r.randrange(1, 15)), r.choice(bits), r.choice(bits)[: r.randrange(20, 160)]]) for k in range(r.randrange(1, 6))]
+        texts.append((i, " ".join(parts)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    assert by_id(phrase_op.remove_phrases(docs).collect(), "n_words", "n_removed", "kept_sha256") == phrases(texts)
+    assert by_id(suffixes.remove_substrings(docs).collect(), "n_bytes", "n_removed", "n_spans", "kept_sha256") == substrings(texts)
 
 
 def test_warc(spark, tmp_path):
