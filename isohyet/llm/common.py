@@ -77,15 +77,21 @@ def session_settings(spark: SparkSession, **values: str):
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back: cuts lineage, frees its shuffles."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/isohyet-{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     with session_settings(spark, **{_CLEAN_SHUFFLES.replace(".", "__"): "true"}):
         df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._isohyet_path = path
-    _made.add(path)
     return out
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A name in the shared folder that nothing has yet; ``discard_all`` deletes it."""
+    path = f"{shared_dir(spark)}/isohyet-{label}-{uuid.uuid4().hex}"
+    _made.add(path)
+    return path
+
+
 def _delete(spark: SparkSession, name: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

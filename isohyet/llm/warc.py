@@ -2,8 +2,10 @@
 
 ``spark.read.format("warc")`` plans partitions over files (small ones together), takes predicates on
 record_type, target_uri, payload_digest and page_id down to the reader, parses a record's headers first
-and passes over the payload of a record that the predicates reject. ``df.write.format("warc")`` writes
-one archive per task. Files are reached through pyarrow's file systems, so the path may be on any store
+and passes over the payload of a record that the predicates reject, without unpacking it: every gzip member
+says in its header how long it is (an extra field that other readers ignore). The option ``payload`` is
+true, false (payloads are passed over) or digest (they are read and checked against their header, not
+returned). ``df.write.format("warc")`` writes one archive per task. Files are reached through pyarrow's file systems, so the path may be on any store
 that the cluster shares.
 """
 
@@ -12,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import struct
 import uuid
 import zlib
 from dataclasses import dataclass, field
@@ -53,10 +56,17 @@ def record(page_id, url, payload: bytes | None, payload_bytes: int, payload_dige
         head["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
         head["X-Refers-To-Page-ID"] = refers_to
     data = b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
-    if not compress:
-        return data
-    packer = zlib.compressobj(1, zlib.DEFLATED, 31)
-    return packer.compress(data) + packer.flush()
+    return member(data) if compress else data
+
+
+#: Flags and bytes of a gzip header (RFC 1952) with an extra field 'ML' of 8 bytes: the length of the whole member.
+_HEAD = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x0c\0ML\x08\0"
+
+
+def member(data: bytes) -> bytes:
+    packer = zlib.compressobj(1, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    return _HEAD + struct.pack("<Q", len(_HEAD) + 16 + len(body)) + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
 
 
 def _fs(path: str):
@@ -69,28 +79,37 @@ class _Stream:
     """Forward reading of a file or, member by member, of a gzip file."""
 
     def __init__(self, raw, packed: bool):
-        self.raw, self.packed, self.buffer, self.unzip = raw, packed, b"", zlib.decompressobj(31)
+        self.raw, self.packed, self.buffer = raw, packed, b""
+        self.rest = b""  # packed bytes that were read but not unpacked
+        self.unzip, self.ends = None, None  # the member that is open, and where it ends in the file if it says so
 
     def _more(self) -> bool:
-        data = self.raw.read(_BLOCK)
-        if self.packed:
-            out = []
-            while data:
-                out.append(self.unzip.decompress(data))
-                data = self.unzip.unused_data
-                if self.unzip.eof:
-                    self.unzip = zlib.decompressobj(31)
-            got = b"".join(out)
-            ended = not out
-        else:
-            got, ended = data, not data
-        self.buffer += got
-        return not ended
+        data = self.rest or self.raw.read(_BLOCK)
+        self.rest = b""
+        if not self.packed:
+            self.buffer += data
+            return bool(data)
+        if not data:
+            if self.unzip:
+                raise EOFError("archive ends inside a record")
+            return False
+        if not self.unzip:
+            if len(data) < len(_HEAD) + 8:
+                data += self.raw.read(_BLOCK)
+            self.unzip, self.ends = zlib.decompressobj(31), None
+            if data.startswith(_HEAD):
+                self.ends = self.raw.tell() - len(data) + struct.unpack_from("<Q", data, len(_HEAD))[0]
+        self.buffer += self.unzip.decompress(data)
+        if self.unzip.eof:
+            self.rest, self.unzip = self.unzip.unused_data, None
+        return True
 
     def head(self) -> list[str] | None:
         """Header lines up to the empty one; None at the end."""
         while (at := self.buffer.find(b"\r\n\r\n")) < 0:
             if not self._more():
+                if self.buffer.strip():
+                    raise EOFError("archive ends inside a header")
                 return None
         head, self.buffer = self.buffer[:at], self.buffer[at + 4 :]
         return head.decode("utf-8", "replace").split("\r\n")
@@ -108,13 +127,24 @@ class _Stream:
         return data[:n]
 
     def skip(self, n: int) -> None:
-        """Pass over n bytes: by seeking where the file is plain, else by unpacking without keeping."""
+        """Pass over the n bytes up to the end of a record: by seeking in a plain file or to the end of a member
+        that says where it ends, else by unpacking without keeping."""
         if n <= len(self.buffer):
             self.buffer = self.buffer[n:]
             return
+        if self.packed and self.unzip and self.ends:
+            if self.ends > self.raw.size():
+                raise EOFError("archive ends inside a record")
+            self.raw.seek(self.ends)
+            self.buffer = self.rest = b""
+            self.unzip = None
+            return
         n -= len(self.buffer)
         self.buffer = b""
         if not self.packed:
+            end = self.raw.size()
+            if self.raw.tell() + n > end:
+                raise EOFError("archive ends inside a record")
             self.raw.seek(n, io.SEEK_CUR)
             return
         while n > len(self.buffer):
@@ -125,8 +155,9 @@ class _Stream:
         self.buffer = self.buffer[n:]
 
 
-def records(raw, packed: bool, wanted, payloads: bool):
-    """Rows of SCHEMA for the records whose headers ``wanted`` accepts."""
+def records(raw, packed: bool, wanted, payloads: str):
+    """Rows of SCHEMA for the records whose headers ``wanted`` accepts. An archive that ends early is an EOFError, a
+    payload that is not what its header says (``payloads`` other than 'false') a ValueError."""
     stream = _Stream(raw, packed)
     while (lines := stream.head()) is not None:
         while lines and not lines[0]:
@@ -147,9 +178,13 @@ def records(raw, packed: bool, wanted, payloads: bool):
         if not wanted(row):
             stream.skip(length + 4)
             continue
-        if payloads and row["record_type"] == "response":
+        if payloads != "false" and row["record_type"] == "response":
             block = stream.take(length)
-            row["payload"] = block[block.index(b"\r\n\r\n") + 4 :]
+            payload = block[block.index(b"\r\n\r\n") + 4 :]
+            said, row["payload_digest"], row["payload_bytes"] = row["payload_digest"], digest(payload), len(payload)
+            if said not in (None, row["payload_digest"]):
+                raise ValueError(f"payload of {row['record_id']} has another digest than its header says")
+            row["payload"] = payload if payloads == "true" else None
             stream.skip(4)
         else:
             stream.skip(length + 4)
@@ -166,7 +201,7 @@ class Files(InputPartition):
 
 class WarcReader(DataSourceReader):
     def __init__(self, options):
-        self.path, self.payloads = options["path"], options.get("payload", "true") == "true"
+        self.path, self.payloads = options["path"], options.get("payload", "true")
         self.together = int(options.get("partitionbytes", 32 << 20))
         self.tests: list[tuple[str, set]] = []
 
@@ -221,16 +256,18 @@ class Written(WriterCommitMessage):
 
 class WarcWriter(DataSourceWriter):
     """Takes page_id, url, html, payload_digest, refers_to. A task writes to a name of its own and the commit
-    gives it the final one, so a retried or lost task leaves no half archive among the results."""
+    gives it the final one, so a retried or lost task leaves no half archive among the results; what such tasks
+    have left goes when the job ends."""
 
     def __init__(self, options, overwrite):
         self.path, self.compress, self.overwrite = options["path"], options.get("compression", "gzip") == "gzip", overwrite
+        self.job = uuid.uuid4().hex
 
     def write(self, rows):
         from pyspark import TaskContext
 
         store, root = _fs(self.path)
-        name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc" + ".gz" * self.compress
+        name = f"part-{self.job}-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc" + ".gz" * self.compress
         store.create_dir(root, recursive=True)
         with store.open_output_stream(f"{root}/.{name}", compression=None) as out:
             for row in rows:
@@ -249,12 +286,17 @@ class WarcWriter(DataSourceWriter):
         for m in messages:
             if m:
                 store.move(f"{m.path}/.{m.name}", f"{m.path}/{m.name}")
+        self._clean(store, root)
 
     def abort(self, messages):
-        store, _ = _fs(self.path)
-        for m in messages:
-            if m:
-                store.delete_file(f"{m.path}/.{m.name}")
+        self._clean(*_fs(self.path))
+
+    def _clean(self, store, root):
+        from pyarrow import fs
+
+        for i in store.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+            if i.base_name.startswith(f".part-{self.job}-"):
+                store.delete_file(i.path)
 
 
 class WarcSource(DataSource):
@@ -277,17 +319,21 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def with_revisits(pages: DataFrame, *, least_bytes: int = 0) -> DataFrame:
+def with_revisits(pages: DataFrame, *, least_bytes: int = 0, broadcast_rows: int = 500_000) -> DataFrame:
     """page_id, url, html, revisit, refers_to: which pages repeat a payload of at least ``least_bytes``.
 
     Of rows with equal payloads those with the largest page_id are responses, all others revisit it; a
     null id sorts below all others, and where no row of a group has an id all are responses. A null html
-    is an empty payload. Repeated rows are decided alike.
+    is an empty payload. Repeated rows are decided alike. Payloads stay where they are if at most
+    ``broadcast_rows`` of them (40 bytes of digest and an id each) occur more than once.
     """
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     keyed = source.withColumn("sha", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
     light = keyed.where(F.octet_length(F.coalesce("html", F.lit(""))) >= least_bytes).groupBy("sha").agg(F.max("page_id").alias("top"), F.count("*").alias("n")).where("n > 1 and top is not null")
-    found = keyed.join(light.select(F.col("sha").alias("g_sha"), "top"), F.col("sha") == F.col("g_sha"), "left")
+    light = common.materialise(light.select(F.col("sha").alias("g_sha"), "top"), "payloads")
+    if light.count() <= broadcast_rows:
+        light = F.broadcast(light)
+    found = keyed.join(light, F.col("sha") == F.col("g_sha"), "left")
     revisit = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
     return found.select("page_id", "url", "html", revisit.alias("revisit"), F.when(revisit, F.col("top")).alias("refers_to"))
 
@@ -298,7 +344,7 @@ def write_pages(pages: DataFrame, path: str, *, compression: str = "gzip", least
     with_revisits(pages, least_bytes=least_bytes).write.format("warc").mode("append").option("compression", compression).save(path)
 
 
-def read_archives(spark: SparkSession, path: str, *, payload: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, *, payload: bool | str = True) -> DataFrame:
     register(spark)
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
 
@@ -306,22 +352,9 @@ def read_archives(spark: SparkSession, path: str, *, payload: bool = True) -> Da
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` to archives in the shared folder and read them back: one row per page.
 
-    Lengths and digests of responses are taken from the payload as read, those of revisits from their headers.
+    Lengths and digests of responses are those of the payload as read, those of revisits are from their headers.
     """
     spark = pages.sparkSession
-    path = f"{common.shared_dir(spark)}/isohyet-warc-{uuid.uuid4().hex}"
+    path = common.new_path(spark, "warc")
     write_pages(pages, path)
-
-    @F.udf("string", useArrow=False)
-    def base32(sha: bytes | None) -> str | None:
-        return None if sha is None else base64.b32encode(bytes(sha)).decode()
-
-    back = read_archives(spark, path)
-    own = F.col("record_type") == "response"
-    return back.select(
-        "page_id",
-        F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(own, base32(F.unhex(F.sha1("payload")))).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        "refers_to",
-    )
+    return read_archives(spark, path, payload="digest").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

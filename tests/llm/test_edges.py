@@ -249,6 +249,52 @@ def test_warc(spark, tmp_path):
         assert warc.read_archives(spark, path, payload=False).where("payload is not null").count() == 0
     assert "record_type" in read.where("record_type = 'revisit'")._jdf.queryExecution().toString()
     assert warc.round_trip(pages.limit(0)).count() == 0
+    shuffled = warc.with_revisits(pages, broadcast_rows=0).select("page_id", "revisit", "refers_to").collect()
+    assert sorted(map(str, shuffled)) == sorted(map(str, warc.with_revisits(pages).select("page_id", "revisit", "refers_to").collect()))
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_warc_skips_and_ends(packed):
+    """Unwanted payloads are not unpacked, other people's members are read, early ends and wrong payloads raise."""
+    import gzip
+
+    import pyarrow as pa
+
+    class Counting:
+        def __init__(self, data):
+            self.file, self.read_bytes = pa.BufferReader(data), 0
+
+        def read(self, n):
+            data = self.file.read(n)
+            self.read_bytes += len(data)
+            return data
+
+        def __getattr__(self, name):
+            return getattr(self.file, name)
+
+    r = random.Random(1)
+    payloads = [r.randbytes(300_000) for _ in range(20)]
+    made = [warc.record(i, "u", p, len(p), warc.digest(p), None, packed) for i, p in enumerate(payloads)]
+    data = b"".join(made)
+    every, some = lambda row: True, lambda row: row["page_id"] in (3, 17)
+    assert [x["payload"] for x in warc.records(Counting(data), packed, every, "true")] == payloads
+    source = Counting(data)
+    assert [x["payload"] for x in warc.records(source, packed, some, "true")] == [payloads[3], payloads[17]]
+    assert source.read_bytes < 0.5 * len(data)
+    assert [(x["payload_bytes"], x["payload"]) for x in warc.records(Counting(data), packed, some, "digest")] == [(300_000, None)] * 2
+    if packed:
+        assert all(p in gzip.decompress(data) for p in payloads)
+        other = b"".join(gzip.compress(gzip.decompress(m)) for m in made)
+        assert [x["page_id"] for x in warc.records(Counting(other), True, some, "false")] == [3, 17]
+    for cut in (len(made[0]) + 40, len(made[0]) + 200_000, len(data) - 10):
+        for payload in ("true", "false"):
+            if payload == "false" and packed and cut > len(made[0]) + 100:
+                continue  # passed over by seeking
+            with pytest.raises((EOFError, ValueError)):
+                list(warc.records(Counting(data[:cut]), packed, every, payload))
+    bad = warc.record(1, "u", b"one", 3, warc.digest(b"two"), None, packed)
+    with pytest.raises(ValueError):
+        list(warc.records(Counting(bad), packed, every, "digest"))
 
 
 def test_sketches(docs, none):
