@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
 from brute import components, contamination, phrases, substrings
 
 from isohyet.llm import backoff, common, decontamination, packing, phrases as phrase_op, quality, simhash, sitetree, sketches, suffixes, warc
@@ -116,8 +118,8 @@ def test_decontamination(docs, none, items, spark):
             assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == want[r.doc_id]
     two = next(r for r in rows if r.doc_id == 2)
     assert two.n_items == 1 and two.n_hit > want[2][1]
-    shuffled = decontamination.contamination(docs, items, broadcast_limit=0).collect()
-    key = lambda r: (str(r.doc_id), r.n_hit, r.contaminated)
+    shuffled = decontamination.contamination(docs, items, broadcast_bytes=0).collect()
+    key = lambda r: (str(r.doc_id), r.n_words, r.n_hit, r.items_sha256, r.contaminated)
     assert sorted(map(key, rows)) == sorted(map(key, shuffled))
     left = decontamination.decontaminate(docs, items)
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 7, 8, 9, 10, 11]
@@ -127,6 +129,14 @@ def test_decontamination(docs, none, items, spark):
     assert not any(r.contaminated for r in decontamination.contamination(docs, items.limit(0)).collect())
 
 
+def test_words_of_any_characters(spark):
+    from brute import WORD, fold
+
+    texts = ["".join(map(chr, range(300))), "A\0b\x7fC ÀÉ x1_y2", "\x80\u2028z\U0001f600 q", "", "--", "a  b", "0" * 40]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(decontamination.words(F.col("t")).alias("w")).collect()
+    assert [r.w for r in got] == [WORD.findall(fold(t)) for t in texts]
+
+
 def test_simhash(docs, none):
     rows = simhash.near_duplicates(docs).collect()
     assert len(rows) == len(ROWS)
