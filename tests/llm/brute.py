@@ -146,3 +146,87 @@ def similar_groups(docs, similarity=0.8, radius=3):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return {d: find(d) for d in ids}
+
+
+def _id_hash(n):
+    import struct
+
+    import xxhash
+
+    h = xxhash.xxh64_intdigest(struct.pack("<q", n), 42)
+    return h - 2**64 if h >= 2**63 else h
+
+
+class KneserNey:
+    """Interpolated modified Kneser-Ney bigrams of tokenised texts."""
+
+    def __init__(self, texts):
+        self.pairs = Counter(p for t in texts for p in zip([None, *t], t))
+        self.follows, self.left = {}, Counter(w for _, w in self.pairs)
+        for (v, _), c in self.pairs.items():
+            self.follows.setdefault(v, []).append(c)
+        self.d2, self.d1 = self._discounts(self.pairs.values()), self._discounts(self.left.values())
+        total, size = max(1, sum(self.left.values())), len(self.left)
+        self.unknown = (sum(self._cut(a, self.d1) for a in self.left.values()) or 1.0) / total / (size + 1)
+        self.p1 = {w: (a - self._cut(a, self.d1)) / total + self.unknown for w, a in self.left.items()}
+
+    @staticmethod
+    def _discounts(counts):
+        n1, n2, n3, n4 = (sum(c == k for c in counts) for k in (1, 2, 3, 4))
+        if not (n1 and n2 and n3):
+            return 0.5, 0.75, 0.9
+        y = n1 / (n1 + 2 * n2)
+        return max(0.05, 1 - 2 * y * n2 / n1), max(0.05, 2 - 3 * y * n3 / n2), max(0.05, 3 - 4 * y * n4 / n3)
+
+    @staticmethod
+    def _cut(c, d):
+        return d[min(c, 3) - 1]
+
+    def p(self, v, w):
+        low = self.p1.get(w, self.unknown)
+        if v not in self.follows:
+            return low
+        n = sum(self.follows[v])
+        c = self.pairs[v, w]
+        freed = sum(self._cut(x, self.d2) for x in self.follows[v])
+        return (c - self._cut(c, self.d2) if c else 0) / n + freed / n * low
+
+
+def quality(docs, labels, fit_docs=2000, quantile=0.999, margin=3.0, support=0.04):
+    """(perplexity, evidence, keep) of (doc_id, text, lang), with labels (doc_id, quality, toxic); ids are unique."""
+    import regex
+
+    token = regex.compile(r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+")
+    tokens = {d: token.findall((t or "").lower()) for d, t, _ in docs}
+    trusted = {d for d, q, x in labels if q >= 1 and x <= 0}
+    flagged = {d for d, q, x in labels if q < 1 or x > 0}
+    first = lambda ids: set(sorted(ids, key=lambda d: (_id_hash(d), d))[:fit_docs])
+    fit_good, fit_bad = first({d for d in trusted if _id_hash(d) % 2 == 0}), first(flagged)
+    good, bad = KneserNey([tokens[d] for d in fit_good]), KneserNey([tokens[d] for d in fit_bad])
+    gain = {w: max(0.0, math.log(bad.p1[w] / good.p1.get(w, good.unknown)) - margin) for w, a in bad.left.items() if a >= support * len(fit_bad)}
+    score = {}
+    for d, own in tokens.items():
+        lp = sum(math.log(good.p(v, w)) for v, w in zip([None, *own], own))
+        score[d] = (math.exp(-lp / len(own)) if own else None, sum(gain.get(w, 0.0) for w in own))
+
+    def at(values, share):
+        values = sorted(round(x, 4) for x in values)
+        k = share * (len(values) - 1)
+        low = math.floor(k)
+        return values[low] + (k - low) * (values[min(low + 1, len(values) - 1)] - values[low])
+
+    def limits(ids):
+        lp, n = [math.log(score[d][0]) for d in ids], len(ids)
+        low, mid, high = (at(lp, x) for x in (1 - quantile, 0.5, quantile))
+        slack = 6 / math.sqrt(n)
+        return math.exp(low - (mid - low) * slack), math.exp(high + (high - mid) * slack), at([score[d][1] for d in ids], quantile) * (1 + slack)
+
+    unseen = [d for d in trusted - fit_good - fit_bad if score[d][0] is not None]
+    lang = {d: x for d, _, x in docs}
+    by = {x: limits([d for d in unseen if lang[d] == x]) for x in {lang[d] for d in unseen} if x is not None}
+    overall = limits(unseen) if unseen else (0.0, math.inf, math.inf)
+    out = {}
+    for d, (perplexity, evidence) in score.items():
+        low, high, most = by.get(lang[d], overall)
+        out[d] = (perplexity, evidence, perplexity is not None and low <= perplexity <= high and evidence <= most)
+    return out

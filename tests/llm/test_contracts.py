@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from brute import base_scores, components, contamination, phrases, scores, substrings
+from brute import base_scores, components, contamination, phrases, quality, scores, substrings
 
 from isohyet.llm import queries
 
@@ -107,3 +107,15 @@ def test_op9_matches_brute_force(spark, docs):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, n, known, total)
         assert r["base_score"] == pytest.approx(base, rel=1e-9)
         assert r["score"] == pytest.approx(model[r["doc_id"]], rel=1e-9)
+
+
+def test_op7_matches_brute_force(spark):
+    tables = [spark.read.parquet(f"{SF}/{t}.parquet").collect() for t in ("documents", "labels")]
+    want = quality([(r.doc_id, r.text, r.lang) for r in tables[0]], [(r.doc_id, r.quality, r.toxic) for r in tables[1]])
+    found = rows(spark, "op7_quality")
+    assert len(found) == len(want)
+    for r in found:
+        perplexity, evidence, keep = want[r["doc_id"]]
+        assert r["perplexity"] == (perplexity if perplexity is None else pytest.approx(perplexity, rel=1e-9))
+        assert r["evidence"] == pytest.approx(evidence, rel=1e-9, abs=1e-9) and r["keep"] == keep
+    assert 0 < sum(r["keep"] for r in found) < len(found)

@@ -391,6 +391,8 @@ def test_quality(docs, none, spark):
     assert not any(r.keep for r in rows if r.doc_id in (3, 4, 5)) and all(r.perplexity is None for r in rows if r.doc_id in (3, 4, 5))
     assert quality.keep_good(docs, labels).columns == docs.columns
     assert quality.assess(none, labels).count() == 0
+    key = lambda r: (str(r.doc_id), r.lang, r.n_tokens, round(r.perplexity or 0, 9), round(r.evidence, 9), r.keep)
+    assert sorted(map(str, map(key, quality.assess(docs, labels, broadcast_limit=0).collect()))) == sorted(map(str, map(key, rows)))  # by shuffles
     free = quality.assess(docs, labels.limit(0)).collect()
     assert all(r.keep for r in free if r.n_tokens)
 
