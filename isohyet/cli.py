@@ -7,15 +7,17 @@ from __future__ import annotations
 
 import argparse
 
+import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from isohyet.operators import annual
 from isohyet.operators.regions import resolve_region, touched
 from isohyet.plans.config import Settings
 from isohyet.plans.run import NEEDS, Run, wanted_indices
 from isohyet.sources import tables
 
-STAGES = ("daily", "normals", "anomalies", "indices", "all")
+STAGES = ("daily", "agromet", "normals", "anomalies", "indices", "annual", "all")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -51,19 +53,31 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     long = tables.read_hourly(spark, args.input, years=years).where(F.col("variable").isin(*settings.variables))
     long = long.where(F.col("lat").between(region.south, region.north) & F.col("lon").between(region.west, region.east)).withColumn("cell", tables.cell_id(F.col("lat"), F.col("lon"), args.step))
     wide = long.groupBy("cell", "ts").pivot("variable", list(settings.variables)).agg(F.first("value", ignorenulls=True))
-    inside = F.udf(lambda lat, lon: not region.rings or touched(region.rings, lat, lon, args.step), "boolean")
-    cells = long.groupBy("cell").agg(F.first("lat").alias("lat"), F.first("lon").alias("lon")).withColumn("in_region", inside("lat", "lon"))
-    run, paths = Run(wide, cells, settings), tables.build_paths(args.output)
+    paths = tables.build_paths(args.output)
+
+    @F.pandas_udf("boolean")
+    def inside(lat: pd.Series, lon: pd.Series) -> pd.Series:
+        return pd.Series([not region.rings or touched(region.rings, a, o, args.step) for a, o in zip(lat, lon, strict=True)])
+
+    cells = long.groupBy("cell").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon")).withColumn("in_region", inside("lat", "lon"))
+    cells.write.mode("overwrite").parquet(f"{paths['logs']}/cells")  # the hourly rows are scanned for their cells once
+    run = Run(wide, spark.read.parquet(f"{paths['logs']}/cells"), settings, store=f"{paths['logs']}/kept")
     if args.stage in ("daily", "all"):
         stamped, meta = tables.stamp(run.daily.withColumn("year", F.year("day")), source=args.input, region=region.name, step="daily")
         tables.write_fields(stamped, paths["processed"], partitions=["year"])
         meta.write.mode("overwrite").parquet(f"{paths['logs']}/daily")
+    if args.stage == "agromet" or args.stage == "all" and run.has_agromet:
+        tables.write_fields(run.agromet.withColumn("year", F.year("day")), f"{paths['processed']}_agromet", partitions=["year"])
     if args.stage in ("normals", "all"):
         run.normals.write.mode("overwrite").parquet(paths["normals"])
     if args.stage in ("anomalies", "all"):
         tables.write_fields(run.anomalies.withColumn("year", F.year("day")), paths["anomalies"], partitions=["year"])
     if args.stage in ("indices", "all"):
         tables.write_workbook(run.tables(), paths["indices"])
+    if args.stage in ("annual", "all"):
+        found = run.indicators()
+        tables.write_workbook(found, f"{paths['indices']}_annual")
+        tables.write_summary_csv(annual.summary({n: spark.read.parquet(f"{paths['indices']}_annual/{n}") for n in found}), f"{paths['indices']}_annual/summary")
     return 0
 
 

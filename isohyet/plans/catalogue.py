@@ -11,7 +11,7 @@ from isohyet.functions import bands, physics, special
 from isohyet.operators import annual, daily, indices, normals, periods, regions
 from isohyet.plans import figures
 from isohyet.plans import fixtures as fx
-from isohyet.sources import inventory
+from isohyet.sources import inventory, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -606,3 +606,35 @@ def monthly_orders_spine(spark, sf_dir):
     """Every customer's months from the first to the last order, months without orders with 0."""
     days = fx.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderdate").cast("date").alias("day"), F.col("o_totalprice").alias("total"))
     return periods.monthly(days, sums=["total"], by=["customer"]).select("customer", "month", F.round("total", 4).alias("total"))
+
+
+# --- sources and sinks: written, then read back ---------------------------------------------------------
+
+
+@query("daily_fields_round_trip", f"WITH {fx.DAILY} SELECT cell, day, tp, ROUND(tmax, 9) AS tmax, ROUND(tmin, 9) AS tmin FROM daily WHERE year(day) BETWEEN 1996 AND 1998")
+def daily_fields_round_trip(spark, sf_dir):
+    """All daily fields go to a sink partitioned by year; a scan of the baseline years reads only theirs."""
+    path = tables.new_folder(spark, "daily")
+    tables.write_fields(fx.daily_grid(spark, sf_dir).withColumn("year", F.year("day")), path, partitions=["year"])
+    return tables.read_years(spark, path, (1996, 1998)).select("cell", "day", "tp", rounded("tmax"), rounded("tmin"))
+
+
+@query("hourly_scan_round_trip", f"WITH {fx.HOURLY} SELECT ts, CAST(20 + cell AS DOUBLE) AS lat, CAST(78 AS DOUBLE) AS lon, CAST(v AS DOUBLE) AS value FROM hourly")
+def hourly_scan_round_trip(spark, sf_dir):
+    """Hourly fields of two variables by variable, year and month, under the raw names of time and place; one variable is scanned."""
+    path = tables.new_folder(spark, "hourly")
+    raw = fx.hourly_grid(spark, sf_dir).select(F.explode(F.map_from_arrays(F.array(F.lit("tp"), F.lit("accum")), F.array("v", "accum"))).alias("variable", "value"), F.col("ts").alias("valid_time"), (20 + F.col("cell")).alias("latitude"), F.lit(78).alias("longitude"))
+    tables.write_fields(raw.withColumns({"year": F.year("valid_time"), "month": F.month("valid_time")}), path, partitions=["variable", "year", "month"])
+    return tables.read_hourly(spark, path, variable="tp").select("ts", "lat", "lon", "value")
+
+
+@query("workbook_round_trip", f"""WITH {fx.MONTHLY}, p AS (SELECT *, tp / NULLIF(AVG(tp) OVER (PARTITION BY cell, month(month)), 0) * 100 AS pni, {_DEPARTURE} AS departure FROM monthly WINDOW w AS (PARTITION BY cell, month(month)))
+SELECT 'pni' AS name, cell, month, ROUND(pni, 9) AS value FROM p UNION ALL SELECT 'departure' AS name, cell, month, ROUND(departure, 9) AS value FROM p""")
+def workbook_round_trip(spark, sf_dir):
+    """Two result tables go to a workbook and are read back by the names in its list of tables."""
+    path, months = tables.new_folder(spark, "workbook"), monthly(spark, sf_dir)
+    made = {"pni": indices.percent_of_normal(months, "tp", "value", [month_of()]), "departure": indices.departure(months, "tp", "value", [month_of()])}
+    tables.write_workbook({n: t.select(F.lit(n).alias("name"), "cell", "month", rounded("value")) for n, t in made.items()}, path, {"pni": "percent of normal"})
+    names = [r["table"] for r in spark.read.parquet(f"{path}/readme").collect()]  # a row for each table
+    one, two = tables.read_workbook(spark, path, names).values()
+    return one.unionByName(two)

@@ -22,6 +22,7 @@ log = logging.getLogger(__name__)
 
 RAIN, TEMPERATURE = {"tp"}, {"t2m"}
 PET_FULL = {"t2m", "d2m", "u10", "v10", "ssrd", "sp"}
+AGROMET = {"t2m", "d2m", "u10", "v10"}
 #: What each index needs. Demand can come from temperatures alone.
 NEEDS: dict[str, set[str]] = {
     **dict.fromkeys(("spi", "pni", "imd-departure", "weekly", "fortnightly", "decile", "czi", "rai", "pci"), RAIN),
@@ -61,18 +62,48 @@ class Run:
         df.write.mode("overwrite").parquet(f"{self.store}/{name}")
         return df.sparkSession.read.schema(df.schema).parquet(f"{self.store}/{name}")
 
-    @cached_property
-    def daily(self) -> DataFrame:
-        """(cell, day, {variable}_{aggregate}...) of the cells in the region, in working units."""
-        df, have = self.hourly, [v for v in self.settings.variables if v in self.hourly.columns]
-        for v in have:
+    @property
+    def _have(self) -> list[str]:
+        return [v for v in self.settings.variables if v in self.hourly.columns]
+
+    def _converted(self) -> DataFrame:
+        """(cell, ts, variables...): hourly values in working units, running totals as increments."""
+        df = self.hourly
+        for v in self._have:
             if v in ACCUMULATED:
                 df = daily.deaccumulate_reset(df, v, v)
                 df = df.withColumn(v, physics.not_negative(F.col(v)))
-        df = df.select("cell", "ts", *[physics.convert(F.col(v), v).alias(v) for v in have])
-        days = daily.aggregate_daily(df, {v: self.settings.aggregates[v] for v in have})
-        inside = if_small(self.cells.where("in_region").select("cell"))
-        return self._kept("daily", days.join(inside, "cell", "left_semi"))
+        return df.select("cell", "ts", *[physics.convert(F.col(v), v).alias(v) for v in self._have])
+
+    def _inside(self, days: DataFrame) -> DataFrame:
+        return days.join(if_small(self.cells.where("in_region").select("cell")), "cell", "left_semi")
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        """(cell, day, {variable}_{aggregate}...) of the cells in the region, in working units."""
+        days = daily.aggregate_daily(self._converted(), {v: self.settings.aggregates[v] for v in self._have})
+        return self._kept("daily", self._inside(days))
+
+    @property
+    def has_agromet(self) -> bool:
+        return AGROMET <= set(self._have)
+
+    @cached_property
+    def agromet(self) -> DataFrame:
+        """Humidity, wind, rain and exposure hours of the cells in the region by day."""
+        if not self.has_agromet:
+            raise ValueError(f"agromet fields need {', '.join(sorted(AGROMET))}")
+        s = self.settings
+        rain = F.col("tp") if "tp" in self._have else F.lit(None).cast("double")
+        hours = self._converted().select("cell", "ts", F.col("t2m").alias("t"), F.col("d2m").alias("td"), F.col("u10").alias("u"), F.col("v10").alias("v"), rain.alias("rain"))
+        days = daily.agromet_daily(hours, rain_day=s.rain_day_mm, rain_hour=s.rain_hour_mm, wet_rh=s.wet_rh, windy=s.windy_ms)
+        return self._kept("agromet", self._inside(days))
+
+    def indicators(self, names: Sequence[str] = tuple(annual.REGISTRY)) -> dict[str, DataFrame]:
+        """Annual indicators by name; those whose fields are missing are logged and left out."""
+        field = lambda c: F.col(c) if c in self.daily.columns else F.lit(None).cast("double")
+        days = self.daily.select("cell", "day", field("t2m_max").alias("tmax"), field("t2m_min").alias("tmin"), field("tp_sum").alias("pr"))
+        return annual.compute(names, annual.Context(daily=days, agromet=self.agromet if self.has_agromet else None, baseline=self.settings.baseline_years))
 
     @cached_property
     def normals(self) -> DataFrame:

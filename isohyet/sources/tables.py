@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,12 @@ def build_paths(root: str) -> dict[str, str]:
     return {name: f"{root.rstrip('/')}/{name}" for name in FOLDERS}
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path that nothing has yet, in the folder that ``spark.checkpoint.dir`` names or, where it is unset (tests), a local one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return f"{named.rstrip('/') if named else f'file://{tempfile.gettempdir()}'}/isohyet-{name}-{uuid.uuid4().hex}"
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Missing values are NULL everywhere: NaN would count, sort and sum as a value."""
     floats = [f.name for f in df.schema if f.dataType.typeName() in ("double", "float")]
