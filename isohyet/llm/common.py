@@ -103,6 +103,20 @@ def discard(df: DataFrame) -> None:
     _delete(df.sparkSession, df._isohyet_path)
 
 
+@contextlib.contextmanager
+def temporary(spark: SparkSession):
+    """Tables that ``materialise`` makes inside are deleted at the end, but for those given to what this yields."""
+    before, kept = set(_made), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._isohyet_path)
+        return df
+
+    yield keep
+    for name in _made - before - kept:
+        _delete(spark, name)
+
+
 def discard_all(spark: SparkSession) -> None:
     """Delete every table that ``materialise`` made here: for when all results that read them are written."""
     for name in list(_made):

@@ -151,12 +151,11 @@ def forest(x: np.ndarray, radius: int) -> np.ndarray:
     return np.array([_find(parent, i) for i in range(len(x))], np.int64)
 
 
-def components(prints: DataFrame, *, radius: int = 3, sample_size: int = 65_536, leaf_size: int = 4_000, max_leaves: int = 8_192) -> DataFrame:
-    """(fp, component_id): each distinct fingerprint and the smallest id reachable over links.
+def linked(prints: DataFrame, *, radius: int = 3, sample_size: int = 65_536, leaf_size: int = 4_000, max_leaves: int = 8_192) -> tuple[DataFrame, DataFrame]:
+    """(fp, min_id), a written table of the distinct fingerprints, and (a, b), links that join those within ``radius``
+    bits into groups.
 
-    ``prints`` has doc_id and fp and is read several times, so it should be a written table. The sample
-    that grows the upper tree is bounded by ``sample_size``; it decides balance, never results. Null ids
-    are ignored for component_id, which is null only if no member has an id.
+    The sample that grows the upper tree is bounded by ``sample_size``; it decides balance, never results.
     """
     spark = prints.sparkSession
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("min_id"))
@@ -178,7 +177,16 @@ def components(prints: DataFrame, *, radius: int = 3, sample_size: int = 65_536,
         linked = root != np.arange(len(x))
         return pd.DataFrame({"a": x[linked], "b": x[root[linked]]})
 
-    edges = distinct.select("fp").mapInPandas(route, "fp long, leaf long").groupBy("leaf").applyInPandas(link, "a long, b long")
+    return distinct, distinct.select("fp").mapInPandas(route, "fp long, leaf long").groupBy("leaf").applyInPandas(link, "a long, b long")
+
+
+def components(prints: DataFrame, *, radius: int = 3) -> DataFrame:
+    """(fp, component_id): each distinct fingerprint and the smallest id reachable over links.
+
+    ``prints`` has doc_id and fp and is read several times, so it should be a written table. Null ids are
+    ignored for component_id, which is null only if no member has an id.
+    """
+    distinct, edges = linked(prints, radius=radius)
     comp = common.connected_components(edges)
     rooted = distinct.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "min_id", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("min_id").alias("component_id"))
@@ -288,16 +296,23 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     text = common.text_of(text_col)
     source = docs.select(F.col(id_col).cast("long").alias("own_id"), _node(id_col, text_col).alias("doc_id"), text.alias("text"))
     prints = common.materialise(fingerprints(source, shingle=shingle), "prints")
-    by_bits = components(prints, radius=radius).select(F.col("fp").alias("b_fp"), F.col("component_id").alias("least"))
+    same_bits, bits = linked(prints, radius=radius)
     named = common.materialise(_sets(source.select("doc_id", "text"), shingle, bands, rows), "shingle-sets")
-    sets = common.materialise(named.groupBy("name").agg(F.min("doc_id").alias("least"), F.first("shingles").alias("shingles"), F.first("keys").alias("keys")), "sets")
-    alike = common.connected_components(similar_links(sets, similarity=similarity, rounds=rounds))
-    ids = sets.select("name", "least").join(alike, F.col("name") == F.col("node"), "left").select("name", "least", F.coalesce("root", "name").alias("root"))
-    by_set = ids.join(ids.groupBy("root").agg(F.min("least").alias("all_least")), "root").select(F.col("name").alias("s_name"), F.col("all_least").alias("least"))
-    # a document ties the smallest members of its two groups together
-    ties = prints.join(by_bits, F.col("fp") == F.col("b_fp")).select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-    ties = ties.unionAll(named.join(by_set, F.col("name") == F.col("s_name")).select("doc_id", "least"))
-    groups = common.materialise(common.connected_components(ties.where("a <> b").distinct()), "groups")
+    sets = common.materialise(named.groupBy("name").agg(F.min("doc_id").alias("min_id"), F.first("shingles").alias("shingles"), F.first("keys").alias("keys")), "sets")
+    alike = similar_links(sets, similarity=similarity, rounds=rounds)
+
+    def ends(links: DataFrame, table: DataFrame, key: str) -> DataFrame:
+        """The links between fingerprints or sets as links between the smallest documents that have them."""
+        one, two = (table.select(F.col(key).alias(f"key_{x}"), F.col("min_id").alias(f"id_{x}")) for x in "ab")
+        return links.join(one, F.col("a") == F.col("key_a")).join(two, F.col("b") == F.col("key_b")).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+
+    ties = ends(bits, same_bits, "fp").unionAll(ends(alike, sets, "name"))
+    for own, table, key in ((prints, same_bits, "fp"), (named, sets, "name")):  # documents that share one
+        ties = ties.unionAll(own.select("doc_id", key).join(table.select(F.col(key).alias("t_key"), "min_id"), F.col(key) == F.col("t_key")).select("doc_id", "min_id"))
+    ties = common.materialise(ties.where("a <> b").distinct(), "ties")
+    for table in (prints, named, sets):
+        common.discard(table)
+    groups = common.materialise(common.connected_components(ties), "groups")
     members = source.select("own_id", F.col("doc_id").alias("m_node")).join(groups, F.col("m_node") == F.col("node"))
     best = groups.join(members.groupBy("m_node").agg(F.min("own_id").alias("own_id")), F.col("node") == F.col("m_node")).groupBy(F.col("root").alias("b_root")).agg(F.min("own_id").alias("component_id"))
     return members.join(best, F.col("root") == F.col("b_root")).select(F.col("own_id").alias("doc_id"), "node", "component_id")
@@ -313,6 +328,8 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     Rows without an id stay only if no member of their group has one. Rows that repeat the kept id all stay:
     ids are what tells documents apart.
     """
-    found = similar_groups(docs, id_col=id_col, text_col=text_col, **rule)
-    gone = found.where("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("node").alias("__gone")).distinct()
+    with common.temporary(docs.sparkSession) as keep:
+        found = similar_groups(docs, id_col=id_col, text_col=text_col, **rule)
+        gone = found.where("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("node").alias("__gone")).distinct()
+        gone = keep(common.materialise(gone, "near-duplicates"))
     return docs.join(gone, _node(id_col, text_col) == F.col("__gone"), "left_anti")

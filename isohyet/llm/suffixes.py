@@ -191,9 +191,11 @@ def remove_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     held = {c: f"__c{i}" for i, c in enumerate(carry)}
     named = repeats.keyed(docs, id_col, text_col, held)
-    found = find_stretches(named, rule)
-    at = positions(named, found, rule)
-    gone = found.where("not pending").select("d", "t", "s", "e").unionAll(later_windows(at, rule))
+    with common.temporary(docs.sparkSession) as keep:
+        found = find_stretches(named, rule)
+        at = positions(named, found, rule)
+        gone = found.where("not pending").select("d", "t", "s", "e").unionAll(later_windows(at, rule))
+        gone = keep(common.materialise(gone, "gone"))
 
     def run(batches):
         import pyarrow as pa
