@@ -8,20 +8,58 @@ from pyspark.sql import functions as F
 _LOW, _HIGH = float("-inf"), float("inf")
 
 
-def _bands(*parts) -> list[tuple[float, float, str]]:
-    """(label, bound, label, ..., label) from the lowest to the highest."""
-    labels, bounds = parts[::2], (_LOW, *parts[1::2], _HIGH)
-    return list(zip(bounds[:-1], bounds[1:], labels, strict=True))
-
-
-# Published class limits and names.
-DROUGHT = _bands("Extremely dry", -2.0, "Severely dry", -1.5, "Moderately dry", -1.0, "Near normal", 1.0, "Moderately wet", 1.5, "Severely wet", 2.0, "Extremely wet")
-PNI = _bands("Extreme drought", 25.0, "Severe drought", 50.0, "Moderate drought", 75.0, "Mild drought", 100.0, "Above normal")
-TEMPERATURE = _bands("Much colder than normal", -2.0, "Colder than normal", -1.0, "Normal", 1.0, "Hotter than normal", 2.0, "Much hotter than normal")
-PCI = _bands("Uniform", 11.0, "Moderate", 16.0, "Irregular", 20.0, "Strongly irregular (concentrated)")
-ARIDITY = _bands("Hyper-arid", 0.03, "Arid", 0.2, "Semi-arid", 0.5, "Dry sub-humid", 0.65, "Humid")
-DEPARTURE = _bands("No rain", -99.0, "Scanty", -60.0, "Deficient", -20.0, "Normal", 20.0, "Excess")
-DECILE = [(0.0, 2.0, "Drought (severe)"), (2.0, 3.0, "Drought (moderate)"), (3.0, 5.0, "Below normal"), (5.0, 7.0, "Normal"), (7.0, 9.0, "Above normal"), (9.0, 11.0, "Much above normal")]
+# Published class limits and names, as (low, high, label).
+DROUGHT = [
+    (_LOW, -2.0, "Extremely dry"),
+    (-2.0, -1.5, "Severely dry"),
+    (-1.5, -1.0, "Moderately dry"),
+    (-1.0, 1.0, "Near normal"),
+    (1.0, 1.5, "Moderately wet"),
+    (1.5, 2.0, "Severely wet"),
+    (2.0, _HIGH, "Extremely wet"),
+]
+PNI = [
+    (_LOW, 25.0, "Extreme drought"),
+    (25.0, 50.0, "Severe drought"),
+    (50.0, 75.0, "Moderate drought"),
+    (75.0, 100.0, "Mild drought"),
+    (100.0, _HIGH, "Above normal"),
+]
+TEMPERATURE = [
+    (_LOW, -2.0, "Much colder than normal"),
+    (-2.0, -1.0, "Colder than normal"),
+    (-1.0, 1.0, "Normal"),
+    (1.0, 2.0, "Hotter than normal"),
+    (2.0, _HIGH, "Much hotter than normal"),
+]
+PCI = [
+    (_LOW, 11.0, "Uniform"),
+    (11.0, 16.0, "Moderate"),
+    (16.0, 20.0, "Irregular"),
+    (20.0, _HIGH, "Strongly irregular (concentrated)"),
+]
+ARIDITY = [
+    (_LOW, 0.03, "Hyper-arid"),
+    (0.03, 0.2, "Arid"),
+    (0.2, 0.5, "Semi-arid"),
+    (0.5, 0.65, "Dry sub-humid"),
+    (0.65, _HIGH, "Humid"),
+]
+DEPARTURE = [
+    (_LOW, -99.0, "No rain"),
+    (-99.0, -60.0, "Scanty"),
+    (-60.0, -20.0, "Deficient"),
+    (-20.0, 20.0, "Normal"),
+    (20.0, _HIGH, "Excess"),
+]
+DECILE = [
+    (0.0, 2.0, "Drought (severe)"),
+    (2.0, 3.0, "Drought (moderate)"),
+    (3.0, 5.0, "Below normal"),
+    (5.0, 7.0, "Normal"),
+    (7.0, 9.0, "Above normal"),
+    (9.0, 11.0, "Much above normal"),
+]
 
 
 def categorize(value: Column, bands: list[tuple[float, float, str]]) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Short to long names of the input variables.
+# Short and long names of the data service's variables.
 LONG_NAMES = {
     "t2m": "2m_temperature",
     "d2m": "2m_dewpoint_temperature",

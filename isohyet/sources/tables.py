@@ -22,6 +22,8 @@ def build_paths(root: str) -> dict[str, str]:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path that nothing has yet, in the folder that ``spark.checkpoint.dir`` names or, where it is unset (tests), a local one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{named.rstrip('/') if named else f'file://{tempfile.gettempdir()}'}/isohyet-{name}-{uuid.uuid4().hex}"
 
 
