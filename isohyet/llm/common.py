@@ -54,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="spark-"))
         atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
