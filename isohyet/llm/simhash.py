@@ -123,16 +123,20 @@ def _best_split(x: np.ndarray, radius: int, rng, tries: int = 6):
     return best[1], best[2], np.bitwise_count(x ^ best[1]).astype(np.int16)
 
 
-def _find(parent: np.ndarray, i: int) -> int:
-    while parent[i] != i:
-        parent[i] = parent[parent[i]]
-        i = parent[i]
-    return i
+def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the groups of a and b, pair by pair; ``root`` has for each index the smallest of its group."""
+    while len(a):
+        one, two = root[a], root[b]
+        apart = one != two
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, np.maximum(one, two)[apart], np.minimum(one, two)[apart])
+        while not np.array_equal(up := root[root], root):
+            root[:] = up
 
 
 def forest(x: np.ndarray, radius: int) -> np.ndarray:
     """For each of the distinct fingerprints x, the index of the root of its group under links within radius."""
-    parent, rng = np.arange(len(x)), np.random.default_rng(11)
+    root, rng = np.arange(len(x)), np.random.default_rng(11)
     todo = [np.arange(len(x))]
     while todo:
         at = todo.pop()
@@ -141,30 +145,31 @@ def forest(x: np.ndarray, radius: int) -> np.ndarray:
             _, mu, d = split
             todo += [at[d <= mu + radius], at[d > mu]]
             continue
-        own = x[at]
-        for lo in range(0, len(at), 256):
-            near = np.bitwise_count(own[lo : lo + 256, None] ^ own[None, lo:]) <= radius
-            for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
-                a, b = _find(parent, at[lo + i]), _find(parent, at[lo + j])
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-    return np.array([_find(parent, i) for i in range(len(x))], np.int64)
+        own, step = x[at], max(1, 500_000 // len(at))
+        for lo in range(0, len(at), step):
+            near = np.bitwise_count(own[lo : lo + step, None] ^ own[None, lo:]) <= radius
+            i, j = np.nonzero(np.triu(near, 1))
+            _unite(root, at[lo + i], at[lo + j])
+    return root
 
 
-def linked(prints: DataFrame, *, radius: int = 3, sample_size: int = 65_536, leaf_size: int = 4_000, max_leaves: int = 8_192) -> tuple[DataFrame, DataFrame]:
+def linked(prints: DataFrame, *, radius: int = 3, leaf_size: int = 4_000, max_leaves: int = 131_072) -> tuple[DataFrame, DataFrame]:
     """(fp, min_id), a written table of the distinct fingerprints, and (a, b), links that join those within ``radius``
     bits into groups.
 
-    The sample that grows the upper tree is bounded by ``sample_size``; it decides balance, never results.
+    The sample that grows the upper tree has eight fingerprints a leaf, a million at most; it decides balance,
+    never results. Beyond ``max_leaves`` * ``leaf_size`` fingerprints leaves grow.
     """
     spark = prints.sparkSession
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("min_id"))
     distinct = common.materialise(distinct, "fingerprints")
     n = distinct.count()
+    leaves = min(max_leaves, max(1, n // leaf_size))
+    sample_size = max(65_536, 8 * leaves)
     part = min(1.0, 1.2 * sample_size / max(n, 1))
     pick = distinct.where(F.pmod(F.xxhash64("fp", F.lit(1)), F.lit(1 << 30)) < int(part * (1 << 30))).select("fp").limit(sample_size)
     sample = np.array([r[0] for r in pick.collect()], np.int64).view(np.uint64)
-    tree = spark.sparkContext.broadcast(Tree(sample, int(min(max_leaves, max(1, n // leaf_size))), radius))
+    tree = spark.sparkContext.broadcast(Tree(sample, leaves, radius))
 
     def route(batches):
         for frame in batches:

@@ -205,6 +205,19 @@ def test_vantage_point_tree_loses_no_pair():
     assert groups == len({find(i) for i in range(len(x))})
 
 
+def test_a_dense_cluster_of_fingerprints_is_one_group():
+    """All pairs of flips of two of 60 bits are within four bits of each other: no vantage point splits them."""
+    import time
+
+    import numpy as np
+
+    x = np.unique(np.array([(1 << i) ^ (1 << j) for i in range(60) for j in range(i)] + [1 << 63], np.uint64))
+    began = time.perf_counter()
+    root = simhash.forest(x, 4)
+    assert len(np.unique(root)) == 1 and time.perf_counter() - began < 20
+    assert len(np.unique(simhash.forest(x, 1))) == len(x)
+
+
 def _cut(docs, rows, plain_rows, *names):
     want = {d: v for d, v in plain_rows.items() if d != -1}
     assert len(rows) == len(ROWS)
