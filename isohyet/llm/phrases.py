@@ -35,7 +35,7 @@ def anchors(docs: DataFrame, rule: Rule) -> DataFrame:
         for batch, lo, hi in common.chunks(batches):
             own = batch.take(pa.array(np.arange(lo, hi)))
             values, first = repeats.units_of(own.column("text"), rule)
-            doc, s, e, h = repeats.stretches(values, first, rule)
+            doc, s, e, _, h = repeats.stretches(values, first, rule)
             d, t = (own.column(c).to_numpy()[doc] for c in ("d", "t"))
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d), pa.array(t), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], ["h", "d", "t", "s", "e"])
 

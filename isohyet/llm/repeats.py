@@ -64,11 +64,12 @@ def units_of(texts, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
 
 
 def stretches(values: np.ndarray, first: np.ndarray, rule: Rule) -> tuple[np.ndarray, ...]:
-    """(doc, s, e, h) of each stretch: text number, units from and to within the text, hash of the anchor."""
+    """(doc, s, e, a, h) of each stretch: text number, units from and to within the text, where its anchor begins, and
+    the anchor's hash."""
     none = np.zeros(0, np.int64)
     n_windows = len(values) - rule.size + 1
     if n_windows <= 0:
-        return none, none, none, none.view(np.uint64)
+        return none, none, none, none, none.view(np.uint64)
     grams = run_hashes(values, rule.gram)
     place = leftmost_least(grams, rule.size - rule.gram + 1)
     ok = np.zeros(n_windows + 1, bool)
@@ -87,7 +88,8 @@ def stretches(values: np.ndarray, first: np.ndarray, rule: Rule) -> tuple[np.nda
     stop = np.flatnonzero(begins | ~ok[:n_windows])
     end = np.append(stop, n_windows)[np.searchsorted(stop, start, "right")] + rule.size - 1
     doc = np.searchsorted(first, start, "right") - 1
-    return doc, start - first[doc], end - first[doc], grams[place[start]]
+    anchor = place[start].astype(np.int64)
+    return doc, start - first[doc], end - first[doc], anchor - first[doc], grams[anchor]
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, carry: dict[str, str] | None = None) -> DataFrame:

@@ -6,10 +6,11 @@ the anchors of ``repeats``, which every repeat has at equal places; shards of th
 ones, most of the corpus. Equal stretches around an anchor are a class: its member in the smallest document
 represents it, and all windows of the members in other documents recur.
 
-The windows of what is left, representatives with an anchor that has other surroundings elsewhere, are ranked
-by Spark. In each round it groups positions by the pair of their rank and the name of the bytes at the next
-offset (20, then 40), which ranks their longer prefixes; positions whose pair no other document has drop out,
-the others go on with the new rank until it covers ``size`` bytes.
+What is left, representatives with an anchor that has other surroundings elsewhere, is ranked by Spark. In the
+first round it sorts positions (the anchor and those 10 and 20 bytes before, one of which every window has
+within its first 10 bytes) by the pair of their rank of 20 bytes and that of the 20 at the next offset, which
+ranks 40 bytes; positions whose pair no other document has drop out with their windows. In the second round it
+sorts the windows of the others by that rank and the name of their ``size`` bytes, past which ranks need not go.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet.llm import common, repeats
@@ -40,7 +41,7 @@ def _earlier(h, y, d):
 
 
 def find_stretches(docs: DataFrame, rule: Rule, bytes_per_shard: int = 6_000_000) -> DataFrame:
-    """(pending, d, t, s, e) for ``docs`` (d, t, text): stretches that an earlier document has (to remove) and
+    """(pending, d, t, s, e, a) for ``docs`` (d, t, text): stretches that an earlier document has (to remove) and
     representatives whose anchor has other surroundings elsewhere (pending).
 
     (d, t) name a row: its id and the hash of its text. Rows that repeat both are one document. A task sends a
@@ -57,8 +58,7 @@ def find_stretches(docs: DataFrame, rule: Rule, bytes_per_shard: int = 6_000_000
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
 
         def flush(parts):
-            doc, s, e, h, y = (np.concatenate([p[k] for p in parts]) for k in range(5))
-            d, t = np.concatenate([p[5] for p in parts]), np.concatenate([p[6] for p in parts])
+            doc, s, n, h, y, d, t = (np.concatenate([p[k] for p in parts]) for k in range(7))
             order, gone, _ = _earlier(h, y, d[doc])
             where = np.where(gone, -1 - doc[order] % shards, (common.mix(h[order]) % np.uint64(shards)).astype(np.int64))
             by = np.argsort(where, kind="stable")
@@ -69,7 +69,7 @@ def find_stretches(docs: DataFrame, rule: Rule, bytes_per_shard: int = 6_000_000
                 own = order[a:b]
                 docs_of, back = np.unique(doc[own], return_inverse=True)
                 settled = where[a] < 0
-                for column, x in zip(columns, (d[docs_of], t[docs_of], back, s[own], (e - s)[own], h[own[:0] if settled else own].view(np.int64), y[own[:0] if settled else own].view(np.int64)), strict=True):
+                for column, x in zip(columns, (d[docs_of], t[docs_of], back, s[own], n[own], h[own[:0] if settled else own].view(np.int64), y[own[:0] if settled else own].view(np.int64)), strict=True):
                     column.append(x)
             lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, c)]), pa.int32()), pa.array(np.concatenate(c), kind)) for c, kind in zip(columns, kinds, strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(where[edge].astype(np.int64)), *lists], ["shard", *names])
@@ -78,10 +78,10 @@ def find_stretches(docs: DataFrame, rule: Rule, bytes_per_shard: int = 6_000_000
         for batch, lo, hi in common.chunks(batches, _BYTES_AT_ONCE):
             own = batch.take(pa.array(np.arange(lo, hi)))
             data, first = repeats.units_of(own.column("text"), rule)
-            doc, s, e, h = repeats.stretches(data, first, rule)
+            doc, s, e, a, h = repeats.stretches(data, first, rule)
             whole, digest = data.tobytes(), xxhash.xxh64_intdigest
             y = np.fromiter((digest(whole[a:b]) for a, b in zip((first[doc] + s).tolist(), (first[doc] + e).tolist(), strict=True)), np.uint64, len(s))
-            parts.append((doc + base, s, e, h, y, own.column("d").to_numpy(), own.column("t").to_numpy()))
+            parts.append((doc + base, s, (a - s) << 16 | (e - s), h, y, own.column("d").to_numpy(), own.column("t").to_numpy()))
             held, base = held + len(s), base + own.num_rows
             if held > _STRETCHES:
                 yield flush(parts)
@@ -97,7 +97,8 @@ def find_stretches(docs: DataFrame, rule: Rule, bytes_per_shard: int = 6_000_000
         base = np.repeat(columns["d"].offsets.to_numpy()[:-1], size)
         flat = {c: x.values.to_numpy() for c, x in columns.items()}
         at = flat["doc"] + base
-        d, t, s, e = flat["d"][at], flat["t"][at], flat["s"], flat["s"] + flat["n"]
+        d, t, s = flat["d"][at], flat["t"][at], flat["s"]
+        e, a = s + (flat["n"] & 0xFFFF), s + (flat["n"] >> 16)
         if table.column("shard")[0].as_py() < 0:
             keep, pending = np.arange(len(d)), np.zeros(len(d), bool)
         else:
@@ -109,77 +110,111 @@ def find_stretches(docs: DataFrame, rule: Rule, bytes_per_shard: int = 6_000_000
             last = np.append(first[1:], len(h)) - 1
             several = (group[last] > group[first])[np.cumsum(new) - 1]
             keep, pending = order[gone | several], ~gone[gone | several]
-        return pa.table([pa.array(pending), pa.array(d[keep]), pa.array(t[keep]), pa.array(s[keep]), pa.array(e[keep])], ["pending", "d", "t", "s", "e"])
+        return pa.table([pa.array(pending), pa.array(d[keep]), pa.array(t[keep]), pa.array(s[keep]), pa.array(e[keep]), pa.array(a[keep])], ["pending", "d", "t", "s", "e", "a"])
 
     schema = "shard long, d array<long>, t array<long>, doc array<int>, s array<int>, n array<int>, h array<long>, y array<long>"
     dealt = docs.select("d", "t", "text").mapInArrow(split, schema).repartition(shards, "shard")
-    return common.materialise(dealt.groupBy("shard").applyInArrow(settle, "pending boolean, d long, t long, s int, e int"), "stretches")
+    return common.materialise(dealt.groupBy("shard").applyInArrow(settle, "pending boolean, d long, t long, s int, e int, a int"), "stretches")
 
 
-def positions(docs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
-    """(d, t, p, rank, next, last) of each window of the pending stretches: where it starts, and 64-bit names of its
-    bytes from 0 to 20, 20 to 40 and 40 to 50 (of ``gram`` bytes each and the rest).
-
-    Of equal windows in a task those after the first document are decided there; they have no names.
-    """
-    cuts = list(range(0, rule.size, rule.gram))
-    if len(cuts) != 3:
-        raise ValueError("a window must be three grams, the last of which may be shorter")
-    places = found.where("pending").groupBy("d", "t").agg(F.collect_list(F.struct("s", "e")).alias("places"))
+def _per_text(docs: DataFrame, places: DataFrame, columns: list[str], cut, schema: str) -> DataFrame:
+    """``cut(d, t, text as bytes, rows of columns)`` gives arrays, one for each column of ``schema``, for each text that has places."""
+    gathered = places.groupBy("d", "t").agg(F.collect_list(F.struct(*columns)).alias("places"))
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
-        import pyarrow as pa
-        import xxhash
-
-        digest = xxhash.xxh64_intdigest
-
-        def flush(parts):
-            d, t, p = (np.concatenate([x[k] for x in parts]) for k in range(3))
-            names = [np.concatenate([x[3][k] for x in parts]) for k in range(3)]
-            order = np.lexsort((d, *names))
-            new = np.ones(len(order), bool)
-            new[1:] = np.logical_or.reduce([n[order][1:] != n[order][:-1] for n in names])
-            lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-            decided = np.zeros(len(order), bool)
-            decided[order] = d[order] > d[order][lead]
-            return pa.RecordBatch.from_arrays([pa.array(d), pa.array(t), pa.array(p.astype(np.int32)), *(pa.array(n.view(np.int64), mask=decided) for n in names)], ["d", "t", "p", "rank", "next", "last"])
-
         parts, held = [], 0
         for batch in batches:
             places = batch.column("places")
-            starts, s, e = places.offsets.to_numpy(), places.values.field("s").to_numpy(), places.values.field("e").to_numpy()
+            starts, own = places.offsets.to_numpy(), [places.values.field(c).to_numpy() for c in columns]
             for row, (d, t) in enumerate(zip(batch.column("d").to_pylist(), batch.column("t").to_pylist(), strict=True)):
-                data = batch.column("text")[row].as_buffer().to_pybytes()
-                own = slice(starts[row], starts[row + 1])
-                p = np.unique(np.concatenate([np.arange(a, b - rule.size + 1) for a, b in zip(s[own].tolist(), e[own].tolist(), strict=True)]))
-                at = p.tolist()
-                names = [np.fromiter((digest(data[i + a : i + b]) for i in at), np.uint64, len(at)) for a, b in zip(cuts, [*cuts[1:], rule.size], strict=True)]
-                parts.append((np.full(len(p), d, np.int64), np.full(len(p), t, np.int64), p, names))
-                held += len(p)
+                at = slice(starts[row], starts[row + 1])
+                parts.append(cut.one(d, t, batch.column("text")[row].as_buffer().to_pybytes(), *(x[at] for x in own)))
+                held += len(parts[-1][0])
                 if held > 500_000:
-                    yield flush(parts)
+                    yield cut.many(parts, names)
                     parts, held = [], 0
         if parts:
-            yield flush(parts)
+            yield cut.many(parts, names)
+
+    return docs.select("d", "t", "text").join(gathered, ["d", "t"]).mapInArrow(run, schema)
+
 
-    cut = docs.select("d", "t", "text").join(places, ["d", "t"]).mapInArrow(run, "d long, t long, p int, rank long, next long, last long")
-    return common.materialise(cut, "positions")
+def _names(data: bytes, start: list[int], length: int) -> np.ndarray:
+    import xxhash
 
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(data[i : i + length]) for i in start), np.uint64, len(start)).view(np.int64)
 
-def reranked(at: DataFrame, offset: str) -> DataFrame:
-    """``at`` without the positions whose (rank, ``offset``) only one document has; the others get the rank of the pair."""
-    pairs = at.groupBy("rank", offset).agg(F.min("d").alias("first"), F.max("d").alias("final")).where("first < final")
-    pairs = pairs.select(F.col("rank").alias("p_rank"), F.col(offset).alias("p_next"), "first")
-    met = at.drop("first").join(pairs, (F.col("rank") == F.col("p_rank")) & (F.col(offset) == F.col("p_next")))
-    return met.select("d", "t", "p", F.xxhash64("rank", offset).alias("rank"), *[c for c in ("last",) if c != offset], "first")
 
+class Cores:
+    """The 40-byte strings around the anchors of pending stretches, one of which each of their windows holds."""
+
+    def __init__(self, rule: Rule):
+        self.rule, self.step = rule, rule.size - 2 * rule.gram
+
+    def one(self, d, t, data, s, e, a):
+        size, step = self.rule.size, self.step
+        parts = []
+        for k in range((size - self.rule.gram) // step):
+            core = a.astype(np.int64) - k * step
+            lo, hi = np.maximum(s, core - step), np.minimum(e - size, core - (k > 0))
+            some = lo <= hi
+            parts.append((core[some], lo[some], hi[some]))
+        core, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
+        at, gram = core.tolist(), self.rule.gram
+        return np.full(len(core), d, np.int64), np.full(len(core), t, np.int64), lo, hi, _names(data, at, gram), _names(data, [i + gram for i in at], gram)
+
+    @staticmethod
+    def many(parts, names):
+        import pyarrow as pa
+
+        d, t, lo, hi, rank, after = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(t), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(rank), pa.array(after)], names)
+
+
+class Windows:
+    """The windows that hold a string of several documents. Of equal ones in a task those after the first document
+    are decided there; in place of a rank and a name they have what spreads them."""
+
+    def __init__(self, rule: Rule):
+        self.rule = rule
+
+    def one(self, d, t, data, lo, hi, rank):
+        n = (hi - lo + 1).astype(np.int64)
+        p = np.repeat(lo.astype(np.int64) - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.full(len(p), d, np.int64), np.full(len(p), t, np.int64), p, np.repeat(rank, n), _names(data, p.tolist(), self.rule.size)
+
+    @staticmethod
+    def many(parts, names):
+        import pyarrow as pa
 
-def later_windows(at: DataFrame, rule: Rule) -> DataFrame:
-    """(d, t, s, e) of the windows of ``positions`` that start in a document with a smaller d too."""
-    decided = at.where("rank is null").select("d", "t", "p")
-    once = common.materialise(reranked(at.where("rank is not null"), "next"), "ranks")
-    twice = reranked(once, "last").where("d > first").select("d", "t", "p")
-    return decided.unionAll(twice).select("d", "t", F.col("p").alias("s"), (F.col("p") + rule.size).alias("e"))
+        d, t, p, rank, name = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((d, name, rank))
+        new = np.ones(len(order), bool)
+        new[1:] = (rank[order][1:] != rank[order][:-1]) | (name[order][1:] != name[order][:-1])
+        decided = np.zeros(len(order), bool)
+        decided[order] = d[order] > d[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
+        rank, name = np.where(decided, t, rank), np.where(decided, p, name)
+        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(t), pa.array(p.astype(np.int32)), pa.array(rank), pa.array(name), pa.array(decided)], names)
+
+
+def later_windows(docs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
+    """(d, t, s, e) of the windows of pending stretches that start in a document with a smaller d too."""
+    if (rule.size - rule.gram) % (rule.size - 2 * rule.gram):
+        raise ValueError("size - 2 * gram must divide size - gram")
+    cores = _per_text(docs, found.where("pending"), ["s", "e", "a"], Cores(rule), "d long, t long, lo int, hi int, rank long, after long")
+    cores = common.materialise(cores, "cores")
+    pairs = cores.groupBy("rank", "after").agg(F.min("d").alias("first"), F.max("d").alias("final")).where("first < final")
+    pairs = pairs.select(F.col("rank").alias("p_rank"), F.col("after").alias("p_after"))
+    ranked = cores.join(pairs, (F.col("rank") == F.col("p_rank")) & (F.col("after") == F.col("p_after"))).select("d", "t", "lo", "hi", F.xxhash64("rank", "after").alias("rank"))
+    ranked = common.materialise(ranked, "ranks")
+    common.discard(cores)
+    at = _per_text(docs, ranked, ["lo", "hi", "rank"], Windows(rule), "d long, t long, p int, rank long, name long, decided boolean")
+    # equal windows have met in each task, so a window that a third of all documents have is a row for each task
+    same = Window.partitionBy("decided", "rank", "name")
+    later = at.withColumn("first", F.min("d").over(same)).where("decided or d > first")
+    return later.select("d", "t", F.col("p").alias("s"), (F.col("p") + rule.size).alias("e"))
 
 
 def remove_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rule: Rule = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -193,8 +228,7 @@ def remove_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     named = repeats.keyed(docs, id_col, text_col, held)
     with common.temporary(docs.sparkSession) as keep:
         found = find_stretches(named, rule)
-        at = positions(named, found, rule)
-        gone = found.where("not pending").select("d", "t", "s", "e").unionAll(later_windows(at, rule))
+        gone = found.where("not pending").select("d", "t", "s", "e").unionAll(later_windows(named, found, rule))
         gone = keep(common.materialise(gone, "gone"))
 
     def run(batches):
