@@ -149,7 +149,7 @@ def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_of(text_col).alias("text"), held.alias("held_out"))
     blocks = _blocks(source, block_bytes)
     n_blocks, n_tokens = blocks.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
-    shards = max(64, n_tokens // shard_ngrams)
+    shards = common.shards(n_tokens, shard_ngrams)
     orders = range(1, len(strength) + 2)
     tables = [_totals(blocks, order, shards) for order in orders]
     types, total = tables[0].where("block = -1").agg(F.coalesce(F.sum(F.element_at("totals", 1)), F.lit(0)), F.coalesce(F.sum(F.element_at("totals", 2)), F.lit(0))).first()
@@ -185,7 +185,7 @@ def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         columns = [ids, held, pa.array(np.diff(b["first"]).astype(np.int64)), pa.array(sums(counts[0] > 0).astype(np.int64)), pa.array(np.full(n_docs, total, np.int64)), pa.array(sums(base)), pa.array(sums(weight))]
         return pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    parts = max(64, n_blocks)
+    parts = max(1, 2 * n_blocks)
     asking = blocks.drop("n_tokens").repartition(parts, "block").groupBy("block")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return asking.cogroup(answers.repartition(parts, "block").groupBy("block")).applyInArrow(score, schema)

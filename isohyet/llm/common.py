@@ -49,6 +49,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
+def shards(size: int, full: int) -> int:
+    """How many shards of at most about ``full`` units: 64 at least, unless they would be tiny."""
+    return max(min(64, 40 * size // full + 1), size // full)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one of our own only where none is set (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

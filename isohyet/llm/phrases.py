@@ -170,7 +170,7 @@ def remove_phrases(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     stretches = common.materialise(anchors(keyed, rule), "anchors")
     recurring = common.materialise(stretches.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select(F.col("h").alias("r_h"), "n"), "recurring")
     total = recurring.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shards = max(64, total // shard_places)
+    shards = common.shards(total, shard_places)
     places = stretches.join(recurring, F.col("h") == F.col("r_h")).groupBy("d", "t").agg(F.collect_list(F.struct("s", "e", "h", (F.col("n") > hot).alias("hot"))).alias("places"))
     places = common.materialise(places, "places")
     common.discard(stretches)

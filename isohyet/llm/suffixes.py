@@ -48,7 +48,7 @@ def find_stretches(docs: DataFrame, rule: Rule, bytes_per_shard: int = 6_000_000
     shard one row of arrays for each ``_STRETCHES`` that it cuts; stretches that recur inside a task are settled there.
     """
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(64, int(total // bytes_per_shard))
+    shards = common.shards(total, bytes_per_shard)
     names = ("d", "t", "doc", "s", "n", "h", "y")
 
     def split(batches):
