@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from brute import contamination, similar_groups, substrings
+from brute import contamination, quality as plain_quality, similar_groups, substrings
 
 import corpus_pipeline
 from isohyet.llm import common, quality
@@ -31,9 +31,10 @@ def test_all_but_the_last_keep_the_columns(chain):
 
 def test_quality_stage(spark, chain):
     kept = {d for d, _ in texts(chain[1])}
-    scored = quality.assess(chain[0], spark.read.parquet(f"{SF}/labels.parquet")).collect()
-    assert kept == {r.doc_id for r in scored if r.keep}
-    labels = {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    told = [(r.doc_id, r.quality, r.toxic) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()]
+    scored = plain_quality([(r.doc_id, r.text, r.lang) for r in chain[0].collect()], told)
+    assert kept == {d for d, (_, _, keep) in scored.items() if keep}
+    labels = {d: (q, x) for d, q, x in told}
     clean = [d for d, v in labels.items() if v == (1, 0)]
     assert len([d for d in clean if d in kept]) >= 0.75 * len(clean)  # 87 labels say little
 
