@@ -58,5 +58,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = common.materialise(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        kept = common.materialise(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        if hasattr(docs, "_isohyet_path"):  # the table of the stage before has been read for the last time
+            common.discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
