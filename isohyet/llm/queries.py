@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from isohyet.llm import backoff, common, decontamination, packing, phrases, quality, simhash, sitetree, sketches, suffixes, warc
+from isohyet.llm import backoff, collocations, common, decontamination, divergence, lines, packing, phrases, quality, simhash, sitetree, sketches, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +55,18 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitetree.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_repeated_lines(_table(spark, sf_dir, "documents")).withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
@@ -65,6 +78,9 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_html": op10_html,
+    "op11_collocations": op11_collocations,
+    "op12_lines": op12_lines,
+    "op13_divergence": op13_divergence,
 }
 _FOLDED = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _DIGEST_WORD, _SPACE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[^\x20\x09-\x0D]+"
@@ -113,5 +129,40 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
  array_to_string(list_transform(parts, lambda v: array_to_string(list_transform([15, 10, 5, 0], lambda b: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> b) & 31 AS INTEGER) + 1, 1)), '')), '') AS payload_digest,
  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM g"""
 
+_OP11 = rf"""
+WITH pieces AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT COALESCE(lang, 'und') AS lang, UNNEST(string_split_regex({_FOLDED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS MATERIALIZED (SELECT lang, m, g, COUNT(*) AS f FROM ({" UNION ALL ".join(f"SELECT lang, {k} AS m, UNNEST(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))) AS g FROM pieces WHERE len(w) >= {k}" for k in (1, 2, 3, 4))}) GROUP BY 1, 2, 3),
+n AS (SELECT lang, CAST(SUM(f) AS BIGINT) AS n FROM grams WHERE m = 1 GROUP BY 1),
+part AS MATERIALIZED (SELECT lang, g, f FROM grams WHERE f >= 30),
+cand AS MATERIALIZED (SELECT lang, m, g, string_split(g, ' ') AS w, f AS a FROM grams WHERE m > 1 AND f >= 30),
+cut AS MATERIALIZED (SELECT lang, g, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest FROM (SELECT *, UNNEST(range(1, m)) AS k FROM cand)),
+scored AS (SELECT cut.lang, cut.g, a, k, l.f AS l, r.f AS r, CAST((2000000::HUGEINT * a) // (l.f + r.f) AS BIGINT) AS score FROM cut JOIN part l ON l.lang = cut.lang AND l.g = first JOIN part r ON r.lang = cut.lang AND r.g = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (SELECT lang, array_to_string(s, ' ') AS g, MAX(a) AS longer FROM (SELECT lang, a, m, UNNEST([w[1:2], w[2:3], w[3:4], w[1:3], w[2:4]]) AS s FROM cand WHERE m > 2) WHERE len(s) > 1 AND len(s) < m GROUP BY 1, 2),
+kept AS (SELECT best.lang, best.g AS phrase, a, l, r, score FROM best LEFT JOIN inside USING (lang, g) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+_OP12 = f"""
+WITH d AS (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS w FROM documents),
+line AS (SELECT doc_id, UNNEST(range(1, len(w) + 1)) AS i, UNNEST(w) AS line FROM d),
+keyed AS (SELECT *, {_FOLDED.replace("COALESCE(text, '')", "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS k FROM line),
+often AS (SELECT k, MAX(doc_id) AS last FROM keyed WHERE length(k) >= 40 GROUP BY 1 HAVING COUNT(DISTINCT doc_id) >= 5),
+kept AS (SELECT doc_id, COUNT(*) AS n, string_agg(line, chr(10) ORDER BY i) AS text FROM keyed LEFT JOIN often USING (k) WHERE last IS NULL OR last = doc_id GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_lines, CAST(len(w) - COALESCE(n, 0) AS BIGINT) AS n_dropped, sha256(COALESCE(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+
+_SHARE = "CAST(1 + (1000000000::HUGEINT * ({0} + 5)) // ({1} + 5 * v) AS BIGINT)"
+_OP13 = rf"""
+WITH d AS (SELECT doc_id, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source, regexp_extract_all({_FOLDED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT doc_id, lang, source, UNNEST(w) AS term FROM d),
+kept AS (SELECT lang, term, CAST(COUNT(*) AS HUGEINT) AS total FROM t GROUP BY 1, 2 HAVING COUNT(DISTINCT doc_id) >= 30),
+langs AS (SELECT lang, COUNT(*) AS v, SUM(total) AS n FROM kept GROUP BY 1),
+c AS (SELECT lang, source, term, CAST(COUNT(*) AS HUGEINT) AS c, ANY_VALUE(total) AS total FROM t JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+s AS (SELECT lang, source, COALESCE(own, 0) AS own, COALESCE(v, 0) AS v, COALESCE(n, 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, SUM(c) AS own FROM c GROUP BY 1, 2) USING (lang, source) LEFT JOIN langs USING (lang)),
+p AS (SELECT s.lang, s.source, kept.term, COALESCE(c.c, 0) AS c, {_SHARE.format("COALESCE(c.c, 0)", "s.own")} AS p, {_SHARE.format("kept.total", "s.n")} AS q FROM s JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+pair AS (SELECT a.lang, a.source, b.source AS item, CAST(SUM(abs(a.p - b.p)) AS BIGINT) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(value, 0) AS value FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE c > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (FROM pairs UNION ALL FROM terms) QUALIFY part = 'pair' OR rank <= 50"""
+
 #: The other queries hash with XXH64, tokenize, fit models or parse HTML, which SQL can't; tests compare them with plain versions.
-ORACLE_SQL = {"op2_decontamination": _OP2, "op4_phrases": _OP4, "op5_suffixes": _OP5, "op6_warc": _OP6}
+ORACLE_SQL = {"op2_decontamination": _OP2, "op4_phrases": _OP4, "op5_suffixes": _OP5, "op6_warc": _OP6, "op11_collocations": _OP11, "op12_lines": _OP12, "op13_divergence": _OP13}
