@@ -152,7 +152,7 @@ def _pairs(shares: DataFrame, groups: DataFrame, cells: int, tile: int) -> DataF
 
 def audit(
     docs: DataFrame, *, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", min_docs: int = 30, smoothing: int = 5, top: int = 50,
-    chunk: int = 8_000_000, cells: int = 4_000_000, tile: int = 512,
+    chunk: int = 8_000_000, cells: int = 200_000, tile: int = 512,
 ) -> DataFrame:
     """lang, source, part, item, value, rank. Part ``pair``: how far each source of a language is from each other one.
     Part ``term``: the ``top`` terms that a source uses more than its language does.
