@@ -34,7 +34,9 @@ _MASK = (1 << _BITS) - 1
 _HASHED = 1 << 63
 GRAM = ("g1", "g2", "g3", "g4")
 PREFIX = ("p1", "p2", "p3", "p4")
-RUN = "lang string, p1 long, p2 long, p3 long, p4 long, r1 array<long>, r2 array<long>, r3 array<long>, counts array<int>"
+#: ``run`` has the paths of a container, ENTRY after ENTRY.
+RUN = "lang string, p1 long, p2 long, p3 long, p4 long, run binary"
+ENTRY = np.dtype([("r1", "<u8"), ("r2", "<u8"), ("r3", "<u8"), ("n", "<u4")])
 
 
 def pieces_of(texts: list[bytes]):
@@ -140,8 +142,10 @@ class HatTrie:
         ordered = numbers[by_number]
         n_upper = len(self.upper)
         sizes = np.append(sizes, np.ones(n_upper, np.int64))
-        lists = [np.append(ordered[packed >> shift & _MASK], np.zeros(n_upper, np.int64)) for shift in (2 * _BITS, _BITS, 0)]
-        lists.append(np.append(counts, np.array([*self.upper.values()], np.int32)).astype(np.int32))
+        entries = np.zeros(len(packed) + n_upper, ENTRY)
+        for name, shift in (("r1", 2 * _BITS), ("r2", _BITS), ("r3", 0)):
+            entries[name][: len(packed)] = ordered[packed >> shift & _MASK].view(np.uint64)
+        entries["n"] = np.append(counts, np.array([*self.upper.values()], np.int32))
         code = np.array([*(h for h, _ in heads), *self.upper], np.int64)
         last = np.append(numbers[np.array([x for _, x in heads], np.int64)], np.zeros(n_upper, np.int64))
         depth = (code > 0).astype(np.int64) + (code >> 16 > 0) + (code >> 32 > 0)
@@ -150,16 +154,16 @@ class HatTrie:
             has = depth > k
             prefix[k, has] = code[has] >> 16 * (depth[has] - 1 - k) & 0xFFFF
         prefix[depth, np.arange(len(code))] = last
-        cut = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
-        arrays = [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(code), np.int64))), *map(pa.array, prefix), *(pa.ListArray.from_arrays(cut, pa.array(x)) for x in lists)]
-        return pa.RecordBatch.from_arrays(arrays, ["lang", *PREFIX, "r1", "r2", "r3", "counts"])
+        cut = pa.py_buffer(np.append(0, np.cumsum(sizes) * ENTRY.itemsize).astype(np.int32))
+        run = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, cut, pa.py_buffer(entries)])
+        langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(code), np.int64)))
+        return pa.RecordBatch.from_arrays([langs, *map(pa.array, prefix), run], ["lang", *PREFIX, "run"])
 
 
 def merged(table, least: int):
     """Of runs whose rows with equal prefixes are neighbours: an Arrow batch (lang, g1 to g4, a) of all phrases of two
     words and more that occur ``least`` times."""
     import pyarrow as pa
-    import pyarrow.compute as pc
 
     table = table.combine_chunks()
     prefix = np.array([table.column(c).to_numpy() for c in PREFIX])
@@ -167,16 +171,18 @@ def merged(table, least: int):
     new = np.ones(table.num_rows, bool)
     new[1:] = (prefix[:, 1:] != prefix[:, :-1]).any(0) | (np.diff(lang.indices.to_numpy()) != 0)
     first = np.flatnonzero(new)
-    sizes = pc.list_value_length(table.column("counts")).to_numpy()
-    group = np.repeat(np.cumsum(new) - 1, sizes)
-    rest = [table.column(c).combine_chunks().flatten().to_numpy() for c in ("r1", "r2", "r3")]
-    counts = table.column("counts").combine_chunks().flatten().to_numpy().astype(np.int64)
-    order = np.lexsort((*(x.view(np.uint64) for x in reversed(rest)), group))  # stable: sorted runs are merged
+    run = table.column("run").combine_chunks()
+    cut = np.frombuffer(run.buffers()[1], np.int32, len(run) + 1, 4 * run.offset)
+    entries = np.frombuffer(run.buffers()[2], np.uint8)[cut[0] : cut[-1]].view(ENTRY)
+    group = np.repeat(np.cumsum(new) - 1, np.diff(cut) // ENTRY.itemsize)
+    rest, counts = [np.ascontiguousarray(entries[c]) for c in ("r1", "r2", "r3")], entries["n"].astype(np.int64)
+    order = np.lexsort((*reversed(rest), group))  # stable: sorted runs are merged
     group, counts, rest = group[order], counts[order], [x[order] for x in rest]
     edge, depth, found = np.zeros(len(group), bool), (prefix[:, first] != 0).sum(0), []
     edge[:1] = True
     for level in range(4):
-        edge[1:] |= np.diff((group, *rest)[level]) != 0
+        own = (group, *rest)[level]
+        edge[1:] |= own[1:] != own[:-1]
         start = np.flatnonzero(edge)
         a = np.add.reduceat(counts, start) if len(start) else counts[:0]
         ok = a >= least
@@ -185,7 +191,7 @@ def merged(table, least: int):
         own = group[start]
         grams = prefix[:, first[own]]
         for k in range(level):
-            grams[depth[own] + k, np.arange(len(own))] = rest[k][start]
+            grams[depth[own] + k, np.arange(len(own))] = rest[k][start].view(np.int64)
         found.append((own, grams, a))
     own = np.concatenate([f[0] for f in found])
     grams = np.concatenate([f[1] for f in found], axis=1)
@@ -220,6 +226,15 @@ def _numbered_words(source: DataFrame, chunk: int, seeds: int = 8) -> tuple[Data
     raise RuntimeError(f"words shared a number under {seeds} seeds")
 
 
+def _most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """(lang, id, n) of the most frequent words: as many whole classes of frequency (64 for each doubling) as have ``most`` words."""
+    level = F.floor(F.log2("n") * 64).cast("int")
+    sizes = sorted(words.groupBy(level.alias("level")).count().collect(), reverse=True)  # 4,096 rows at most
+    fit = np.cumsum([r["count"] for r in sizes]) <= most
+    least = min((r["level"] for r, ok in zip(sizes, fit, strict=True) if ok), default=64 * 64)
+    return words.where(level >= least).select("lang", "id", "n")
+
+
 def _grams(source: DataFrame, ranked, n_hot: int, seed: int, least: int, spill: int, chunk: int) -> DataFrame:
     """(lang, g1, g2, g3, g4, a): phrases of two to four words with at least ``least`` occurrences; 0: no word."""
     table: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -316,7 +331,7 @@ def mine(
     """
     source = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), common.text_of(text_col).alias("text"))
     words, seed = _numbered_words(source, chunk)
-    ranked = words.select("lang", "id", "n").orderBy(F.desc("n"), "lang", "id").limit(most_ranked).toPandas()
+    ranked = _most_frequent(words, most_ranked).toPandas().sort_values(["n", "lang", "id"], ascending=[False, True, True])
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     hot = max(least_hot, -(-total // most_ranked))
     ranked["rank"] = np.arange(1, len(ranked) + 1)
