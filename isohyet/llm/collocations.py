@@ -111,7 +111,8 @@ class HatTrie:
         live = live[np.lexsort((below[live], node[live]))]
         node, below, rest = node[live], below[live], rest[live].tolist()
         edge = np.flatnonzero((np.diff(node, prepend=-1) != 0) | (np.diff(below, prepend=-1) != 0))
-        for head, x, lo, hi in zip(node[edge].tolist(), below[edge].tolist(), edge.tolist(), [*edge[1:].tolist(), len(rest)], strict=True):
+        ends = np.append(edge[1:], len(rest))[: len(edge)]
+        for head, x, lo, hi in zip(node[edge].tolist(), below[edge].tolist(), edge.tolist(), ends.tolist(), strict=True):
             kids = self.nodes.get(head)
             if kids is None:
                 kids = self.nodes[head] = {}

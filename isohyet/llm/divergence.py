@@ -108,8 +108,8 @@ def _share(n: str, total: str, v: str, smoothing: int) -> F.Column:
 
 
 def _pairs(shares: DataFrame, groups: DataFrame, cells: int, tile: int) -> DataFrame:
-    """(lang, one, other, value): sums over all kept terms of the distance of two sources' shares, for the numbers of any
-    two sources. ``shares``: lang, no, term, p; ``groups``: lang, no, p0 (share of a term that a source lacks), v."""
+    """(lang, one, other, value, seen): sums of the distance of two sources' shares over the ``seen`` kept terms that some
+    source of the same two tiles has, for the numbers of any two sources. ``shares``: lang, no, term, p; ``groups``: lang, no, p0 (share of a term that a source lacks), v."""
     spread = F.expr(f"cast(ceil(v * least(n_sources, {2 * tile}) / {cells}) as int)")
     sized = groups.withColumn("n_sources", F.max("no").over(Window.partitionBy("lang")) + 1)
     sized = sized.select("lang", "no", "p0", F.greatest(spread, F.lit(1)).alias("buckets"), F.expr(f"cast((n_sources - 1) div {tile} as int)").alias("last"))
@@ -144,10 +144,11 @@ def _pairs(shares: DataFrame, groups: DataFrame, cells: int, tile: int) -> DataF
                     one.append(a), other.append(b), value.append(sums)
         join = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))
         lang = pa.array([table.column("lang")[0].as_py()], pa.string()).take(pa.array(np.zeros(sum(map(len, one)), np.int64)))
-        return pa.table([lang, join(one), join(other), join(value)], ["lang", "one", "other", "value"])
+        seen = pa.array(np.full(len(lang), len(matrix)))
+        return pa.table([lang, join(one), join(other), join(value), seen], ["lang", "one", "other", "value", "seen"])
 
-    sums = rows.groupBy("lang", "bucket", "low", "high").applyInArrow(distances, "lang string, one long, other long, value long")
-    return sums.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
+    sums = rows.groupBy("lang", "bucket", "low", "high").applyInArrow(distances, "lang string, one long, other long, value long, seen long")
+    return sums.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
 
 
 def audit(
@@ -175,9 +176,10 @@ def audit(
     common.discard(counts)
 
     shares = kept.join(groups, ["lang", "source"]).select("lang", "source", "no", "term", _share("n", "own_n", "v", smoothing).alias("p"), _share("total", "lang_n", "v", smoothing).alias("q"))
-    names = groups.select("lang", F.col("no"), "source")
     pairs = _pairs(shares.select("lang", "no", "term", "p"), groups, cells, tile)
-    pairs = pairs.join(names.withColumnRenamed("no", "one"), ["lang", "one"]).join(names.select("lang", F.col("no").alias("other"), F.col("source").alias("item")), ["lang", "other"])
+    pairs = pairs.join(groups.select("lang", F.col("no").alias("one"), "source", "p0", "v"), ["lang", "one"])
+    pairs = pairs.join(groups.select("lang", F.col("no").alias("other"), F.col("source").alias("item"), F.col("p0").alias("other_p0")), ["lang", "other"])
+    pairs = pairs.withColumn("value", F.expr("value + (v - seen) * abs(p0 - other_p0)"))  # terms that neither has
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
     own = shares.where("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))

@@ -88,7 +88,7 @@ class Index:
         shard = (b % np.uint64(self.shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         edge = np.flatnonzero(np.diff(shard[order], prepend=-1))
-        for lo, hi in zip(edge, [*edge[1:], len(order)], strict=True):
+        for lo, hi in zip(edge, np.append(edge[1:], len(order))[: len(edge)], strict=True):
             own = order[lo:hi]
             if (part := self.parts.get(int(shard[own[0]]))) is None:
                 continue
@@ -227,8 +227,8 @@ def _probe_sharded(source: DataFrame, index: DataFrame, shards: int, min_docs: i
     asked = common.materialise(blocks.select("block", "text").mapInArrow(ask, "block long, a long, b long"), "line-probes")
     parts = asked.count() // (shards * group) + 1
     # Each shard's arrays are read by groups of about ``group`` probes: copies of the index weigh as much as the probes.
-    asked = asked.select("block", "a", "b", _shard(shards).alias("shard"), F.pmod(F.xxhash64("block"), F.lit(parts)).alias("part"))
-    copies = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long"))
+    asked = asked.select("block", "a", "b", _shard(shards).alias("shard"), F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int").alias("part"))
+    copies = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def answer(probes, rows):
         import pyarrow as pa
