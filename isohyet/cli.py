@@ -15,7 +15,7 @@ from isohyet.operators import annual
 from isohyet.operators.regions import resolve_region, touched
 from isohyet.plans.config import Settings
 from isohyet.plans.run import NEEDS, Run, wanted_indices
-from isohyet.sources import tables
+from isohyet.sources import tables, workbook
 
 STAGES = ("daily", "agromet", "normals", "anomalies", "indices", "annual", "all")
 
@@ -75,9 +75,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.stage in ("indices", "all"):
         tables.write_workbook(run.tables(), paths["indices"])
     if args.stage in ("annual", "all"):
-        found = run.indicators()
-        tables.write_workbook(found, f"{paths['indices']}_annual")
-        tables.write_summary_csv(annual.summary({n: spark.read.parquet(f"{paths['indices']}_annual/{n}") for n in found}), f"{paths['indices']}_annual/summary")
+        book = f"{paths['indices']}_annual"
+        status = workbook.write_isolated(spark, book, run.indicator_makers())
+        found = [r["name"] for r in status.where("status = 'written'").select("name").collect()]  # 16 at most
+        if found:
+            tables.write_summary_csv(annual.summary(workbook.read(spark, book, found)), f"{book}/summary")
     return 0
 
 

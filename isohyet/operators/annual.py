@@ -51,12 +51,20 @@ def percentile_by_doy(base: DataFrame, column: str, p: float, *, by: Sequence[st
     """(by..., doy, threshold): quantile of the values within ``half`` days of each day of the year, over all years.
 
     Interpolates at (n + 1/3) p + 1/3 (type 8 of Hyndman and Fan). The days around the turn of the year
-    are neighbours. A group holds a few values per year, so it stays small.
+    are neighbours. Each value is shuffled once, into the sorted array of its day; a window then takes the arrays
+    of the days around. An array holds a value per year, so it stays small. Days that have no value near have no row.
     """
-    doy = F.dayofyear("day")
-    targets = F.transform(F.sequence(F.lit(-half), F.lit(half)), lambda s: F.pmod(doy - 1 + s, F.lit(366)) + 1)
-    spread = base.where(F.col(column).isNotNull()).select(*by, F.explode(targets).alias("doy"), F.col(column).alias("x"))
-    pooled = spread.groupBy(*by, "doy").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    own = base.where(F.col(column).isNotNull()).groupBy(*by, F.dayofyear("day").alias("doy")).agg(F.array_sort(F.collect_list(column)).alias("xs"))
+    # Days near the turn of the year stand at its other end as well: a few of 366, none twice within one window.
+    line = Window.partitionBy(*by).orderBy("doy")
+    entry = lambda d, xs, asks: F.struct(d.alias("doy"), xs.alias("xs"), F.lit(asks).alias("asks"))
+    have = F.filter(F.array(*(entry(F.col("doy") + turn, F.col("xs"), False) for turn in (0, 366, -366))), lambda x: x["doy"].between(1 - half, 366 + half))
+    # The first day of a group also asks for each day of the year, be there values of its own or not.
+    ask = F.when(F.row_number().over(line) == 1, F.transform(F.sequence(F.lit(1), F.lit(366)), lambda d: entry(d, F.slice("xs", 1, 0), True)))
+    rows = own.withColumn("ask", ask).select(*by, F.inline(F.when(F.col("ask").isNull(), have).otherwise(F.concat(have, "ask"))))
+    near = line.rangeBetween(-half, half)
+    # Sorting what are five sorted runs merges them.
+    pooled = rows.withColumn("xs", F.array_sort(F.flatten(F.collect_list("xs").over(near)))).where(F.col("asks") & (F.size("xs") > 0))
     n = F.size("xs")
     h = F.greatest(F.lit(1.0), F.least(n.cast("double"), (n + 1 / 3) * p + 1 / 3))
     low = F.floor(h).cast("int")
@@ -158,22 +166,29 @@ REGISTRY: dict[str, Callable[[Context], DataFrame]] = {
 UNITS = {n: "days" for n in REGISTRY} | {"rx1day": "mm", "rx5day": "mm", "sdii": "mm/day", "r95p": "mm", "leaf_wetness_hours": "hours", "wind_driven_rain_hours": "hours"}
 
 
-def compute(names: Sequence[str], ctx: Context, registry: Mapping[str, Callable] = REGISTRY) -> dict[str, DataFrame]:
-    """Indicators by name. An unknown name is logged and left out; one that can't be planned doesn't stop the others."""
-    out = {}
+def makers(names: Sequence[str], ctx: Context, registry: Mapping[str, Callable] = REGISTRY) -> dict[str, Callable[[], DataFrame]]:
+    """Functions that plan each indicator, for ``workbook.write_isolated``. An unknown name is logged and left out."""
     for name in names:
         if name not in registry:
             log.warning("unknown indicator %s", name)
-            continue
+    return {name: (lambda f=registry[name]: f(ctx)) for name in names if name in registry}
+
+
+def compute(names: Sequence[str], ctx: Context, registry: Mapping[str, Callable] = REGISTRY) -> dict[str, DataFrame]:
+    """Indicators by name. One that can't be planned is logged and doesn't stop the others."""
+    out = {}
+    for name, make in makers(names, ctx, registry).items():
         try:
-            out[name] = registry[name](ctx)
+            out[name] = make()
         except Exception:
             log.exception("indicator %s failed", name)
     return out
 
 
 def summary(values: Mapping[str, DataFrame]) -> DataFrame:
-    """(index, mean, min, max, units) over the cells and years that have a value, by name; empty indicators are left out."""
+    """(index, mean, min, max, units) over the cells and years that have a value, by name; empty indicators are left out; ValueError without any."""
+    if not values:
+        raise ValueError("no indicators to sum up")
     tables = [df.select(F.lit(name).alias("index"), F.col("value").cast("double").alias("value")) for name, df in values.items()]
     union = tables[0]
     for t in tables[1:]:

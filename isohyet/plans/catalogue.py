@@ -11,24 +11,12 @@ from isohyet.functions import bands, physics, special
 from isohyet.operators import annual, daily, indices, normals, periods, regions
 from isohyet.plans import figures
 from isohyet.plans import fixtures as fx
-from isohyet.sources import inventory, tables
+from isohyet.plans.registry import ORACLE_SQL, QUERIES, query
+from isohyet.sources import inventory, tables, workbook
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
 BASELINE = (1995, 1999)
 
 
-def query(name: str, sql: str | None):
-    def keep(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            ORACLE_SQL[name] = sql
-        return f
-
-    return keep
-
-
 def rounded(column, name: str | None = None):
     c = F.round(F.col(column) if isinstance(column, str) else column, 9)
     return c.alias(name or column)
@@ -635,6 +623,5 @@ def workbook_round_trip(spark, sf_dir):
     path, months = tables.new_folder(spark, "workbook"), monthly(spark, sf_dir)
     made = {"pni": indices.percent_of_normal(months, "tp", "value", [month_of()]), "departure": indices.departure(months, "tp", "value", [month_of()])}
     tables.write_workbook({n: t.select(F.lit(n).alias("name"), "cell", "month", rounded("value")) for n, t in made.items()}, path, {"pni": "percent of normal"})
-    names = [r["table"] for r in spark.read.parquet(f"{path}/readme").collect()]  # a row for each table
-    one, two = tables.read_workbook(spark, path, names).values()
+    one, two = workbook.read(spark, path).values()
     return one.unionByName(two)

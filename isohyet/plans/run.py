@@ -99,11 +99,18 @@ class Run:
         days = daily.agromet_daily(hours, rain_day=s.rain_day_mm, rain_hour=s.rain_hour_mm, wet_rh=s.wet_rh, windy=s.windy_ms)
         return self._kept("agromet", self._inside(days))
 
-    def indicators(self, names: Sequence[str] = tuple(annual.REGISTRY)) -> dict[str, DataFrame]:
-        """Annual indicators by name; those whose fields are missing are logged and left out."""
+    def _context(self) -> annual.Context:
         field = lambda c: F.col(c) if c in self.daily.columns else F.lit(None).cast("double")
         days = self.daily.select("cell", "day", field("t2m_max").alias("tmax"), field("t2m_min").alias("tmin"), field("tp_sum").alias("pr"))
-        return annual.compute(names, annual.Context(daily=days, agromet=self.agromet if self.has_agromet else None, baseline=self.settings.baseline_years))
+        return annual.Context(daily=days, agromet=self.agromet if self.has_agromet else None, baseline=self.settings.baseline_years)
+
+    def indicators(self, names: Sequence[str] = tuple(annual.REGISTRY)) -> dict[str, DataFrame]:
+        """Annual indicators by name; those whose fields are missing are logged and left out."""
+        return annual.compute(names, self._context())
+
+    def indicator_makers(self, names: Sequence[str] = tuple(annual.REGISTRY)) -> dict[str, Callable[[], DataFrame]]:
+        """What plans each annual indicator, to be written apart from the others."""
+        return annual.makers(names, self._context())
 
     @cached_property
     def normals(self) -> DataFrame:

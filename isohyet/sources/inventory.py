@@ -60,3 +60,33 @@ def latest_common_month(have: DataFrame, variables: Sequence[str]) -> DataFrame:
     """(year, month), one row: the last month that every variable has; no row if there is none."""
     found = have.where(F.col("variable").isin(*variables)).groupBy("year", "month").agg(F.countDistinct("variable").alias("n"))
     return found.where(F.col("n") == len(set(variables))).agg(F.max(F.struct("year", "month")).alias("m")).where("m is not null").select("m.year", "m.month")
+
+
+_SPLIT = """
+WITH RECURSIVE request(year, first_month, last_month, variables, most, depth) AS (
+  SELECT b.year, b.first_month, b.last_month, b.variables, l.most, 0 FROM {batches} b LEFT JOIN {limits} l ON l.year = b.year
+  UNION ALL
+  SELECT year, part.first_month, part.last_month, part.variables, most, depth + 1 FROM (
+    SELECT year, most, depth, explode(
+      CASE WHEN last_month > first_month THEN transform(sequence(first_month, last_month), m -> struct(m AS first_month, m AS last_month, variables))
+      ELSE array(
+        struct(first_month, last_month, slice(variables, 1, size(variables) div 2) AS variables),
+        struct(first_month, last_month, slice(variables, size(variables) div 2 + 1, size(variables)) AS variables)) END) AS part
+    FROM request
+    WHERE (last_month - first_month + 1) * size(variables) > most AND (last_month > first_month OR size(variables) > 1)))
+SELECT year, first_month, last_month, variables, depth, coalesce(size(variables) > most, false) AS refused FROM request
+WHERE most IS NULL OR (last_month - first_month + 1) * size(variables) <= most OR (last_month = first_month AND size(variables) = 1)"""
+
+
+def split_refused(requested: DataFrame, limits: DataFrame) -> DataFrame:
+    """Requests that the service takes: (year, first_month, last_month, variables, depth, refused), variables joined by commas.
+
+    ``requested`` has what ``batches`` gives, ``limits`` the ``most`` files (variables x months) of one request of a
+    year; a year without a limit takes anything. A request that is too large is asked again a month at a time; one
+    month that is too large in halves of its variables (the smaller half first), and so on. ``depth`` counts the
+    splits; what can't be split and is still too large is ``refused``.
+    """
+    spark = requested.sparkSession
+    listed = requested.withColumn("variables", F.split("variables", ",")).withColumns({c: F.col(c).cast("int") for c in ("year", "first_month", "last_month")})
+    found = spark.sql(_SPLIT, batches=listed, limits=limits.select(F.col("year").cast("int").alias("year"), F.col("most").cast("int").alias("most")))
+    return found.withColumn("variables", F.array_join("variables", ","))

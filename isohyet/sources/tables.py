@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isohyet.sources import workbook
+
 #: Folders below the output folder of a run.
 FOLDERS = ("raw", "processed", "normals", "anomalies", "indices", "plots", "logs")
 _TIME_NAMES, _LAT_NAMES, _LON_NAMES = ("ts", "time", "valid_time"), ("lat", "latitude"), ("lon", "longitude")
@@ -69,17 +71,13 @@ def write_fields(df: DataFrame, path: str, *, partitions: Sequence[str] = ("vari
 
 
 def write_workbook(tables: Mapping[str, DataFrame], path: str, notes: Mapping[str, str] | None = None) -> None:
-    """One Parquet folder per result table and one, 'readme', of (table, note)."""
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    """Publish all result tables with their notes, or none: see ``workbook``."""
     if tables:
-        spark = next(iter(tables.values())).sparkSession
-        rows = [(name, (notes or {}).get(name, "")) for name in tables]
-        spark.createDataFrame(rows, "`table` string, note string").write.mode("overwrite").parquet(f"{path}/readme")
+        workbook.write(next(iter(tables.values())).sparkSession, path, {name: (lambda df=df: df) for name, df in tables.items()}, notes)
 
 
 def read_workbook(spark: SparkSession, path: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in names}
+    return workbook.read(spark, path, names)
 
 
 def write_summary_csv(summary: DataFrame, path: str) -> None:

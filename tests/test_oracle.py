@@ -5,7 +5,7 @@ import os
 import oracle
 import pytest
 
-from isohyet.plans import catalogue
+from isohyet.plans import catalogue, catalogue_runs  # noqa: F401  both register queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
