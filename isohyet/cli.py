@@ -7,12 +7,11 @@ from __future__ import annotations
 
 import argparse
 
-import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from isohyet.operators import annual
-from isohyet.operators.regions import resolve_region, touched
+from isohyet.operators import annual, boundaries
+from isohyet.operators.regions import resolve_region
 from isohyet.plans.config import Settings
 from isohyet.plans.run import NEEDS, Run, wanted_indices
 from isohyet.sources import tables, workbook
@@ -55,11 +54,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     wide = long.groupBy("cell", "ts").pivot("variable", list(settings.variables)).agg(F.first("value", ignorenulls=True))
     paths = tables.build_paths(args.output)
 
-    @F.pandas_udf("boolean")
-    def inside(lat: pd.Series, lon: pd.Series) -> pd.Series:
-        return pd.Series([not region.rings or touched(region.rings, a, o, args.step) for a, o in zip(lat, lon, strict=True)])
-
-    cells = long.groupBy("cell").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon")).withColumn("in_region", inside("lat", "lon"))
+    cells = long.groupBy("cell").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
+    if boundary:
+        cells = boundaries.mark_region(cells, boundaries.edges(spark, boundaries.read_polygons(boundary)), boundaries.Grid(args.step))
+    else:
+        cells = cells.withColumn("in_region", F.lit(True))
     cells.write.mode("overwrite").parquet(f"{paths['logs']}/cells")  # the hourly rows are scanned for their cells once
     run = Run(wide, spark.read.parquet(f"{paths['logs']}/cells"), settings, store=f"{paths['logs']}/kept")
     if args.stage in ("daily", "all"):

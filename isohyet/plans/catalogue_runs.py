@@ -1,10 +1,10 @@
-"""Registered queries of what runs write: isolated indicators, incremental sinks, workbooks, refused requests."""
+"""Registered queries of what runs write (isolated indicators, incremental sinks, workbooks, refused requests) and of boundaries."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from isohyet.operators import annual, indices
+from isohyet.operators import annual, boundaries, indices
 from isohyet.plans import catalogue
 from isohyet.plans import fixtures as fx
 from isohyet.plans.registry import ORACLE_SQL, query
@@ -76,3 +76,65 @@ def split_requests(spark, sf_dir):
     """Batches of missing months against limits by year: orders modulo three stand for the most files of a request."""
     limits = fx.table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg((F.count("*") % 3).alias("most"))
     return inventory.split_refused(catalogue.download_batches(spark, sf_dir), limits)
+
+
+# --- boundaries: a diamond with a square hole for each nation, over cells of customers ------------------
+
+_STEP = 0.125
+_CORNERS = {"outer": [(1, 0), (0, 1), (-1, 0), (0, -1)], "hole": [(0.25, 0.25), (-0.25, 0.25), (-0.25, -0.25), (0.25, -0.25)]}
+_SIDES = [(a, b) for ring in _CORNERS.values() for a, b in zip(ring, [*ring[1:], ring[0]], strict=True)]
+
+
+def _shapes(spark, sf_dir):
+    """EDGES: centres a quarter of a degree apart, half as wide as 3 to 6 cells by the number of suppliers; they overlap."""
+    k = F.col("s_nationkey")
+    shape = fx.table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(((F.count("*") % 4 + 3) / 8).alias("r"))
+    shape = shape.select(k.cast("string").alias("polygon"), (77.5 + (k % 5) * 0.25).alias("x"), (19.5 + F.floor(k / 5) * 0.25).alias("y"), "r")
+    side = lambda a, b: F.struct(*((F.col(c) + F.lit(float(v)) * F.col("r")).alias(n) for c, v, n in (("x", a[0], "x1"), ("y", a[1], "y1"), ("x", b[0], "x2"), ("y", b[1], "y2"))))
+    return shape.select("polygon", F.inline(F.array(*(side(a, b) for a, b in _SIDES))))
+
+
+def _customer_cells(spark, sf_dir):
+    """(cell, lat, lon, balance): 40 by 40 cells by customer key."""
+    cell = F.pmod(F.col("c_custkey"), F.lit(1600)).cast("int").alias("cell")
+    sums = fx.table(spark, sf_dir, "customer").groupBy(cell).agg(F.sum("c_acctbal").alias("balance"))
+    return sums.select("cell", (18.0 + F.floor(F.col("cell") / 40) * _STEP).alias("lat"), (76.0 + F.col("cell") % 40 * _STEP).alias("lon"), "balance")
+
+
+def _clip_sql(a: str, b: str, lo: str, hi: str) -> tuple[str, str, str]:
+    t = [f"({side} - {a}) / NULLIF({b} - {a}, 0)" for side in (lo, hi)]
+    return f"COALESCE(least({t[0]}, {t[1]}), 0)", f"COALESCE(greatest({t[0]}, {t[1]}), 1)", f"({a} <> {b} OR {a} BETWEEN {lo} AND {hi})"
+
+
+_XS, _YS = _clip_sql("x1", "x2", "(lon - 0.0625::DOUBLE)", "(lon + 0.0625::DOUBLE)"), _clip_sql("y1", "y2", "(lat - 0.0625::DOUBLE)", "(lat + 0.0625::DOUBLE)")
+_BOUNDARY_SQL = f"""shape AS (SELECT CAST(s_nationkey AS VARCHAR) AS polygon, 77.5::DOUBLE + s_nationkey % 5 * 0.25::DOUBLE AS x, 19.5::DOUBLE + s_nationkey // 5 * 0.25::DOUBLE AS y, (COUNT(*) % 4 + 3) / 8 AS r FROM supplier GROUP BY s_nationkey),
+edge AS (SELECT polygon, UNNEST([{", ".join(f"{{'x1': x + {a[0]}::DOUBLE * r, 'y1': y + {a[1]}::DOUBLE * r, 'x2': x + {b[0]}::DOUBLE * r, 'y2': y + {b[1]}::DOUBLE * r}}" for a, b in _SIDES)}], recursive := true) FROM shape),
+grid AS (SELECT CAST(c_custkey % 1600 AS INTEGER) AS cell, 18.0::DOUBLE + cell // 40 * 0.125::DOUBLE AS lat, 76.0::DOUBLE + cell % 40 * 0.125::DOUBLE AS lon, SUM(c_acctbal) AS balance FROM customer GROUP BY 1),
+tested AS (SELECT polygon, cell, lat, lon, balance, COUNT(*) FILTER ((y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / NULLIF(y2 - y1, 0) + x1) % 2 = 1 AS inside,
+ BOOL_OR({_XS[2]} AND {_YS[2]} AND greatest(0, {_XS[0]}, {_YS[0]}) <= least(1, {_XS[1]}, {_YS[1]})) AS touched FROM grid, edge GROUP BY ALL)"""
+
+
+@query("boundary_members", f"WITH {_BOUNDARY_SQL} SELECT polygon, cell FROM tested WHERE inside OR touched")
+def boundary_members(spark, sf_dir):
+    """Cells of each of many overlapping polygons with holes."""
+    return boundaries.members(_customer_cells(spark, sf_dir), _shapes(spark, sf_dir), boundaries.Grid(_STEP)).select("polygon", "cell")
+
+
+@query("boundary_union", f"WITH {_BOUNDARY_SQL} SELECT cell, lat, lon, ROUND(balance, 4) AS balance, BOOL_OR(inside OR touched) AS in_region FROM tested GROUP BY ALL")
+def boundary_union(spark, sf_dir):
+    """All cells, and whether they touch any polygon."""
+    marked = boundaries.mark_region(_customer_cells(spark, sf_dir), _shapes(spark, sf_dir), boundaries.Grid(_STEP))
+    return marked.select("cell", "lat", "lon", F.round("balance", 4).alias("balance"), "in_region")
+
+
+_NATION_GRID = "grid AS (SELECT DISTINCT CAST(s_nationkey AS INTEGER) AS cell, 19.5::DOUBLE + s_nationkey // 5 * 0.125::DOUBLE AS lat, 77.5::DOUBLE + s_nationkey % 5 * 0.125::DOUBLE AS lon, 0 AS balance FROM supplier)"
+
+
+@query("boundary_means", f"WITH {fx.DAILY}, {_BOUNDARY_SQL.split('grid AS')[0]}{_NATION_GRID},\ntested AS{_BOUNDARY_SQL.split('tested AS')[1]} SELECT polygon, day, COUNT(*) AS n_cells, ROUND(AVG(tp), 9) AS tp FROM daily JOIN tested USING (cell) WHERE inside OR touched GROUP BY polygon, day")
+def boundary_means(spark, sf_dir):
+    """Daily means of each polygon over a grid of one cell for each nation."""
+    days = fx.daily_grid(spark, sf_dir)
+    k = F.col("s_nationkey")
+    cells = fx.table(spark, sf_dir, "supplier").select(k.cast("int").alias("cell"), (19.5 + F.floor(k / 5) * _STEP).alias("lat"), (77.5 + k % 5 * _STEP).alias("lon")).distinct()
+    out = boundaries.polygon_means(days, cells, _shapes(spark, sf_dir), boundaries.Grid(_STEP), ["tp"])
+    return out.select("polygon", "day", "n_cells", F.round("tp", 9).alias("tp"))
