@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from isohyet.operators import annual, boundaries, indices
+from isohyet.functions import physics
+from isohyet.functions.calendar import local_day
+from isohyet.operators import annual, boundaries, daily, indices
 from isohyet.plans import catalogue
 from isohyet.plans import fixtures as fx
 from isohyet.plans.registry import ORACLE_SQL, query
@@ -138,3 +140,14 @@ def boundary_means(spark, sf_dir):
     cells = fx.table(spark, sf_dir, "supplier").select(k.cast("int").alias("cell"), (19.5 + F.floor(k / 5) * _STEP).alias("lat"), (77.5 + k % 5 * _STEP).alias("lon")).distinct()
     out = boundaries.polygon_means(days, cells, _shapes(spark, sf_dir), boundaries.Grid(_STEP), ["tp"])
     return out.select("polygon", "day", "n_cells", F.round("tp", 9).alias("tp"))
+
+
+_BOTH = "COUNT(t) AS n_t, ROUND(AVG(t), 9) AS t_mean, ROUND(MAX(t), 9) AS t_max, ROUND(SUM(tp), 9) AS tp_sum, ROUND(MAX(sqrt(u * u + v * v)), 9) AS wind_max"
+
+
+@query("days_in_one_pass", f"WITH {fx.MET} SELECT 'utc' AS kind, cell, CAST(ts AS DATE) AS day, {_BOTH} FROM met GROUP BY cell, CAST(ts AS DATE) UNION ALL SELECT 'local', cell, CAST(ts + INTERVAL 330 MINUTE AS DATE), {_BOTH} FROM met GROUP BY cell, CAST(ts + INTERVAL 330 MINUTE AS DATE)")
+def days_in_one_pass(spark, sf_dir):
+    """Fields of UTC days and of local days from one grouping of the hourly rows."""
+    outputs = [F.count("t").alias("n_t"), *daily.daily_outputs({"t": ["mean", "max"], "tp": ["sum"]}), F.max(physics.wind_speed(F.col("u"), F.col("v"))).alias("wind_max")]
+    out = daily.by_kinds_of_day(fx.met_hourly(spark, sf_dir), {"utc": F.col("ts").cast("date"), "local": local_day(F.col("ts"))}, outputs)
+    return out.select("kind", "cell", "day", "n_t", *[F.round(c, 9).alias(c) for c in ("t_mean", "t_max", "tp_sum", "wind_max")])

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.functions import bands, physics
+from isohyet.functions.calendar import local_day
 from isohyet.operators import annual, daily, indices, normals, periods
 from isohyet.operators.regions import if_small
 from isohyet.plans.config import ACCUMULATED, Settings
@@ -59,7 +60,7 @@ class Run:
     def _kept(self, name: str, df: DataFrame) -> DataFrame:
         if not self.store:
             return df
-        df.write.mode("overwrite").parquet(f"{self.store}/{name}")
+        df.write.mode("overwrite").parquet(f"{self.store}/{name}")  # the folder of this run: nothing else reads it
         return df.sparkSession.read.schema(df.schema).parquet(f"{self.store}/{name}")
 
     @property
@@ -75,14 +76,51 @@ class Run:
                 df = df.withColumn(v, physics.not_negative(F.col(v)))
         return df.select("cell", "ts", *[physics.convert(F.col(v), v).alias(v) for v in self._have])
 
+    @property
+    def _full_demand(self) -> bool:
+        return PET_FULL <= set(self.hourly.columns) and PET_FULL <= set(self.settings.variables)
+
+    @cached_property
+    def _fields(self) -> DataFrame:
+        """(kind, cell, day, ...) of UTC days (daily fields; agromet ones end in _agromet) and, for a full demand, of local
+        days: one scan of the hourly rows, one shuffle by cell, one grouping. Windows and grouping use the same partitioning."""
+        s, have = self.settings, self._have
+        df, utc = self.hourly.repartition("cell"), {}
+        for v in have:
+            if v in ACCUMULATED:
+                df = daily.deaccumulate_reset(df, v, f"__{v}")
+                df = df.withColumn(f"__{v}", physics.not_negative(F.col(f"__{v}")))
+        if self._full_demand:
+            df = df if "tp" in df.columns else df.withColumn("tp", F.lit(None).cast("double"))
+            for v in ACCUMULATED:
+                df = daily.deaccumulate_cycle(df, v, f"local_{v}", keep_first=True)
+        for v in have:
+            utc[f"utc_{v}"] = physics.convert(F.col(f"__{v}" if v in ACCUMULATED else v), v)
+        if self.has_agromet and "tp" not in have:
+            utc["utc_tp"] = F.lit(None).cast("double")
+        df = df.withColumns(utc)
+        outputs = daily.daily_outputs({v: s.aggregates[v] for v in have}, lambda v: f"utc_{v}")
+        kinds = {"utc": F.col("ts").cast("date")}
+        if self.has_agromet:
+            names = {"t": "utc_t2m", "td": "utc_d2m", "u": "utc_u10", "v": "utc_v10", "rain": "utc_tp"}
+            outputs += daily.agromet_outputs(names.__getitem__, rain_hour=s.rain_hour_mm, wet_rh=s.wet_rh, windy=s.windy_ms, suffix="_agromet")
+        if self._full_demand:
+            names = {"t": "t2m", "td": "d2m", "tp": "local_tp", "u": "u10", "v": "v10", "rs": "local_ssrd", "p": "sp"}
+            outputs += [c.alias(f"{n}_local") for n, c in zip(("n_t", *daily.LOCAL_FIELDS), daily.local_outputs(names.__getitem__), strict=True)]
+            kinds["local"] = local_day(F.col("ts"))
+        return self._kept("fields", daily.by_kinds_of_day(df, kinds, outputs))
+
     def _inside(self, days: DataFrame) -> DataFrame:
         return days.join(if_small(self.cells.where("in_region").select("cell")), "cell", "left_semi")
 
     @cached_property
     def daily(self) -> DataFrame:
         """(cell, day, {variable}_{aggregate}...) of the cells in the region, in working units."""
-        days = daily.aggregate_daily(self._converted(), {v: self.settings.aggregates[v] for v in self._have})
-        return self._kept("daily", self._inside(days))
+        aggregates = {v: self.settings.aggregates[v] for v in self._have}
+        if self.store:
+            names = [f"{v}_{how}" for v, hows in aggregates.items() for how in hows]
+            return self._kept("daily", self._inside(self._fields.where("kind = 'utc'").select("cell", "day", *names)))
+        return self._inside(daily.aggregate_daily(self._converted(), aggregates))
 
     @property
     def has_agromet(self) -> bool:
@@ -94,10 +132,14 @@ class Run:
         if not self.has_agromet:
             raise ValueError(f"agromet fields need {', '.join(sorted(AGROMET))}")
         s = self.settings
+        if self.store:
+            names = [c for c in self._fields.columns if c.endswith("_agromet")]
+            days = self._fields.where("kind = 'utc'").select("cell", "day", *[F.col(c).alias(c.removesuffix("_agromet")) for c in names])
+            return self._kept("agromet", self._inside(days.withColumn("rain_day", physics.flag(F.col("rain_mm") >= s.rain_day_mm))))
         rain = F.col("tp") if "tp" in self._have else F.lit(None).cast("double")
         hours = self._converted().select("cell", "ts", F.col("t2m").alias("t"), F.col("d2m").alias("td"), F.col("u10").alias("u"), F.col("v10").alias("v"), rain.alias("rain"))
         days = daily.agromet_daily(hours, rain_day=s.rain_day_mm, rain_hour=s.rain_hour_mm, wet_rh=s.wet_rh, windy=s.windy_ms)
-        return self._kept("agromet", self._inside(days))
+        return self._inside(days)
 
     def _context(self) -> annual.Context:
         field = lambda c: F.col(c) if c in self.daily.columns else F.lit(None).cast("double")
@@ -121,7 +163,7 @@ class Run:
     @cached_property
     def anomalies(self) -> DataFrame:
         columns = [c for c in self.daily.columns if c not in ("cell", "day")]
-        return normals.anomalies(self.daily, self.normals, columns, percent_of="tp_sum" if "tp_sum" in columns else None)
+        return self._kept("anomalies", normals.anomalies(self.daily, self.normals, columns, percent_of="tp_sum" if "tp_sum" in columns else None))
 
     @cached_property
     def area(self) -> DataFrame:
@@ -132,19 +174,24 @@ class Run:
     @cached_property
     def demand(self) -> DataFrame:
         """(cell = 0, day, pet): Penman-Monteith where all its fields are there, else Hargreaves at the mid latitude."""
-        if PET_FULL <= set(self.hourly.columns) and PET_FULL <= set(self.settings.variables):
+        if self._full_demand:
             cells = if_small(self.cells.where("in_region").select("cell", "lat"))
-            rain = F.col("tp") if "tp" in self.hourly.columns else F.lit(None).cast("double")
-            raw = self.hourly.withColumn("tp", rain)
-            for v in ACCUMULATED:
-                raw = daily.deaccumulate_cycle(raw, v, v)
-            fields = daily.local_day_fields(raw.select("cell", "ts", F.col("t2m").alias("t"), F.col("d2m").alias("td"), "tp", F.col("u10").alias("u"), F.col("v10").alias("v"), F.col("ssrd").alias("rs"), F.col("sp").alias("p")))
+            fields = self._local_fields()
             et0 = physics.penman_monteith(F.col("tmax"), F.col("tmin"), F.col("tdew"), F.col("p_kpa"), F.col("u10"), F.col("rs_mj"), F.col("lat"), F.dayofyear("day"))
             return self._kept("demand", daily.area_mean(fields.join(cells, "cell").withColumn("pet", et0), ["pet"]).withColumn("cell", F.lit(0)))
         middle = self.cells.where("in_region").agg((F.max("lat") + F.min("lat")) / 2).scalar()
         pet = physics.hargreaves(F.col("t2m_mean"), F.col("t2m_max"), F.col("t2m_min"), middle, F.dayofyear("day"))
         return self.area.select("cell", "day", pet.alias("pet"))
 
+    def _local_fields(self) -> DataFrame:
+        if self.store:
+            names = [c for c in self._fields.columns if c.endswith("_local")]
+            return daily.complete_days(self._fields.where("kind = 'local'").select("cell", "day", *[F.col(c).alias(c.removesuffix("_local")) for c in names]))
+        raw = self.hourly.withColumn("tp", F.col("tp") if "tp" in self.hourly.columns else F.lit(None).cast("double"))
+        for v in ACCUMULATED:
+            raw = daily.deaccumulate_cycle(raw, v, v, keep_first=True)
+        return daily.local_day_fields(raw.select("cell", "ts", F.col("t2m").alias("t"), F.col("d2m").alias("td"), "tp", F.col("u10").alias("u"), F.col("v10").alias("v"), F.col("ssrd").alias("rs"), F.col("sp").alias("p")))
+
     def monthly(self, *columns: str) -> DataFrame:
         both = self.area
         if "pet" in columns:

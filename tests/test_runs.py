@@ -134,3 +134,41 @@ def test_percentiles_around_a_day(spark):
 def test_no_indicator_has_no_summary():
     with pytest.raises(ValueError):
         annual.summary({})
+
+
+def raw_hours(spark, days=40):
+    """Two cells, all variables in raw units; running totals restart at 01:00; some values are missing."""
+    hours = spark.range(0, 24 * days).selectExpr("timestamp_ntz'2020-12-10 00:00:00' + make_dt_interval(0, cast(id as int)) as ts", "id").withColumn("cell", F.explode(F.array(F.lit(1), F.lit(2))))
+    total = "cast(pmod(id - 1, 24) + 1 as double) * pmod(cell * 7 + floor((id - 1) / 24) * 13, 11)"
+    return hours.selectExpr(
+        "cell", "ts", "if(pmod(id, 97) = 5, null, 285 + 8 * sin(id / 3.8) + cell) as t2m", "283 + 5 * sin(id / 5.1) as d2m", f"{total} / 1e5 as tp",
+        "3 * cos(id / 7.0) as u10", "9 * sin(id / 11.0) as v10", f"{total} * 1e4 as ssrd", "97000 + 10 * pmod(id, 5) as sp",
+    )
+
+
+@pytest.mark.parametrize("variables", [("t2m", "tp"), ("t2m", "d2m", "u10", "v10"), ("t2m", "d2m", "u10", "v10", "tp", "ssrd", "sp")])
+def test_one_pass_gives_the_same_fields(spark, tmp_path, variables):
+    from isohyet.plans.config import Settings
+    from isohyet.plans.run import Run
+
+    hourly = raw_hours(spark).select("cell", "ts", *variables)
+    cells = spark.createDataFrame([(1, 21.0, 79.0, True), (2, 21.5, 79.0, True)], "cell int, lat double, lon double, in_region boolean")
+    settings = Settings(variables=variables, period=("2020-01-01", "2021-12-31"))
+    apart, kept = Run(hourly, cells, settings), Run(hourly, cells, settings, store=str(tmp_path))
+    names = ["daily", "demand", *(["agromet"] if apart.has_agromet else [])]
+    for name in names:
+        one, two = ({(r.day, r.cell): r.asDict() for r in getattr(run, name).collect()} for run in (apart, kept))
+        assert set(one) == set(two) and len(one) > 20
+        for key, row in one.items():
+            assert {k: v if v is None or k == "day" else pytest.approx(v, rel=1e-9, abs=1e-9) for k, v in row.items()} == two[key]
+
+
+def test_one_pass_scans_and_shuffles_once(spark, tmp_path):
+    from isohyet.plans.config import Settings
+    from isohyet.plans.run import Run
+
+    raw_hours(spark, 3).write.parquet(f"{tmp_path}/hours")
+    cells = spark.createDataFrame([(1, 21.0, 79.0, True)], "cell int, lat double, lon double, in_region boolean")
+    run = Run(spark.read.parquet(f"{tmp_path}/hours"), cells, Settings(variables=("t2m", "d2m", "u10", "v10", "tp", "ssrd", "sp")))
+    plan = run._fields._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
