@@ -10,7 +10,7 @@ from isohyet.operators import annual, boundaries, daily, indices
 from isohyet.plans import catalogue
 from isohyet.plans import fixtures as fx
 from isohyet.plans.registry import ORACLE_SQL, query
-from isohyet.sources import incremental, inventory, tables, workbook
+from isohyet.sources import incremental, inventory, netcdf, tables, workbook
 
 
 def _broken(ctx):
@@ -151,3 +151,21 @@ def days_in_one_pass(spark, sf_dir):
     outputs = [F.count("t").alias("n_t"), *daily.daily_outputs({"t": ["mean", "max"], "tp": ["sum"]}), F.max(physics.wind_speed(F.col("u"), F.col("v"))).alias("wind_max")]
     out = daily.by_kinds_of_day(fx.met_hourly(spark, sf_dir), {"utc": F.col("ts").cast("date"), "local": local_day(F.col("ts"))}, outputs)
     return out.select("kind", "cell", "day", "n_t", *[F.round(c, 9).alias(c) for c in ("t_mean", "t_max", "tp_sum", "wind_max")])
+
+
+@query("netcdf_round_trip", f"WITH {fx.HOURLY} SELECT variable, ts, lat, lon, value FROM (SELECT UNNEST(['tp', 'accum']) AS variable, ts, CAST(20 + cell AS DOUBLE) AS lat, CAST(78 AS DOUBLE) AS lon, CAST(UNNEST([v, accum]) AS DOUBLE) AS value FROM hourly)")
+def netcdf_round_trip(spark, sf_dir):
+    """Hourly fields of two variables as gridded files, and back."""
+    path = tables.new_folder(spark, "netcdf")
+    long = fx.hourly_grid(spark, sf_dir).select(F.explode(F.map_from_arrays(F.array(F.lit("tp"), F.lit("accum")), F.array("v", "accum"))).alias("variable", "value"), "ts", (20.0 + F.col("cell")).alias("lat"), F.lit(78.0).alias("lon"))
+    netcdf.write(long, path)
+    return netcdf.read(spark, path).where("value is not null")
+
+
+@query("netcdf_slab", f"WITH {fx.HOURLY} SELECT ts, lat, value FROM (SELECT ts, CAST(20 + cell AS DOUBLE) AS lat, CAST(v AS DOUBLE) AS value FROM hourly) WHERE lat BETWEEN 22 AND 24 AND hour(ts) = 6")
+def netcdf_slab(spark, sf_dir):
+    """One variable of some rows of the grid: the reader takes both down to the files' indices."""
+    path = tables.new_folder(spark, "netcdf")
+    long = fx.hourly_grid(spark, sf_dir).select(F.explode(F.map_from_arrays(F.array(F.lit("tp"), F.lit("accum")), F.array("v", "accum"))).alias("variable", "value"), "ts", (20.0 + F.col("cell")).alias("lat"), F.lit(78.0).alias("lon"))
+    netcdf.write(long, path, tile=2.0)
+    return netcdf.read(spark, path).where("variable = 'tp' and lat >= 22 and lat <= 24 and value is not null and hour(ts) = 6").select("ts", "lat", "value")
