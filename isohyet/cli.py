@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from isohyet.operators import annual, boundaries
 from isohyet.operators.regions import resolve_region
+from isohyet.plans import plots
 from isohyet.plans.config import Settings
 from isohyet.plans.run import NEEDS, Run, wanted_indices
 from isohyet.sources import tables, workbook
 
-STAGES = ("daily", "agromet", "normals", "anomalies", "indices", "annual", "all")
+STAGES = ("daily", "agromet", "normals", "anomalies", "indices", "annual", "plots", "all")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -48,6 +49,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     except ValueError as e:
         p.error(str(e))
     spark = spark or SparkSession.builder.appName("isohyet").getOrCreate()
+    if args.stage == "plots":  # from saved tables alone: the hourly input is not read
+        _plots(spark, tables.build_paths(args.output))
+        return 0
     years = (int(args.start[:4]), int(args.end[:4]))
     long = tables.read_hourly(spark, args.input, years=years).where(F.col("variable").isin(*settings.variables))
     long = long.where(F.col("lat").between(region.south, region.north) & F.col("lon").between(region.west, region.east)).withColumn("cell", tables.cell_id(F.col("lat"), F.col("lon"), args.step))
@@ -79,8 +83,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         found = [r["name"] for r in status.where("status = 'written'").select("name").collect()]  # 16 at most
         if found:
             tables.write_summary_csv(annual.summary(workbook.read(spark, book, found)), f"{book}/summary")
+    if args.stage == "all":
+        _plots(spark, paths)
     return 0
 
 
+def _plots(spark: SparkSession, paths: dict[str, str]) -> None:
+    plots.write(spark, paths["indices"], paths["plots"], anomalies=paths["anomalies"], cells=f"{paths['logs']}/cells")
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from isohyet.functions import physics
+from isohyet.functions import bands, physics
 from isohyet.functions.calendar import local_day
-from isohyet.operators import annual, boundaries, daily, indices
-from isohyet.plans import catalogue
+from isohyet.operators import annual, boundaries, daily, indices, normals, periods, regions
+from isohyet.plans import catalogue, figures, plots, run
 from isohyet.plans import fixtures as fx
 from isohyet.plans.registry import ORACLE_SQL, query
 from isohyet.sources import incremental, inventory, netcdf, tables, workbook
@@ -87,13 +87,16 @@ _CORNERS = {"outer": [(1, 0), (0, 1), (-1, 0), (0, -1)], "hole": [(0.25, 0.25),
 _SIDES = [(a, b) for ring in _CORNERS.values() for a, b in zip(ring, [*ring[1:], ring[0]], strict=True)]
 
 
-def _shapes(spark, sf_dir):
-    """EDGES: centres a quarter of a degree apart, half as wide as 3 to 6 cells by the number of suppliers; they overlap."""
+def _centres(spark, sf_dir):
     k = F.col("s_nationkey")
     shape = fx.table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(((F.count("*") % 4 + 3) / 8).alias("r"))
-    shape = shape.select(k.cast("string").alias("polygon"), (77.5 + (k % 5) * 0.25).alias("x"), (19.5 + F.floor(k / 5) * 0.25).alias("y"), "r")
+    return shape.select(k.cast("string").alias("polygon"), (77.5 + (k % 5) * 0.25).alias("x"), (19.5 + F.floor(k / 5) * 0.25).alias("y"), "r")
+
+
+def _shapes(spark, sf_dir):
+    """EDGES: centres a quarter of a degree apart, half as wide as 3 to 6 cells by the number of suppliers; they overlap."""
     side = lambda a, b: F.struct(*((F.col(c) + F.lit(float(v)) * F.col("r")).alias(n) for c, v, n in (("x", a[0], "x1"), ("y", a[1], "y1"), ("x", b[0], "x2"), ("y", b[1], "y2"))))
-    return shape.select("polygon", F.inline(F.array(*(side(a, b) for a, b in _SIDES))))
+    return _centres(spark, sf_dir).select("polygon", F.inline(F.array(*(side(a, b) for a, b in _SIDES))))
 
 
 def _customer_cells(spark, sf_dir):
@@ -169,3 +172,104 @@ def netcdf_slab(spark, sf_dir):
     long = fx.hourly_grid(spark, sf_dir).select(F.explode(F.map_from_arrays(F.array(F.lit("tp"), F.lit("accum")), F.array("v", "accum"))).alias("variable", "value"), "ts", (20.0 + F.col("cell")).alias("lat"), F.lit(78.0).alias("lon"))
     netcdf.write(long, path, tile=2.0)
     return netcdf.read(spark, path).where("variable = 'tp' and lat >= 22 and lat <= 24 and value is not null and hour(ts) = 6").select("ts", "lat", "value")
+
+
+# --- figures' tables from saved tables, scans, sinks and requests ---------------------------------------------
+
+
+def _saved_departure(spark, sf_dir) -> dict:
+    """A workbook of departures from normal over all cells, written and read back."""
+    path = tables.new_folder(spark, "saved")
+    area = daily.area_mean(fx.daily_grid(spark, sf_dir), ["tp"]).withColumn("cell", F.lit(0))
+    made = indices.departure(periods.monthly(area, sums=["tp"]), "tp", "x", [F.month("month")]).select("month", F.round("x", 7).alias("departure_pct"))
+    tables.write_workbook({"imd-departure": made.withColumn("departure_pct_category", bands.categorize(F.col("departure_pct"), bands.DEPARTURE))}, path)
+    return workbook.read(spark, path)
+
+
+_AREA_DEPARTURE = f"{fx.DAILY}, a AS (SELECT day, AVG(tp) AS tp FROM daily GROUP BY day), am AS (SELECT CAST(date_trunc('month', day) AS DATE) AS date, SUM(tp) AS tp FROM a GROUP BY 1), p AS (SELECT date, ROUND((tp - AVG(tp) OVER w) / NULLIF(AVG(tp) OVER w, 0) * 100, 7) AS v FROM am WINDOW w AS (PARTITION BY month(date)))"
+
+
+@query("plots_from_saved_tables", f"WITH {_AREA_DEPARTURE}, k AS (SELECT min_by(date, (v, date)) AS lo, max_by(date, (v, -epoch(date))) AS hi FROM p WHERE v IS NOT NULL) SELECT date, v AS value, least(greatest(v, -100), 150) AS display_value, {bands.sql_case('v', bands.DEPARTURE)} AS category, date = lo AS is_worst, date = hi AS is_best, FALSE AS annual FROM p, k WHERE v IS NOT NULL")
+def plots_from_saved_tables(spark, sf_dir):
+    """Bars of an index as a figure shows them, from the saved table alone."""
+    return plots.makers(_saved_departure(spark, sf_dir))["imd-departure_bars"]()
+
+
+@query("plot_month_map", f"""WITH {fx.DAILY}, nm AS (SELECT cell, dayofyear(day) AS doy, AVG(tp) AS n FROM daily GROUP BY 1, 2), an AS (SELECT daily.cell, day, CASE WHEN n > 0 THEN tp / n * 100 END AS pct FROM daily JOIN nm ON nm.cell = daily.cell AND nm.doy = dayofyear(day)),
+am AS (SELECT CAST(date_trunc('month', day) AS DATE) AS month, SUM(tp) AS tp FROM daily GROUP BY 1), k AS (SELECT min_by(month, (tp, month)) AS month FROM am), f AS (SELECT month, cell, AVG(pct) - 100 AS value FROM an JOIN k ON date_trunc('month', day) = month GROUP BY 1, 2)
+SELECT month, cell, 20 + cell // 5 * 0.1::DOUBLE AS lat, 78 + cell % 5 * 0.1::DOUBLE AS lon, ROUND(value, 7) AS value, ROUND(MAX(abs(value)) OVER (), 7) AS scale FROM f""")
+def plot_month_map(spark, sf_dir):
+    """Departures of the driest month on a map, with the bound of its colours."""
+    days = fx.daily_grid(spark, sf_dir)
+    pct = normals.anomalies(days, normals.doy_normals(days, ["tp"], (1900, 2100)), ["tp"], percent_of="tp").withColumnRenamed("tp_pct_of_normal", "pct")
+    sums = days.groupBy(F.trunc("day", "month").alias("month")).agg(F.sum("tp").alias("tp")).withColumn("all", F.lit(1))
+    month = figures.extremes(sums, "tp", by=["all"]).select(F.col("at_min").alias("month"))
+    k = F.col("s_nationkey")
+    cells = fx.table(spark, sf_dir, "supplier").select(k.cast("int").alias("cell"), (20 + F.floor(k / 5) * 0.1).alias("lat"), (78 + k % 5 * 0.1).alias("lon")).distinct()
+    return plots.month_map(pct, cells, "pct", month, F.col("mean") - 100.0).withColumns({c: F.round(c, 7) for c in ("value", "scale")})
+
+
+@query("area_series_scan", f"WITH {fx.DAILY} SELECT day, ROUND(AVG(tp), 9) AS tp, ROUND(AVG(tmean), 9) AS tmean FROM daily WHERE year(day) BETWEEN 1995 AND 1998 GROUP BY day")
+def area_series_scan(spark, sf_dir):
+    """Daily fields in a sink by year; a scan of some years gives the series of area means."""
+    path = tables.new_folder(spark, "series")
+    tables.write_fields(fx.daily_grid(spark, sf_dir).withColumn("year", F.year("day")), path, partitions=["year"])
+    return daily.area_mean(tables.read_years(spark, path, (1995, 1998)), ["tp", "tmean"]).select("day", F.round("tp", 9).alias("tp"), F.round("tmean", 9).alias("tmean"))
+
+
+@query("boundary_file_scan", f"WITH {_BOUNDARY_SQL} SELECT polygon, cell FROM tested WHERE inside OR touched")
+def boundary_file_scan(spark, sf_dir):
+    """A boundary file in KML with names and holes, written, scanned and joined with cells."""
+    path = tables.new_folder(spark, "boundary")
+    text = lambda ring: F.concat_ws(" ", *(F.concat_ws(",", *(F.expr(f"cast({c} + {float(v)!r} * r as string)") for c, v in zip("xy", p, strict=True))) for p in _CORNERS[ring]))
+    wrap = lambda ring, tag: F.concat(F.lit(f"<{tag}><LinearRing><coordinates>"), text(ring), F.lit(f"</coordinates></LinearRing></{tag}>"))
+    marks = _centres(spark, sf_dir).select(F.concat(F.lit("<Placemark><name>"), "polygon", F.lit("</name><Polygon>"), wrap("outer", "outerBoundaryIs"), wrap("hole", "innerBoundaryIs"), F.lit("</Polygon></Placemark>")).alias("mark"))
+    whole = marks.agg(F.concat(F.lit("<kml>"), F.array_join(F.collect_list("mark"), ""), F.lit("</kml>")).alias("value"))  # a mark for each nation
+    whole.write.text(path)
+    polygons = boundaries.read_polygons(spark.read.text(path, wholetext=True).first()["value"])
+    found = boundaries.members(_customer_cells(spark, sf_dir), boundaries.edges(spark, polygons), boundaries.Grid(_STEP))
+    return found.select(F.split_part("polygon", F.lit(":"), F.lit(2)).alias("polygon"), "cell")
+
+
+@query("bbox_cells", f"WITH {_BOUNDARY_SQL} SELECT cell, lat, lon FROM grid WHERE lat BETWEEN 19 AND 21 AND lon BETWEEN 77 AND 79.5")
+def bbox_cells(spark, sf_dir):
+    """Cells of a bounding box."""
+    box = regions.resolve_region("box", bbox=(21, 77, 19, 79.5))
+    cells = _customer_cells(spark, sf_dir).where(F.col("lat").between(box.south, box.north) & F.col("lon").between(box.west, box.east))
+    return cells.select("cell", "lat", "lon")
+
+
+@query("summary_csv_round_trip", ORACLE_SQL["index_summary"].replace("SELECT index, ROUND(AVG(value), 5) AS mean, ROUND(MIN(value), 5) AS min, ROUND(MAX(value), 5) AS max,", "SELECT index AS \"Index\", printf('%.1f', AVG(value)) AS \"Mean\", printf('%.1f', MIN(value)) AS \"Min\", printf('%.1f', MAX(value)) AS \"Max\",").replace("END AS units", "END AS \"Units\""))
+def summary_csv_round_trip(spark, sf_dir):
+    """The summary of indicators as a CSV file with one decimal, and back."""
+    path = tables.new_folder(spark, "summary")
+    tables.write_summary_csv(annual.summary(annual.compute(["frost_days", "rx1day", "r95p", "summer_days"], catalogue.indicator_context(spark, sf_dir))), path)
+    return spark.read.option("header", True).csv(path)
+
+
+@query("stamped_columns", f"WITH {fx.DAILY}, n AS (SELECT COUNT(tp) AS tp, COUNT(tmean) AS t FROM daily) SELECT 'tp_sum' AS name, 'mm' AS units, 'total precipitation' AS long_name, tp AS n FROM n UNION ALL SELECT 't2m_mean_anomaly', 'degC', '2 metre temperature anomaly', t FROM n")
+def stamped_columns(spark, sf_dir):
+    """Units and names that fields keep in the Parquet schema, with the values of each field."""
+    path = tables.new_folder(spark, "stamped")
+    fields = fx.daily_grid(spark, sf_dir).select("cell", "day", F.col("tp").alias("tp_sum"), F.col("tmean").alias("t2m_mean_anomaly"))
+    stamped, _ = tables.stamp(fields, source="lineitem", region="all", step="daily")
+    stamped.write.parquet(path)
+    back = spark.read.parquet(path)
+    told = [f for f in back.schema if f.metadata]
+    rows = F.array(*(F.struct(F.lit(f.name).alias("name"), F.lit(f.metadata["units"]).alias("units"), F.lit(f.metadata["long_name"]).alias("long_name"), F.col(f"n_{f.name}").alias("n")) for f in told))
+    return back.agg(*(F.count(f.name).alias(f"n_{f.name}") for f in told)).select(F.inline(rows))
+
+
+_WANTS = {"spi": ["tp"], "spei": ["t2m", "tp"], "eddi": ["t2m"], "temperature": ["t2m"], "pni": ["tp"]}
+
+
+@query("gated_indices", f"WITH {fx.INVENTORY}, y AS (SELECT year, list_sort(list(DISTINCT variable)) AS v FROM (SELECT year, variable FROM have GROUP BY 1, 2 HAVING COUNT(*) >= 6) GROUP BY 1), i AS (SELECT UNNEST([" + ", ".join(f"{{'index': '{n}', 'needs': {v}}}" for n, v in _WANTS.items()) + "], recursive := true)) SELECT year, index, list_has_all(v, needs) AS planned, array_to_string(list_filter(needs, lambda x: NOT list_contains(v, x)), ',') AS lacks FROM y, i")
+def gated_indices(spark, sf_dir):
+    """Which indices each year's variables allow: those with files of six months at least; what the others lack."""
+    found = fx.file_inventory(spark, sf_dir).groupBy("year", "variable").count().where("count >= 6").groupBy("year").agg(F.collect_set("variable").alias("v"))
+    per_year = {}
+    for have in {tuple(sorted(r.v)) for r in found.select("v").distinct().collect()}:  # of three variables
+        planned, lacks = run.wanted_indices(list(_WANTS), have)
+        per_year[have] = [(n, n in planned, ",".join(sorted(lacks.get(n, ())))) for n in _WANTS]
+    rows = spark.createDataFrame([(",".join(v), *r) for v, rs in per_year.items() for r in rs], "v string, index string, planned boolean, lacks string")
+    return found.withColumn("v", F.array_join(F.array_sort("v"), ",")).join(F.broadcast(rows), "v").select("year", "index", "planned", "lacks")

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.sources import workbook
@@ -80,9 +80,24 @@ def read_workbook(spark: SparkSession, path: str, names: Sequence[str]) -> dict[
     return workbook.read(spark, path, names)
 
 
+def one_decimal(value: Column) -> Column:
+    """Text of a double with one decimal, rounded by the number's exact binary value, ties to even (Java's formatter
+    rounds the shortest decimal text instead: 23.15, which is a little less, would give 23.2)."""
+    x = F.abs(value)
+    big, small = x * 16, x * 4
+    twenty = big + small
+    lost = small - (twenty - big)  # what the sum has rounded off
+    near = F.rint(twenty)
+    over = (twenty - near) + lost
+    low = (near - 1) / 2
+    tie = F.when(over > 0, low + 1).when(over < 0, low).otherwise(low + low % 2)
+    tenths = F.when(near % 2 == 0, near / 2).otherwise(tie)
+    return F.concat(F.when(value < 0, "-").otherwise(""), F.format_string("%.1f", tenths / 10))
+
+
 def write_summary_csv(summary: DataFrame, path: str) -> None:
     """Index, Mean, Min, Max, Units with one decimal, ordered by name."""
-    one = lambda c: F.format_string("%.1f", c)
+    one = lambda c: one_decimal(F.col(c))
     rows = summary.orderBy("index").select(F.col("index").alias("Index"), one("mean").alias("Mean"), one("min").alias("Min"), one("max").alias("Max"), F.col("units").alias("Units"))
     rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)  # one row per index
 

@@ -1,6 +1,7 @@
 """Hand-checked values and properties of the operators."""
 
 import datetime as dt
+import random
 import math
 from statistics import NormalDist
 
@@ -169,6 +170,12 @@ def test_command_line(spark, tmp_path):
     assert tables.read_workbook(spark, str(tmp_path / "out/indices_annual"), ["rx1day"])["rx1day"].count() >= 2
     summary = {r.Index: r for r in spark.read.option("header", True).csv(str(tmp_path / "out/indices_annual/summary")).collect()}
     assert summary["rx1day"].Units == "mm" and "rain_days" not in summary
+    assert main(["plots", *args], spark) == 0  # again, from the saved tables
+    drawn = tables.read_workbook(spark, str(tmp_path / "out/plots"), ["status", "pni_bars", "pci_bars"])
+    assert {r["name"]: r.status for r in drawn["status"].collect()} == {"pni_bars": "written", "pci_bars": "written"}
+    pni = drawn["pni_bars"].toPandas()
+    assert pni.is_worst.sum() == pni.is_best.sum() == 1 and not pni.annual.any() and drawn["pci_bars"].first().annual
+    assert pni.value[pni.is_worst].iloc[0] == pni.value.min() and (pni.display_value == pni.value).all()
     with pytest.raises(ValueError):
         main(["agromet", *args], spark)  # no dew point and no wind
     with pytest.raises(SystemExit):
@@ -186,3 +193,10 @@ def test_stream_equals_batch(spark, tmp_path):
     query.stop()
     want = {tuple(r) for r in daily_stream(rows, {"x": ["mean", "sum"]}).select("cell", "day", "x_mean", "x_sum").collect()}
     assert {tuple(r) for r in spark.sql("select cell, day, x_mean, x_sum from daily_out").collect()} == want
+
+
+def test_one_decimal_is_that_of_the_binary_value(spark):
+    draw = random.Random(4)
+    xs = [0.0, 0.05, 0.15, 0.25, 0.35, 23.15, 2.5, 1e15 + 0.5, -0.04, -7.25, -7.35, 99.95] + [draw.choice([-1, 1]) * draw.randrange(10**6) / 20 for _ in range(3000)] + [draw.uniform(-1e4, 1e4) for _ in range(1000)]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").select("x", tables.one_decimal(F.col("x")).alias("t")).collect()
+    assert [r.t for r in rows] == [f"{r.x:.1f}" for r in rows]
