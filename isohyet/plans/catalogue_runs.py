@@ -10,7 +10,7 @@ from isohyet.operators import annual, boundaries, daily, indices, normals, perio
 from isohyet.plans import catalogue, figures, plots, run
 from isohyet.plans import fixtures as fx
 from isohyet.plans.registry import ORACLE_SQL, query
-from isohyet.sources import incremental, inventory, netcdf, tables, workbook
+from isohyet.sources import incremental, inventory, netcdf, shapefile, tables, workbook
 
 
 def _broken(ctx):
@@ -273,3 +273,14 @@ def gated_indices(spark, sf_dir):
         per_year[have] = [(n, n in planned, ",".join(sorted(lacks.get(n, ())))) for n in _WANTS]
     rows = spark.createDataFrame([(",".join(v), *r) for v, rs in per_year.items() for r in rs], "v string, index string, planned boolean, lacks string")
     return found.withColumn("v", F.array_join(F.array_sort("v"), ",")).join(F.broadcast(rows), "v").select("year", "index", "planned", "lacks")
+
+
+@query("shapefile_scan", f"WITH {_BOUNDARY_SQL}, box AS (SELECT polygon, MAX(x1) AS east, MIN(y1) AS south FROM edge GROUP BY 1) SELECT polygon, cell FROM tested JOIN box USING (polygon) WHERE (inside OR touched) AND east >= 78 AND south < 20")
+def shapefile_scan(spark, sf_dir):
+    """Polygons of a shapefile whose boxes reach a corner of the map, joined with cells."""
+    path = f"{tables.new_folder(spark, 'shapes')}/nations.shp"
+    at = lambda c, p: (c.x + p[0] * c.r, c.y + p[1] * c.r)
+    shapefile.write([(c.polygon, [[at(c, p) for p in ring] for ring in _CORNERS.values()]) for c in _centres(spark, sf_dir).collect()], path)  # a shape for each nation
+    edges = shapefile.read(spark, path).where("east >= 78 and south < 20")
+    found = boundaries.members(_customer_cells(spark, sf_dir), edges, boundaries.Grid(_STEP))
+    return found.select(F.split_part("polygon", F.lit(":"), F.lit(2)).alias("polygon"), "cell")

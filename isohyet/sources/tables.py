@@ -82,7 +82,7 @@ def read_workbook(spark: SparkSession, path: str, names: Sequence[str]) -> dict[
 
 def one_decimal(value: Column) -> Column:
     """Text of a double with one decimal, rounded by the number's exact binary value, ties to even (Java's formatter
-    rounds the shortest decimal text instead: 23.15, which is a little less, would give 23.2)."""
+    rounds the shortest decimal text instead: 23.15, which is a little less, would give 23.2). For values below 10**14."""
     x = F.abs(value)
     big, small = x * 16, x * 4
     twenty = big + small

