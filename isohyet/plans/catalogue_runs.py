@@ -10,7 +10,7 @@ from isohyet.operators import annual, boundaries, daily, indices, normals, perio
 from isohyet.plans import catalogue, figures, plots, run
 from isohyet.plans import fixtures as fx
 from isohyet.plans.registry import ORACLE_SQL, query
-from isohyet.sources import incremental, inventory, netcdf, shapefile, tables, workbook
+from isohyet.sources import incremental, inventory, netcdf, shapefile, spreadsheet, tables, workbook
 
 
 def _broken(ctx):
@@ -284,3 +284,13 @@ def shapefile_scan(spark, sf_dir):
     edges = shapefile.read(spark, path).where("east >= 78 and south < 20")
     found = boundaries.members(_customer_cells(spark, sf_dir), edges, boundaries.Grid(_STEP))
     return found.select(F.split_part("polygon", F.lit(":"), F.lit(2)).alias("polygon"), "cell")
+
+
+@query("spreadsheet_round_trip", ORACLE_SQL["workbook_round_trip"])
+def spreadsheet_round_trip(spark, sf_dir):
+    """Two result tables as sheets of one spreadsheet file, and back; of the sheets' columns three are read."""
+    path, months = f"{tables.new_folder(spark, 'spreadsheet')}/indices.xlsx", catalogue.monthly(spark, sf_dir)
+    made = {"pni": indices.percent_of_normal(months, "tp", "value", [F.month("month")]), "departure": indices.departure(months, "tp", "value", [F.month("month")])}
+    spreadsheet.write({n: t.select(F.lit(f"{n} & more").alias("note"), "month", "cell", F.round("value", 9).alias("value")) for n, t in made.items()}, path)
+    one, two = (spreadsheet.read(spark, path, n, "cell int, month date, value double").select(F.lit(n).alias("name"), "cell", "month", "value") for n in made)
+    return one.unionAll(two)
