@@ -29,6 +29,8 @@ SCHEMA = "record_id string, record_type string, target_uri string, page_id long,
 _NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 _PUSHED = {"record_type", "target_uri", "payload_digest", "page_id"}
 _BLOCK = 1 << 16
+#: Bytes unpacked at a time while a header is looked for.
+_HEADER = 256
 
 
 def digest(payload: bytes) -> str:
@@ -81,17 +83,17 @@ class _Stream:
     def __init__(self, raw, packed: bool):
         self.raw, self.packed, self.buffer = raw, packed, b""
         self.rest = b""  # packed bytes that were read but not unpacked
+        self.unpacked = 0  # bytes
         self.unzip, self.ends = None, None  # the member that is open, and where it ends in the file if it says so
 
-    def _more(self) -> bool:
+    def _more(self, most: int = 0) -> bool:
+        """Add to the buffer: of a packed file, ``most`` unpacked bytes at most (0: all of a block)."""
         data = self.rest or self.raw.read(_BLOCK)
         self.rest = b""
         if not self.packed:
             self.buffer += data
             return bool(data)
-        if not data:
-            if self.unzip:
-                raise EOFError("archive ends inside a record")
+        if not data and not self.unzip:
             return False
         if not self.unzip:
             if len(data) < len(_HEAD) + 8:
@@ -99,7 +101,12 @@ class _Stream:
             self.unzip, self.ends = zlib.decompressobj(31), None
             if data.startswith(_HEAD):
                 self.ends = self.raw.tell() - len(data) + struct.unpack_from("<Q", data, len(_HEAD))[0]
-        self.buffer += self.unzip.decompress(data)
+        found = self.unzip.decompress(data, most)
+        if not data and not found and not self.unzip.eof:
+            raise EOFError("archive ends inside a record")
+        self.unpacked += len(found)
+        self.buffer += found
+        self.rest = self.unzip.unconsumed_tail
         if self.unzip.eof:
             self.rest, self.unzip = self.unzip.unused_data, None
         return True
@@ -107,7 +114,7 @@ class _Stream:
     def head(self) -> list[str] | None:
         """Header lines up to the empty one; None at the end."""
         while (at := self.buffer.find(b"\r\n\r\n")) < 0:
-            if not self._more():
+            if not self._more(_HEADER):
                 if self.buffer.strip():
                     raise EOFError("archive ends inside a header")
                 return None
@@ -135,9 +142,13 @@ class _Stream:
         if self.packed and self.unzip and self.ends:
             if self.ends > self.raw.size():
                 raise EOFError("archive ends inside a record")
-            self.raw.seek(self.ends)
-            self.buffer = self.rest = b""
-            self.unzip = None
+            at = self.raw.tell()
+            if self.ends <= at:  # in the block that has been read
+                self.rest = self.rest[len(self.rest) - (at - self.ends) :]
+            else:
+                self.raw.seek(self.ends)
+                self.rest = b""
+            self.buffer, self.unzip = b"", None
             return
         n -= len(self.buffer)
         self.buffer = b""
@@ -163,6 +174,8 @@ def records(raw, packed: bool, wanted, payloads: str):
         while lines and not lines[0]:
             lines = lines[1:]
         head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+        if not head.get("content-length", "").isdigit():
+            raise ValueError("a record's header has no length")
         length = int(head["content-length"])
         own = lambda k: int(head[k]) if k in head else None
         row = {

@@ -320,6 +320,42 @@ def test_warc_skips_and_ends(packed):
         list(warc.records(Counting(bad), packed, every, "digest"))
 
 
+@pytest.mark.parametrize("foreign", [False, True])
+def test_warc_rejected_pages_are_not_unpacked(foreign, monkeypatch):
+    """Of small pages that pack well, headers alone are unpacked; a block of the file is read once."""
+    import gzip
+
+    import pyarrow as pa
+
+    pages = [f"<html><body><p>{i} {'ordinary words of a page ' * 700}</p></body></html>".encode() for i in range(250)]
+    made = [warc.record(i, "http://a.b/c", p, len(p), warc.digest(p), None, True) for i, p in enumerate(pages)]
+    if foreign:
+        made = [gzip.compress(gzip.decompress(m)) for m in made]
+    streams, real = [], warc._Stream
+    monkeypatch.setattr(warc, "_Stream", lambda *a: streams.append(real(*a)) or streams[-1])
+
+    class Counting:
+        def __init__(self, data):
+            self.file, self.read_bytes = pa.BufferReader(data), 0
+
+        def read(self, n):
+            data = self.file.read(n)
+            self.read_bytes += len(data)
+            return data
+
+        def __getattr__(self, name):
+            return getattr(self.file, name)
+
+    source, whole = Counting(b"".join(made)), sum(map(len, pages))
+    assert list(warc.records(source, True, lambda row: False, "true")) == []
+    assert source.read_bytes == len(b"".join(made))
+    assert foreign or streams[0].unpacked < whole / 10
+    found = list(warc.records(Counting(b"".join(made)), True, lambda row: row["page_id"] % 50 == 7, "true"))
+    assert [(r["page_id"], r["payload"]) for r in found] == [(i, pages[i]) for i in range(7, 250, 50)]
+    with pytest.raises(ValueError):
+        list(warc.records(pa.BufferReader(b"WARC/1.1\r\nWARC-Type: response\r\n\r\n"), False, lambda row: True, "true"))
+
+
 def test_sketches(docs, none):
     import numpy as np
 
