@@ -136,6 +136,7 @@ def _totals(blocks: DataFrame, order: int, shards: int) -> DataFrame:
     return common.materialise(found, f"totals-{order}")
 
 
+@common.shipped
 def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, strength: tuple[float, ...] = (1000.0, 5.0), block_bytes: int = 4_000_000, shard_ngrams: int = 1_000_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 

@@ -317,6 +317,7 @@ def _independent(scored: DataFrame, grams: DataFrame, share: int) -> DataFrame:
     return scored.join(longer, ["lang", *GRAM], "left").where(keep).drop("longer")
 
 
+@common.shipped
 def mine(
     docs: DataFrame, *, lang_col: str = "lang", text_col: str = "text", least: int = 30, share: int = 80, top: int = 2000,
     most_ranked: int = 65_535, least_hot: int = 100_000, spill: int = 600_000, chunk: int = 3_000_000, salts: int = 256,

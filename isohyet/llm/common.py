@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import functools
 import shutil
 import tempfile
 import uuid
@@ -39,6 +40,17 @@ def ship(spark: SparkSession) -> None:
     context._isohyet_shipped = True
 
 
+def shipped(operator):
+    """An operator on a DataFrame whose tasks import this package: it is sent to them first."""
+
+    @functools.wraps(operator)
+    def run(df: DataFrame, *args, **kwargs):
+        ship(df.sparkSession)
+        return operator(df, *args, **kwargs)
+
+    return run
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan of fewer files than there are cores, dealt out evenly; any other scan as it is.
 

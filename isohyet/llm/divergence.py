@@ -151,6 +151,7 @@ def _pairs(shares: DataFrame, groups: DataFrame, cells: int, tile: int) -> DataF
     return sums.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
 
 
+@common.shipped
 def audit(
     docs: DataFrame, *, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", min_docs: int = 30, smoothing: int = 5, top: int = 50,
     chunk: int = 8_000_000, cells: int = 200_000, tile: int = 512,

@@ -261,6 +261,7 @@ def _probe_sharded(source: DataFrame, index: DataFrame, shards: int, min_docs: i
     return both[0].cogroup(both[1]).applyInArrow(cut, OUT)
 
 
+@common.shipped
 def drop_repeated_lines(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 5, min_chars: int = 40,
     broadcast_limit: int = 64_000_000, shard_keys: int = 1_000_000, chunk: int = 8_000_000, group: int = 2_000_000,

@@ -69,6 +69,7 @@ def piece_lengths(n: int, longest: int) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in reversed(range(longest.bit_length() - 1)) if n % longest >> b & 1]
 
 
+@common.shipped
 def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", longest: int = 1024, end_id: int = 0, tokenizer: str | None = None, ranks: str | None = None, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket (and ids).
 

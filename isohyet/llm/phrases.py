@@ -157,6 +157,7 @@ def occurrences(pieces: DataFrame, rule: Rule, shards: int) -> DataFrame:
     return pieces.repartition(shards, "shard").groupBy("shard").applyInArrow(run, "d long, t long, s long, e long")
 
 
+@common.shipped
 def remove_phrases(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rule: Rule = WINDOW, shard_places: int = 25_000, hot: int = 20_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, text (kept words joined by one space), n_words, n_removed, kept_sha256.
 

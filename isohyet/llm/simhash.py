@@ -198,6 +198,7 @@ def components(prints: DataFrame, *, radius: int = 3) -> DataFrame:
     return rooted.join(ids, "root").select("fp", "component_id")
 
 
+@common.shipped
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -261,16 +262,21 @@ def _sets(source: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     return source.mapInArrow(run, "doc_id long, name long, shingles array<int>, keys array<long>")
 
 
-def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int = 16) -> DataFrame:
-    """(a, b) names of sets with a Jaccard similarity of at least ``similarity``; not all such pairs, but enough
-    to hold their groups together.
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of the (a, b) names of sets that have a Jaccard similarity of at least ``similarity``, as a written table."""
+    with common.temporary(sets.sparkSession) as keep:
+        pairs = common.materialise(pairs.distinct(), "pairs")
+        named = pairs.select(F.explode(F.array("a", "b")).alias("p_name")).distinct()
+        paired = common.materialise(sets.join(named, F.col("name") == F.col("p_name"), "left_semi").select("name", "shingles"), "paired-sets")
+        one, two = (paired.select(F.col("name").alias(f"n_{x}"), F.col("shingles").alias(f"s_{x}")) for x in "ab")
+        both = pairs.join(one, F.col("a") == F.col("n_a")).join(two, F.col("b") == F.col("n_b"))
+        both = both.where(F.least(F.size("s_a"), F.size("s_b")) >= similarity * F.greatest(F.size("s_a"), F.size("s_b")))
+        shared = F.size(F.array_intersect("s_a", "s_b"))
+        both = both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("a", "b")
+        return keep(common.materialise(both, "alike"))
 
-    Sets that share a key meet in its bucket. There each is compared with one of them, the hub, exactly; another
-    hub is drawn in each of the ``rounds``. So a bucket of any size costs one comparison a member and round. Buckets
-    of up to ``few`` sets draw their hubs independently, so that in a small group nearly all pairs are compared;
-    larger ones go by one order of all sets, so that the many buckets of a large group share their hubs.
-    """
-    keyed = sets.select("name", F.explode("keys").alias("key"))
+
+def _hub_pairs(keyed: DataFrame, rounds: int, few: int) -> DataFrame:
     pairs = None
     for k in range(rounds):
         first = lambda *by: F.min(F.struct(F.xxhash64("name", F.lit(k), *by).alias("by"), "name"))
@@ -278,17 +284,55 @@ def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int =
         hubs = hubs.select(F.col("key").alias("h_key"), F.when(F.col("n") <= few, F.col("own.name")).otherwise(F.col("common.name")).alias("hub"))
         met = keyed.join(hubs, F.col("key") == F.col("h_key")).where("name <> hub").select(F.least("name", "hub").alias("a"), F.greatest("name", "hub").alias("b"))
         pairs = met if pairs is None else pairs.unionAll(met)
-    pairs = common.materialise(pairs.distinct(), "pairs")
-    named = pairs.select(F.explode(F.array("a", "b")).alias("p_name")).distinct()
-    paired = common.materialise(sets.join(named, F.col("name") == F.col("p_name"), "left_semi").select("name", "shingles"), "paired-sets")
-    one, two = (paired.select(F.col("name").alias(f"n_{x}"), F.col("shingles").alias(f"s_{x}")) for x in "ab")
-    both = pairs.join(one, F.col("a") == F.col("n_a")).join(two, F.col("b") == F.col("n_b"))
-    both = both.where(F.least(F.size("s_a"), F.size("s_b")) >= similarity * F.greatest(F.size("s_a"), F.size("s_b")))
-    shared = F.size(F.array_intersect("s_a", "s_b"))
-    return both.where(shared >= similarity * (F.size("s_a") + F.size("s_b") - shared)).select("a", "b")
+    return pairs
+
 
+def _open_pairs(own: DataFrame, sizes: DataFrame, hubs: int, turn: int) -> DataFrame:
+    """Pairs across groups of buckets that hold several. ``own``: key, name, root. In a light bucket all members outside
+    its largest group are paired with all of other groups; in a heavy one members with ``hubs`` drawn ones."""
+    held = own.join(sizes, "key")
+    rest = held.where("light and root <> major").select("key", F.col("name").alias("x"), F.col("root").alias("x_root"))
+    light = held.where("light").join(rest, "key").where("root <> x_root and (root = major or name < x)").select("name", "x")
+    draw = lambda j: F.min(F.struct(F.xxhash64("name", F.lit(1000 * (turn + 1) + j)).alias("by"), "name", "root"))
+    drawn = held.where("not light").groupBy("key").agg(F.array_distinct(F.transform(F.array(*(draw(j) for j in range(hubs))), lambda x: F.struct(x["name"].alias("x"), x["root"].alias("x_root")))).alias("drawn"))
+    heavy = held.where("not light").join(drawn.select("key", F.inline("drawn")), "key").where("root <> x_root").select("name", "x")
+    return light.unionAll(heavy).select(F.least("name", "x").alias("a"), F.greatest("name", "x").alias("b"))
 
-def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 3, bands: int = 14, rows: int = 3, rounds: int = 3) -> DataFrame:
+
+def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int = 16, bound: int = 64, hubs: int = 16, turns: int = 4) -> DataFrame:
+    """(a, b) names of sets with a Jaccard similarity of at least ``similarity``; not all such pairs, but enough
+    to hold their groups together.
+
+    Sets that share a key meet in its bucket. There each is first compared with one of them, the hub, exactly;
+    another hub is drawn in each of the ``rounds``. Buckets of up to ``few`` sets draw their hubs independently; larger
+    ones go by one order of all sets, so that the many buckets of a large group share their hubs. That links nearly all
+    members of a group. Then buckets that still hold several groups are gone through: where that takes at most
+    ``bound`` comparisons a member, all pairs across groups are compared, so such a bucket loses no link. A bucket of more
+    (many sets that are not alike, as of a page template) is compared with ``hubs`` of its members in each of the
+    ``turns``, and as a light one once its groups have grown together.
+    """
+    keyed = sets.select("name", F.explode("keys").alias("key"))
+    links, left = _alike(_hub_pairs(keyed, rounds, few), sets, similarity), keyed
+    for turn in range(turns):
+        roots = common.connected_components(links)
+        own = common.materialise(left.join(roots, F.col("name") == F.col("node"), "left").select("key", "name", F.coalesce("root", "name").alias("root")), "buckets")
+        groups = own.groupBy("key", "root").agg(F.count("*").alias("n"))
+        sizes = groups.groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.max_by("root", F.struct("n", "root")).alias("major"))
+        sizes = sizes.where("groups > 1").select("key", "major", (F.col("n") * F.col("n") - F.col("same") <= 2 * bound * F.col("n")).alias("light"))
+        sizes = common.materialise(sizes, "open-buckets")
+        found = _alike(_open_pairs(own, sizes, hubs, turn), sets, similarity)
+        merged = common.materialise(links.unionAll(found).distinct(), "alike")
+        left = common.materialise(own.join(sizes.where("not light"), "key", "left_semi").select("key", "name"), "heavy-buckets")
+        for table in (links, found, own, sizes):
+            common.discard(table)
+        links = merged
+        if left.isEmpty():
+            break
+    return links
+
+
+@common.shipped
+def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 3, bands: int = 14, rows: int = 3, rounds: int = 3, **search: int) -> DataFrame:
     """(doc_id, node, component_id) of the rows of ``docs`` that links join to others: the id, a name of the row (the
     id, or a hash of the text where it is null) and the smallest id of the group, null if no member has one.
 
@@ -296,7 +340,7 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     of shingles with a Jaccard similarity of at least ``similarity``. The latter are found in buckets of shingle
     minima, as fingerprints so far apart (about 10 bits) leave a tree nothing to prune, and compared exactly. A
     pair at the limit shares no bucket with a chance of (1 - similarity ** rows) ** bands. Texts without words
-    are one group. Repeated rows each get a row. Empty in, empty out.
+    are one group. Repeated rows each get a row. Empty in, empty out. ``search``: see ``similar_links``.
     """
     text = common.text_of(text_col)
     source = docs.select(F.col(id_col).cast("long").alias("own_id"), _node(id_col, text_col).alias("doc_id"), text.alias("text"))
@@ -304,7 +348,7 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     same_bits, bits = linked(prints, radius=radius)
     named = common.materialise(_sets(source.select("doc_id", "text"), shingle, bands, rows), "shingle-sets")
     sets = common.materialise(named.groupBy("name").agg(F.min("doc_id").alias("min_id"), F.first("shingles").alias("shingles"), F.first("keys").alias("keys")), "sets")
-    alike = similar_links(sets, similarity=similarity, rounds=rounds)
+    alike = similar_links(sets, similarity=similarity, rounds=rounds, **search)
 
     def ends(links: DataFrame, table: DataFrame, key: str) -> DataFrame:
         """The links between fingerprints or sets as links between the smallest documents that have them."""
@@ -327,6 +371,7 @@ def _node(id_col: str, text_col: str):
     return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(common.text_of(text_col)))
 
 
+@common.shipped
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
     """``docs`` with one document of each group of ``similar_groups``, that with the smallest id.
 

@@ -303,6 +303,7 @@ def style_tree(parses: DataFrame, *, prior: float = 2.0) -> DataFrame:
     return out
 
 
+@common.shipped
 def extract(pages: DataFrame, *, threshold: float = 0.3, article_threshold: float = 0.05, tree_limit: int = 200_000) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, n_chars.
 

@@ -142,6 +142,7 @@ def with_next(docs: DataFrame, *, id_col: str, text_col: str, rows_per_bucket: i
     return both.sortWithinPartitions("bucket", "part", "guest", F.desc("key"), "name", "text")
 
 
+@common.shipped
 def fingerprint_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", scale: int = 8, size: int = 5, rows_per_bucket: int = 2_000) -> DataFrame:
     """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and
     in_edited, edited_in: the shares of the text's shingles that the edited text has, and the other way round.

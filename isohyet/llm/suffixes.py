@@ -217,6 +217,7 @@ def later_windows(docs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
     return later.select("d", "t", F.col("p").alias("s"), (F.col("p") + rule.size).alias("e"))
 
 
+@common.shipped
 def remove_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rule: Rule = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, text, n_bytes, n_removed, n_spans, kept_sha256 and the ``carry`` columns.
 

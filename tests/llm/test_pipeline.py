@@ -6,7 +6,7 @@ import pytest
 from brute import contamination, quality as plain_quality, similar_groups, substrings
 
 import corpus_pipeline
-from isohyet.llm import common, quality
+from isohyet.llm import common, quality, simhash
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -81,3 +81,51 @@ def test_packing_stage_and_run(spark, chain):
     assert all(len(r.ids) == r.length for r in got)
     key = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32)
     assert sorted(map(key, corpus_pipeline.run(spark, SF).collect())) == sorted(map(key, got))
+
+
+def _cluster_shapes(shape):
+    import random
+
+    draw = random.Random(11)
+    word = lambda: f"w{draw.randrange(10**6)}"
+    if shape == "sliding windows":  # each is like its neighbours alone
+        line = [word() for _ in range(900)]
+        return [" ".join(line[k * 24 : k * 24 + 300]) for k in range(25)]
+    if shape == "template":  # half of the text in common, few alike
+        common_part = [word() for _ in range(150)]
+        texts = [" ".join(common_part + [word() for _ in range(150)]) for _ in range(60)]
+        return texts + [t.rsplit(" ", 20)[0] for t in texts[::7]]
+    texts = []
+    for _ in range(12):  # twenty texts of 300 words around one, each with a block of its own: pairs are just about alike
+        base = [word() for _ in range(300)]
+        for k in range(20):
+            own = list(base)
+            at = 14 * k
+            own[at : at + 18] = [word() for _ in range(18)]
+            texts.append(" ".join(own))
+    return texts
+
+
+@pytest.mark.parametrize("shape", ["sliding windows", "template", "twelve clusters of twenty"])
+def test_no_link_of_a_cluster_is_lost(spark, shape):
+    words = _cluster_shapes(shape)
+    common.ship(spark)
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    groups = similar_groups(list(enumerate(words)))
+    assert len(set(groups.values())) < len(words)
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()}
+    assert {i: found.get(i, i) for i in groups} == groups
+    if shape == "template":  # few comparisons at a time: buckets stay heavy
+        found = {r.doc_id: r.component_id for r in simhash.similar_groups(docs, bound=1, hubs=30, turns=2).collect()}
+        assert {i: found.get(i, i) for i in groups} == groups
+
+
+def test_substring_stage_carries_every_column(spark):
+    """Columns that the operator makes itself, or that documents don't have, keep their names, kinds and values."""
+    passage = "a passage of more than fifty bytes that two documents have in common "
+    rows = [(1, passage + "one", "en", 5, {"a": 1}, None), (2, "two " + passage, None, 6, None, [1.5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_bytes int, kept_sha256 map<string,int>, n_spans array<double>")
+    cut = corpus_pipeline.repeated_substrings(spark, docs, SF)
+    assert cut.dtypes == docs.dtypes
+    assert [tuple(r)[2:] for r in cut.orderBy("doc_id").collect()] == [r[2:] for r in rows]
+    assert len(cut.where("doc_id = 2").first().text) < len(rows[1][1])
