@@ -28,8 +28,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes that a document with a smaller id has too are cut out; every document stays."""
     common.ship(spark)
-    cut = suffixes.remove_substrings(docs, carry=("lang", "source"))
-    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    named = docs.withColumnsRenamed({c: f"__own_{k}" for k, c in enumerate(others)})  # whatever their names, results don't clash
+    cut = suffixes.remove_substrings(named, carry=tuple(f"__own_{k}" for k in range(len(others))))
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.char_length("text").cast("long")} | {c: F.col(f"__own_{k}") for k, c in enumerate(others)}
+    return cut.select(*(own[c].alias(c) for c in docs.columns))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
