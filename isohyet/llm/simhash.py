@@ -299,7 +299,7 @@ def _open_pairs(own: DataFrame, sizes: DataFrame, hubs: int, turn: int) -> DataF
     return light.unionAll(heavy).select(F.least("name", "x").alias("a"), F.greatest("name", "x").alias("b"))
 
 
-def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int = 16, bound: int = 64, hubs: int = 16, turns: int = 4) -> DataFrame:
+def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int = 16, bound: int = 16, hubs: int = 4, turns: int = 4) -> DataFrame:
     """(a, b) names of sets with a Jaccard similarity of at least ``similarity``; not all such pairs, but enough
     to hold their groups together.
 
@@ -312,14 +312,16 @@ def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int =
     ``turns``, and as a light one once its groups have grown together.
     """
     keyed = sets.select("name", F.explode("keys").alias("key"))
-    links, left = _alike(_hub_pairs(keyed, rounds, few), sets, similarity), keyed
+    links, left = _alike(_hub_pairs(keyed, rounds, few), sets, similarity), None
     for turn in range(turns):
         roots = common.connected_components(links)
-        own = common.materialise(left.join(roots, F.col("name") == F.col("node"), "left").select("key", "name", F.coalesce("root", "name").alias("root")), "buckets")
-        groups = own.groupBy("key", "root").agg(F.count("*").alias("n"))
+        members = (sets.select("name", "keys") if left is None else left).join(roots, F.col("name") == F.col("node"), "left").withColumn("root", F.coalesce("root", "name"))
+        members = members.select("name", "root", F.explode("keys").alias("key") if left is None else F.col("key"))
+        groups = members.groupBy("key", "root").agg(F.count("*").alias("n"))
         sizes = groups.groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.max_by("root", F.struct("n", "root")).alias("major"))
         sizes = sizes.where("groups > 1").select("key", "major", (F.col("n") * F.col("n") - F.col("same") <= 2 * bound * F.col("n")).alias("light"))
         sizes = common.materialise(sizes, "open-buckets")
+        own = common.materialise(members.join(sizes.select("key"), "key", "left_semi"), "bucket-members")
         found = _alike(_open_pairs(own, sizes, hubs, turn), sets, similarity)
         merged = common.materialise(links.unionAll(found).distinct(), "alike")
         left = common.materialise(own.join(sizes.where("not light"), "key", "left_semi").select("key", "name"), "heavy-buckets")
