@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet.llm import common
@@ -287,50 +287,119 @@ def _hub_pairs(keyed: DataFrame, rounds: int, few: int) -> DataFrame:
     return pairs
 
 
-def _open_pairs(own: DataFrame, sizes: DataFrame, hubs: int, turn: int) -> DataFrame:
-    """Pairs across groups of buckets that hold several. ``own``: key, name, root. In a light bucket all members outside
-    its largest group are paired with all of other groups; in a heavy one members with ``hubs`` drawn ones."""
-    held = own.join(sizes, "key")
-    rest = held.where("light and root <> major").select("key", F.col("name").alias("x"), F.col("root").alias("x_root"))
-    light = held.where("light").join(rest, "key").where("root <> x_root and (root = major or name < x)").select("name", "x")
-    draw = lambda j: F.min(F.struct(F.xxhash64("name", F.lit(1000 * (turn + 1) + j)).alias("by"), "name", "root"))
-    drawn = held.where("not light").groupBy("key").agg(F.array_distinct(F.transform(F.array(*(draw(j) for j in range(hubs))), lambda x: F.struct(x["name"].alias("x"), x["root"].alias("x_root")))).alias("drawn"))
-    heavy = held.where("not light").join(drawn.select("key", F.inline("drawn")), "key").where("root <> x_root").select("name", "x")
-    return light.unionAll(heavy).select(F.least("name", "x").alias("a"), F.greatest("name", "x").alias("b"))
+def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
+    roots = common.connected_components(links)
+    return members.drop("root").join(roots, F.col("name") == F.col("node"), "left").withColumn("root", F.coalesce("root", "name")).select("root", *(c for c in members.columns if c != "root"))
 
 
-def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int = 16, bound: int = 16, hubs: int = 4, turns: int = 4) -> DataFrame:
+def _open_buckets(members: DataFrame, bound: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``members`` (key, name, root and more) in buckets that hold several groups, and those buckets (key,
+    major: the root of the largest group, light: all pairs across groups take at most ``bound`` a member), as written tables."""
+    groups = members.groupBy("key", "root").agg(F.count("*").alias("n"))
+    sizes = groups.groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.max_by("root", F.struct("n", "root")).alias("major"))
+    sizes = sizes.where("groups > 1").select("key", "major", (F.col("n") * F.col("n") - F.col("same") <= 2 * bound * F.col("n")).alias("light"))
+    sizes = common.materialise(sizes, "open-buckets")
+    return common.materialise(members.join(sizes.select("key"), "key", "left_semi"), "bucket-members"), sizes
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("name", "x").alias("a"), F.greatest("name", "x").alias("b"))
+
+
+def _light_pairs(own: DataFrame, sizes: DataFrame) -> DataFrame:
+    """All pairs across groups of the light buckets: members outside the largest group with all of other groups."""
+    held = own.select("key", "name", "root").join(sizes.where("light"), "key")
+    rest = held.where("root <> major").select("key", F.col("name").alias("x"), F.col("root").alias("x_root"))
+    return _ordered(held.join(rest, "key").where("root <> x_root and (root = major or name < x)"))
+
+
+_SLOTS = 1 << 20
+
+
+def _prefixes(sets: DataFrame, similarity: float, few: int) -> DataFrame:
+    """(key, name, tail, n): each set's first shingles in one order of all shingles, rare ones first, as many as make
+    two sets of that similarity share one. ``tail`` is a hash of the set's shingles from this one on, ``n`` the set's size.
+
+    The order is by counts in ``_SLOTS`` slots of hashes, of which those well above the mean are broadcast (half of the
+    slots at most). It decides how full buckets get, never results.
+    """
+
+    def tally(frames):
+        n = np.zeros(_SLOTS, np.int64)
+        for frame in frames:
+            for s in frame["shingles"]:
+                np.add.at(n, np.unique(np.asarray(s, np.int32)).view(np.uint32) >> np.uint32(12), 1)
+        at = np.flatnonzero(n)
+        yield pd.DataFrame({"slot": at.astype(np.int32), "n": n[at]})
+
+    total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    often = sets.select("shingles").mapInPandas(tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > max(few, 2 * total // _SLOTS)).collect()
+    counts = np.zeros(_SLOTS, np.int64)
+    for slot, n in often:
+        counts[slot] = n
+    counts = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def cut(frames):
+        for frame in frames:
+            for name, s in zip(frame["name"].tolist(), frame["shingles"], strict=True):
+                s = np.unique(np.asarray(s, np.int32)).view(np.uint32)
+                s = s[np.lexsort((s, counts.value[s >> np.uint32(12)]))].astype(np.uint64)
+                first = len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1
+                tail = np.cumsum(common.mix(s + common._ODD)[::-1])[::-1][:first]
+                yield pd.DataFrame({"key": s[:first].astype(np.int64), "name": name, "tail": tail.view(np.int64), "n": len(s)})
+
+    return sets.select("name", "shingles").mapInPandas(cut, "key long, name long, tail long, n long")
+
+
+def _more(links: DataFrame, found: DataFrame) -> DataFrame:
+    merged = common.materialise(links.unionAll(found).distinct(), "alike")
+    common.discard(links)
+    common.discard(found)
+    return merged
+
+
+def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int = 16, bound: int = 16) -> DataFrame:
     """(a, b) names of sets with a Jaccard similarity of at least ``similarity``; not all such pairs, but enough
-    to hold their groups together.
+    to hold together the groups of all pairs that share a key.
 
     Sets that share a key meet in its bucket. There each is first compared with one of them, the hub, exactly;
     another hub is drawn in each of the ``rounds``. Buckets of up to ``few`` sets draw their hubs independently; larger
     ones go by one order of all sets, so that the many buckets of a large group share their hubs. That links nearly all
     members of a group. Then buckets that still hold several groups are gone through: where that takes at most
-    ``bound`` comparisons a member, all pairs across groups are compared, so such a bucket loses no link. A bucket of more
-    (many sets that are not alike, as of a page template) is compared with ``hubs`` of its members in each of the
-    ``turns``, and as a light one once its groups have grown together.
+    ``bound`` comparisons a member, all pairs across groups are compared, so such a bucket loses no link.
+
+    Sets of heavier buckets (many that are not alike, as of a page template) meet anew under each of their rarest
+    shingles, one of which any two that are alike share. Buckets of these are gone through likewise if light. In
+    a heavy one, sets that are alike, and of which this is the first shingle they share, have in common what their tails from there
+    on have in common; so the smallest set of a tail is alike with whatever any set of that tail is alike with, and comparing
+    all sets with the smallest of each tail loses no link. ``bound`` tails are taken a turn, until none is left.
     """
     keyed = sets.select("name", F.explode("keys").alias("key"))
-    links, left = _alike(_hub_pairs(keyed, rounds, few), sets, similarity), None
-    for turn in range(turns):
-        roots = common.connected_components(links)
-        members = (sets.select("name", "keys") if left is None else left).join(roots, F.col("name") == F.col("node"), "left").withColumn("root", F.coalesce("root", "name"))
-        members = members.select("name", "root", F.explode("keys").alias("key") if left is None else F.col("key"))
-        groups = members.groupBy("key", "root").agg(F.count("*").alias("n"))
-        sizes = groups.groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.max_by("root", F.struct("n", "root")).alias("major"))
-        sizes = sizes.where("groups > 1").select("key", "major", (F.col("n") * F.col("n") - F.col("same") <= 2 * bound * F.col("n")).alias("light"))
-        sizes = common.materialise(sizes, "open-buckets")
-        own = common.materialise(members.join(sizes.select("key"), "key", "left_semi"), "bucket-members")
-        found = _alike(_open_pairs(own, sizes, hubs, turn), sets, similarity)
-        merged = common.materialise(links.unionAll(found).distinct(), "alike")
-        left = common.materialise(own.join(sizes.where("not light"), "key", "left_semi").select("key", "name"), "heavy-buckets")
-        for table in (links, found, own, sizes):
-            common.discard(table)
-        links = merged
-        if left.isEmpty():
-            break
-    return links
+    links = _alike(_hub_pairs(keyed, rounds, few), sets, similarity)
+    rooted = _rooted(sets.select("name", "keys"), links).select("name", "root", F.explode("keys").alias("key"))
+    own, sizes = _open_buckets(rooted, bound)
+    links = _more(links, _alike(_light_pairs(own, sizes), sets, similarity))
+    heavy = common.materialise(own.join(sizes.where("not light"), "key", "left_semi").select("name").distinct(), "heavy-names")
+    common.discard(own)
+    common.discard(sizes)
+    if heavy.isEmpty():
+        return links
+    heavy = common.materialise(sets.join(heavy, "name", "left_semi").select("name", "shingles"), "heavy-sets")
+    members, turn = common.materialise(_prefixes(heavy, similarity, few), "prefixes"), 0
+    while True:
+        own, sizes = _open_buckets(_rooted(members, links), bound)
+        common.discard(members)
+        members = common.materialise(own.join(sizes.where("not light"), "key", "left_semi"), "heavy-buckets")
+        tails = members.groupBy("key", "tail").agg(F.min(F.struct("n", "name", "root")).alias("least")).withColumn("at", F.row_number().over(Window.partitionBy("key").orderBy("tail")) - 1)
+        now = tails.where(F.floor(F.col("at") / bound) == turn).select("key", F.col("least.name").alias("x"), F.col("least.root").alias("x_root"))
+        met = _ordered(members.join(now, "key").where("root <> x_root"))
+        last = tails.agg(F.max("at")).first()[0]
+        links = _more(links, _alike(_light_pairs(own, sizes).unionAll(met), sets, similarity))
+        common.discard(own)
+        common.discard(sizes)
+        turn += 1
+        if last is None or last < turn * bound:
+            return links
 
 
 @common.shipped
