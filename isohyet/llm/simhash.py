@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.llm import common
@@ -302,23 +302,21 @@ def _open_buckets(members: DataFrame, bound: int) -> tuple[DataFrame, DataFrame]
     return common.materialise(members.join(sizes.select("key"), "key", "left_semi"), "bucket-members"), sizes
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("name", "x").alias("a"), F.greatest("name", "x").alias("b"))
-
-
 def _light_pairs(own: DataFrame, sizes: DataFrame) -> DataFrame:
-    """All pairs across groups of the light buckets: members outside the largest group with all of other groups."""
-    held = own.select("key", "name", "root").join(sizes.where("light"), "key")
-    rest = held.where("root <> major").select("key", F.col("name").alias("x"), F.col("root").alias("x_root"))
-    return _ordered(held.join(rest, "key").where("root <> x_root and (root = major or name < x)"))
+    """All pairs across groups of the light buckets, of sizes that may be alike: members outside the largest group with all of other groups."""
+    held = own.select("key", "name", "root", "n", "most").join(sizes.where("light"), "key")
+    rest = held.where("root <> major").select("key", *(F.col(c).alias(f"x_{c}") for c in ("name", "root", "n", "most")))
+    pairs = held.join(rest, "key").where("root <> x_root and (root = major or name < x_name) and n <= x_most and x_n <= most")
+    return pairs.select(F.least("name", "x_name").alias("a"), F.greatest("name", "x_name").alias("b"))
 
 
 _SLOTS = 1 << 20
 
 
 def _prefixes(sets: DataFrame, similarity: float, few: int) -> DataFrame:
-    """(key, name, tail, n): each set's first shingles in one order of all shingles, rare ones first, as many as make
-    two sets of that similarity share one. ``tail`` is a hash of the set's shingles from this one on, ``n`` the set's size.
+    """(key, name, tail, n, most): each set's first shingles in one order of all shingles, rare ones first, as many as make
+    two sets of that similarity share one. ``tail`` is a hash of the set's shingles from this one on, ``n`` the set's size,
+    ``most`` the largest size of a set alike with it of which this is the first shingle they share.
 
     The order is by counts in ``_SLOTS`` slots of hashes, of which those well above the mean are broadcast (half of the
     slots at most). It decides how full buckets get, never results.
@@ -339,22 +337,98 @@ def _prefixes(sets: DataFrame, similarity: float, few: int) -> DataFrame:
         counts[slot] = n
     counts = sets.sparkSession.sparkContext.broadcast(counts)
 
+    def rows(name: int, s: np.ndarray) -> dict:
+        s = np.unique(np.asarray(s, np.int32)).view(np.uint32)
+        s = s[np.lexsort((s, counts.value[s >> np.uint32(12)]))].astype(np.uint64)
+        first = len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1
+        tail = np.cumsum(common.mix(s + common._ODD)[::-1])[::-1][:first]
+        most = np.floor((1 + similarity) / similarity * (len(s) - np.arange(first)) + 1e-6).astype(np.int64) - len(s)
+        return {"key": s[:first].astype(np.int64), "name": np.full(first, name), "tail": tail.view(np.int64), "n": np.full(first, len(s)), "most": most}
+
     def cut(frames):
         for frame in frames:
+            out, held = [], 0
             for name, s in zip(frame["name"].tolist(), frame["shingles"], strict=True):
-                s = np.unique(np.asarray(s, np.int32)).view(np.uint32)
-                s = s[np.lexsort((s, counts.value[s >> np.uint32(12)]))].astype(np.uint64)
-                first = len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1
-                tail = np.cumsum(common.mix(s + common._ODD)[::-1])[::-1][:first]
-                yield pd.DataFrame({"key": s[:first].astype(np.int64), "name": name, "tail": tail.view(np.int64), "n": len(s)})
+                out.append(rows(name, s))
+                held += len(out[-1]["key"])
+                if held > 500_000:
+                    yield pd.DataFrame({c: np.concatenate([x[c] for x in out]) for c in out[0]})
+                    out, held = [], 0
+            if out:
+                yield pd.DataFrame({c: np.concatenate([x[c] for x in out]) for c in out[0]})
+
+    return sets.select("name", "shingles").mapInPandas(cut, "key long, name long, tail long, n long, most long")
+
+
+_WORDS = 16  # of 64 bits, in a map of parities
+
+
+def _parities(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of 1,024 bits for each set: in each slot of hashes, whether the number of elements is odd. Two sets differ
+    in at least as many elements as their rows differ in bits."""
+    bits = [np.bincount(s.view(np.uint32) & np.uint32(64 * _WORDS - 1), minlength=64 * _WORDS) & 1 for s in sets]
+    return np.packbits(np.array(bits, np.uint8), axis=1).view(np.uint64)
+
+
+def _block_links(one: pd.DataFrame, two: pd.DataFrame, similarity: float) -> list[tuple[int, int]]:
+    """Links (name, name) of rows of ``one`` with rows of ``two`` (name, root, n, most, shingles), enough to join the groups
+    of all such pairs that are alike. Sizes are compared first, then parities; what is left, exactly."""
+    x, y = ([np.unique(np.asarray(s, np.int32)) for s in frame["shingles"]] for frame in (one, two))
+    px, py = _parities(x), _parities(y)
+    nx, ny, mx, my, name_x, name_y = (frame[c].to_numpy(np.int64) for c in ("n", "most", "name") for frame in (one, two))
+    _, root = np.unique(np.concatenate([one["root"].to_numpy(np.int64), two["root"].to_numpy(np.int64)]), return_inverse=True)
+    rx, ry = root[: len(x)], root[len(x) :]
+    up, found, step = np.arange(len(root)), [], max(1, 200_000 // len(y))
+    for lo in range(0, len(x), step):
+        at = np.arange(lo, min(lo + step, len(x)))
+        i, j = np.nonzero((up[rx[at]][:, None] != up[ry][None]) & (nx[at][:, None] <= my[None]) & (ny[None] <= mx[at][:, None]))
+        i += lo
+        near = np.bitwise_count(px[i] ^ py[j]).sum(1) <= (1 - similarity) / (1 + similarity) * (nx[i] + ny[j]) + 1e-6
+        i, j = i[near], j[near]
+        while len(i):
+            for a, b in zip(i[:1000].tolist(), j[:1000].tolist(), strict=True):
+                if up[rx[a]] == up[ry[b]]:
+                    continue
+                shared = len(np.intersect1d(x[a], y[b], assume_unique=True))
+                if shared >= similarity * (len(x[a]) + len(y[b]) - shared):
+                    found.append((int(name_x[a]), int(name_y[b])))
+                    up[up == max(up[rx[a]], up[ry[b]])] = min(up[rx[a]], up[ry[b]])
+            i, j = i[1000:], j[1000:]
+            apart = up[rx[i]] != up[ry[j]]
+            i, j = i[apart], j[apart]
+    return found
+
+
+def _heavy_links(members: DataFrame, sets: DataFrame, similarity: float, *, rows: int = 2_048, elements: int = 1_000_000) -> DataFrame:
+    """(a, b): links of the members of each bucket (key, name, tail, n, most, root) with the smallest set of each tail in it.
+
+    Both are cut into blocks of about ``rows`` sets and ``elements`` shingles, and each pair of blocks is a group of its
+    own; it returns a forest of its links, no other pair leaves it.
+    """
+    least = members.groupBy("key", "tail").agg(F.min(F.struct("n", "name", "root", "most")).alias("s")).select("key", "s.*")
+
+    def blocks(table: DataFrame, name: str) -> DataFrame:
+        return table.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / rows, F.sum("n") / elements)).cast("int").alias(name))
 
-    return sets.select("name", "shingles").mapInPandas(cut, "key long, name long, tail long, n long")
+    cuts = common.materialise(blocks(members, "n_x").join(blocks(least, "n_y"), "key"), "blocks")
+    block = lambda count: F.pmod(F.xxhash64("name", F.lit(3)), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ("key", "name", "root", "n", "most")
+    one = members.join(cuts, "key").select(*columns, F.lit(0).alias("side"), block("n_x").alias("x"), every("n_y").alias("y"))
+    two = least.join(cuts, "key").select(*columns, F.lit(1).alias("side"), every("n_x").alias("x"), block("n_y").alias("y"))
+    dealt = one.unionAll(two).join(sets.select(F.col("name").alias("s_name"), "shingles"), F.col("name") == F.col("s_name")).drop("s_name")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        first = frame["side"] == 0
+        links = _block_links(frame[first], frame[~first], similarity) if first.any() and not first.all() else []
+        return pd.DataFrame({"a": [min(p) for p in links], "b": [max(p) for p in links]}, dtype=np.int64)
+
+    return dealt.groupBy("key", "x", "y").applyInPandas(compare, "a long, b long")
 
 
 def _more(links: DataFrame, found: DataFrame) -> DataFrame:
     merged = common.materialise(links.unionAll(found).distinct(), "alike")
     common.discard(links)
-    common.discard(found)
     return merged
 
 
@@ -372,34 +446,29 @@ def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int =
     shingles, one of which any two that are alike share. Buckets of these are gone through likewise if light. In
     a heavy one, sets that are alike, and of which this is the first shingle they share, have in common what their tails from there
     on have in common; so the smallest set of a tail is alike with whatever any set of that tail is alike with, and comparing
-    all sets with the smallest of each tail loses no link. ``bound`` tails are taken a turn, until none is left.
+    all sets with the smallest of each tail loses no link. That is done in pairs of blocks. How much is left from a
+    shingle on bounds what two sets can share, so most are told apart by their sizes, and most others by parities.
     """
     keyed = sets.select("name", F.explode("keys").alias("key"))
     links = _alike(_hub_pairs(keyed, rounds, few), sets, similarity)
-    rooted = _rooted(sets.select("name", "keys"), links).select("name", "root", F.explode("keys").alias("key"))
-    own, sizes = _open_buckets(rooted, bound)
-    links = _more(links, _alike(_light_pairs(own, sizes), sets, similarity))
+    n = F.size("shingles").cast("long")
+    sized = sets.select("name", "keys", n.alias("n"), F.floor(n / similarity + 1e-6).alias("most"))
+    own, sizes = _open_buckets(_rooted(sized, links).withColumn("key", F.explode("keys")).drop("keys"), bound)
+    found = _alike(_light_pairs(own, sizes), sets, similarity)
+    links = _more(links, found)
     heavy = common.materialise(own.join(sizes.where("not light"), "key", "left_semi").select("name").distinct(), "heavy-names")
-    common.discard(own)
-    common.discard(sizes)
+    for table in (found, own, sizes):
+        common.discard(table)
     if heavy.isEmpty():
         return links
     heavy = common.materialise(sets.join(heavy, "name", "left_semi").select("name", "shingles"), "heavy-sets")
-    members, turn = common.materialise(_prefixes(heavy, similarity, few), "prefixes"), 0
-    while True:
-        own, sizes = _open_buckets(_rooted(members, links), bound)
-        common.discard(members)
-        members = common.materialise(own.join(sizes.where("not light"), "key", "left_semi"), "heavy-buckets")
-        tails = members.groupBy("key", "tail").agg(F.min(F.struct("n", "name", "root")).alias("least")).withColumn("at", F.row_number().over(Window.partitionBy("key").orderBy("tail")) - 1)
-        now = tails.where(F.floor(F.col("at") / bound) == turn).select("key", F.col("least.name").alias("x"), F.col("least.root").alias("x_root"))
-        met = _ordered(members.join(now, "key").where("root <> x_root"))
-        last = tails.agg(F.max("at")).first()[0]
-        links = _more(links, _alike(_light_pairs(own, sizes).unionAll(met), sets, similarity))
-        common.discard(own)
-        common.discard(sizes)
-        turn += 1
-        if last is None or last < turn * bound:
-            return links
+    own, sizes = _open_buckets(_rooted(_prefixes(heavy, similarity, few), links), bound)
+    found = _alike(_light_pairs(own, sizes), heavy, similarity)
+    members = own.join(sizes.where("not light").select("key"), "key", "left_semi")
+    links = _more(links, found.unionAll(_heavy_links(members, heavy, similarity)))
+    for table in (found, own, sizes, heavy):
+        common.discard(table)
+    return links
 
 
 @common.shipped
