@@ -2,8 +2,10 @@
 
 import os
 
+import numpy as np
 import pytest
 from brute import contamination, quality as plain_quality, similar_groups, substrings
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from isohyet.llm import common, quality, simhash
@@ -124,6 +126,56 @@ def test_no_link_of_a_cluster_is_lost(spark, shape):
         assert {i: found.get(i, i) for i in groups} == groups
 
 
+def _random_sets(count, seed=3):
+    """Sets of one template with own elements, some of them just about 0.8 alike; sizes from 40 to 120."""
+    rng = np.random.default_rng(seed)
+    template = rng.integers(-(2**31), 2**31, 60)
+    sets = []
+    for _ in range(count):
+        own = rng.integers(-(2**31), 2**31, rng.integers(4, 24))
+        sets.append(np.unique(np.concatenate([template[rng.random(60) < 0.97], own])).astype(np.int32))
+    return sets
+
+
+def _groups(n, links):
+    root = list(range(n))
+
+    def up(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        root[max(up(a), up(b))] = min(up(a), up(b))
+    return [up(i) for i in range(n)]
+
+
+def _alike(x, y):
+    shared = len(set(x.tolist()) & set(y.tolist()))
+    return shared >= 0.8 * (len(x) + len(y) - shared)
+
+
+def test_parities_never_differ_more_than_sets():
+    sets = _random_sets(40)
+    rows = simhash._parities(sets)
+    for x, p in zip(sets, rows, strict=True):
+        for y, q in zip(sets, rows, strict=True):
+            assert np.bitwise_count(p ^ q).sum() <= len(set(x.tolist()) ^ set(y.tolist()))
+
+
+@pytest.mark.parametrize("rows, elements", [(2048, 10**6), (7, 10**6), (10**6, 300)])
+def test_blocks_of_heavy_buckets_lose_no_link(spark, rows, elements):
+    """One bucket with all prefixes of all sets under their own shingles, cut into blocks of any size: the groups are those of all pairs."""
+    common.ship(spark)
+    sets = _random_sets(60)
+    table = spark.createDataFrame([(k, s.tolist()) for k, s in enumerate(sets)], "name long, shingles array<int>")
+    members = simhash._prefixes(table, 0.8, 0).withColumn("root", F.col("name"))
+    links = [tuple(r) for r in simhash._heavy_links(members, table, 0.8, rows=rows, elements=elements).collect()]
+    pairs = [(a, b) for a in range(60) for b in range(a) if _alike(sets[a], sets[b])]
+    assert pairs and all(a < b and _alike(sets[a], sets[b]) for a, b in links)
+    assert _groups(60, links) == _groups(60, pairs)
+
+
 def test_substring_stage_carries_every_column(spark):
     """Columns that the operator makes itself, or that documents don't have, keep their names, kinds and values."""
     passage = "a passage of more than fifty bytes that two documents have in common "
