@@ -313,13 +313,14 @@ def _light_pairs(own: DataFrame, sizes: DataFrame) -> DataFrame:
 _SLOTS = 1 << 20
 
 
-def _prefixes(sets: DataFrame, similarity: float, few: int) -> DataFrame:
-    """(key, name, tail, n, most): each set's first shingles in one order of all shingles, rare ones first, as many as make
-    two sets of that similarity share one. ``tail`` is a hash of the set's shingles from this one on, ``n`` the set's size,
-    ``most`` the largest size of a set alike with it of which this is the first shingle they share.
-
-    The order is by counts in ``_SLOTS`` slots of hashes, of which those well above the mean are broadcast (half of the
-    slots at most). It decides how full buckets get, never results.
+def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(root, key, name, tail, n, most) of sets (root, name, shingles): each set's first shingles in one order of all shingles, rare
+    ones first, as many as make two sets of that similarity share one. ``tail`` is a hash of the set's shingles from this
+    one on, ``n`` the set's size, ``most`` the largest size of a set alike with it of which this is the first shingle they share.
+
+    Of a group's sets with one tail a task returns the smallest alone: it is alike with whatever the others are alike with
+    there. The order is by counts in ``_SLOTS`` slots of hashes, which are broadcast; it decides how full buckets get, never
+    results. Shingles that are alone in their slot are in one set only and no keys.
     """
 
     def tally(frames):
@@ -330,34 +331,37 @@ def _prefixes(sets: DataFrame, similarity: float, few: int) -> DataFrame:
         at = np.flatnonzero(n)
         yield pd.DataFrame({"slot": at.astype(np.int32), "n": n[at]})
 
-    total = sets.agg(F.sum(F.size("shingles"))).first()[0] or 0
-    often = sets.select("shingles").mapInPandas(tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") > max(few, 2 * total // _SLOTS)).collect()
+    often = sets.select("shingles").mapInPandas(tally, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
     counts = np.zeros(_SLOTS, np.int64)
-    for slot, n in often:
-        counts[slot] = n
+    counts[often.column("slot").to_numpy()] = often.column("n").to_numpy()
     counts = sets.sparkSession.sparkContext.broadcast(counts)
 
-    def rows(name: int, s: np.ndarray) -> dict:
+    def rows(root: int, name: int, s: np.ndarray) -> dict:
         s = np.unique(np.asarray(s, np.int32)).view(np.uint32)
         s = s[np.lexsort((s, counts.value[s >> np.uint32(12)]))].astype(np.uint64)
         first = len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1
         tail = np.cumsum(common.mix(s + common._ODD)[::-1])[::-1][:first]
         most = np.floor((1 + similarity) / similarity * (len(s) - np.arange(first)) + 1e-6).astype(np.int64) - len(s)
-        return {"key": s[:first].astype(np.int64), "name": np.full(first, name), "tail": tail.view(np.int64), "n": np.full(first, len(s)), "most": most}
+        found = {"root": np.full(first, root), "key": s[:first].astype(np.int64), "name": np.full(first, name), "tail": tail.view(np.int64), "n": np.full(first, len(s)), "most": most}
+        shared = counts.value[s[:first] >> np.uint64(12)] > 1
+        return {c: x[shared] for c, x in found.items()}
+
+    def smallest(out: list[dict]) -> pd.DataFrame:
+        return pd.DataFrame({c: np.concatenate([x[c] for x in out]) for c in out[0]}).sort_values(["n", "name"]).drop_duplicates(["root", "key", "tail"])
 
     def cut(frames):
         for frame in frames:
             out, held = [], 0
-            for name, s in zip(frame["name"].tolist(), frame["shingles"], strict=True):
-                out.append(rows(name, s))
+            for root, name, s in zip(frame["root"].tolist(), frame["name"].tolist(), frame["shingles"], strict=True):
+                out.append(rows(root, name, s))
                 held += len(out[-1]["key"])
                 if held > 500_000:
-                    yield pd.DataFrame({c: np.concatenate([x[c] for x in out]) for c in out[0]})
+                    yield smallest(out)
                     out, held = [], 0
             if out:
-                yield pd.DataFrame({c: np.concatenate([x[c] for x in out]) for c in out[0]})
+                yield smallest(out)
 
-    return sets.select("name", "shingles").mapInPandas(cut, "key long, name long, tail long, n long, most long")
+    return sets.select("root", "name", "shingles").mapInPandas(cut, "root long, key long, name long, tail long, n long, most long")
 
 
 _WORDS = 16  # of 64 bits, in a map of parities
@@ -461,8 +465,8 @@ def similar_links(sets: DataFrame, *, similarity: float, rounds: int, few: int =
         common.discard(table)
     if heavy.isEmpty():
         return links
-    heavy = common.materialise(sets.join(heavy, "name", "left_semi").select("name", "shingles"), "heavy-sets")
-    own, sizes = _open_buckets(_rooted(_prefixes(heavy, similarity, few), links), bound)
+    heavy = common.materialise(_rooted(sets.join(heavy, "name", "left_semi").select("name", "shingles"), links), "heavy-sets")
+    own, sizes = _open_buckets(_prefixes(heavy, similarity), bound)
     found = _alike(_light_pairs(own, sizes), heavy, similarity)
     members = own.join(sizes.where("not light").select("key"), "key", "left_semi")
     links = _more(links, found.unionAll(_heavy_links(members, heavy, similarity)))

@@ -5,7 +5,6 @@ import os
 import numpy as np
 import pytest
 from brute import contamination, quality as plain_quality, similar_groups, substrings
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from isohyet.llm import common, quality, simhash
@@ -168,8 +167,8 @@ def test_blocks_of_heavy_buckets_lose_no_link(spark, rows, elements):
     """One bucket with all prefixes of all sets under their own shingles, cut into blocks of any size: the groups are those of all pairs."""
     common.ship(spark)
     sets = _random_sets(60)
-    table = spark.createDataFrame([(k, s.tolist()) for k, s in enumerate(sets)], "name long, shingles array<int>")
-    members = simhash._prefixes(table, 0.8, 0).withColumn("root", F.col("name"))
+    table = spark.createDataFrame([(k, k, s.tolist()) for k, s in enumerate(sets)], "root long, name long, shingles array<int>")
+    members = simhash._prefixes(table, 0.8)
     links = [tuple(r) for r in simhash._heavy_links(members, table, 0.8, rows=rows, elements=elements).collect()]
     pairs = [(a, b) for a in range(60) for b in range(a) if _alike(sets[a], sets[b])]
     assert pairs and all(a < b and _alike(sets[a], sets[b]) for a, b in links)
