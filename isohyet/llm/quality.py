@@ -1,8 +1,10 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
 
-The model is fitted on a bounded sample of labelled documents (``fit_docs`` trusted and as many flagged
-ones). Its n-gram tables are joined with the n-grams of all documents, by broadcast where their counted
-size allows and shuffled by n-gram hash otherwise, which gives the perplexity of each document. Limits are
+The model is fitted on all flagged labelled documents and on one half of all trusted ones; the other half sets the
+limits. The log probability of a text is a sum of weights of its words and bigrams, each found by its hash: what a
+word gives above an unknown one, together with what it takes as a context, and what a bigram that was seen adds to
+that. The most frequent weights are broadcast, up to a measured number; whatever a text has besides is shuffled by
+hash to the rest of the weights, in slices of documents, so that little of it is on disk at a time. Limits are
 exact quantiles of the perplexity of all trusted documents of a language that the model has not seen: above the
 upper one is text unlike trusted text, below the lower one text that repeats itself. Few tokens of abuse
 hardly move a perplexity, so the same smoothing is also fitted to flagged documents and what a document's
@@ -11,13 +13,17 @@ tokens gain under it, beyond a margin, is held against the upper quantile of suc
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.llm import common
 
 _TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
-_START = 7
+_START, _END = 7, 11  # stand for the hashes of what is before and after a text
 
 
 def tokens(text: Column) -> Column:
@@ -48,33 +54,145 @@ def _discounted(column: str, d: dict[str, float]) -> Column:
 
 
 class KneserNey:
-    """Tables of an interpolated modified Kneser-Ney bigram model: bigrams (v, w, lp), contexts (v, lg), words (w, lp)."""
+    """Tables of an interpolated modified Kneser-Ney bigram model: bigrams (v, w, c, lp2, lift), contexts (v, n, g), words (w, a, c, p).
+    ``lift`` is what lp2 has above the log probability of a bigram that was not seen."""
 
     def __init__(self, source: DataFrame, label: str):
-        raw = _pairs(source).where("w is not null").groupBy("v", "w").agg(F.count("*").alias("c"))
-        self.raw = common.materialise(raw, f"kn-{label}")
-        types = common.materialise(self.raw.groupBy("w").agg(F.count("*").alias("a")), f"kn-{label}-words")
-        d1, d2 = _discount(types, "a"), _discount(self.raw, "c")
+        self._fit(common.materialise(_counted(_pairs(source)), f"kn-{label}"), label)
+
+    @classmethod
+    def of_counts(cls, counts: DataFrame, label: str) -> KneserNey:
+        """The model of a written table of bigrams (v, w, c)."""
+        made = cls.__new__(cls)
+        made._fit(counts, label)
+        return made
+
+    def _fit(self, raw: DataFrame, label: str) -> None:
+        types = common.materialise(raw.groupBy("w").agg(F.count("*").alias("a"), F.sum("c").alias("c")), f"kn-{label}-words")
+        d1, d2 = _discount(types, "a"), _discount(raw, "c")
         total, size, freed = types.agg(F.coalesce(F.sum("a"), F.lit(0)), F.count("*"), F.coalesce(F.sum(_discounted("a", d1)), F.lit(0.0))).first()
-        self.n_bigrams = int(total)
         total, share = max(total, 1), (freed or 1.0) / max(total, 1) / (size + 1)
         self.unknown = float(share)  # probability of a word never seen
-        self.words = types.select("w", "a", ((F.col("a") - _discounted("a", d1)) / total + share).alias("p"))
-        contexts = self.raw.groupBy("v").agg(F.sum("c").alias("n"), F.sum(_discounted("c", d2)).alias("freed"))
+        self.words = types.select("w", "a", "c", ((F.col("a") - _discounted("a", d1)) / total + share).alias("p"))
+        contexts = raw.groupBy("v").agg(F.sum("c").alias("n"), F.sum(_discounted("c", d2)).alias("freed"))
         self.contexts = contexts.select("v", "n", (F.col("freed") / F.col("n")).alias("g"))
-        small = F.broadcast if size <= 2_000_000 else (lambda table: table)  # there are no more contexts than words, but for the start
-        full = self.raw.join(small(self.contexts), "v").join(small(self.words.select("w", "p")), "w")
-        self.bigrams = full.select("v", "w", F.log((F.col("c") - _discounted("c", d2)) / F.col("n") + F.col("g") * F.col("p")).alias("lp2"))
+        small = F.broadcast if size <= 1_000_000 else (lambda table: table)  # there are no more contexts than words, but for the start
+        full = raw.join(small(self.contexts), "v").join(small(self.words.select("w", "p")), "w")
+        seen, unseen = (F.col("c") - _discounted("c", d2)) / F.col("n"), F.col("g") * F.col("p")
+        self.bigrams = full.select("v", "w", "c", F.log(seen + unseen).alias("lp2"), F.log1p(seen / unseen).alias("lift"))
+
+    def weights(self) -> DataFrame:
+        """(key, c, value): what each word (key: its hash), bigram (key: of both) and end of a text adds to the log
+        probability of a text of unknown words. A word has with it what it takes as a context, which an end takes back."""
+        contexts = self.contexts.select("v", F.log("g").alias("lg"))
+        words = self.words.join(contexts, F.col("w") == F.col("v"), "left")
+        words = words.select(F.col("w").alias("key"), "c", (F.log("p") - math.log(self.unknown) + F.coalesce("lg", F.lit(0.0))).alias("value"))
+        bigrams = self.bigrams.select(F.xxhash64("v", "w").alias("key"), "c", F.col("lift").alias("value"))
+        ends = contexts.select(F.xxhash64("v", F.lit(_END).cast("long")).alias("key"), F.lit(0).cast("long").alias("c"), (-F.col("lg")).alias("value"))
+        return words.unionAll(bigrams).unionAll(ends)
+
+
+def _counted(pairs: DataFrame, *keep: str) -> DataFrame:
+    return pairs.where("w is not null").groupBy(*keep, "v", "w").agg(F.count("*").alias("c"))
+
+
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _xxhash64(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
+    """XXH64 of 64-bit words; ``F.xxhash64(v, w)`` is that of w with that of v, with seed 42, as its seed."""
+    turn = lambda y, n: (y << np.uint64(n)) | (y >> np.uint64(64 - n))
+    h = turn(((seed + _P5) + np.uint64(8)) ^ (turn(x * _P2, 31) * _P1), 27) * _P1 + _P4
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
+
+def _keys(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, doc): the hashes of all words, and then those of all bigrams, of texts whose words' hashes are ``h``, from
+    ``first`` on (one more entry); and the text that each is in. A text has an end and so one more bigram than words."""
+    n = np.diff(first)
+    doc = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(h)) + doc
+    v, w = np.full(len(h) + len(n), _START, np.uint64), np.full(len(h) + len(n), _END, np.uint64)
+    v[at + 1], w[at] = h, h
+    return np.concatenate([h, _xxhash64(w, _xxhash64(v, np.uint64(42)))]), np.concatenate([doc, np.repeat(np.arange(len(n)), n + 1)])
+
+
+def _met(source: DataFrame, held: Broadcast, tokens_at_once: int = 500_000) -> DataFrame:
+    """(doc_id, text_key, lang, n, value, gain, tail) of texts: the number of tokens, the sums of the broadcast weights
+    and gains, and the keys that have no weight there. ``held``: keys and values of either."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        (head_keys, head_values), (gain_keys, gain_values) = held.value
+        head_keys, gain_keys = pa.array(head_keys), pa.array(gain_keys)
+        for batch in batches:
+            hashes = batch.column("h")
+            offsets, words = hashes.offsets.to_numpy().astype(np.int64), hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + tokens_at_once, "right")) - 1)
+                h, first = words[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                keys, doc = _keys(h, first)
+                named = pa.array(keys.view(np.int64))
+                at = pc.fill_null(pc.index_in(named, value_set=head_keys), -1).to_numpy(zero_copy_only=False)
+                value = np.bincount(doc[at >= 0], head_values[at[at >= 0]], hi - lo).astype(float)
+                told = pc.fill_null(pc.index_in(named[: len(h)], value_set=gain_keys), -1).to_numpy(zero_copy_only=False)
+                gain = np.bincount(doc[: len(h)][told >= 0], gain_values[told[told >= 0]], hi - lo).astype(float)
+                missed = np.flatnonzero(at < 0)
+                missed = missed[np.argsort(doc[missed], kind="stable")]
+                tail = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *np.bincount(doc[missed], minlength=hi - lo)]).astype(np.int32)), named.take(pa.array(missed)))
+                own = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_key", "lang")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(first)), pa.array(value, pa.float64()), pa.array(gain, pa.float64()), tail], ["doc_id", "text_key", "lang", "n", "value", "gain", "tail"])
+                lo = hi
+
+    hashed = source.select("doc_id", "text_key", "lang", F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
+    return hashed.mapInArrow(run, "doc_id long, text_key long, lang string, n long, value double, gain double, tail array<long>")
+
+
+def _least_count(weights: DataFrame, limit: int) -> int:
+    """The least power of 2 ** (1 / 4) such that at most ``limit`` weights have that count or more."""
+    bands = weights.where("c > 0").groupBy(F.floor(4 * F.log2("c")).cast("int").alias("band")).agg(F.count("*").alias("n")).collect()  # a few hundred at most
+    held, least = 0, 2**63 - 1
+    for band, n in sorted(bands, reverse=True):
+        held += n
+        if held > limit:
+            break
+        least = math.ceil(2 ** (band / 4) - 1e-9)
+    return least
+
+
+def _sums(source: DataFrame, head: DataFrame, rest: DataFrame | None, gains: DataFrame, slices: int) -> DataFrame:
+    """(doc_id, text_key, lang, n, value, gain): the number of tokens and the sums of all weights and gains of each text."""
+    held = source.sparkSession.sparkContext.broadcast([(t.column(0).to_numpy(), t.column(1).to_numpy()) for t in (head.toArrow(), gains.toArrow())])
+    out = None
+    for k in range(slices if rest is not None else 1):
+        own = source if rest is None else source.where(F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(slices)) == k)
+        met = _met(own, held)
+        if rest is None:
+            return met.drop("tail")
+        met = common.fresh_ids(met, "row", "met")
+        tails = met.select("row", F.explode("tail").alias("key")).join(rest, "key").groupBy(F.col("row").alias("t_row")).agg(F.sum("value").alias("more"))
+        whole = met.join(tails, F.col("row") == F.col("t_row"), "left").select("doc_id", "text_key", "lang", "n", (F.col("value") + F.coalesce("more", F.lit(0.0))).alias("value"), "gain")
+        whole = common.materialise(whole, "sums")
+        common.discard(met)
+        out = whole if out is None else out.unionAll(whole)
+    held.unpersist()
+    return out
 
 
 @common.shipped
-def assess(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = 2_000, quantile: float = 0.999, margin: float = 3.0, support: float = 0.04, broadcast_limit: int = 2_000_000) -> DataFrame:
+def assess(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.999, margin: float = 3.0, support: float = 0.04, broadcast_limit: int = 1_000_000, slices: int = 8) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, lang, n_tokens, perplexity, min_perplexity,
     max_perplexity, evidence, max_evidence, keep.
 
-    ``fit_docs`` bounds the labelled documents of each kind that the model is fitted on (those with the
-    smallest id hashes), ``broadcast_limit`` the n-grams, of some 40 bytes each, that are broadcast; scores and
-    limits cover all documents. A language without trusted documents (null
+    The model is of all flagged documents and of the trusted ones with even id hashes, limits are of the other trusted
+    ones. ``broadcast_limit`` bounds the weights and the ids, of some 40 bytes each, that are broadcast, and ``slices``
+    is the number of parts in which texts meet the other weights; both change the work, never the result. Weights are
+    told apart by 64-bit hashes. A language without trusted documents (null
     included) takes the limits of all languages; without any trusted document everything with tokens is
     kept. Only words with at least ``support`` times as many left neighbours among flagged documents as there
     are such documents can be held against a text. A document without tokens (null text too) has no perplexity and is rejected. Repeated rows each
@@ -83,33 +201,33 @@ def assess(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_c
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_of(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     kind = labels.where("doc_id is not null").groupBy("doc_id").agg(((F.min("quality") >= 1) & (F.max("toxic") <= 0)).alias("trusted"), ((F.min("quality") < 1) | (F.max("toxic") > 0)).alias("flagged"))
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0  # the other half of the trusted documents never goes into the model
-    pick = lambda which: kind.where(which).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs).select("doc_id")
-    chosen = common.materialise(pick(F.col("trusted") & fold).withColumn("good", F.lit(True)).union(pick(F.col("flagged")).withColumn("good", F.lit(False))), "chosen")
-    fit = common.materialise(source.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "fit")  # at most 2 * fit_docs documents
-    good, bad = KneserNey(fit.where("good"), "good"), KneserNey(fit.where("not good"), "bad")
-
-    # words that few flagged documents have say little, however rare they are in trusted text
-    telling = bad.words.withColumn("q", F.when(F.col("a") >= support * chosen.where("not good").count(), F.col("p"))).select("w", "q")
-    words = good.words.join(telling, "w", "full")
-    gain = F.coalesce(F.log("q") - F.log(F.coalesce("p", F.lit(good.unknown))) - margin, F.lit(0.0))
-    words = words.select(F.col("w").alias("u_w"), F.log(F.coalesce("p", F.lit(good.unknown))).alias("lp1"), F.greatest(gain, F.lit(0.0)).alias("gain"))
-    bigrams = good.bigrams.select(F.xxhash64("v", "w").alias("b_key"), "lp2")
-    contexts = good.contexts.select(F.col("v").alias("c_v"), F.log("g").alias("lg"))
-    tables = [words, bigrams, contexts]
-    if good.n_bigrams + bad.n_bigrams <= broadcast_limit:
-        tables = [F.broadcast(common.materialise(t, "kn-table")) for t in tables]
-    words, bigrams, contexts = tables
-
-    each = _pairs(source.withColumn("text_key", F.xxhash64("text")), "doc_id", "text_key", "lang")
-    each = each.withColumn("key", F.when(F.col("w").isNotNull(), F.xxhash64("v", "w")))
-    met = each.join(bigrams, F.col("key") == F.col("b_key"), "left").join(words, F.col("w") == F.col("u_w"), "left").join(contexts, F.col("v") == F.col("c_v"), "left")
-    unknown = F.lit(good.unknown)
-    lp = F.coalesce("lp2", F.coalesce("lg", F.lit(0.0)) + F.coalesce("lp1", F.log(unknown)))
-    sums = met.groupBy("doc_id", "text_key", "lang").agg(F.count("w").alias("n"), F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("copies"), F.sum(F.when(F.col("w").isNotNull(), lp)).alias("lp"), F.sum(F.coalesce("gain", F.lit(0.0))).alias("gain"))
-    per_doc = sums.select("doc_id", "text_key", "lang", (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"), F.exp(-F.col("lp") / F.expr("nullif(n, 0)")).alias("perplexity"), (F.col("gain") / F.col("copies")).alias("evidence"), F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    good_or_bad = F.when(F.col("trusted") & fold, True).when(F.col("flagged"), False)
+    chosen = common.materialise(kind.select("doc_id", good_or_bad.alias("good")).where("good is not null"), "chosen")
+    n_chosen, n_bad = chosen.agg(F.count("*"), F.count_if(~F.col("good"))).first()
+    fit = source.select("doc_id", "text").join(F.broadcast(chosen) if n_chosen <= broadcast_limit else chosen, "doc_id")
+    raw = common.materialise(_counted(_pairs(fit, "good"), "good"), "kn")
+    good, bad = (KneserNey.of_counts(raw.where(which).drop("good"), which.replace(" ", "-")) for which in ("good", "not good"))
+
+    # words that few flagged documents have say little, however rare they are in trusted text; there are at most
+    # (mean tokens of a flagged document) / support of the others
+    telling = bad.words.where(F.col("a") >= support * n_bad).select(F.col("w").alias("t_key"), F.col("p").alias("q"))
+    telling = common.materialise(telling, "telling")
+    telling = telling.join(good.words.select("w", "p"), F.col("t_key") == F.col("w"), "left")
+    gain = F.log("q") - F.log(F.coalesce("p", F.lit(good.unknown))) - margin
+    telling = common.materialise(telling.select("t_key", gain.alias("gain")).where("gain > 0"), "gains")
+    began = good.contexts.where(F.col("v") == _START).select(F.log("g")).first()
+    weights = common.materialise(good.weights(), "weights")
+    common.discard(raw)
+    few = weights.count() <= broadcast_limit
+    least = 0 if few else _least_count(weights, broadcast_limit)
+    head, rest = weights.where(F.col("c") >= least).select(F.col("key"), "value"), weights.where(F.col("c") < least).select("key", "value")
+
+    sums = _sums(source.withColumn("text_key", F.xxhash64("text")), head, None if few else rest, telling, slices)
+    lp = F.col("n") * math.log(good.unknown) + (began[0] if began else 0.0) + F.col("value")
+    per_doc = sums.select("doc_id", "text_key", "lang", F.col("n").alias("n_tokens"), F.exp(-lp / F.expr("nullif(n, 0)")).alias("perplexity"), F.col("gain").alias("evidence"))
     scored = common.materialise(per_doc, "scored")
 
-    unseen = kind.where("trusted").select("doc_id").join(F.broadcast(chosen), "doc_id", "left_anti")
+    unseen = kind.where(F.col("trusted") & ~fold).select("doc_id")
     trusted = common.materialise(scored.join(unseen, "doc_id", "left_semi").where("perplexity is not null"), "trusted")
     def limits(end: str) -> list[Column]:
         """Quantiles, moved out by 6 / sqrt(n) of their distance from the median: few documents say little of the tails."""

@@ -446,6 +446,23 @@ def test_quality(docs, none, spark):
     assert all(r.keep for r in free if r.n_tokens)
 
 
+@pytest.mark.parametrize("settings", [{}, {"broadcast_limit": 400, "slices": 3}])
+def test_quality_is_fitted_on_all_labelled_documents(spark, settings):
+    """More documents of each kind than a sample of 2,000 would take, also where most weights aren't broadcast."""
+    from brute import quality as plain
+
+    n = 7_500
+    rows = [(i, f"{prose(i % 50, 5)} w{i} w{i * 7 % n} {'scum' if i % 3 == 0 else 'calm'} w{i // 2}.", ("en", "de")[i % 2]) for i in range(n)]
+    told = [(i, 1, int(i % 3 == 0)) for i in range(n) if i % 10]
+    want = plain(rows, told, fit_docs=n)
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(told, "doc_id long, quality int, toxic int")
+    got = quality.assess(docs, labels, **settings).collect()
+    assert len(got) == n and 0 < sum(r.evidence > 0 for r in got) < n
+    for r in got:
+        perplexity, evidence, keep = want[r.doc_id]
+        assert (r.perplexity, r.evidence, r.keep) == (pytest.approx(perplexity, rel=1e-9), pytest.approx(evidence, rel=1e-9, abs=1e-9), keep)
+
+
 def test_kneser_ney_sums_to_one(spark):
     import math
 
