@@ -142,6 +142,11 @@ def discard_all(spark: SparkSession) -> None:
         _delete(spark, name)
 
 
+def if_few(df: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """``df``, a written table of short rows, marked for broadcast where it has at most ``limit``: the texts that it is joined with stay where they are."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def id_key(column: str) -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NULL_ID))
 

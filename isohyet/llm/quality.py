@@ -260,4 +260,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
         bad = bad.select(F.coalesce("doc_id", F.lit(common.NULL_ID)).alias("__bad_id"), F.col("text_key").alias("__bad_text")).distinct()
         bad = keep(common.materialise(bad, "rejected"))
     key = (common.id_key(id_col) == F.col("__bad_id")) & (F.xxhash64(common.text_of(text_col)) == F.col("__bad_text"))
-    return docs.join(bad, key, "left_anti")
+    return docs.join(common.if_few(bad), key, "left_anti")

@@ -492,6 +492,8 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     same_bits, bits = linked(prints, radius=radius)
     named = common.materialise(_sets(source.select("doc_id", "text"), shingle, bands, rows), "shingle-sets")
     sets = common.materialise(named.groupBy("name").agg(F.min("doc_id").alias("min_id"), F.first("shingles").alias("shingles"), F.first("keys").alias("keys")), "sets")
+    owners = common.materialise(named.select("doc_id", "name"), "owners")
+    common.discard(named)  # the shingles of repeated sets are not needed again
     alike = similar_links(sets, similarity=similarity, rounds=rounds, **search)
 
     def ends(links: DataFrame, table: DataFrame, key: str) -> DataFrame:
@@ -500,10 +502,10 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         return links.join(one, F.col("a") == F.col("key_a")).join(two, F.col("b") == F.col("key_b")).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 
     ties = ends(bits, same_bits, "fp").unionAll(ends(alike, sets, "name"))
-    for own, table, key in ((prints, same_bits, "fp"), (named, sets, "name")):  # documents that share one
+    for own, table, key in ((prints, same_bits, "fp"), (owners, sets, "name")):  # documents that share one
         ties = ties.unionAll(own.select("doc_id", key).join(table.select(F.col(key).alias("t_key"), "min_id"), F.col(key) == F.col("t_key")).select("doc_id", "min_id"))
     ties = common.materialise(ties.where("a <> b").distinct(), "ties")
-    for table in (prints, named, sets):
+    for table in (prints, owners, sets):
         common.discard(table)
     groups = common.materialise(common.connected_components(ties), "groups")
     members = source.select("own_id", F.col("doc_id").alias("m_node")).join(groups, F.col("m_node") == F.col("node"))
@@ -526,4 +528,4 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
         found = similar_groups(docs, id_col=id_col, text_col=text_col, **rule)
         gone = found.where("doc_id <> component_id or (doc_id is null and component_id is not null)").select(F.col("node").alias("__gone")).distinct()
         gone = keep(common.materialise(gone, "near-duplicates"))
-    return docs.join(gone, _node(id_col, text_col) == F.col("__gone"), "left_anti")
+    return docs.join(common.if_few(gone, 2_000_000), _node(id_col, text_col) == F.col("__gone"), "left_anti")

@@ -184,3 +184,18 @@ def test_substring_stage_carries_every_column(spark):
     assert cut.dtypes == docs.dtypes
     assert [tuple(r)[2:] for r in cut.orderBy("doc_id").collect()] == [r[2:] for r in rows]
     assert len(cut.where("doc_id = 2").first().text) < len(rows[1][1])
+
+
+def test_stages_leave_texts_where_they_are(spark, chain, monkeypatch):
+    """What is rejected is broadcast where it is little, and near duplicates are looked for with one table of shingles, not two."""
+    labels, real, seen, before = spark.read.parquet(f"{SF}/labels.parquet"), simhash.similar_links, [], set(common._made)
+
+    def watch(sets, **settings):
+        seen.extend(x for x in common._made - before if "shingle-sets" in x)
+        return real(sets, **settings)
+
+    monkeypatch.setattr(simhash, "similar_links", watch)
+    with common.session_settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        for kept in (quality.keep_good(chain[0], labels), simhash.drop_near_duplicates(chain[1])):
+            assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+    assert not seen
