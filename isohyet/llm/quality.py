@@ -4,7 +4,8 @@ The model is fitted on all flagged labelled documents and on one half of all tru
 limits. The log probability of a text is a sum of weights of its words and bigrams, each found by its hash: what a
 word gives above an unknown one, together with what it takes as a context, and what a bigram that was seen adds to
 that. The most frequent weights are broadcast, up to a measured number; whatever a text has besides is shuffled by
-hash to the rest of the weights, in slices of documents, so that little of it is on disk at a time. Limits are
+hash to the rest of the weights, in slices of documents, so that little of it is on disk at a time. A map of bits says
+which words the model has: words without a bit have no weight, nor have their bigrams, so those are not shuffled. Limits are
 exact quantiles of the perplexity of all trusted documents of a language that the model has not seen: above the
 upper one is text unlike trusted text, below the lower one text that repeats itself. Few tokens of abuse
 hardly move a perplexity, so the same smoothing is also fitted to flagged documents and what a document's
@@ -13,6 +14,7 @@ tokens gain under it, beyond a margin, is held against the upper quantile of suc
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -55,7 +57,7 @@ def _discounted(column: str, d: dict[str, float]) -> Column:
 
 class KneserNey:
     """Tables of an interpolated modified Kneser-Ney bigram model: bigrams (v, w, c, lp2, lift), contexts (v, n, g), words (w, a, c, p).
-    ``lift`` is what lp2 has above the log probability of a bigram that was not seen."""
+    ``lift`` is what lp2 has above the log probability of a bigram that was not seen. Contexts are written when first asked for."""
 
     def __init__(self, source: DataFrame, label: str):
         self._fit(common.materialise(_counted(_pairs(source)), f"kn-{label}"), label)
@@ -69,17 +71,28 @@ class KneserNey:
 
     def _fit(self, raw: DataFrame, label: str) -> None:
         types = common.materialise(raw.groupBy("w").agg(F.count("*").alias("a"), F.sum("c").alias("c")), f"kn-{label}-words")
-        d1, d2 = _discount(types, "a"), _discount(raw, "c")
+        d1 = _discount(types, "a")
         total, size, freed = types.agg(F.coalesce(F.sum("a"), F.lit(0)), F.count("*"), F.coalesce(F.sum(_discounted("a", d1)), F.lit(0.0))).first()
         total, share = max(total, 1), (freed or 1.0) / max(total, 1) / (size + 1)
-        self.unknown = float(share)  # probability of a word never seen
+        self.unknown, self.size = float(share), size  # probability of a word never seen, number of words
         self.words = types.select("w", "a", "c", ((F.col("a") - _discounted("a", d1)) / total + share).alias("p"))
-        contexts = raw.groupBy("v").agg(F.sum("c").alias("n"), F.sum(_discounted("c", d2)).alias("freed"))
-        self.contexts = contexts.select("v", "n", (F.col("freed") / F.col("n")).alias("g"))
-        small = F.broadcast if size <= 1_000_000 else (lambda table: table)  # there are no more contexts than words, but for the start
-        full = raw.join(small(self.contexts), "v").join(small(self.words.select("w", "p")), "w")
-        seen, unseen = (F.col("c") - _discounted("c", d2)) / F.col("n"), F.col("g") * F.col("p")
-        self.bigrams = full.select("v", "w", "c", F.log(seen + unseen).alias("lp2"), F.log1p(seen / unseen).alias("lift"))
+        self._raw, self._label = raw, label
+
+    @functools.cached_property
+    def _d2(self) -> dict[str, float]:
+        return _discount(self._raw, "c")
+
+    @functools.cached_property
+    def contexts(self) -> DataFrame:
+        contexts = self._raw.groupBy("v").agg(F.sum("c").alias("n"), F.sum(_discounted("c", self._d2)).alias("freed"))
+        return common.materialise(contexts.select("v", "n", (F.col("freed") / F.col("n")).alias("g")), f"kn-{self._label}-contexts")
+
+    @functools.cached_property
+    def bigrams(self) -> DataFrame:
+        small = F.broadcast if self.size <= 1_000_000 else (lambda table: table)  # there are no more contexts than words, but for the start
+        full = self._raw.join(small(self.contexts), "v").join(small(self.words.select("w", "p")), "w")
+        seen, unseen = (F.col("c") - _discounted("c", self._d2)) / F.col("n"), F.col("g") * F.col("p")
+        return full.select("v", "w", "c", F.log(seen + unseen).alias("lp2"), F.log1p(seen / unseen).alias("lift"))
 
     def weights(self) -> DataFrame:
         """(key, c, value): what each word (key: its hash), bigram (key: of both) and end of a text adds to the log
@@ -108,27 +121,73 @@ def _xxhash64(x: np.ndarray, seed: np.ndarray | np.uint64) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _keys(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _keys(h: np.ndarray, first: np.ndarray, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(keys, doc): the hashes of all words, and then those of all bigrams, of texts whose words' hashes are ``h``, from
-    ``first`` on (one more entry); and the text that each is in. A text has an end and so one more bigram than words."""
+    ``first`` on (one more entry); and the text that each is in. A text has an end and so one more bigram than words.
+    With ``known``, words for which it is false are left out, and so are their bigrams."""
     n = np.diff(first)
     doc = np.repeat(np.arange(len(n)), n)
-    at = np.arange(len(h)) + doc
+    at, doc2 = np.arange(len(h)) + doc, np.repeat(np.arange(len(n)), n + 1)
     v, w = np.full(len(h) + len(n), _START, np.uint64), np.full(len(h) + len(n), _END, np.uint64)
     v[at + 1], w[at] = h, h
-    return np.concatenate([h, _xxhash64(w, _xxhash64(v, np.uint64(42)))]), np.concatenate([doc, np.repeat(np.arange(len(n)), n + 1)])
+    if known is not None:
+        before, own = np.ones((2, len(v)), bool)
+        before[at + 1], own[at] = known, known
+        both = before & own
+        h, doc, v, w, doc2 = h[known], doc[known], v[both], w[both], doc2[both]
+    return np.concatenate([h, _xxhash64(w, _xxhash64(v, np.uint64(42)))]), np.concatenate([doc, doc2])
+
+
+def _word_map(words: DataFrame, size: int) -> np.ndarray:
+    """Bits, as bytes, at the first bits of hashes: set where a word (w) of ``words``, ``size`` in number, has these.
+    There are 16 to 32 bits a word, but 2 ** 28 (32 MB) at most: then more words pass that the model doesn't have."""
+    wide = min(max(15, (16 * size).bit_length()), 28)
+    place = F.shiftrightunsigned("w", 64 - wide) + 1  # Spark counts from 1
+    parts = words.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros(1 << (wide - 3), np.uint8)
+    for part, bits in parts.toLocalIterator():
+        out[(part - 1) * len(bits) : part * len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def _mapped(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = h >> np.uint64(65 - (8 * len(bits)).bit_length())
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _indexed(table: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys in order, their values, where keys with each beginning are) of a table of distinct hashes and values."""
+    got = table.toArrow()
+    keys, values = got.column(0).to_numpy().view(np.uint64), got.column(1).to_numpy()
+    order = np.argsort(keys)
+    keys, wide = keys[order], max(16, (2 * len(keys)).bit_length())
+    return keys, values[order], np.cumsum([0, *np.bincount((keys >> np.uint64(64 - wide)).astype(np.int64), minlength=1 << wide)], dtype=np.int32)
+
+
+def _places(named: np.ndarray, keys: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where each of ``named`` is among ``keys``, -1 if it isn't there; few keys share a beginning."""
+    out = np.full(len(named), -1, np.int32)
+    beginning = named >> np.uint64(65 - (len(begins) - 1).bit_length())
+    at, end = begins[beginning], begins[beginning + np.uint64(1)]
+    left = np.flatnonzero(at < end)
+    at, end = at[left], end[left]
+    while len(left):
+        same = keys[at] == named[left]
+        out[left[same]] = at[same]
+        at += 1
+        more = ~same & (at < end)
+        left, at, end = left[more], at[more], end[more]
+    return out
 
 
 def _met(source: DataFrame, held: Broadcast, tokens_at_once: int = 500_000) -> DataFrame:
     """(doc_id, text_key, lang, n, value, gain, tail) of texts: the number of tokens, the sums of the broadcast weights
-    and gains, and the keys that have no weight there. ``held``: keys and values of either."""
+    and gains, and the keys that have no weight there but may have one. ``held``: weights and gains, indexed, and a map of words, if any."""
 
     def run(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        (head_keys, head_values), (gain_keys, gain_values) = held.value
-        head_keys, gain_keys = pa.array(head_keys), pa.array(gain_keys)
+        (head_keys, head_values, head_begins), (gain_keys, gain_values, gain_begins), word_map = held.value
         for batch in batches:
             hashes = batch.column("h")
             offsets, words = hashes.offsets.to_numpy().astype(np.int64), hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
@@ -136,15 +195,15 @@ def _met(source: DataFrame, held: Broadcast, tokens_at_once: int = 500_000) -> D
             while lo < batch.num_rows:
                 hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + tokens_at_once, "right")) - 1)
                 h, first = words[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
-                keys, doc = _keys(h, first)
-                named = pa.array(keys.view(np.int64))
-                at = pc.fill_null(pc.index_in(named, value_set=head_keys), -1).to_numpy(zero_copy_only=False)
+                keys, doc = _keys(h, first, None if word_map is None else _mapped(h, word_map))
+                at = _places(keys, head_keys, head_begins)
                 value = np.bincount(doc[at >= 0], head_values[at[at >= 0]], hi - lo).astype(float)
-                told = pc.fill_null(pc.index_in(named[: len(h)], value_set=gain_keys), -1).to_numpy(zero_copy_only=False)
-                gain = np.bincount(doc[: len(h)][told >= 0], gain_values[told[told >= 0]], hi - lo).astype(float)
+                told = _places(h, gain_keys, gain_begins)
+                of = np.repeat(np.arange(hi - lo), np.diff(first))
+                gain = np.bincount(of[told >= 0], gain_values[told[told >= 0]], hi - lo).astype(float)
                 missed = np.flatnonzero(at < 0)
                 missed = missed[np.argsort(doc[missed], kind="stable")]
-                tail = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *np.bincount(doc[missed], minlength=hi - lo)]).astype(np.int32)), named.take(pa.array(missed)))
+                tail = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *np.bincount(doc[missed], minlength=hi - lo)]).astype(np.int32)), pa.array(keys[missed].view(np.int64)))
                 own = [batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_key", "lang")]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(np.diff(first)), pa.array(value, pa.float64()), pa.array(gain, pa.float64()), tail], ["doc_id", "text_key", "lang", "n", "value", "gain", "tail"])
                 lo = hi
@@ -165,17 +224,18 @@ def _least_count(weights: DataFrame, limit: int) -> int:
     return least
 
 
-def _sums(source: DataFrame, head: DataFrame, rest: DataFrame | None, gains: DataFrame, slices: int) -> DataFrame:
+def _sums(source: DataFrame, head: DataFrame, rest: DataFrame | None, gains: DataFrame, slices: int, word_map: np.ndarray | None = None) -> DataFrame:
     """(doc_id, text_key, lang, n, value, gain): the number of tokens and the sums of all weights and gains of each text."""
-    held = source.sparkSession.sparkContext.broadcast([(t.column(0).to_numpy(), t.column(1).to_numpy()) for t in (head.toArrow(), gains.toArrow())])
+    held = source.sparkSession.sparkContext.broadcast((_indexed(head), _indexed(gains), word_map))
     out = None
     for k in range(slices if rest is not None else 1):
-        own = source if rest is None else source.where(F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(slices)) == k)
+        own = source if rest is None else source.where(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(slices)) == k)
         met = _met(own, held)
         if rest is None:
             return met.drop("tail")
         met = common.fresh_ids(met, "row", "met")
-        tails = met.select("row", F.explode("tail").alias("key")).join(rest, "key").groupBy(F.col("row").alias("t_row")).agg(F.sum("value").alias("more"))
+        # each key is there once, so a hash table of a part's weights saves sorting both sides
+        tails = met.select("row", F.explode("tail").alias("key")).join(rest.hint("shuffle_hash"), "key").groupBy(F.col("row").alias("t_row")).agg(F.sum("value").alias("more"))
         whole = met.join(tails, F.col("row") == F.col("t_row"), "left").select("doc_id", "text_key", "lang", "n", (F.col("value") + F.coalesce("more", F.lit(0.0))).alias("value"), "gain")
         whole = common.materialise(whole, "sums")
         common.discard(met)
@@ -218,11 +278,16 @@ def assess(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_c
     began = good.contexts.where(F.col("v") == _START).select(F.log("g")).first()
     weights = common.materialise(good.weights(), "weights")
     common.discard(raw)
-    few = weights.count() <= broadcast_limit
+    common.discard(good.contexts)
+    size = weights.count()
+    few = size <= broadcast_limit
     least = 0 if few else _least_count(weights, broadcast_limit)
     head, rest = weights.where(F.col("c") >= least).select(F.col("key"), "value"), weights.where(F.col("c") < least).select("key", "value")
 
-    sums = _sums(source.withColumn("text_key", F.xxhash64("text")), head, None if few else rest, telling, slices)
+    word_map = None if few else _word_map(good.words, good.size)
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // 500_000)  # so that a part's hash table stays small
+    with common.session_settings(docs.sparkSession, spark__sql__shuffle__partitions=str(parts)):
+        sums = _sums(source.withColumn("text_key", F.xxhash64("text")), head, None if few else rest, telling, slices, word_map)
     lp = F.col("n") * math.log(good.unknown) + (began[0] if began else 0.0) + F.col("value")
     per_doc = sums.select("doc_id", "text_key", "lang", F.col("n").alias("n_tokens"), F.exp(-lp / F.expr("nullif(n, 0)")).alias("perplexity"), F.col("gain").alias("evidence"))
     scored = common.materialise(per_doc, "scored")

@@ -463,6 +463,44 @@ def test_quality_is_fitted_on_all_labelled_documents(spark, settings):
         assert (r.perplexity, r.evidence, r.keep) == (pytest.approx(perplexity, rel=1e-9), pytest.approx(evidence, rel=1e-9, abs=1e-9), keep)
 
 
+def test_quality_sends_no_keys_of_unknown_words(spark, monkeypatch):
+    """A word that the model doesn't have has no weight, nor has a bigram with it: none of these is shuffled."""
+    rows = [(i, prose(i, 40), "en") for i in range(60)] + [(60, " ".join(f"never{i}" for i in range(1000)), "en"), (61, prose(3, 20) + " never " + prose(5, 20), "en"), (62, "", "en")]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    sent, write = {}, common.fresh_ids
+
+    def spy(df, *args):
+        out = write(df, *args)
+        sent.update({r.doc_id: len(r.tail) for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(common, "fresh_ids", spy)
+    got = {r.doc_id: r for r in quality.assess(docs, labels, broadcast_limit=10, slices=2).collect()}
+    assert sorted(sent) == list(range(63)) and sent[60] <= 10 and sent[61] > 10  # 2,001 for text 60 if all were sent; the map may let a few pass
+    want = {r.doc_id: r for r in quality.assess(docs, labels).collect()}  # all weights are broadcast
+    for d, r in got.items():
+        assert (r.n_tokens, r.keep, r.evidence) == (want[d].n_tokens, want[d].keep, pytest.approx(want[d].evidence, abs=1e-9))
+        assert r.perplexity == (pytest.approx(want[d].perplexity, rel=1e-9) if r.n_tokens else None)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5000])
+def test_quality_finds_hashes(spark, n):
+    """The map of words and the index of keys against sets, at both ends of the hashes too."""
+    import numpy as np
+
+    rng = np.random.default_rng(n)
+    have = np.unique(np.concatenate([rng.integers(0, 2**64, n, dtype=np.uint64), np.array([0, 2**63, 2**64 - 1], np.uint64)[:n]]))
+    asked = np.concatenate([have, have ^ np.uint64(1), rng.integers(0, 2**64, 20_000, dtype=np.uint64), np.array([0, 1, 2**63 - 1, 2**63, 2**64 - 1], np.uint64)])
+    table = spark.createDataFrame([(int(k), float(i)) for i, k in enumerate(have.view(np.int64))], "w long, value double")
+    passed = quality._mapped(asked, quality._word_map(table, n))
+    real = np.isin(asked, have)
+    assert passed[real].all() and passed[2 * len(have) : -5].mean() < 1 / 16
+    keys, values, begins = quality._indexed(table)
+    at = quality._places(asked, keys, begins)
+    assert ((at >= 0) == real).all() and (keys[at[real]] == asked[real]).all()
+    assert (have[values[at[real]].astype(int)] == asked[real]).all()
+
+
 def test_kneser_ney_sums_to_one(spark):
     import math
 
