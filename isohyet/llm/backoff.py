@@ -10,7 +10,8 @@ training texts, to the shard of the n-gram's hash; the shard adds up and answers
 order in which it was asked. A block then makes one pass over its texts from left to right, which carries
 the state (the context and its count) from token to token and adds up log weights. The states of a shard
 and the n-grams of a block are bounded; their numbers grow with the input. One n-gram that a third of all
-texts have is one entry for each block.
+texts have is one entry for each block. Rows hold numbers as bytes, in as few as they need: as lists of longs
+they take several times the memory wherever Spark reads, sorts or sends them.
 """
 
 from __future__ import annotations
@@ -24,7 +25,39 @@ from isohyet.llm import common
 #: Stands for the end of a text; words have XXH64 hashes.
 END = 0x5EED0E0D0E0D0E0D
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-BLOCK = "block long, doc_id array<long>, held_out array<boolean>, first array<int>, words array<long>, codes array<int>, n_tokens long"
+BLOCK = "block long, doc_id array<long>, held_out array<boolean>, first array<int>, words binary, codes binary, n_tokens long"
+
+
+def narrow(x: np.ndarray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(small, large): counts in the small type ``kind``, whose greatest value says that the next of ``large`` counts."""
+    top = np.iinfo(kind).max
+    return np.minimum(x, top).astype(kind), x[x >= top].astype(np.int64)
+
+
+def widen(small: np.ndarray, large: np.ndarray) -> np.ndarray:
+    """The counts that ``narrow`` got."""
+    x = small.astype(np.int64)
+    x[small == np.iinfo(small.dtype).max] = large
+    return x
+
+
+def as_bytes(x: np.ndarray, cut: np.ndarray):
+    """An Arrow array of the bytes of each stretch of numbers from one cut to the next."""
+    import pyarrow as pa
+
+    ends = pa.array(np.asarray(cut, np.int64) * x.itemsize, pa.int32())  # raises beyond 2 GB
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, ends.buffers()[1], pa.py_buffer(np.ascontiguousarray(x))])
+
+
+def from_bytes(column, kind: type) -> np.ndarray:
+    """The numbers of all rows of an Arrow array of bytes, one after the other."""
+    import pyarrow as pa
+
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    column = column.cast(pa.large_binary())
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]].view(kind)
 
 
 def block_of(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,23 +77,21 @@ def place_of(first: np.ndarray) -> np.ndarray:
 
 
 def ngrams(words: np.ndarray, codes: np.ndarray, place: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(names, at, which): 64-bit names of the block's distinct n-grams, the tokens that end one, and which it is."""
-    names, at, which = words, np.arange(len(codes)), codes.astype(np.int64)
+    """(names, at, which): sorted 64-bit names of the block's distinct n-grams, the tokens that end one, and which it is."""
+    if order == 1:
+        names, back = np.unique(common.mix(words), return_inverse=True)
+        return names, np.arange(len(codes)), back[codes]
+    last = name = words[codes]
     for n in range(1, order):
-        before = np.full(len(codes), -1, np.int64)
-        before[at] = which
-        at = np.flatnonzero(place >= n)
-        pairs, which = np.unique(before[at - 1] * len(words) + codes[at], return_inverse=True)
-        left, right = np.divmod(pairs, len(words))
-        names = common.mix(names[left] * _ODD + np.uint64(n)) + words[right]
-    return common.mix(names), at, which
+        name = last + np.append(np.uint64(0), common.mix(name[:-1] * _ODD + np.uint64(n)))
+    at = np.flatnonzero(place >= order - 1)
+    names, which = np.unique(common.mix(name[at]), return_inverse=True)
+    return names, at, which
 
 
-def dealt(names: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, shard): the n-grams of a block as they are sent, by shard."""
-    shard = (names % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
-    order = np.argsort(shard, kind="stable")
-    return order, shard[order]
+def dealt(names: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each n-gram, in ascending order as the names are."""
+    return ((names >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
 def traverse(counts: list[np.ndarray], place: np.ndarray, total: int, types: int, strength: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +113,8 @@ def _blocks(source: DataFrame, block_bytes: int) -> DataFrame:
         for batch, lo, hi in common.chunks(batches, block_bytes):
             own = batch.take(pa.array(np.arange(lo, hi)))  # a copy: lists of slices are not sent whole
             first, words, codes = block_of(own.column("text"))
-            lists = [one(own.column("doc_id")), one(own.column("held_out")), one(pa.array(first.astype(np.int32))), one(pa.array(words.view(np.int64))), one(pa.array(codes))]
+            codes = codes.astype(np.uint16) if len(words) <= 1 << 16 else codes
+            lists = [one(own.column("doc_id")), one(own.column("held_out")), one(pa.array(first.astype(np.int32))), as_bytes(words, [0, len(words)]), as_bytes(codes, [0, len(codes)])]
             yield pa.RecordBatch.from_arrays([*lists, pa.array([len(codes)])], ["doc_id", "held_out", "first", "words", "codes", "n_tokens"])
 
     schema = BLOCK.removeprefix("block long, ")
@@ -92,16 +124,25 @@ def _blocks(source: DataFrame, block_bytes: int) -> DataFrame:
 
 def _arrays(batch, row: int) -> dict[str, np.ndarray]:
     """first, words, codes and place of one block, and which of its tokens are in training texts."""
-    out = {c: batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in ("first", "words", "codes", "held_out")}
-    out["words"] = out["words"].view(np.uint64)
+    out = {c: batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in ("first", "held_out")}
+    words, codes = (batch.column(c)[row].as_buffer() for c in ("words", "codes"))
+    out["words"] = np.frombuffer(words, np.uint64)
+    out["codes"] = np.frombuffer(codes, np.uint16 if len(out["words"]) <= 1 << 16 else np.int32).astype(np.int32)
     out["place"] = place_of(out["first"].astype(np.int64))
     out["train"] = np.repeat(~out["held_out"].astype(bool), np.diff(out["first"]))
     return out
 
 
+def _narrowed(counts: np.ndarray, cut: np.ndarray, kind: type) -> list:
+    """Arrow arrays of the bytes of ``narrow`` for each stretch of counts from one cut to the next."""
+    small, large = narrow(counts, kind)
+    return [as_bytes(small, cut), as_bytes(large, np.append(0, np.cumsum(small == np.iinfo(kind).max))[cut])]
+
+
 def _totals(blocks: DataFrame, order: int, shards: int) -> DataFrame:
-    """(block, shard, totals): of the n-grams that a block has in a shard, in the order of ``dealt``, the counts
-    in all training texts. Block -1 has, for each shard, the number of n-grams with a count and their sum."""
+    """(block, shard, totals, large): of the n-grams that a block has in a shard, in the order of ``ngrams``, the
+    counts in all training texts, as ``narrow`` has them. Block -1 has, for each shard, the number of n-grams with
+    a count (types) and their sum (tokens)."""
 
     def ask(batches):
         import pyarrow as pa
@@ -110,29 +151,29 @@ def _totals(blocks: DataFrame, order: int, shards: int) -> DataFrame:
             for row in range(batch.num_rows):
                 b = _arrays(batch, row)
                 names, at, which = ngrams(b["words"], b["codes"], b["place"], order)
-                counts = np.bincount(which, b["train"][at], len(names)).astype(np.int32)
-                by, shard = dealt(names, shards)
+                counts = np.bincount(which, b["train"][at], len(names)).astype(np.int64)
+                shard = dealt(names, shards)
                 edge = np.flatnonzero(np.diff(shard, prepend=shard[0] + 1 if len(shard) else 0))
-                cut = pa.array(np.append(edge, len(by)), pa.int32())
-                lists = [pa.ListArray.from_arrays(cut, pa.array(names[by].view(np.int64))), pa.ListArray.from_arrays(cut, pa.array(counts[by]))]
+                cut = np.append(edge, len(names))
+                lists = [as_bytes(names, cut), *_narrowed(counts, cut, np.uint8)]
                 block = pa.array(np.full(len(edge), batch.column("block")[row].as_py(), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(shard[edge].astype(np.int64)), block, *lists], ["shard", "block", "names", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(shard[edge]), block, *lists], ["shard", "block", "names", "counts", "large"])
 
     def answer(table):
         import pyarrow as pa
-
-        table = table.combine_chunks()
-        names, counts = (table.column(c).combine_chunks() for c in ("names", "counts"))
-        sizes = np.array([0, *(len(x) for x in names)])
-        _, back = np.unique(names.flatten().to_numpy(), return_inverse=True)
-        total = np.bincount(back, counts.flatten().to_numpy()).astype(np.int64) if len(back) else np.zeros(0, np.int64)
-        stats = np.array([np.count_nonzero(total), total.sum()])
-        lists = pa.ListArray.from_arrays(pa.array(np.append(np.cumsum(sizes), sizes.sum() + 2), pa.int32()), pa.array(np.append(total[back], stats)))
-        shard = pa.concat_arrays([table.column("shard").combine_chunks(), table.column("shard").combine_chunks()[:1]])
-        return pa.table([pa.concat_arrays([table.column("block").combine_chunks(), pa.array([-1], pa.int64())]), shard, lists], ["block", "shard", "totals"])
-
-    asked = blocks.select("block", "held_out", "first", "words", "codes").mapInArrow(ask, "shard long, block long, names array<long>, counts array<int>")
-    found = asked.repartition(shards, "shard").groupBy("shard").applyInArrow(answer, "block long, shard long, totals array<long>")
+        import pyarrow.compute as pc
+
+        sizes = pc.binary_length(table.column("names")).to_numpy() // 8
+        names, counts = from_bytes(table.column("names"), np.uint64), widen(from_bytes(table.column("counts"), np.uint8), from_bytes(table.column("large"), np.int64))
+        _, back = np.unique(names, return_inverse=True)
+        total = np.bincount(back, counts).astype(np.int64)
+        block, shard = (np.append(table.column(c).to_numpy(), x) for c, x in (("block", -1), ("shard", table.column("shard")[0].as_py())))
+        totals = _narrowed(total[back], np.append(0, np.cumsum([*sizes, 0])), np.uint16)
+        stats = [pa.array([*[None] * len(sizes), int(x)], pa.int64()) for x in (np.count_nonzero(total), total.sum())]
+        return pa.table([block, shard, *totals, *stats], ["block", "shard", "totals", "large", "types", "tokens"])
+
+    asked = blocks.select("block", "held_out", "first", "words", "codes").mapInArrow(ask, "shard long, block long, names binary, counts binary, large binary")
+    found = asked.repartition(shards, "shard").groupBy("shard").applyInArrow(answer, "block long, shard long, totals binary, large binary, types long, tokens long")
     return common.materialise(found, f"totals-{order}")
 
 
@@ -153,11 +194,11 @@ def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     shards = common.shards(n_tokens, shard_ngrams)
     orders = range(1, len(strength) + 2)
     tables = [_totals(blocks, order, shards) for order in orders]
-    types, total = tables[0].where("block = -1").agg(F.coalesce(F.sum(F.element_at("totals", 1)), F.lit(0)), F.coalesce(F.sum(F.element_at("totals", 2)), F.lit(0))).first()
+    types, total = tables[0].where("block = -1").agg(F.coalesce(F.sum("types"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
 
     answers = None
     for order, table in zip(orders, tables, strict=True):
-        table = table.where("block >= 0").withColumn("n", F.lit(order))
+        table = table.where("block >= 0").select("block", "shard", "totals", "large", F.lit(order).alias("n"))
         answers = table if answers is None else answers.unionAll(table)
 
     def score(block, answered):
@@ -165,16 +206,15 @@ def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
         b = _arrays(block, 0)
         order, shard = answered.column("n").to_numpy(), answered.column("shard").to_numpy()
-        lists = answered.column("totals").combine_chunks()
         counts = []
         for n in orders:
             names, at, which = ngrams(b["words"], b["codes"], b["place"], n)
-            by, _ = dealt(names, shards)
             rows = np.flatnonzero(order == n)
             rows = rows[np.argsort(shard[rows])]
             total_of = np.zeros(len(names))
             if len(rows):
-                total_of[by] = lists.take(pa.array(rows)).flatten().to_numpy()
+                found = answered.take(pa.array(rows))
+                total_of[:] = widen(from_bytes(found.column("totals"), np.uint16), from_bytes(found.column("large"), np.int64))
             own = np.zeros(len(b["codes"]))
             own[at] = total_of[which]
             counts.append(own)
@@ -186,7 +226,7 @@ def score_corpus(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         columns = [ids, held, pa.array(np.diff(b["first"]).astype(np.int64)), pa.array(sums(counts[0] > 0).astype(np.int64)), pa.array(np.full(n_docs, total, np.int64)), pa.array(sums(base)), pa.array(sums(weight))]
         return pa.table(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    parts = max(1, 2 * n_blocks)
+    parts = max(1, n_blocks)
     asking = blocks.drop("n_tokens").repartition(parts, "block").groupBy("block")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return asking.cogroup(answers.repartition(parts, "block").groupBy("block")).applyInArrow(score, schema)

@@ -549,6 +549,38 @@ def test_backoff_keeps_every_ngram(spark):
         assert {i: r.base_score for i, r in got.items()} == {i: pytest.approx(x[4], rel=1e-9) for i, x in base.items()}
 
 
+def test_backoff_counts_of_any_size(spark):
+    """Counts beyond one and two bytes come back whole, in blocks of few and of many distinct words."""
+    import numpy as np
+
+    from brute import base_scores, scores
+
+    texts = [(i, "w1 w2 " * (40_000 if i == 0 else 130) + prose(i, 20)) for i in range(12)] + [(20, "W1 w1"), (21, " ".join(f"n{k}" for k in range(70_000)) + " n1 n2")]
+    want, base = scores(texts), base_scores(texts)
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    for size in (4_000_000, 1_000):
+        got = {r.doc_id: r for r in backoff.score_corpus(df, block_bytes=size, shard_ngrams=20_000).collect()}
+        assert {i: r.score for i, r in got.items()} == {i: pytest.approx(x, rel=1e-9) for i, x in want.items()}
+        assert {i: r.base_score for i, r in got.items()} == {i: pytest.approx(x[4], rel=1e-9) for i, x in base.items()}
+    for kind in (np.uint8, np.uint16):
+        top = np.iinfo(kind).max
+        x = np.array([0, 1, top - 1, top, top + 1, 2**40, 3])
+        assert (backoff.widen(*backoff.narrow(x, kind)) == x).all() and len(backoff.narrow(x, kind)[1]) == 3
+
+
+def test_backoff_rows_are_small(spark):
+    """What tasks hold for a token and an n-gram: 2 bytes each besides the block's words (4 and 8 as lists of numbers)."""
+    import zlib
+
+    texts = [(i, " ".join(f"w{zlib.crc32(b'%d %d' % (i, k)) % 500}" for k in range(400))) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("doc_id", "text", "doc_id % 5 = 1 as held_out").coalesce(1)
+    blocks = backoff._blocks(docs, 100_000)
+    held = blocks.select("words", "codes").toArrow()
+    assert held.nbytes < 2.5 * 300 * 401
+    totals = backoff._totals(blocks, 3, 4).where("block >= 0").toArrow()
+    assert totals.nbytes < 2.5 * 300 * 399
+
+
 def test_extraction_counts_equal_pages_once(spark):
     """Many copies of one page do not make the other articles of the host look repeated."""
     copy, page = '<div class="post"><p>copied</p></div>', '<h1>Heading {0}</h1><div class="post"><p>article {0}</p></div>'
