@@ -119,7 +119,7 @@ def _blocks(source: DataFrame, block_bytes: int) -> DataFrame:
 
     schema = BLOCK.removeprefix("block long, ")
     found = source.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
-    return common.materialise(found.select(*[c.split()[0] for c in BLOCK.split(", ")]), "blocks")
+    return common.materialise(found.select(*[c.split()[0] for c in BLOCK.split(", ")]), "blocks", common.ROW_BY_ROW)
 
 
 def _arrays(batch, row: int) -> dict[str, np.ndarray]:
@@ -174,7 +174,8 @@ def _totals(blocks: DataFrame, order: int, shards: int) -> DataFrame:
 
     asked = blocks.select("block", "held_out", "first", "words", "codes").mapInArrow(ask, "shard long, block long, names binary, counts binary, large binary")
     found = asked.repartition(shards, "shard").groupBy("shard").applyInArrow(answer, "block long, shard long, totals binary, large binary, types long, tokens long")
-    return common.materialise(found, f"totals-{order}")
+    with common.session_settings(blocks.sparkSession, spark__sql__execution__arrow__maxBytesPerBatch="4m"):
+        return common.materialise(found, f"totals-{order}")
 
 
 @common.shipped

@@ -93,12 +93,16 @@ def session_settings(spark: SparkSession, **values: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to a new table in the shared folder and read it back: cuts lineage, frees its shuffles."""
+#: Parquet options for tables of rows of a MB and more: each row is a row group, so that readers hold one at a time.
+ROW_BY_ROW = {"parquet.block.row.count.limit": "1"}
+
+
+def materialise(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` to a new table in the shared folder and read it back: cuts lineage, frees its shuffles. ``options`` are the writer's."""
     spark = df.sparkSession
     path = new_path(spark, label)
     with session_settings(spark, **{_CLEAN_SHUFFLES.replace(".", "__"): "true"}):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **(options or {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._isohyet_path = path
     return out

@@ -570,6 +570,7 @@ def test_backoff_counts_of_any_size(spark):
 
 def test_backoff_rows_are_small(spark):
     """What tasks hold for a token and an n-gram: 2 bytes each besides the block's words (4 and 8 as lists of numbers)."""
+    import glob
     import zlib
 
     texts = [(i, " ".join(f"w{zlib.crc32(b'%d %d' % (i, k)) % 500}" for k in range(400))) for i in range(300)]
@@ -577,6 +578,10 @@ def test_backoff_rows_are_small(spark):
     blocks = backoff._blocks(docs, 100_000)
     held = blocks.select("words", "codes").toArrow()
     assert held.nbytes < 2.5 * 300 * 401
+    import pyarrow.parquet as pq
+
+    (file,) = glob.glob(f"{blocks._isohyet_path.removeprefix('file://')}/part-*.parquet")
+    assert pq.ParquetFile(file).num_row_groups == len(held) >= 4  # a reader holds one block at a time
     totals = backoff._totals(blocks, 3, 4).where("block >= 0").toArrow()
     assert totals.nbytes < 2.5 * 300 * 399
 
